@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring
+from . import minhash, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents"), k=35, keep_text=False)
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.85 or more."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
 SQL: dict[str, str] = {}
