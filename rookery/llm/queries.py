@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, substring
+from . import minhash, packing, storage, substring, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,25 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents"), k=35, keep_text=False)
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences of at most 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary(), capacity=2048, end=0, keep_ids=False)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens per document, read from flat files of all documents by a scan for the separator."""
+    folder = storage.scratch(spark, "flat")
+    written = storage.cut(token_counts.write_flat(_table(spark, sf_dir, "documents"), _vocabulary(), folder), "order")
+    counts = token_counts.separator_scan(spark, folder)
+    return counts.join(written, ["file", "ordinal"], "left").select("doc_id", "file", "ordinal", "start", "n_tokens")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.85 or more."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
@@ -25,6 +44,8 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op7_token_counts": op7_token_counts,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
