@@ -8,8 +8,9 @@ consecutive windows with the same minimiser form a super-k-mer.  Equal windows h
 2.  the other super-k-mers travel, each as one packed string, to the bucket of their minimiser, where windows are
     sorted and counted exactly (on two independent 64-bit hashes of the words of each window);
 3.  a minimiser with more than ``hot`` super-k-mers (a passage that a large part of the corpus shares) would make its
-    bucket too large for a task.  Its windows are counted one by one instead, keyed by their own hashes, with map-side
-    sums; nothing of them is sampled or dropped;
+    bucket too large for a task.  Its equal super-k-mers are folded by map-side sums: all windows of one that is there
+    twice are repeated.  Only one of each goes on, and its windows are counted by their own hashes, with map-side sums
+    again; nothing is sampled or dropped;
 4.  repeated spans go back to their texts, and every word that a repeated window covers is removed.
 
 Bounded memory: a task holds a chunk of texts (some MB or one text), or one bucket of at most ``hot`` super-k-mers.
@@ -98,9 +99,10 @@ def _listed(batch: pa.RecordBatch, name: str, c: W.Chunk) -> tuple[np.ndarray, p
 
 
 def _packed(k: int, single: bool):
-    """Strings of the listed super-k-mers; with ``single``, instead the hashes of each of their windows."""
+    """Strings of the listed super-k-mers; with ``single``, instead a hash of each and the hashes of its windows."""
     fields = [("doc", pa.int64()), ("print", pa.int64()), ("start", pa.int32())]
-    schema = pa.schema(fields + ([("h1", pa.int64()), ("h2", pa.int64())] if single else [("mini", pa.int64()), ("packed", pa.binary())]))
+    pair = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
+    schema = pa.schema(fields + ([("n", pa.int32()), ("p1", pa.int64()), ("p2", pa.int64()), ("windows", pa.list_(pair))] if single else [("mini", pa.int64()), ("packed", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,24 +112,25 @@ def _packed(k: int, single: bool):
                     continue
                 start, n = np.asarray(listed.field("start")).astype(np.int64), np.asarray(listed.field("n")).astype(np.int64)
                 word = c.first[row] + start
+                size = n + k - 1
                 if single:
-                    h1, h2 = W.window_hash(c.hashes(0), k, 0), W.window_hash(c.hashes(1), k, 1)
-                    row, word = np.repeat(row, n), W.ragged_arange(word, n)
-                    more = [pa.array((word - c.first[row]).astype(np.int32)), pa.array(h1[word].view(np.int64)), pa.array(h2[word].view(np.int64))]
+                    p1, p2 = (W.span_hash(c.hashes(i), word, word + size, i).view(np.int64) for i in (0, 1))
+                    each = W.ragged_arange(word, n)
+                    h1, h2 = (W.window_hash(c.hashes(i), k, i)[each].view(np.int64) for i in (0, 1))
+                    pairs = pa.StructArray.from_arrays([pa.array(h1), pa.array(h2)], fields=list(pair))
+                    more = [pa.array(n.astype(np.int32)), pa.array(p1), pa.array(p2), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pairs)]
                 else:
-                    size = n + k - 1
                     which = W.ragged_arange(word, size)
                     each = c.ends[which] - c.starts[which] + 1  # with a space after each word
                     data = c.buf[np.minimum(W.ragged_arange(c.starts[which], each), len(c.buf) - 1)]
                     done = np.cumsum(each)
                     data[done - 1] = 0x20
                     offsets = np.concatenate([[0], done[np.cumsum(size) - 1]]).astype(np.int32)
-                    packed = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-                    more = [pa.array(start.astype(np.int32)), listed.field("mini"), packed]
+                    more = [listed.field("mini"), pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(data)])]
                 take = pa.array(row + c.row0)
-                yield pa.RecordBatch.from_arrays([batch.column("doc").take(take), batch.column("print").take(take), *more], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column("doc").take(take), batch.column("print").take(take), pa.array(start.astype(np.int32)), *more], schema=schema)
 
-    return run, "doc long, print long, start int, " + ("h1 long, h2 long" if single else "mini long, packed binary")
+    return run, "doc long, print long, start int, " + ("n int, p1 long, p2 long, windows array<struct<h1:long,h2:long>>" if single else "mini long, packed binary")
 
 
 def _repeated(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
@@ -219,7 +222,7 @@ def _key(left: str, right: str) -> Column:
     return F.col(f"{left}.doc").eqNullSafe(F.col(f"{right}.doc")) & (F.col(f"{left}.print") == F.col(f"{right}.print"))
 
 
-def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 1000) -> DataFrame:
+def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 20_000) -> DataFrame:
     """Spans of words that windows of ``k`` words found twice or more cover: ``doc, print, spans array<struct<begin,end>>``.
 
     ``docs`` has ``doc long``, ``print long`` (together the key of a row; rows with the same key have the same text)
@@ -237,13 +240,17 @@ def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 1000) ->
     cold = texts_with(~F.col("hot")).mapInArrow(*_packed(k, single=False))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cold = cold.repartition(n, "mini").sortWithinPartitions("mini").mapInArrow(*_count_buckets(k))
-    alone = texts_with(F.col("hot")).mapInArrow(*_packed(k, single=True))
-    again = alone.groupBy("h1", "h2").agg(F.count("*").alias("copies")).filter("copies > 1").drop("copies")
-    warm = alone.join(again, ["h1", "h2"]).select("doc", "print", F.col("start").alias("begin"), (F.col("start") + k).alias("end"))
+    crowd = texts_with(F.col("hot")).mapInArrow(*_packed(k, single=True))
+    kinds = crowd.groupBy("p1", "p2").agg(F.count("*").alias("copies"), *(F.any_value(c).alias(c) for c in ("doc", "print", "start", "n", "windows")))
+    same = crowd.join(kinds.filter("copies > 1").select("p1", "p2"), ["p1", "p2"]).select("doc", "print", F.col("start").alias("begin"), (F.col("start") + F.col("n") + (k - 1)).alias("end"))
+    each = kinds.select("doc", "print", "start", "copies", F.posexplode("windows").alias("i", "h"))
+    again = each.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").drop("times")
+    lone = each.filter("copies = 1").join(again, "h").select("doc", "print", (F.col("start") + F.col("i")).alias("begin"), (F.col("start") + F.col("i") + k).alias("end"))
+    warm = same.unionByName(lone)
     return cold.unionByName(warm).groupBy("doc", "print").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 1000, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 20_000, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and the kept words joined by one space.
 
     Takes ``doc_id long`` and ``text``; other columns pass through (none may be named ``doc``, ``print`` or ``spans``
