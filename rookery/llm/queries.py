@@ -5,14 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash, packing, storage, substring, token_counts
+from . import kneser_ney, minhash, packing, quality_rules, storage, substring, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back."""
+    back = warc.round_trip(_table(spark, sf_dir, "pages"), least=0, keep_payload=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing every window of 35 words that starts anywhere else too."""
     return substring.remove_repeats(_table(spark, sf_dir, "documents"), k=35, keep_text=False)
@@ -29,6 +36,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary(), capacity=2048, end=0, keep_ids=False)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each text and the verdict by thresholds that adapt to its language and source."""
+    judged = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document, read from flat files of all documents by a scan for the separator."""
     folder = storage.scratch(spark, "flat")
@@ -42,11 +55,60 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all texts under a Kneser-Ney model of those whose id's crc32 modulo 7 is not 2."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = kneser_ney.train(docs, ~held)
+    scored = kneser_ney.score(docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+SQL_WARC = """
+with p as (select page_id, coalesce(html, '') h, sha1(coalesce(html, '')) x from pages),
+f as (select x, min(page_id) first from p group by x),
+d as (select p.*, first, (select string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(x, 1 + 5 * g, 5))::bigint >> (15 - 5 * b)) & 31)::int + 1, 1), '' order by g, b)
+    from range(8) t(g), range(4) u(b)) digest from p join f using (x))
+select page_id, octet_length(encode(h))::bigint payload_bytes, digest payload_digest, case when page_id = first then 'response' else 'revisit' end record_type,
+    case when page_id <> first then first end refers_to from d"""
+
+SQL_SUBSTRING = rf"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') w from documents),
+v as (select doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) g from (select doc_id, w, unnest(range(1, len(w) - 33)) i from d)),
+r as (select doc_id, i from (select doc_id, i, count(*) over (partition by g) c from v) where c > 1),
+t as (select doc_id, w[i] word, i from (select doc_id, w, unnest(range(1, len(w) + 1)) i from d)),
+m as (select t.doc_id, t.i, t.word, max(r.i) over (partition by t.doc_id order by t.i rows between 34 preceding and current row) is not null gone
+    from t left join r on r.doc_id = t.doc_id and r.i = t.i),
+k as (select doc_id, count(*) filter (gone) n_removed, string_agg(word, ' ' order by i) filter (not gone) kept from m group by 1)
+select d.doc_id, len(w)::bigint n_words, coalesce(n_removed, 0)::bigint n_removed, sha256(coalesce(kept, '')) kept_sha256 from d left join k using (doc_id)"""
+
+SQL_NEAR = rf"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') w from documents),
+s as (select distinct doc_id, g from (select doc_id, unnest(case when len(w) between 1 and 2 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) g from d)),
+n as (select doc_id, count(*) n from s group by 1),
+p as (select a.doc_id a, b.doc_id b, count(*) k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+e as (select a u, b v from l union select b, a from l),
+r as (select u, u v from e union select r.u, e.v from r join e on e.u = r.v),
+c as (select u, min(v) c from r group by 1)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, coalesce(c.c, d.doc_id) component_id, coalesce(c.c, d.doc_id) = d.doc_id kept
+from d left join n on n.doc_id = d.doc_id left join c on c.u = d.doc_id"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_reassembly": op1_warc_reassembly,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality_rules": op4_quality_rules,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_warc_reassembly": SQL_WARC,
+    "op2_substring_dedup": SQL_SUBSTRING,
+    "op4_quality_rules": quality_rules.sql(),
+    "op8_minhash_near_dedup": SQL_NEAR,
+}

@@ -67,6 +67,13 @@ def forget(df: DataFrame) -> None:
         _made[:] = [x for x in _made if x[1] != path]
 
 
+def open_folder(uri: str):
+    """File system and path of a folder for use in tasks; the folder may be of any kind that Arrow can open."""
+    import pyarrow.fs as pafs
+
+    return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))
+
+
 def local_path(path: str) -> str:
     """The path under which every worker can memory-map a shared file; needs a mounted folder (``file:`` or a bare path)."""
     if path.startswith("file:"):

@@ -8,7 +8,6 @@ before a block, and the number of separators before it), which are small rows ho
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,23 +18,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import words as W
+from .storage import open_folder
 from .tokens import row_tokens
 
 END = 49407  # <|endoftext|> of the vocabulary
 BLOCK_BYTES = 4 << 20
 
 
-def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))
-
-
 def _write(uri: str, path: str, end: int):
     schema = pa.schema([("file", pa.string()), ("ordinal", pa.int64()), ("doc_id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         name = f"tokens-{task.partitionId():06d}.bin"
-        fs, root = _open(uri)
+        fs, root = open_folder(uri)
         attempt = f"{root}/_{name}.{task.taskAttemptId()}"
         done = 0
         fs.create_dir(root, recursive=True)
@@ -64,7 +60,7 @@ def write_flat(docs: DataFrame, tokenizer: str, uri: str, end: int = END) -> Dat
 
 
 def _blocks(spark: SparkSession, uri: str, block_bytes: int) -> DataFrame:
-    fs, root = _open(uri)
+    fs, root = open_folder(uri)
     files = [(f.base_name, f.size) for f in fs.get_file_info(pafs.FileSelector(root)) if f.is_file and not f.base_name.startswith(("_", "."))] if fs.get_file_info(root).type == pafs.FileType.Directory else []
     table = spark.createDataFrame(files, "file string, size long")
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(block_bytes).cast("long"))
@@ -75,7 +71,7 @@ def _search(uri: str, end: int, block_bytes: int):
     schema = pa.schema([("file", pa.string()), ("block", pa.int32()), ("ends", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = _open(uri)
+        fs, root = open_folder(uri)
         for batch in batches:
             for x in batch.to_pylist():
                 with fs.open_input_file(f"{root}/{x['file']}") as file:
