@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kneser_ney, minhash, packing, quality_rules, storage, substring, token_counts, warc
+from . import decontamination, kneser_ney, minhash, packing, quality_classifier, quality_rules, storage, substring, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all texts by a model of the labels outside the held-out fold."""
+    scored = quality_classifier.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within one edit in ten characters, and where."""
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), rate=0.1)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document, read from flat files of all documents by a scan for the separator."""
     folder = storage.scratch(spark, "flat")
@@ -101,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_lm_scoring": op10_lm_scoring,
