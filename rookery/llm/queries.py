@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, kneser_ney, minhash, packing, quality_classifier, quality_rules, storage, substring, token_counts, warc
+from . import chat, decontamination, kneser_ney, minhash, packing, quality_classifier, quality_rules, storage, substring, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,22 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles and canonical turns of all conversations' transcripts, by a model of those outside the held-out fold."""
+    plain = storage.cut(chat.transcripts(_table(spark, sf_dir, "conversations")), "transcripts")
+    held = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    parsed = chat.parse(plain.drop("turns"), chat.train(plain.filter(~held)))
+    roles = F.array_join("parsed.role", ",")
+    return parsed.select("conv_id", "part", held.alias("held_out"), "n_lines", F.size("parsed").cast("long").alias("n_turns"), roles.alias("roles"), "rendered")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all texts under a Kneser-Ney model of those whose id's crc32 modulo 7 is not 2."""
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -116,7 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_lm_scoring": op10_lm_scoring,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {
