@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .storage import bound_batches
 
 Q = 8
 #: Characters of items that go to the tasks at once.
 BLOCK_CHARS = 4_000_000
-_TABLE_BITS = 24
-_VOTE_BITS = 22
+_TABLE_BITS = 22
+_VOTE_BITS = 20
 _SLOTS = 1 << 20
 _END = 0x110000  # matches no character
 
@@ -186,6 +187,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFra
     lemma can still tell.  A part may be reported for several starts.  Repeated rows are searched each.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.char_length("text") >= Q).distinct()
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_CHARS)

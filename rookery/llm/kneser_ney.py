@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .storage import cut, local_path, scratch
+from .storage import bound_batches, cut, local_path, scratch
 
 #: A task passes its counts on when so many ids have gathered.
 HELD = 4_000_000
@@ -319,6 +319,7 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 def train(docs: DataFrame, training: Column) -> Model:
     """Counts the model over the rows of ``docs(text)`` for which ``training`` holds; null texts are empty ones."""
     spark: SparkSession = docs.sparkSession
+    bound_batches(spark)
     folder = local_path(scratch(spark, "kneser-ney"))
     os.makedirs(folder, exist_ok=True)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))

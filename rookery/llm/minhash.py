@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
-from .storage import cut
+from .storage import bound_batches, cut
 
 BLOCK = 256
 _SEED = 20240229
@@ -178,6 +178,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     without words are linked with nothing.  Rows with a null id can't be named: they are kept, with a null component.
     Rows that repeat an id share its component; if their texts differ, the one with the smallest hash stands for the id.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     texts = texts.withColumn("print", F.xxhash64("text"))
     signed = cut(texts.mapInArrow(*_sign(k, bands, rows)), "signatures")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .storage import cut
+from .storage import bound_batches, cut
 from .tokens import binary_rows, row_tokens
 
 Slot = tuple[int, int, int, int, int]  # length, first rank, count, first sequence, offset
@@ -132,6 +132,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end:
 
     Null and empty texts give one piece with the end id alone.  ``ids`` are little-endian unsigned 32-bit.
     """
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(*_pieces(tokenizer, capacity, end, keep_ids))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .storage import cut
+from .storage import bound_batches, cut
 
 STATS = ("log_words", "word_length", "upper", "digit", "symbol", "bang", "punctuation", "distinct", "same_next", "repeat_3", "line_words", "dup_lines", "capital_words", "foreign")
 FEATURES = 192
@@ -97,6 +97,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measured(docs: DataFrame) -> DataFrame:
     """``doc_id, print, stats`` of each row of ``docs(doc_id, text)``; ``print`` is a hash of the text."""
+    bound_batches(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), "text")
     return keyed.mapInArrow(_measure, "doc_id long, print long, stats array<float>")
 

@@ -43,6 +43,16 @@ def _drop_all() -> None:
 atexit.register(_drop_all)
 
 
+def bound_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Limits the Arrow batches that tasks pass to Python, unless the session has a limit of its own.
+
+    The default of 64 MB a batch is held several times over, in the JVM and in Python.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, most)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; it goes when the driver's Python ends."""
     path = f"{shared_root(spark)}/rookery-{name}-{uuid.uuid4().hex}"

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .storage import bound_batches
 
 #: A super-k-mer is cut after so many windows, so that a text of one repeated word still gives short strings.
 MAX_RUN = 64
@@ -149,7 +150,14 @@ def _count_buckets(k: int):
     def spans(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """rows: whole buckets."""
         found: list[list[np.ndarray]] = []
-        for c in W.chunks(rows.column("packed"), limit=1 << 62):
+        mini = np.asarray(rows.column("mini"))
+        size = np.diff(W.utf8_column(rows.column("packed"))[1])
+        edge = np.flatnonzero(np.append(mini[1:] != mini[:-1], True)) + 1  # ends of buckets
+        done = np.cumsum(size)[edge - 1]
+        last = np.append(np.flatnonzero(done[1:] // W.CHUNK_BYTES != done[:-1] // W.CHUNK_BYTES), len(edge) - 1)  # some whole buckets at a time
+        cuts = np.concatenate([[0], edge[last]])
+        parts = ((int(a), c) for a, b in zip(cuts[:-1], cuts[1:], strict=True) for c in W.chunks(rows.column("packed").slice(a, b - a), limit=1 << 62))
+        for head, c in parts:
             ok = c.window_rows(k)
             at = np.flatnonzero(ok)
             again = _repeated(W.window_hash(c.hashes(0), k, 0)[at], W.window_hash(c.hashes(1), k, 1)[at])
@@ -159,7 +167,7 @@ def _count_buckets(k: int):
             new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
             begin = np.flatnonzero(new)
             length = np.diff(np.append(begin, len(at)))
-            found.append([row[begin] + c.row0, at[begin] - c.first[row[begin]], length])
+            found.append([row[begin] + c.row0 + head, at[begin] - c.first[row[begin]], length])
         row, begin, length = (np.concatenate(x) for x in zip(*found, strict=True))
         if len(row):
             start = np.asarray(rows.column("start"))[row] + begin
@@ -222,13 +230,14 @@ def _key(left: str, right: str) -> Column:
     return F.col(f"{left}.doc").eqNullSafe(F.col(f"{right}.doc")) & (F.col(f"{left}.print") == F.col(f"{right}.print"))
 
 
-def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 20_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 4_000) -> DataFrame:
     """Spans of words that windows of ``k`` words found twice or more cover: ``doc, print, spans array<struct<begin,end>>``.
 
     ``docs`` has ``doc long``, ``print long`` (together the key of a row; rows with the same key have the same text)
     and ``text``.  Texts of fewer than ``k`` words, empty and null texts have no windows.  A row that is there twice
     repeats itself.
     """
+    bound_batches(docs.sparkSession)
     found = docs.mapInArrow(*_find(k, m))
     counts = found.groupBy("mini").agg(F.sum("weight").alias("total")).filter("total > 1")
     at = found.join(counts, "mini").withColumn("hot", F.col("total") > hot)
@@ -250,7 +259,7 @@ def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 20_000)
     return cold.unionByName(warm).groupBy("doc", "print").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 20_000, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 4_000, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and the kept words joined by one space.
 
     Takes ``doc_id long`` and ``text``; other columns pass through (none may be named ``doc``, ``print`` or ``spans``

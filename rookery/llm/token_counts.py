@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .storage import open_folder
+from .storage import bound_batches, open_folder
 from .tokens import row_tokens
 
 END = 49407  # <|endoftext|> of the vocabulary
@@ -56,6 +56,7 @@ def write_flat(docs: DataFrame, tokenizer: str, uri: str, end: int = END) -> Dat
 
     Null texts count as empty: the end id alone.  The tokenizer's text must not hold the separator as a special token.
     """
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(*_write(uri, tokenizer, end))
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 
 from . import words as W
 
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 1_000_000
 _CACHES: dict[str, "WordTokens"] = {}
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import cut, open_folder, scratch
+from .storage import bound_batches, cut, open_folder, scratch
 
 _CHUNK = 16 << 10
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -264,6 +264,7 @@ def read_archives(spark: SparkSession, files: DataFrame, keep_payload: bool = Tr
 
 def round_trip(pages: DataFrame, least: int = 0, segment: int = 64 << 10, keep_payload: bool = True) -> DataFrame:
     """Writes pages to archives in the shared folder and reads them back; see the two functions above."""
+    bound_batches(pages.sparkSession)
     folder = scratch(pages.sparkSession, "warc")
     manifest = cut(write_archives(pages, folder, least, segment), "manifest")
     return read_archives(pages.sparkSession, manifest, keep_payload)

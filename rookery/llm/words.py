@@ -1,7 +1,7 @@
 """Words, word hashes and window hashes of whole Arrow text columns, computed with numpy on the UTF-8 bytes.
 
-A word is a run of bytes other than ASCII white space (``[^\\x20\\x09-\\x0D]+``).  Everything works on chunks of a
-few MB of whole documents, so that memory in a task is bounded by the chunk size or the longest single text.
+A word is a run of bytes other than ASCII white space (``[^\\x20\\x09-\\x0D]+``).  Everything works on chunks of
+half a MB of whole documents, so that memory in a task is bounded by the chunk size or the longest single text.
 Null texts count as empty.
 
 Hashes are polynomial in an odd base modulo 2**64, taken from one prefix sum (a span's hash is a difference of two
@@ -18,7 +18,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 IS_SPACE = np.zeros(256, dtype=bool)
