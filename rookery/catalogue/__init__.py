@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from .domain import QUERIES as _DOMAIN
+from .domain import SQL as _DOMAIN_SQL
+from .tables import QUERIES as _TABLES
+from .tables import SQL as _TABLES_SQL
+
+QUERIES: dict = _DOMAIN | _TABLES
+SQL: dict = _DOMAIN_SQL | _TABLES_SQL

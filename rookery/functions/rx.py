@@ -14,8 +14,8 @@ def rx(pattern: str, fold: bool = True) -> str:
     """Word edges and classes count ASCII only, ``\\s`` has all Unicode spaces, ``$`` is the end, case folds beyond ASCII."""
 
     def edge(m: re.Match) -> str:
-        after = pattern[m.end() : m.end() + 1]
-        return "(?<![A-Za-z0-9_])" if after and (after.isalnum() or after in "(_[") else "(?![A-Za-z0-9_])"
+        before = pattern[: m.start()][-1:]
+        return "(?<![A-Za-z0-9_])" if before in ("", "(", "|", ":") else "(?![A-Za-z0-9_])"
 
     out = re.sub(r"\\b", edge, pattern)
     out = re.sub(r"\[([^\]]*)\\s([^\]]*)\]", lambda m: f"[{m[1]}{SPACE}{m[2]}]", out)
