@@ -96,6 +96,8 @@ _BLOCK_DDL = "bucket int, keys binary, counts binary"
 
 def _blocks(bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One row for each bucket, its keys in order."""
+    if not len(keys):
+        return
     order = np.lexsort((keys, bucket))
     bucket, keys, counts = bucket[order], keys[order], counts[order].astype(np.uint32)
     ids = np.unique(bucket)
@@ -250,6 +252,8 @@ def _store_bigrams(m: Model, hist: str):
     """Per bucket: sorted keys and counts to files; sums per context and continuations per word by ranges of ids."""
 
     def sums(side: int, ids: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(ids):
+            return
         at = ids * m.buckets // m.size
         found = np.unique(at)
         begin = np.searchsorted(at, found)

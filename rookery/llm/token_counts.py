@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .storage import bound_batches, open_folder
-from .tokens import row_tokens
+from .tokens import CHUNK_BYTES, row_tokens
 
 END = 49407  # <|endoftext|> of the vocabulary
 BLOCK_BYTES = 4 << 20
@@ -37,8 +37,8 @@ def _write(uri: str, path: str, end: int):
         fs.create_dir(root, recursive=True)
         with fs.open_output_stream(attempt) as out:
             for batch in batches:
-                for c in W.chunks(batch.column("text")):
-                    ids, at = row_tokens(path, c)
+                for c in W.chunks(batch.column("text"), limit=CHUNK_BYTES):
+                    ids, at = row_tokens(path, c, ordinary=True)
                     n = np.diff(at) + 1
                     data = np.full(int(n.sum()), end, dtype="<u2")
                     data[W.ragged_arange(np.cumsum(n) - n, n - 1)] = ids
@@ -54,7 +54,7 @@ def _write(uri: str, path: str, end: int):
 def write_flat(docs: DataFrame, tokenizer: str, uri: str, end: int = END) -> DataFrame:
     """Writes one flat file per partition under ``uri`` when the result is computed: which document is the how-manieth of a file.
 
-    Null texts count as empty: the end id alone.  The tokenizer's text must not hold the separator as a special token.
+    Null texts count as empty: the end id alone.  The separator's string in a text is ordinary text, so its id stands for ends only.
     """
     bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(*_write(uri, tokenizer, end))
