@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .storage import bound_batches, cut
-from .tokens import binary_rows, row_tokens
+from .tokens import CHUNK_BYTES, binary_rows, row_tokens
 
 Slot = tuple[int, int, int, int, int]  # length, first rank, count, first sequence, offset
 
@@ -106,7 +106,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[Slot]:
 def _pieces(path: str, capacity: int, end: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in W.chunks(batch.column("text")):
+            for c in W.chunks(batch.column("text"), limit=CHUNK_BYTES):
                 ids, at = row_tokens(path, c)
                 n = np.diff(at) + 1
                 data = np.full(int(n.sum()), end, dtype="<u4")  # each document, then the end id

@@ -12,40 +12,108 @@ import pyarrow as pa
 
 from . import words as W
 
-CACHE_WORDS = 1_000_000
-_CACHES: dict[str, "WordTokens"] = {}
+CACHE_WORDS = 2_000_000
+CHUNK_BYTES = 1 << 20
+#: A word between the words of one call; words that have its character are encoded alone.
+_BETWEEN = "~"
+_CACHES: dict[tuple[str, bool], "WordTokens"] = {}
+
+
+class _Grown:
+    """An array that grows at its end, with room to spare."""
+
+    def __init__(self, kind: type):
+        self.data, self.n = np.zeros(1024, dtype=kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.data):
+            wider = np.zeros(max(2 * len(self.data), self.n + len(values)), dtype=self.data.dtype)
+            wider[: self.n] = self.data[: self.n]
+            self.data = wider
+        self.data[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
+class _Sorted:
+    """Sorted hashes and the slots of their words."""
+
+    def __init__(self) -> None:
+        self.keys, self.slots = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+
+    def add(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        """Sorted keys, none of them here."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, slots)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slots, -1 for what is not here."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.slots[at], -1).astype(np.int64)
 
 
 class WordTokens:
-    """Ids of words, by the words' hashes."""
+    """Ids of words, by the words' hashes.  New words join a small sorted table that is merged into a large one now and then."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ordinary: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = ordinary  # special tokens' strings in a text are then ordinary text
+        between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
         self._clear()
 
     def _clear(self) -> None:
-        self.known = np.zeros(0, dtype=np.uint64)  # sorted hashes
-        self.slot = np.zeros(0, dtype=np.int64)
-        self.at = np.zeros(1, dtype=np.int64)  # slot -> place in ids
-        self.ids = np.zeros(0, dtype=np.uint32)
-        self.check = np.zeros(0, dtype=np.uint64)  # a second hash of the word in each slot
+        self.main, self.recent = _Sorted(), _Sorted()
+        self.at = _Grown(np.int64)  # slot -> place in ids
+        self.at.add(np.zeros(1, dtype=np.int64))
+        self.ids = _Grown(np.uint32)
+        self.check = _Grown(np.uint64)  # a second hash of the word in each slot
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after another, and how many each has."""
+        encode = self.tokenizer.encode_batch_fast
+        alone = [i for i, x in enumerate(texts) if self.between is None or _BETWEEN in x or "<|" in x]
+        apart = {i: e.ids for i, e in zip(alone, encode([texts[i] for i in alone], add_special_tokens=False), strict=True)}
+        plain = [_BETWEEN if i in apart else x for i, x in enumerate(texts)] if alone else texts
+        if self.between is None:
+            ids, sizes = np.zeros(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
+        else:
+            some = [x for i, x in enumerate(plain) if i not in apart] if alone else plain
+            joined = [f" {_BETWEEN} ".join(some[i : i + 512]) + f" {_BETWEEN}" for i in range(0, len(some), 512)]
+            got = np.concatenate([np.zeros(0, dtype=np.uint32), *(np.array(e.ids, dtype=np.uint32) for e in encode(joined, add_special_tokens=False))])
+            ends = np.flatnonzero(got == self.between)
+            ids = got[got != self.between]
+            sizes = np.diff(ends, prepend=-1) - 1
+            if len(sizes) != len(some):
+                raise ValueError("the tokenizer does not keep words apart")
+        if alone:
+            each = np.zeros(len(texts), dtype=np.int64)
+            own = np.ones(len(texts), dtype=bool)
+            own[alone] = False
+            each[own] = sizes if self.between is not None else 0
+            each[alone] = [len(apart[i]) for i in alone]
+            begin = np.cumsum(each) - each
+            out = np.zeros(int(each.sum()), dtype=np.uint32)
+            out[W.ragged_arange(begin[own], each[own])] = ids
+            for i in alone:
+                out[begin[i] : begin[i] + each[i]] = apart[i]
+            return out, each
+        return ids, sizes
 
     def _learn(self, c: W.Chunk, words: np.ndarray, hashes: np.ndarray, second: np.ndarray) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self._clear()
-        texts = [c.word(i).decode() for i in words.tolist()]
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-        fresh = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=int(sizes.sum()))
-        slots = len(self.at) - 1 + np.arange(len(words))
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, fresh])
-        self.check = np.concatenate([self.check, second])
-        known, slot = np.concatenate([self.known, hashes]), np.concatenate([self.slot, slots])
-        order = np.argsort(known, kind="stable")
-        self.known, self.slot = known[order], slot[order]
+        raw, starts, ends = c.buf.tobytes(), c.starts[words].tolist(), c.ends[words].tolist()
+        ids, sizes = self._encoded([raw[a:b].decode() for a, b in zip(starts, ends, strict=True)])
+        slots = self.check.n + np.arange(len(words), dtype=np.int32)
+        self.at.add(self.ids.n + np.cumsum(sizes))
+        self.ids.add(ids)
+        self.check.add(second)
+        self.recent.add(hashes, slots)
+        if 8 * len(self.recent.keys) > len(self.main.keys) + 200_000:
+            self.main.add(self.recent.keys, self.recent.slots)
+            self.recent = _Sorted()
 
     def encode(self, c: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a chunk, and for each word the place of its first id (one more at the end)."""
@@ -53,33 +121,34 @@ class WordTokens:
         if not len(unique):
             return np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
         second = c.hashes(1)[index]
-        if len(self.known) + len(unique) > CACHE_WORDS:
+        if self.check.n + len(unique) > CACHE_WORDS:
             self._clear()
-        found = np.searchsorted(self.known, unique)
-        fresh = np.ones(len(unique), dtype=bool)
-        inside = found < len(self.known)
-        fresh[inside] = self.known[found[inside]] != unique[inside]
-        if fresh.any():
+        slot = self.main.find(unique)
+        rest = np.flatnonzero(slot < 0)
+        slot[rest] = self.recent.find(unique[rest])
+        fresh = rest[slot[rest] < 0]
+        if len(fresh):
+            begin = self.check.n
             self._learn(c, index[fresh], unique[fresh], second[fresh])
-            found = np.searchsorted(self.known, unique)
-        slot = self.slot[found]
-        if (self.check[slot] != second).any():
+            slot[fresh] = begin + np.arange(len(fresh))
+        if (self.check.data[slot] != second).any():
             raise ValueError("two words have the same 64-bit hash")
         slot = slot[inverse]
-        sizes = self.at[slot + 1] - self.at[slot]
-        return self.ids[W.ragged_arange(self.at[slot], sizes)], np.concatenate([[0], np.cumsum(sizes)])
+        begin = self.at.data[slot]
+        sizes = self.at.data[slot + 1] - begin
+        return self.ids.data[W.ragged_arange(begin, sizes)], np.concatenate([[0], np.cumsum(sizes)])
 
 
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, ordinary: bool = False) -> WordTokens:
     """The worker's tokenizer for a file; it lives as long as the worker."""
-    if path not in _CACHES:
-        _CACHES[path] = WordTokens(path)
-    return _CACHES[path]
+    if (path, ordinary) not in _CACHES:
+        _CACHES[path, ordinary] = WordTokens(path, ordinary)
+    return _CACHES[path, ordinary]
 
 
-def row_tokens(path: str, c: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
+def row_tokens(path: str, c: W.Chunk, ordinary: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a chunk's rows one after another, and where each row's begin (one more at the end)."""
-    ids, at = word_tokens(path).encode(c)
+    ids, at = word_tokens(path, ordinary).encode(c)
     return ids, at[c.first]
 
 
