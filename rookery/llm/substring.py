@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,7 +96,7 @@ def _find(k: int, m: int):
 def _listed(batch: pa.RecordBatch, name: str, c: W.Chunk) -> tuple[np.ndarray, pa.StructArray]:
     """The structs listed in ``name`` for the rows of a chunk, with each one's row in the chunk."""
     part = batch.column(name).slice(c.row0, c.row1 - c.row0)
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(part), 0))
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(part), 0))
     return np.repeat(np.arange(len(part)), sizes), part.flatten()
 
 
