@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from .domain import QUERIES as _DOMAIN
 from .domain import SQL as _DOMAIN_SQL
+from .planning import QUERIES as _PLANNING
+from .planning import SQL as _PLANNING_SQL
 from .tables import QUERIES as _TABLES
 from .tables import SQL as _TABLES_SQL
 
-QUERIES: dict = _DOMAIN | _TABLES
-SQL: dict = _DOMAIN_SQL | _TABLES_SQL
+QUERIES: dict = _DOMAIN | _PLANNING | _TABLES
+SQL: dict = _DOMAIN_SQL | _PLANNING_SQL | _TABLES_SQL

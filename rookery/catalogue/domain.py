@@ -211,7 +211,7 @@ def city_emails(spark: SparkSession) -> DataFrame:
     return reports.city_emails(V.STORE.spark(spark))
 
 
-@_query(f"select country, count(*) clubs, count(*) filter (coalesce(email, '') <> '') emails, count(*) filter (coalesce(website, '') <> '') sites, count(*) filter (crawled) \"read\", count(*) filter (crawlNote = 'unreachable') unreachable, count(*) filter (crawlNote = 'no email published') no_address, count(*) filter (list_contains(sports, 'Tennis')) tennis, count(*) filter (list_contains(sports, 'Padel')) padel, count(*) filter (list_contains(sports, 'Squash')) squash from {V.STORE.sql} group by country")
+@_query(f"select country, count(*) clubs, count(*) filter (coalesce(email, '') <> '') emails, count(*) filter (coalesce(website, '') <> '') sites, count(*) filter (coalesce(crawlNote, '') <> '') \"read\", count(*) filter (crawlNote = 'unreachable') unreachable, count(*) filter (crawlNote = 'no email published') no_address, count(*) filter (list_contains(sports, 'Tennis')) tennis, count(*) filter (list_contains(sports, 'Padel')) padel, count(*) filter (list_contains(sports, 'Squash')) squash from {V.STORE.sql} group by country")
 def country_slots(spark: SparkSession) -> DataFrame:
     """Coverage by country."""
     return reports.country_slots(V.STORE.spark(spark)).drop("sources")

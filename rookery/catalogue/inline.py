@@ -96,3 +96,19 @@ CODES = Table("code string", ("4324a6b6",), ("1a73747c755a74757f34746b",), ("006
 HOSTS = Table("name_value string", ("*.padelclub.es\nwww.padelclub.es",), ("mail.padelx.co.uk",), ("padel.com",), ("x@padel.es",), ("PADEL.FM\nclub.padelito.pt",))
 LINES = Table("ord bigint, value string", (1, "# comment"), (2, "ES https://a.es/clubs"), (3, "gb  http://b.co.uk"), (4, "XX https://x.xx"), (5, "AUTO https://auto.org/list"), (6, ""), (7, "ES not a url"))
 LOG = Table("ord bigint, value string", (1, "RETRY https://a/1"), (2, "SEED https://a/1"), (3, "THIN https://a/2"), (4, "odd"))
+PLACES = Table("cc string, name string, rank int", ("SG", "Singapore", 1), ("BR", "São Paulo", 1), ("BR", "Santos", 2), ("BR", "Recife", 3), ("GB", "Leeds", 1), ("FR", "Paris", 1))
+STATS = Table("cc string, city string, searches bigint, found bigint", ("SG", "", 6, 2), ("BR", "Santos", 3, 1), ("BR", "", 6, 0), ("BR", "Água Boa", 1, 0), ("BR", "Bagé", 2, 1), ("BR", "São Paulo", 1, 1))
+ROUND = Table("cc string, city string, searches bigint, found bigint", ("BR", "Santos", 2, 2), ("SG", "", 1, 0), ("GB", "Leeds", 4, 0))
+ASKED = Table("cc string, query string", *(("SG", f"q{i}") for i in range(9)), ("BR", "clube de squash Santos contato"))
+AREAS = Table("cc string, relation bigint, done boolean", ("AU", 2316593, True), ("AU", 2316594, False), ("GB", 2316593, False))
+LISTED = Table("page int, id string", (1, "A1"), (1, "A2"), (2, "A2"), (2, "B1"))
+READ = Table("id string", ("A1",), ("B1",), ("B1",))
+ERRORS = Table("error string", ("HTTP 504",), ("Query Timed out",), ("HTTP 400",), (None,), ("",))
+LEADS = Table("key string, country string, website string, searched string", ("a", "Spain", "", "2026-01-01"), ("b", "Spain", "https://b.es", "2026-01-02"), ("c", "Chile", None, None), ("d", None, "", ""))
+_CARD = '<html><title>{0} | LTA</title><body>Tennis courts <div class="c__header">Email</div><a href="mailto:{1}">e</a></div><div class="c__header">Website</div><a href="{2}">w</a></div></body></html>'
+VENUES = Table(
+    "id string, html string",
+    ("v1", _CARD.format("Abbey Tennis Club", "Sec@abbey.co.uk", "https://abbey.co.uk")), ("v2", _CARD.format("3Tenn Bushey", "info@lta.org.uk", "https://3tenn.co.uk/")), ("v3", _CARD.format("3Tenn Leeds", "noreply@x.uk", "")),
+    ("v4", _CARD.format("Quiet Tennis Club", "test@x.uk", "https://www.lta.org.uk")), ("v5", None), ("v6", "<p>no title</p>"), ("v7", _CARD.format("3Tenn Mill", "a@mill.co.uk", "https://mill.co.uk")),
+)
+SITES = Table("url string, html string", ("https://3tenn.co.uk/", "<title>Bushey Tennis Club</title><p>Tennis for members</p>"), ("https://mill.co.uk", "<title>Mill Courts</title><p>Hire</p>"))

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import sources
 from ..functions import emails, html, rx, urls, values
 from ..operators import merge, reports, schedule
+from ..plans import judging
 from ..streaming import tumbling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,7 +91,7 @@ def emails_raw(documents: DataFrame) -> DataFrame:
 @_query(None, "pages")
 def page_audit(pages: DataFrame) -> DataFrame:
     """Counts and a verdict for every page."""
-    rows = pages.select(F.col("page_id").alias("page"), html.links(F.col("html"), F.col("url")).alias("links"), html.candidates(F.col("html"), F.col("url")).alias("candidates"), emails.extract_emails(F.col("html"), urls.host_of(F.col("url"))).alias("emails"))
+    rows = pages.select(F.col("page_id").alias("page"), html.links(F.col("html"), F.col("url")).alias("links"), judging.club_links(F.col("html"), F.col("url")).alias("candidates"), emails.extract_emails(F.col("html"), urls.host_of(F.col("url"))).alias("emails"))
     return reports.page_audit(rows)
 
 
@@ -173,3 +175,28 @@ def segment_cube(customer: DataFrame, nation: DataFrame) -> DataFrame:
 def tumbling_events(events: DataFrame) -> DataFrame:
     """Events by hour and type (an extension; the same function serves a stream)."""
     return tumbling(events).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@_query("select page_id, length(html) n_chars, md5(html) digest from pages", "pages")
+def decoded_pages(pages: DataFrame) -> DataFrame:
+    """Pages as bytes, decoded by the character set that they declare."""
+    text = sources.decoded(F.encode("html", "UTF-8"), F.lit("text/html; charset=utf-8"))
+    return pages.withColumn("t", text).select("page_id", F.char_length("t").cast("bigint").alias("n_chars"), F.md5("t").alias("digest"))
+
+
+@_query(None, "pages")
+def seed_check(pages: DataFrame) -> DataFrame:
+    """The verdict on every page as a seed."""
+    return judging.checked(pages.select("url", "html", F.lit(True).alias("allowed")))
+
+
+@_query(None, "pages")
+def category_verdict(pages: DataFrame) -> DataFrame:
+    """The verdict on every page as a directory's category."""
+    return judging.category_pages(pages.select("url", "html"))
+
+
+@_query(None, "pages")
+def contact_pages(pages: DataFrame) -> DataFrame:
+    """Where each page's site may say how to reach it."""
+    return pages.select("page_id", html.contact_pages(F.col("html"), F.col("url")).alias("pages"))

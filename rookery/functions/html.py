@@ -143,3 +143,11 @@ def outbound_site(html: Column, base: Column, chrome: Column, name: Column) -> C
         lambda x: ~x["url"].startswith(urls.origin_of(base)) & ~rx.like(x["url"], values.SKIPPED_LINK) & ~F.array_contains(chrome, urls.host_of(x["url"])) & rx.like(x["url"], r"^https?:\/\/") & ((F.coalesce(name, F.lit("")) == "") | rules.plausible_site(name, x["url"])),
     )
     return F.coalesce(F.split(F.get(fit, F.lit(0))["url"], "#")[0], F.lit(""))
+
+
+def contact_pages(html: Column, base: Column, most: int = 8) -> Column:
+    """Where a site may say how to reach it: its own links that look so, then guessed paths, each once, ``most`` at most."""
+    origin = urls.origin_of(base)
+    fit = F.filter(links(html, origin), lambda x: x["url"].startswith(origin) & (rx.like(x["url"], values.CONTACT_LINK) | rx.like(x["text"], values.CONTACT_LINK)))
+    guessed = F.array(*(F.concat(origin, F.lit(p)) for p in values.CONTACT_PATHS))
+    return F.slice(F.array_distinct(F.concat(F.transform(fit, lambda x: x["url"]), guessed)), 1, most)

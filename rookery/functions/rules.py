@@ -81,11 +81,12 @@ def names_other_country(name: Column, cc: Column) -> Column:
     return F.coalesce(*(F.when((F.coalesce(cc, F.lit("")) != c) & rx.like(name, rf"\b{escaped(n)}\b"), F.lit(n)) for c, n, _ in values.COUNTRIES))
 
 
-def normalised_reason(reason: Column) -> Column:
-    """A rejection's reason without its particulars."""
-    return F.regexp_replace(F.regexp_replace(reason, ' ".*"', ""), " to .*$", "")
+def normalised_reason(reason: Column, places: bool = True) -> Column:
+    """A rejection's reason without its particulars: the first quoted text and, with ``places``, all after `` to ``."""
+    out = rx.sub(reason, r"^([^\x22]*?) *\x22[^\x22]*\x22", "$1", fold=False)
+    return rx.trimmed(rx.sub(out, " to .*$", "", fold=False) if places else out)
 
 
 def drawn_by_script(html: Column) -> Column:
-    """A page that has next to no text of its own."""
-    return rx.like(html, r"__NEXT_DATA__|data-reactroot|ng-app|id=[\"'](app|root)[\"']")
+    """A page whose content is most likely drawn by a script."""
+    return rx.like(html, values.DRAWN_BY_SCRIPT, fold=False)

@@ -44,6 +44,11 @@ def all_of(text: Column, pattern: str, group: int = 0, fold: bool = True) -> Col
     return F.coalesce(F.regexp_extract_all(text, F.lit(rx(pattern, fold)), F.lit(group)), F.array().cast("array<string>"))
 
 
+def trimmed(text: Column) -> Column:
+    """Without white space at its ends, Unicode spaces included."""
+    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+
+
 def squeeze(text: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
     return F.trim(sub(text, r"\s+", " "))

@@ -58,6 +58,7 @@ SKIPPED_LINK = r"facebook|instagram|twitter|x\.com|youtube|linkedin|tiktok|whats
 NAVIGATION = r"^(home|inicio|contacto|contact|about|login|registr|cookie|privac|terms|aviso|menu|buscar|search)"
 NEXT_TEXT = r"^(next|siguiente|siguiente »|próxima|proxima|seguinte|»|>|older|next page)$"
 CHALLENGE = r"sgcaptcha|\/cdn-cgi\/challenge|cf[-_]chl|captcha-delivery|__cf_chl|jschl_vc|incapsula|distil_r_blocked|are you a human|enable javascript to continue"
+DRAWN_BY_SCRIPT = r'__NEXT_DATA__|window\.__|ng-app|data-react|vue-app|\.json"'
 EXCLUDED_CATEGORY = "|".join("College_and_University Universit Schools?_and /Schools?/ K-12 News_and_Media Magazines? Publications? Organizations? Associations? Federations? Governing Instruction Camps Coaching Products? Shopping Equipment Chats_and_Forums Personal_Pages Universidades Escuelas Organizaciones Federaci Noticias Revistas Tiendas Educa Not%C3%ADcias Lojas".split())
 RELEVANT = r"(Tennis|Squash|Racquet|Racket|Padel|Paddle|Tenis|T%C3%AAnis|P%C3%A1del)"
 CONTACT_PATHS = "/contato /fale-conosco /faleconosco /fale-com-a-gente /atendimento /contact /contact-us /contacto /contactos /contacta /kontakt /about /quienes-somos /sobre-nos /socios /membership /reservas /impressum".split()
@@ -71,6 +72,7 @@ TERMS = {
     "English": ["tennis club", "padel club", "squash club", "racquet club", "tennis centre", "padel center"],
 }
 TERMS_OF_BRAZIL = ["clube de tênis", "clube de padel", "clube de squash", "academia de tênis", "centro de padel", "clube de tenis"]
+CONTACT_WORD_OF_BRAZIL = "contato"
 CONTACT_WORD = {"Spanish": "contacto", "Portuguese": "contacto", "English": "contact"}
 # countries in the order of their table: code, name, language
 COUNTRIES = [

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from .merge import filled
 
 
+SPORTS = ("Tennis", "Padel", "Squash")
+
+
 def has(c: str) -> Column:
     return filled(F.col(c)).isNotNull()
 
@@ -36,21 +39,22 @@ def by_country(published: DataFrame) -> DataFrame:
     return published.groupBy("country").agg(F.count("*").alias("n"))
 
 
-def by_sport(published: DataFrame, sports: tuple[str, ...] = ("Tennis", "Padel", "Squash")) -> DataFrame:
+def by_sport(published: DataFrame, sports: tuple[str, ...] = SPORTS) -> DataFrame:
     """Counts of the fixed sports, zero where there is none, in one row without a join."""
     return published.agg(*(F.count_if(F.array_contains("sports", s)).alias(s) for s in sports))
 
 
 def country_slots(store: DataFrame) -> DataFrame:
-    """Coverage of each country: what is known, what was read, by sport and by source."""
+    """Coverage of each country: what is known, what was read, by sport and by source; records without a country fall out."""
+    store = store.filter(has("country"))
     totals = store.groupBy("country").agg(
         F.count("*").alias("clubs"),
         F.count_if(has("email")).alias("emails"),
         F.count_if(has("website")).alias("sites"),
-        F.count_if("crawled").alias("read"),
+        F.count_if(has("crawlNote")).alias("read"),
         F.count_if(F.col("crawlNote") == "unreachable").alias("unreachable"),
         F.count_if(F.col("crawlNote") == "no email published").alias("no_address"),
-        *(F.count_if(F.array_contains("sports", s)).alias(s.lower()) for s in ("Tennis", "Padel", "Squash")),
+        *(F.count_if(F.array_contains("sports", s)).alias(s.lower()) for s in SPORTS),
     )
     source = store.filter(has("email")).groupBy("country", F.coalesce("src", F.lit("?")).alias("src")).agg(F.count("*").alias("n"))
     sources = source.groupBy("country").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("src", "n")))).alias("sources"))
@@ -59,9 +63,9 @@ def country_slots(store: DataFrame) -> DataFrame:
 
 def import_summary(priority: DataFrame, state: DataFrame) -> DataFrame:
     """Imported, failed and pending countries, and the latest error."""
-    joined = priority.join(state, "cc", "left")
-    done = F.col("at").isNotNull() & ~has("error")
-    return joined.agg(F.count_if(done).alias("imported"), F.count_if(has("error")).alias("failed"), F.count_if(F.col("at").isNull() & ~has("error")).alias("pending"), F.count("*").alias("total"), F.max_by("error", F.when(has("error"), F.col("at"))).alias("last_error"))
+    joined = priority.join(state.withColumn("known", F.lit(True)), "cc", "left")
+    done = F.col("known").isNotNull() & ~has("error")
+    return joined.agg(F.count_if(done).alias("imported"), F.count_if(has("error")).alias("failed"), F.count_if(F.col("known").isNull()).alias("pending"), F.count("*").alias("total"), F.max_by("error", F.when(has("error"), F.col("at"))).alias("last_error"))
 
 
 def leads_summary(leads: DataFrame) -> DataFrame:
@@ -76,6 +80,27 @@ def mine_summary(state: DataFrame) -> DataFrame:
     return state.agg(F.count("*").alias("patterns"), F.coalesce(F.sum(F.size(F.coalesce("pending", F.array()))), F.lit(0)).alias("queued"), F.coalesce(F.sum("added"), F.lit(0)).alias("added"))
 
 
+def leads_by_country(leads: DataFrame) -> DataFrame:
+    """Leads of each country: all, searched, and with a site."""
+    return leads.filter(has("country")).groupBy("country").agg(F.count("*").alias("leads"), F.count_if(has("searched")).alias("searched"), F.count_if(has("website")).alias("found"))
+
+
+def site_summary(published: DataFrame) -> DataFrame:
+    """One row of the site's figures: ``count, byCountry, bySport``; the records themselves are written as rows beside it."""
+    places = published.groupBy("country").agg(F.count("*").alias("n"), *(F.count_if(F.array_contains("sports", s)).alias(s) for s in SPORTS))
+    return places.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("country", "n")))).alias("byCountry"),
+        F.create_map(*(x for s in SPORTS for x in (F.lit(s), F.coalesce(F.sum(s), F.lit(0))))).alias("bySport"),
+    )
+
+
+def seed_counts_line(counts: DataFrame) -> DataFrame:
+    """``line``: ``CC×n`` of all countries, most first."""
+    all_ = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "cc")))
+    return counts.agg(F.array_join(F.transform(all_, lambda x: F.concat(x["cc"], F.lit("×"), (-x["m"]).cast("string"))), " ").alias("line"))
+
+
 def seeds_by_country(queue: DataFrame, countries: DataFrame) -> DataFrame:
     """Seeds of each country; seeds without a fixed country fall out."""
     return queue.join(F.broadcast(countries), "cc").groupBy("cc").agg(F.count("*").alias("n"))

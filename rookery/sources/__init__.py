@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import html, rx, urls, values
 
@@ -111,6 +115,70 @@ def register_ids(pages: DataFrame) -> DataFrame:
     return pages.select("page", F.explode(html.venue_ids(F.col("html"))).alias("id"))
 
 
+def unread_ids(ids: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows of ``ids(page, id)`` that are still to be read: a walk goes on at the smallest page among them."""
+    return ids.join(seen.select("id").distinct(), "id", "left_anti").select("page", "id")
+
+
+def last_check(lines: DataFrame, order: str, url: str) -> DataFrame:
+    """``line``: the last line of a log that has the URL in it; null if none has."""
+    return lines.filter(F.col("value").contains(url)).agg(F.max_by("value", order).alias("line"))
+
+
+def area_id(relation: Column) -> Column:
+    """The number under which a map database keeps a relation's area."""
+    return relation.cast("bigint") + 3_600_000_000
+
+
+def is_too_big(error: Column) -> Column:
+    """Errors after which a country is asked for area by area."""
+    return rx.like(error, "504|timed out|out of memory|cut the query short")
+
+
+def open_areas(areas: DataFrame, done: DataFrame) -> DataFrame:
+    """Areas ``cc, relation`` of a split country that no earlier scan has finished, with their ``area``."""
+    return areas.withColumn("area", area_id(F.col("relation"))).join(done.select("cc", "area").distinct(), ["cc", "area"], "left_anti")
+
+
+def charset_of(body: Column, content_type: Column) -> Column:
+    """The character set that a header, else the first 4,096 bytes of a page, declare; UTF-8 if none does."""
+    head = F.decode(F.substring(body, 1, 4096), "ISO-8859-1")
+    name = r"""charset=["']?([\w\-]+)"""
+    declared = F.coalesce(*(F.nullif(x, F.lit("")) for x in (rx.first(F.coalesce(content_type, F.lit("")), name), rx.first(head, "<meta[^>]+" + name), rx.first(head, r"""content=["'][^"']*""" + name))))
+    low = F.lower(F.trim(F.coalesce(declared, F.lit("utf-8"))))
+    return F.when(low.isin("iso-8859-1", "latin1", "us-ascii", "ascii"), "windows-1252").when(low == "utf8", "utf-8").otherwise(low)
+
+
+@F.pandas_udf(StringType())
+def _decoded(body: pd.Series, charset: pd.Series) -> pd.Series:
+    """Text of bodies in other character sets; null stays null."""
+
+    def one(b: bytes | None, c: str) -> str | None:
+        try:
+            return None if b is None else b.decode(c if _TEXT.match(c) else "utf-8", "replace").removeprefix("\ufeff")
+        except LookupError:
+            return b.decode("utf-8", "replace")
+
+    return pd.Series([one(b, c) for b, c in zip(body, charset, strict=True)], dtype=object)
+
+
+_TEXT = re.compile("(iso-?8859|windows-|cp|koi8|mac|gb|big5|euc|shift.?jis|sjis|utf-16)")
+# the characters that windows-1252 has where ISO 8859-1 has controls
+_WINDOWS = {b: bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+
+
+def decoded(body: Column, content_type: Column) -> Column:
+    """A page's text by its declared character set; what cannot be decoded becomes U+FFFD, an unknown set counts as UTF-8.
+
+    UTF-8 and Western pages stay in the JVM: only bodies in other sets are sent to Python.
+    """
+    charset = charset_of(body, content_type)
+    from_, to = "".join(chr(b) for b, c in _WINDOWS.items() if c), "".join(_WINDOWS.values())
+    utf8 = F.regexp_replace(F.make_valid_utf8(body.cast("string")), r"^\x{FEFF}", "")
+    other = _decoded(F.when(~charset.isin("utf-8", "windows-1252"), body), charset)
+    return F.when(charset == "utf-8", utf8).when(charset == "windows-1252", F.translate(F.decode(body, "ISO-8859-1"), from_, to)).otherwise(other)
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     """A text extract; replaced as a whole by Spark's committer."""
     lines.write.mode("overwrite").text(path)

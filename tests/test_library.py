@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,8 +7,8 @@ from rookery import sources
 from rookery.catalogue import QUERIES, SQL
 from rookery.catalogue import inline as V
 from rookery.functions import emails, html, rules, rx, urls, values
-from rookery.operators import merge
-from rookery.plans import records, walk
+from rookery.operators import merge, reports
+from rookery.plans import judging, records, walk
 from rookery.streaming import rounds, tumbling
 from tests.oracle import same
 
@@ -122,3 +124,79 @@ def test_rounds_equal_one_merge(spark, tmp_path):
     stored = spark.read.schema(new.schema).parquet(str(tmp_path / "store" / "snapshot=0"))
     want = merge.upsert(V.STORE.spark(spark).limit(0), new, "map")
     assert {r.key: r.sports for r in stored.collect()} == {r.key: r.sports for r in want.collect()}
+
+
+@pytest.mark.parametrize(
+    ("body", "kind", "text"),
+    [
+        ("tênis".encode(), "text/html; charset=utf-8", "tênis"),
+        (b"\xef\xbb\xbfok \xff", "text/html", "ok �"),
+        ("“pádel” €".encode("cp1252"), "text/html; charset=ISO-8859-1", "“pádel” €"),
+        (b'<meta charset="latin1">\x93\x81', None, '<meta charset="latin1">“\x81'),
+        ('<meta http-equiv="x" content="text/html; charset=koi8-r">Теннис'.encode("koi8-r"), "", '<meta http-equiv="x" content="text/html; charset=koi8-r">Теннис'),
+        ("é".encode(), "text/html; charset=nonsense", "é"),
+        ("é".encode(), "text/html; charset=cp99999", "é"),
+        (b"", None, ""),
+        (None, "text/html; charset=koi8-r", None),
+    ],
+)
+def test_character_sets(spark, body, kind, text):
+    rows = spark.createDataFrame([(body, kind)], "body binary, kind string")
+    assert rows.select(sources.decoded(F.col("body"), F.col("kind"))).first()[0] == text
+
+
+def test_seeds_are_checked(spark):
+    clubs = "".join(f'<a href="https://c{i}.es/">Club de Tenis {i}</a>' for i in range(5))
+    pages = [
+        ("https://d.org/a", clubs + '<a href="/x">Club de Tenis 0</a>', True),
+        ("https://d.org/b", '<a href="/1">Padel Club One</a>', True),
+        ("https://d.org/c", "<script>window.__DATA</script>", True),
+        ("https://d.org/d", "<p>nothing</p>", True),
+        ("https://d.org/e", None, True),
+        ("https://d.org/f", clubs, False),
+    ]
+    got = {r.url[-1]: (r.internal, r.external, r.verdict) for r in judging.checked(spark.createDataFrame(pages, "url string, html string, allowed boolean")).collect()}
+    assert got == {"a": (0, 5, "GOOD"), "b": (1, 0, "MAYBE"), "c": (0, 0, "REJECT empty/js"), "d": (0, 0, "REJECT empty"), "e": (0, 0, "REJECT unreadable"), "f": (0, 5, "REJECT robots")}
+
+
+def test_categories_are_judged(spark):
+    clubs = "".join(f'<a href="https://c{i}.es/">Club de Tenis {i}</a>' for i in range(5))
+    inside = '<a href="/en/Sports/Tennis/Clubs/#top">t</a><a href="/en/Sports/Tennis/Clubs">t</a><a href="/en/Sports/Chess/">c</a><a href="/fr/Sports/Tennis/">f</a>'
+    pages = [("https://d.org/en/Sports/Tennis/", clubs + inside), ("https://d.org/en/Sports/Tennis/Instruction/", inside), ("https://d.org/en/Sports/Squash/", '<a href="https://s.com/">Squash Club</a>'), ("https://d.org/en/x", "")]
+    got = {r.url: (r.clubs, r.subcategories, r.verdict) for r in judging.category_pages(spark.createDataFrame(pages, "url string, html string")).collect()}
+    branch = ["https://d.org/en/Sports/Tennis/Clubs"]
+    assert got == {pages[0][0]: (5, branch, "SEED"), pages[1][0]: (0, branch, "EXCLUDED"), pages[2][0]: (1, [], "THIN"), pages[3][0]: (0, [], "RETRY")}
+
+
+def test_register_venues(spark):
+    got = {r.id: (r.name, r.sports, r.website, r.email, r.reason) for r in QUERIES["register_venues"](spark, "").collect()}
+    assert got["v1"] == ("Abbey Tennis Club", ["Tennis"], "https://abbey.co.uk", "sec@abbey.co.uk", "")
+    assert got["v2"] == ("Bushey Tennis Club", ["Tennis"], "https://3tenn.co.uk", "", "")
+    assert got["v3"][4] == "no club signal in name"
+    assert got["v4"][2:] == ("", "", "no email and no website")
+    assert got["v5"][4] == "unreachable" and got["v6"][4] == "no name on the page"
+    assert got["v7"][4] == "no club signal in name; its site: no racket sport on the page"
+
+
+def test_contact_pages(spark):
+    page = '<a href="/kontakt">x</a><a href="/who">About us</a><a href="https://other.es/contact">y</a><a href="/news">n</a>'
+    rows = spark.createDataFrame([(page, "https://a.es/x/y")], "html string, url string")
+    got = rows.select(html.contact_pages(F.col("html"), F.col("url"))).first()[0]
+    assert got == ["https://a.es" + p for p in ("/kontakt", "/who", "/contato", "/fale-conosco", "/faleconosco", "/fale-com-a-gente", "/atendimento", "/contact")]
+
+
+def test_site_summary(spark):
+    found = json.loads(QUERIES["site_summary"](spark, "").first().line)
+    published = QUERIES["publishable"](spark, "").collect()
+    assert found["count"] == len(published) == sum(found["byCountry"].values())
+    assert set(found["bySport"]) == {"Tennis", "Padel", "Squash"}
+    empty = reports.site_summary(merge.publishable(V.STORE.spark(spark).limit(0))).first()
+    assert (empty["count"], empty["byCountry"], empty["bySport"]) == (0, {}, {"Tennis": 0, "Padel": 0, "Squash": 0})
+
+
+@pytest.mark.parametrize(
+    ("reason", "places", "plain"),
+    [('a listing of clubs, not one: "X "', True, "a listing of clubs, not one:"), ('a "b" c "d"', True, 'a c "d"'), ("nothing on its pages ties it to Leeds", True, "nothing on its pages ties it"), ("ties it to Leeds", False, "ties it to Leeds"), ("", True, "")],
+)
+def test_reasons_without_particulars(spark, reason, places, plain):
+    assert one(spark, rules.normalised_reason(F.col("r"), places), r=reason) == plain
