@@ -1,7 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark and scored from memory-mapped sorted arrays.
-
-The order is two: on generated prose of 1.7 times its Parquet size, distinct trigrams alone outgrow four times the input
-on disk once they are shuffled and stored, while longer contexts add next to nothing to words drawn independently.
+"""Interpolated modified Kneser-Ney model of order two or three, counted in Spark and scored from memory-mapped sorted arrays.
 
 Training, each step over all training texts:
 
@@ -12,6 +9,12 @@ Training, each step over all training texts:
     each bucket stores its sorted keys and counts, and passes on sums per context and per word (continuations);
 3.  these sums meet by ranges of ids and are stored as plain arrays that are indexed by id.
 
+At order three the texts are read once for trigrams in place of bigrams.  Trigrams travel once, as compressed differences, to
+buckets by their middle word (frequent ones by the first word too), where all trigrams of a context lie together.  Each bucket
+stores its trigrams and passes on, for every pair of last two words, how many first words it has seen; these continuations
+take the place of the bigram counts in step 2.  Nothing comes before a text's beginning, so bigrams there keep their own counts, and
+a text's first word is scored by them.
+
 Between the steps only the sizes of buckets and a few count-of-count sums reach the driver.  Array files lie in the shared
 folder, which every worker must have mounted; they are written whole or not at all, so a lost executor's tasks repeat
 without harm.
@@ -35,6 +38,14 @@ from .storage import bound_batches, cut, local_path, scratch
 
 #: A task passes its counts on when so many ids have gathered.
 HELD = 4_000_000
+#: Tokens whose trigrams are counted at once; three ranks among their distinct words fit 63 bits.
+GRAMS = 2_000_000
+#: The sums of a context with more followers than this are stored; those of others are summed when they are asked for.
+HEAVY = 256
+#: Bits of a stored trigram's key; a word's id may have up to half.
+KEY_BITS = 64
+#: Trigrams are scored in chunks of so many bytes, as each chunk visits most buckets.
+SCORED = 2 << 20
 
 
 @dataclass
@@ -50,6 +61,9 @@ class Model:
     discounts2: tuple[float, float, float] = (0.0, 0.0, 0.0)
     discounts1: tuple[float, float, float] = (0.0, 0.0, 0.0)
     frequent: tuple[int, ...] = ()  # ids of contexts that are dealt by word too
+    order: int = 2
+    trigrams: int = 0  # distinct
+    discounts3: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
     @property
     def words(self) -> int:
@@ -60,6 +74,10 @@ class Model:
         """Id of a text's end; the next one stands for its beginning, and the one after for all unknown words."""
         return self.words
 
+    @property
+    def begin(self) -> int:
+        return self.words + 1
+
     @property
     def size(self) -> int:
         return self.words + 3
@@ -245,9 +263,150 @@ def _count_bigrams(m: Model):
     return run, _BLOCK_DDL
 
 
+_PACKED = pa.schema([("bucket", pa.int32()), ("body", pa.binary())])
+_PACKED_DDL = "bucket int, body binary"
+#: Columns of a packed block: differences of contexts (or of pairs), last words, counts.
+_PLANES = ("<i8", "<u4", "<u4")
+
+
+def _packed(bucket: np.ndarray, contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket, compressed by byte planes; the contexts come in order."""
+    if not len(contexts):
+        return
+    order = np.argsort(bucket, kind="stable")
+    bucket, contexts, words, counts = bucket[order], contexts[order], words[order], counts[order]
+    ids, begin = np.unique(bucket, return_index=True)
+    bodies = []
+    for a, b in zip(begin.tolist(), np.append(begin[1:], len(bucket)).tolist(), strict=True):
+        columns = [x.astype(kind) for x, kind in zip((np.diff(contexts[a:b], prepend=0), words[a:b], counts[a:b]), _PLANES, strict=True)]
+        raw = b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(b - a, -1).T).tobytes() for x in columns)
+        bodies.append((b - a).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True))
+    yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(bodies, pa.binary())], schema=_PACKED)
+
+
+def _unpacked(body: bytes) -> list[np.ndarray]:
+    n = int.from_bytes(body[:8], "little")
+    raw = np.frombuffer(pa.decompress(body[8:], decompressed_size=16 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    out, at = [], 0
+    for kind in _PLANES:
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(raw[at : at + width * n].reshape(width, n).T).view(kind)[:, 0].astype(np.int64))
+        at += width * n
+    out[0] = np.cumsum(out[0])
+    return out
+
+
+def _packed_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct contexts with words of each bucket in order, and their sums; rows come sorted by bucket."""
+
+    def total(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        contexts, words, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+        known, rank = np.unique(contexts, return_inverse=True)
+        keys, counts = _sum_sorted((rank.astype(np.uint64) << np.uint64(32)) | words.astype(np.uint64), counts)
+        return known[(keys >> np.uint64(32)).astype(np.int64)], (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), counts
+
+    now, parts = None, []
+    for batch in batches:
+        for bucket, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if now is not None and bucket != now:
+                yield now, *total(parts)
+                parts = []
+            now = bucket
+            parts.append(_unpacked(body))
+    if now is not None:
+        yield now, *total(parts)
+
+
+def _count_trigrams(m: Model):
+    def counted(tokens: np.ndarray, skip: int) -> Iterator[pa.RecordBatch]:
+        """Trigrams that end after the first ``skip`` tokens."""
+        known, rank = np.unique(tokens, return_inverse=True)
+        k = len(known)
+        at = np.flatnonzero(tokens != m.begin)
+        at = at[at >= skip]
+        v = rank[at - 1]
+        u = np.where(tokens[at - 1] == m.begin, v, rank[np.maximum(at - 2, 0)])
+        keys, counts = np.unique((v * k + u) * k + rank[at], return_counts=True)
+        u, v, w = known[keys // k % k], known[keys // k // k], known[keys % k]
+        yield from _packed(_bigram_bucket(m, v, np.where(v == m.begin, w, u)), v * m.size + u, w, counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, held, n = _Vocabulary(m), [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            tokens = np.concatenate(held) if held else np.zeros(0, dtype=np.int64)
+            for a in range(0, len(tokens), GRAMS):
+                low = max(a - 2, 0)
+                yield from counted(tokens[low : a + GRAMS], a - low)
+
+        for batch in batches:
+            for c in W.chunks(batch.column("text"), lower=True):
+                ids, _, begin = vocabulary.sequences(c)
+                if n + len(ids) + len(begin) > GRAMS:
+                    yield from out()
+                    held, n = [], 0
+                held.append(np.insert(ids, begin, m.begin))
+                n += len(held[-1])
+        yield from out()
+
+    return run, _PACKED_DDL
+
+
+def _store_trigrams(m: Model, hist: str):
+    """Per bucket: sorted trigrams and counts to files; continuations of the last two words to the buckets of bigrams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, contexts, words, counts in _packed_groups(batches):
+            middle = contexts // m.size
+            pairs, back = np.unique(middle * m.size + words, return_inverse=True)
+            seen = np.bincount(back, weights=np.where(middle == m.begin, counts, 1)).astype(np.int64)
+            yield from _packed(_bigram_bucket(m, pairs // m.size, pairs % m.size), pairs, np.zeros(len(pairs), dtype=np.int64), seen)
+            inner = middle != m.begin
+            contexts, words, counts, middle = contexts[inner], words[inner], counts[inner], middle[inner]
+            middles, begin, rank = np.unique(middle, return_index=True, return_inverse=True)
+            _save(m.folder, f"middles-{bucket}", np.stack([middles, begin], axis=1).astype("<i8"), _attempt())
+            _save(m.folder, f"trigrams-{bucket}", _trigram_keys(m, len(middles), rank, contexts % m.size, words), _attempt())
+            _save(m.folder, f"triples-{bucket}", np.minimum(counts, 255).astype(np.uint8), _attempt())
+            large = np.flatnonzero(counts >= 255)
+            _save(m.folder, f"large-{bucket}", np.stack([large, counts[large]], axis=1).astype("<i8"), _attempt())
+            context, begin, n = np.unique(contexts, return_index=True, return_counts=True)
+            heavy = n > HEAVY
+            sums = _context_sums(counts, begin[heavy], n[heavy])
+            _save(m.folder, f"heavy-{bucket}", np.concatenate([context[heavy][:, None], sums], axis=1).astype("<i8"), _attempt())
+            classes = np.bincount(np.minimum(counts, 5), minlength=6)
+            _save(f"{m.folder}/{hist}", f"{bucket}", np.append(classes[1:5], len(counts)).astype("<i8"), _attempt())
+
+    return run, _PACKED_DDL
+
+
+def _fits(m: Model, n_middles: int) -> bool:
+    """Whether the place of the middle word among its bucket's fits into a key with both others."""
+    return 2 * m.size.bit_length() + n_middles.bit_length() <= KEY_BITS
+
+
+def _trigram_keys(m: Model, n_middles: int, rank: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """In order in all of a bucket, or in each middle word's part of it where the middle word does not fit."""
+    bits = m.size.bit_length()
+    keys = (first.astype(np.uint64) << np.uint64(bits)) | last.astype(np.uint64)
+    return keys | (rank.astype(np.uint64) << np.uint64(2 * bits)) if _fits(m, n_middles) else keys
+
+
+def _context_sums(counts: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Total and number of counts of one, two and more, of slices of ``counts`` that are not empty."""
+    if not len(begin):
+        return np.zeros((0, 4), dtype=np.int64)
+    x, at = counts[W.ragged_arange(begin, n)], np.cumsum(n) - n
+    return np.stack([np.add.reduceat(y.astype(np.int64), at) for y in (x, x == 1, x == 2, x >= 3)], axis=1)
+
+
 _SUMS = pa.schema([("range", pa.int32()), ("side", pa.int32()), ("ids", pa.binary()), ("sums", pa.binary())])
 
 
+def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for bucket, pairs, _, counts in _packed_groups(batches):
+        yield bucket, pairs, counts
+
+
 def _store_bigrams(m: Model, hist: str):
     """Per bucket: sorted keys and counts to files; sums per context and continuations per word by ranges of ids."""
 
@@ -262,7 +421,7 @@ def _store_bigrams(m: Model, hist: str):
             yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array([side] * len(found), pa.int32()), pa.array([ids[a:b].tobytes() for a, b in pairs], pa.binary()), pa.array([values[a:b].astype("<u4").tobytes() for a, b in pairs], pa.binary())], schema=_SUMS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, keys, counts in _grouped(batches, np.int64):
+        for bucket, keys, counts in _grouped(batches, np.int64) if m.order == 2 else _pair_groups(batches):
             _save(m.folder, f"keys-{bucket}", keys, _attempt())
             _save(m.folder, f"pairs-{bucket}", counts.astype("<u4"), _attempt())
             classes = np.bincount(np.minimum(counts, 5), minlength=6)
@@ -312,6 +471,9 @@ def _store_sums(m: Model):
     return run, "range int, n1 long, n2 long, n3 long, n4 long"
 
 
+_TRIGRAM_FILES = ("trigrams", "triples", "large", "middles", "heavy")
+
+
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """The three discounts of modified Kneser-Ney; where counts of counts are missing, half of each bound."""
     if min(n1, n2, n3, n4) <= 0:
@@ -320,8 +482,16 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.01), top) for d, top in ((1 - 2 * y * n2 / n1, 1.0), (2 - 3 * y * n3 / n2, 2.0), (3 - 4 * y * n4 / n3, 3.0)))
 
 
-def train(docs: DataFrame, training: Column) -> Model:
+def _classes(folder: str) -> list[int]:
+    """Numbers of counts of one to four and of all, over the buckets' files."""
+    files = os.listdir(folder) if os.path.isdir(folder) else []
+    return np.sum([np.zeros(5, dtype=np.int64), *(np.fromfile(f"{folder}/{x}", dtype="<i8") for x in files)], axis=0).tolist()
+
+
+def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
     """Counts the model over the rows of ``docs(text)`` for which ``training`` holds; null texts are empty ones."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: two or three")
     spark: SparkSession = docs.sparkSession
     bound_batches(spark)
     folder = local_path(scratch(spark, "kneser-ney"))
@@ -331,26 +501,42 @@ def train(docs: DataFrame, training: Column) -> Model:
     blocks = texts.mapInArrow(*_count_words(n)).repartition(n, "bucket").sortWithinPartitions("bucket")
     found = {r.bucket: r for r in cut(blocks.mapInArrow(*_store_words(folder, 0.1)), "words").collect()}
     n_texts = texts.count()
-    m = Model(folder, n, [found[b].n if b in found else 0 for b in range(n)], sum(r.tokens for r in found.values()) + n_texts, n_texts)
+    m = Model(folder, n, [found[b].n if b in found else 0 for b in range(n)], sum(r.tokens for r in found.values()) + n_texts, n_texts, order=order)
     base = np.concatenate([[0], np.cumsum(m.sizes)])
     often = [int(base[b] + x.at) for b, r in found.items() for x in r.top if x["count"] * 8 * n > m.tokens]
     m.frequent = tuple(sorted(often)) + (m.end + 1,)
-    blocks = texts.mapInArrow(*_count_bigrams(m)).repartition(n, "bucket").sortWithinPartitions("bucket")
+    if order == 2:
+        blocks = texts.mapInArrow(*_count_bigrams(m))
+    else:
+        blocks = cut(texts.mapInArrow(*_count_trigrams(m)).repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(*_store_trigrams(m, "classes3")), "pairs")
+    blocks = blocks.repartition(n, "bucket").sortWithinPartitions("bucket")
     sums = cut(blocks.mapInArrow(*_store_bigrams(m, "classes")), "sums")
     ranges = cut(sums.repartition(n, "range").sortWithinPartitions("range").mapInArrow(*_store_sums(m)), "ranges").collect()
     m.discounts1 = discounts(*(sum(r[f"n{i}"] for r in ranges) for i in range(1, 5)))
     for b in range(n):  # a bucket that got no rows has no file
-        for name in ("keys", "pairs", "contexts", "follows"):
+        for name in ("keys", "pairs", "contexts", "follows", *(_TRIGRAM_FILES if order == 3 else ())):
             if not os.path.exists(f"{folder}/{name}-{b}"):
                 low, high = _range_bounds(m, b)
                 _save(folder, f"{name}-{b}", np.zeros({"contexts": 16 * (high - low), "follows": 4 * (high - low)}.get(name, 0), dtype=np.uint8), 0)
-    classes = np.sum([np.fromfile(f"{folder}/classes/{x}", dtype="<i8") for x in os.listdir(f"{folder}/classes")], axis=0) if os.path.isdir(f"{folder}/classes") else np.zeros(5, dtype=np.int64)
-    m.discounts2, m.bigrams = discounts(*classes[:4].tolist()), int(classes[4])
+    *classes, m.bigrams = _classes(f"{folder}/classes")
+    m.discounts2 = discounts(*classes)
+    *classes, m.trigrams = _classes(f"{folder}/classes3")
+    m.discounts3 = discounts(*classes)
     with open(f"{folder}/model.json", "w") as f:
         json.dump(asdict(m), f)
     return m
 
 
+def _bisect(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """First place in each slice ``low:high`` of ``values``, sorted there, that is not less than what is wanted."""
+    low, high = low.copy(), high.copy()
+    while (wide := low < high).any():
+        middle = (low + high) >> 1
+        less = wide & (values[np.minimum(middle, len(values) - 1)] < wanted)
+        low, high = np.where(less, middle + 1, low), np.where(wide & ~less, middle, high)
+    return low
+
+
 class _Scorer:
     def __init__(self, m: Model):
         self.m, self.vocabulary = m, _Vocabulary(m)
@@ -399,6 +585,63 @@ class _Scorer:
         rest = np.where(sums[:, 0] > 0, sums[:, 1:] @ d[1:] / total, 1.0)
         return high + rest * lower
 
+    def with_trigrams(self, ids: np.ndarray, before: np.ndarray, begin: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Of each token after the two before it; ``lower`` has its probability after one, which stays for first words."""
+        m = self.m
+        inner = np.ones(len(ids), dtype=bool)
+        inner[begin] = False
+        at = np.flatnonzero(inner)
+        contexts, back = np.unique(before[at] * m.size + before[at - 1], return_inverse=True)
+        v, u = contexts // m.size, contexts % m.size
+        sums, counts = np.zeros((len(contexts), 4), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
+        first, last, ranks = np.zeros((3, len(contexts)), dtype=np.int64)
+        bucket = _bigram_bucket(m, v, u).astype(np.min_scalar_type(m.buckets))
+        by_bucket, of_token = np.argsort(bucket, kind="stable"), np.argsort(bucket[back], kind="stable")
+        edges = [np.searchsorted(x, np.arange(m.buckets + 1)) for x in (bucket[by_bucket], bucket[back][of_token])]
+        for b in np.unique(bucket).tolist():
+            keys, triples = np.asarray(_mapped(f"{m.folder}/trigrams-{b}", "<u8")), np.asarray(_mapped(f"{m.folder}/triples-{b}", "u1"))
+            if not len(keys):
+                continue
+            large, heavy, middles = (np.asarray(_mapped(f"{m.folder}/{x}-{b}", "<i8")).reshape(-1, k) for x, k in (("large", 2), ("heavy", 5), ("middles", 2)))
+
+            def exact(places: np.ndarray, triples=triples, large=large) -> np.ndarray:
+                out = triples[places].astype(np.int64)
+                big = out == 255
+                out[big] = large[np.searchsorted(large[:, 0], places[big]), 1]
+                return out
+
+            mine = by_bucket[edges[0][b] : edges[0][b + 1]]
+            head = np.searchsorted(middles[:, 0], v[mine])
+            hit = middles[np.minimum(head, len(middles) - 1), 0] == v[mine]
+            mine, head = mine[hit], head[hit]
+            ends, k = np.append(middles[1:, 1], len(keys)), len(middles)
+            search = (lambda low, high, x, keys=keys: np.searchsorted(keys, x)) if _fits(m, k) else (lambda low, high, x, keys=keys: _bisect(keys, low, high, x))
+            ranks[mine] = head
+            low, high = middles[head, 1], ends[head]
+            first[mine] = search(low, high, _trigram_keys(m, k, head, u[mine], np.zeros(len(mine))))
+            last[mine] = search(low, high, _trigram_keys(m, k, head, u[mine], np.full(len(mine), m.size)))  # no word has this id
+            n = last[mine] - first[mine]
+            light = mine[(n > 0) & (n <= HEAVY)]
+            n = last[light] - first[light]
+            sums[light] = _context_sums(exact(W.ragged_arange(first[light], n)), np.cumsum(n) - n, n)
+            rest = mine[last[mine] - first[mine] > HEAVY]
+            sums[rest] = heavy[np.searchsorted(heavy[:, 0], contexts[rest]), 1:]
+            tokens = of_token[edges[1][b] : edges[1][b + 1]]
+            tokens = tokens[last[back[tokens]] > first[back[tokens]]]
+            of = back[tokens]
+            wanted = _trigram_keys(m, k, ranks[of], u[of], ids[at[tokens]])
+            place = search(first[of], last[of], wanted)
+            found = place < last[of]
+            tokens, place, wanted = tokens[found], place[found], wanted[found]
+            same = keys[place] == wanted
+            counts[tokens[same]] = exact(place[same])
+        d = np.array((0.0, *m.discounts3))
+        total = np.maximum(sums[:, 0], 1)
+        rest = np.where(sums[:, 0] > 0, sums[:, 1:] @ d[1:] / total, 1.0)
+        out = lower.copy()
+        out[at] = (counts - d[np.minimum(counts, 3)]) / total[back] + rest[back] * lower[at]
+        return out
+
     @property
     def _kinds(self) -> np.ndarray:
         if not hasattr(self, "_found"):
@@ -416,10 +659,12 @@ def _score(m: Model):
         scorer = _Scorer(m)
         for batch in batches:
             rest = [i for i, f in enumerate(batch.schema) if f.name != "text"]
-            for c in W.chunks(batch.column("text"), lower=True):
+            for c in W.chunks(batch.column("text"), lower=True, limit=W.CHUNK_BYTES if m.order == 2 else SCORED):
                 ids, counts, begin = scorer.vocabulary.sequences(c)
-                keys, back = np.unique(_contexts(m, ids, begin) * m.size + ids, return_inverse=True)
-                logs = np.log10(scorer.probability(keys))[back]
+                before = _contexts(m, ids, begin)
+                keys, back = np.unique(before * m.size + ids, return_inverse=True)
+                p = scorer.probability(keys)[back]
+                logs = np.log10(scorer.with_trigrams(ids, before, begin, p) if m.order == 3 else p)
                 distinct = m.words + bool(m.texts)
                 base = np.log10((counts + 1) / (m.tokens + distinct + 1))
                 own = [batch.column(i).slice(c.row0, c.row1 - c.row0) for i in rest]

@@ -83,10 +83,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log probabilities of all texts under a Kneser-Ney model of those whose id's crc32 modulo 7 is not 2."""
+    """Log probabilities of all texts under a Kneser-Ney trigram model of those whose id's crc32 modulo 7 is not 2."""
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    model = kneser_ney.train(docs, ~held)
+    model = kneser_ney.train(docs, ~held, order=3)
     scored = kneser_ney.score(docs, model)
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
 

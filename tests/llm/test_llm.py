@@ -251,6 +251,44 @@ def test_kneser_ney_equals_a_plain_version(spark):
         assert got[i].score == pytest.approx(total, abs=1e-6)
 
 
+def test_kneser_ney_trigrams_equal_a_plain_version(spark):
+    rng = random.Random(2)
+    texts = [" ".join(f"v{min(int(rng.expovariate(0.4)), 30)}" for _ in range(rng.randrange(60))) for _ in range(79)] + [" ".join(f"x y z{i}" for i in range(300)), "a b c " * 400, "x y z7 unseen v1 words v2 v1 v0", None, "a b c a", "c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = kneser_ney.train(docs, F.col("doc_id") < 81, order=3)
+    got = {r.doc_id: r for r in kneser_ney.score(docs, model).collect()}
+    train = [["<s>", *(t or "").split(), "</s>"] for t in texts[:81]]
+    triples = Counter(p for t in train for p in zip(t, t[1:], t[2:]))
+    pairs = Counter((b, c) for _, b, c in triples) + Counter((t[0], t[1]) for t in train)  # continuations; own counts at the beginning
+    follows = Counter(w for _, w in pairs)
+
+    def d(counts):
+        n = Counter(min(c, 5) for c in counts)
+        return 0, *kneser_ney.discounts(n[1], n[2], n[3], n[4])
+
+    d3, d2, d1 = d(triples.values()), d(pairs.values()), d(follows.values())
+    context = defaultdict(list)
+    for gram, c in [*triples.items(), *pairs.items()]:
+        context[gram[:-1]].append(c)
+    spread = sum(d1[min(c, 3)] for c in follows.values()) / len(pairs) / (len(follows) + 1)
+
+    def above(c, each, cuts, low):
+        return (c - cuts[min(c, 3)] + sum(cuts[min(x, 3)] for x in each) * low) / sum(each) if each else low
+
+    assert max(triples.values()) > 255 and model.trigrams == len(triples)
+    for i, text in enumerate(texts):
+        tokens = ["<s>", *(text or "").split(), "</s>"]
+        total = 0.0
+        for k in range(1, len(tokens)):
+            w = tokens[k]
+            p = (follows[w] - d1[min(follows[w], 3)]) / len(pairs) + spread
+            p = above(pairs[tokens[k - 1], w], context[tokens[k - 1],], d2, p)
+            if k > 1:
+                p = above(triples[tokens[k - 2], tokens[k - 1], w], context[tokens[k - 2], tokens[k - 1]], d3, p)
+            total += math.log10(p)
+        assert got[i].score == pytest.approx(total, abs=1e-6)
+
+
 def test_pipeline_takes_effect(spark):
     import corpus_pipeline
 
