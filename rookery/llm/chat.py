@@ -5,8 +5,8 @@ it follows a blank line, and a class of its length.  Hidden states are a role an
 transition and emission probabilities are smoothed shares of counts over labelled transcripts, summed by Spark (some
 dozen numbers).  Viterbi finds the likeliest states of a transcript; lines of a turn are joined and rendered.
 
-A task holds one batch of transcripts.  ``transcripts`` cuts conversations after ``PART`` turn numbers, so that a conversation of any
-length never becomes one group.
+A task holds one batch of transcripts.  A conversation is one transcript however many turns it has, so the longest one has to fit
+into a task and into one string.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROLES = ("system", "user", "assistant")
-PART = 256
 #: Fixed marker words by role, and the styles that ``transcripts`` writes.
 _WORDS = {"system": "system|instructions?|context", "user": "user|human|customer|question|q", "assistant": "assistant|ai|bot|answer|a"}
 STYLES = (
@@ -82,19 +81,19 @@ class Model:
 def transcripts(conversations: DataFrame) -> DataFrame:
     """Plain transcripts of ``conversations(conv_id, turn, role, text)``, as they are met in the wild, with their turns.
 
-    ``conv_id, part, turns array<struct<turn,role,text>>, transcript``.  The style of markers depends on the conversation's id;
+    ``conv_id, part, turns array<struct<turn,role,text,marked>>, transcript``; all turns with a number are part 0.  The style of markers depends on the conversation's id;
     about one turn in seven has no marker.  Equal rows count once; a null role is a user's; null texts are empty; a row
     without a turn number has no place in an order and is a transcript of its own.
     """
     named = F.when(F.col("role").isin(*ROLES), F.col("role")).otherwise(F.lit("user"))
     rows = conversations.select("conv_id", "turn", named.alias("role"), F.coalesce("text", F.lit("")).alias("text")).distinct()
-    rows = rows.withColumn("part", F.coalesce(F.floor(F.col("turn") / PART), F.xxhash64("role", "text")))
+    rows = rows.withColumn("part", F.when(F.col("turn").isNotNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("role", "text")))
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES)))
     marker = F.coalesce(*(F.when((style == i) & (F.col("role") == r), F.lit(s[r])) for i, s in enumerate(STYLES) for r in ROLES))
     shown = F.when(F.pmod(F.xxhash64("conv_id", "turn", F.lit("mark")), F.lit(7)) == 3, F.lit("")).otherwise(marker)
-    turn = F.struct("turn", "role", "text", F.concat(shown, "text").alias("line"))
+    turn = F.struct("turn", "role", "text", F.concat(shown, "text").alias("line"), (shown != "").alias("marked"))
     grouped = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    return grouped.select("conv_id", "part", F.transform("turns", lambda t: F.struct(t["turn"], t["role"], t["text"])).alias("turns"), F.array_join(F.col("turns.line"), "\n\n").alias("transcript"))
+    return grouped.select("conv_id", "part", F.transform("turns", lambda t: F.struct(t["turn"], t["role"], t["text"], t["marked"])).alias("turns"), F.array_join(F.col("turns.line"), "\n\n").alias("transcript"))
 
 
 def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,15 +106,15 @@ def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = []  # each line's state, by walking along the turns' own lines
             for t in turns:
                 own = sum(bool(x.strip()) for x in t["text"].split("\n"))
-                wanted.append((ROLES.index(t["role"]), own))
+                wanted.append((ROLES.index(t["role"]), own, t.get("marked", True)))
             states, i = [], 0
-            for role, own in wanted:
-                bare = i < len(lines) and own and _mark(lines[i])[0] < len(ROLES) and not _mark(lines[i])[1].strip()
+            for role, own, marked in wanted:
+                bare = i < len(lines) and marked and _mark(lines[i])[0] < len(ROLES) and not _mark(lines[i])[1].strip()
                 count = own + bool(bare)
                 states += [2 * role + (k > 0) for k in range(count)]
                 i += count
             if len(states) != len(lines) or not states:
-                continue  # turns without text leave markers alone: nothing to learn from
+                continue  # no lines, or turns that are not those of the transcript
             start[states[0]] += 1
             np.add.at(step, (states[:-1], states[1:]), 1)
             for k, e in enumerate(emit):

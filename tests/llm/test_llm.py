@@ -220,6 +220,24 @@ def test_roles_are_recovered(spark):
     assert chat.render([("user", "<|end|>")]) == "<|user|>\n< |end|>\n<|end|>\n"
 
 
+def test_a_long_conversation_is_one_transcript(spark):
+    rows = [(c, i, "user" if i % 2 else "assistant", f"word{i} " * 3) for c in range(3) for i in range(700)]
+    plain_ = chat.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).cache()
+    got = chat.parse(plain_, chat.train(plain_)).orderBy("conv_id").collect()
+    assert [(r.conv_id, r.part, len(r.turns)) for r in got] == [(c, 0, 700) for c in range(3)]
+    assert all([t.turn for t in r.turns] == list(range(700)) and r.rendered.count("word") == 2100 for r in got)
+
+
+def test_training_takes_transcripts_with_empty_turns(spark):
+    texts = ["hello", None, "", "two\n\nlines", "User:", " \n", "end"]
+    rows = [(c, i, chat.ROLES[(c + i) % 3], t) for c in range(40) for i, t in enumerate(texts)]
+    plain_ = chat.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    counts = plain_.select("turns", "transcript").mapInArrow(chat._label, "name string, i int, j int, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    found = {r.name: r.n for r in counts.collect()}
+    n_lines = sum(len(chat.observed(r.transcript)[0]) for r in plain_.collect())
+    assert found["start"] == 40 and found["emit0"] == n_lines and found["step"] == n_lines - 40
+
+
 def test_kneser_ney_equals_a_plain_version(spark):
     rng = random.Random(1)
     texts = [" ".join(f"v{min(int(rng.expovariate(0.2)), 40)}" for _ in range(rng.randrange(40))) for _ in range(80)] + ["unseen v1 words", None]
