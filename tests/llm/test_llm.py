@@ -307,6 +307,23 @@ def test_kneser_ney_trigrams_equal_a_plain_version(spark):
         assert got[i].score == pytest.approx(total, abs=1e-6)
 
 
+def test_pipeline_tells_rows_without_or_with_repeated_ids_apart(spark, tmp_path):
+    import corpus_pipeline
+
+    def text(a):
+        return " ".join(f"{a}{i}" for i in range(40))
+
+    spark.createDataFrame([(1, text("item"))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, "so " + text("item") + " on"), (None, text("a")), (7, "so " + text("item") + " on"), (7, text("b")), (8, text("c")), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    left = corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in left) == [(0, text("a")), (7, text("b")), (8, text("c")), (9, "")]
+    rows = [(3, text("a")), (3, text("b")), (3, text("c")), (3, text("c")), (4, text("b")), (2, text("c")), (5, text("d")), (6, text("d")), (None, text("d"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    left = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, text("d")), (2, text("c")), (3, text("a")), (3, text("b")), (5, text("d"))]
+
+
 def test_pipeline_takes_effect(spark):
     import corpus_pipeline
 
