@@ -36,9 +36,11 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         mark = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         forget(now)
         now = after
-        if mark == stamp:
+        if mark == stamp or not mark[0]:
             break
         stamp = mark
     else:
         raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
+    found = cut(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct()), "components")
+    forget(now)
+    return found

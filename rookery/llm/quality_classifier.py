@@ -73,7 +73,7 @@ def statistics(c: W.Chunk) -> np.ndarray:
     ends = np.append(starts[1:], len(c.buf))
     line_row = np.searchsorted(c.at, starts, side="right") - 1
     lines = np.maximum(np.bincount(line_row, minlength=n), 1)
-    line_key = W.span_hash(np.where(breaks, 0, c.buf.astype(np.uint64) + np.uint64(1)), starts, ends) if len(starts) else np.zeros(0, dtype=np.uint64)
+    line_key = W.byte_hash(c.buf, starts, ends - breaks[ends - 1]) if len(starts) else np.zeros(0, dtype=np.uint64)
     dup = (lines - _distinct(line_key, line_row, n)) / lines if len(starts) else np.zeros(n)
     caps = np.concatenate([[0], np.cumsum(capital, dtype=np.int64)])
     shouted = 2 * (caps[c.ends] - caps[c.starts]) >= c.ends - c.starts if len(h) else np.zeros(0, dtype=bool)

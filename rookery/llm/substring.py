@@ -116,7 +116,7 @@ def _packed(k: int, single: bool):
                 word = c.first[row] + start
                 size = n + k - 1
                 if single:
-                    p1, p2 = (W.span_hash(c.hashes(i), word, word + size, i).view(np.int64) for i in (0, 1))
+                    p1, p2 = (W.sequence_hash(c.hashes(i), word, word + size, i).view(np.int64) for i in (0, 1))
                     each = W.ragged_arange(word, n)
                     h1, h2 = (W.window_hash(c.hashes(i), k, i)[each].view(np.int64) for i in (0, 1))
                     pairs = pa.StructArray.from_arrays([pa.array(h1), pa.array(h2)], fields=list(pair))
