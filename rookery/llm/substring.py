@@ -5,12 +5,12 @@ consecutive windows with the same minimiser form a super-k-mer.  Equal windows h
 
 1.  every text gives one small row per super-k-mer, and minimisers are counted with map-side sums.  A minimiser that
     occurs once in the corpus rules out all of its windows;
-2.  the other super-k-mers travel, each as one packed string, to the bucket of their minimiser, where windows are
-    sorted and counted exactly (on two independent 64-bit hashes of the words of each window);
+2.  the other super-k-mers travel, each as one packed string, to the bucket of their minimiser, where windows are sorted
+    by hash and neighbours compared word by word, so that counts are exact;
 3.  a minimiser with more than ``hot`` super-k-mers (a passage that a large part of the corpus shares) would make its
-    bucket too large for a task.  Its equal super-k-mers are folded by map-side sums: all windows of one that is there
-    twice are repeated.  Only one of each goes on, and its windows are counted by their own hashes, with map-side sums
-    again; nothing is sampled or dropped;
+    bucket too large for a task.  Its packed strings are folded first, by map-side sums on their 128-bit BLAKE2b digests:
+    all windows of one that is there twice are repeated.  Only one of each goes on, and its windows are counted by two
+    independent 64-bit hashes, with map-side sums again; nothing is sampled or dropped;
 4.  repeated spans go back to their texts, and every word that a repeated window covers is removed.
 
 Bounded memory: a task holds a chunk of texts (some MB or one text), or one bucket of at most ``hot`` super-k-mers.
@@ -28,10 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .storage import bound_batches
+from .storage import bound_batches, cut
 
 #: A super-k-mer is cut after so many windows, so that a text of one repeated word still gives short strings.
 MAX_RUN = 64
+#: Bytes of packed strings that a task makes at once.
+_PART = 8 << 20
 
 
 def _sliding_min(g: np.ndarray, width: int) -> np.ndarray:
@@ -100,48 +102,84 @@ def _listed(batch: pa.RecordBatch, name: str, c: W.Chunk) -> tuple[np.ndarray, p
     return np.repeat(np.arange(len(part)), sizes), part.flatten()
 
 
-def _packed(k: int, single: bool):
-    """Strings of the listed super-k-mers; with ``single``, instead a hash of each and the hashes of its windows."""
+def _strings(c: W.Chunk, word: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of ``size`` words from each ``word`` on, a space after each word, and where each string begins."""
+    which = W.ragged_arange(word, size)
+    each = c.ends[which] - c.starts[which] + 1
+    data = c.buf[np.minimum(W.ragged_arange(c.starts[which], each), len(c.buf) - 1)]
+    done = np.cumsum(each)
+    data[done - 1] = 0x20
+    return data, np.concatenate([[0], done[np.cumsum(size) - 1]])
+
+
+def _packed(k: int, hot: bool):
+    """Packed strings of the listed super-k-mers, and what the next step needs of them."""
     fields = [("doc", pa.int64()), ("print", pa.int64()), ("start", pa.int32())]
-    pair = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
-    schema = pa.schema(fields + ([("n", pa.int32()), ("p1", pa.int64()), ("p2", pa.int64()), ("windows", pa.list_(pair))] if single else [("mini", pa.int64()), ("packed", pa.binary())]))
+    schema = pa.schema([*fields, *([("n", pa.int32()), ("key", pa.binary())] if hot else [("mini", pa.int64())]), ("packed", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in W.chunks(batch.column("text")):
-                row, listed = _listed(batch, "at", c)
-                if not len(row):
+                rows, listed = _listed(batch, "at", c)
+                if not len(rows):
                     continue
-                start, n = np.asarray(listed.field("start")).astype(np.int64), np.asarray(listed.field("n")).astype(np.int64)
-                word = c.first[row] + start
-                size = n + k - 1
-                if single:
-                    p1, p2 = (W.sequence_hash(c.hashes(i), word, word + size, i).view(np.int64) for i in (0, 1))
-                    each = W.ragged_arange(word, n)
-                    h1, h2 = (W.window_hash(c.hashes(i), k, i)[each].view(np.int64) for i in (0, 1))
-                    pairs = pa.StructArray.from_arrays([pa.array(h1), pa.array(h2)], fields=list(pair))
-                    more = [pa.array(n.astype(np.int32)), pa.array(p1), pa.array(p2), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pairs)]
-                else:
-                    which = W.ragged_arange(word, size)
-                    each = c.ends[which] - c.starts[which] + 1  # with a space after each word
-                    data = c.buf[np.minimum(W.ragged_arange(c.starts[which], each), len(c.buf) - 1)]
-                    done = np.cumsum(each)
-                    data[done - 1] = 0x20
-                    offsets = np.concatenate([[0], done[np.cumsum(size) - 1]]).astype(np.int32)
-                    more = [listed.field("mini"), pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(data)])]
-                take = pa.array(row + c.row0)
-                yield pa.RecordBatch.from_arrays([batch.column("doc").take(take), batch.column("print").take(take), pa.array(start.astype(np.int32)), *more], schema=schema)
-
-    return run, "doc long, print long, start int, " + ("n int, p1 long, p2 long, windows array<struct<h1:long,h2:long>>" if single else "mini long, packed binary")
-
-
-def _repeated(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    """Sorts windows; true where another one is equal."""
-    order = np.lexsort((h2, h1))
-    same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
-    out = np.zeros(len(h1), dtype=bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
+                starts, ns = np.asarray(listed.field("start")).astype(np.int64), np.asarray(listed.field("n")).astype(np.int64)
+                words, sizes = c.first[rows] + starts, ns + k - 1
+                done = np.cumsum(c.ends[words + sizes - 1] - c.starts[words] + 1) // _PART
+                edges = np.concatenate([[0], np.flatnonzero(done[1:] != done[:-1]) + 1, [len(rows)]]).tolist()
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    row, start = rows[a:b], starts[a:b]
+                    data, at = _strings(c, words[a:b], sizes[a:b])
+                    if hot:
+                        raw, ends = data.tobytes(), at.tolist()
+                        key = [W.digest(raw[x:y], size=16) for x, y in zip(ends[:-1], ends[1:], strict=True)]
+                        more = [pa.array(ns[a:b].astype(np.int32)), pa.array(key, pa.binary())]
+                    else:
+                        more = [listed.field("mini").slice(a, b - a)]
+                    packed = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+                    take = pa.array(row + c.row0)
+                    yield pa.RecordBatch.from_arrays([batch.column("doc").take(take), batch.column("print").take(take), pa.array(start.astype(np.int32)), *more, packed], schema=schema)
+
+    return run, "doc long, print long, start int, " + ("n int, key binary, " if hot else "mini long, ") + "packed binary"
+
+
+def _windows(k: int):
+    """Two hashes of each window of the packed strings."""
+    pair = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = [i for i, f in enumerate(batch.schema) if f.name != "packed"]
+            for c in W.chunks(batch.column("packed")):
+                at = np.flatnonzero(c.window_rows(k))
+                h1, h2 = (W.window_hash(c.hashes(i), k, i)[at].view(np.int64) for i in (0, 1))
+                pairs = pa.StructArray.from_arrays([pa.array(h1), pa.array(h2)], fields=list(pair))
+                offsets = np.searchsorted(at, c.first).astype(np.int32)
+                own = [batch.column(i).slice(c.row0, c.row1 - c.row0) for i in rest]
+                yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(offsets), pairs)], names=[*(batch.schema[i].name for i in rest), "windows"])
+
+    return run, "doc long, print long, start int, copies long, windows array<struct<h1:long,h2:long>>"
+
+
+def _repeated(hashes: np.ndarray, codes: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Sorts the windows that begin at ``at``; true where another one has the same words, which ``codes`` number."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, sorted_at = hashes[order], at[order]
+    near = np.flatnonzero(hashes[1:] == hashes[:-1])
+    same = np.zeros(len(near), dtype=bool)
+    inside = np.arange(k)
+    for a in range(0, len(near), 1 << 14):
+        some = near[a : a + (1 << 14)]
+        same[a : a + (1 << 14)] = (codes[sorted_at[some, None] + inside] == codes[sorted_at[some + 1, None] + inside]).all(axis=1)
+    out = np.zeros(len(at), dtype=bool)
+    out[order[near[same]]] = True
+    out[order[near[same] + 1]] = True
+    for h in np.unique(hashes[near[~same]]).tolist():  # different windows of one hash: told apart by their words
+        seen: dict[bytes, list[int]] = {}
+        for i in order[np.searchsorted(hashes, np.uint64(h)) : np.searchsorted(hashes, np.uint64(h), side="right")].tolist():
+            seen.setdefault(codes[at[i] : at[i] + k].tobytes(), []).append(i)
+        for places in seen.values():
+            out[places] = len(places) > 1
     return out
 
 
@@ -161,7 +199,7 @@ def _count_buckets(k: int):
         for head, c in parts:
             ok = c.window_rows(k)
             at = np.flatnonzero(ok)
-            again = _repeated(W.window_hash(c.hashes(0), k, 0)[at], W.window_hash(c.hashes(1), k, 1)[at])
+            again = _repeated(W.window_hash(c.hashes(), k)[at], c.codes(), at, k)
             at = at[again]
             row = c.row_of_word()[at]
             new = np.ones(len(at), dtype=bool)
@@ -236,24 +274,27 @@ def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 4_000) -
 
     ``docs`` has ``doc long``, ``print long`` (together the key of a row; rows with the same key have the same text)
     and ``text``.  Texts of fewer than ``k`` words, empty and null texts have no windows.  A row that is there twice
-    repeats itself.
+    repeats itself; its super-k-mers are listed once for all of its copies.  An empty table has no spans.
     """
     bound_batches(docs.sparkSession)
+    m = min(m, k)
     found = docs.mapInArrow(*_find(k, m))
     counts = found.groupBy("mini").agg(F.sum("weight").alias("total")).filter("total > 1")
-    at = found.join(counts, "mini").withColumn("hot", F.col("total") > hot)
+    at = cut(found.join(counts, "mini").select("doc", "print", "start", "n", "mini", (F.col("total") > hot).alias("hot")), "super-k-mers")
 
     def texts_with(which: Column) -> DataFrame:
-        listed = at.filter(which).groupBy("doc", "print").agg(F.collect_list(F.struct("start", "n", "mini")).alias("at"))
+        listed = at.filter(which).groupBy("doc", "print").agg(F.collect_set(F.struct("start", "n", "mini")).alias("at"))
         return docs.alias("d").join(listed.alias("l"), _key("d", "l")).select("d.doc", "d.print", "d.text", "l.at")
 
-    cold = texts_with(~F.col("hot")).mapInArrow(*_packed(k, single=False))
+    cold = texts_with(~F.col("hot")).mapInArrow(*_packed(k, hot=False))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cold = cold.repartition(n, "mini").sortWithinPartitions("mini").mapInArrow(*_count_buckets(k))
-    crowd = texts_with(F.col("hot")).mapInArrow(*_packed(k, single=True))
-    kinds = crowd.groupBy("p1", "p2").agg(F.count("*").alias("copies"), *(F.any_value(c).alias(c) for c in ("doc", "print", "start", "n", "windows")))
-    same = crowd.join(kinds.filter("copies > 1").select("p1", "p2"), ["p1", "p2"]).select("doc", "print", F.col("start").alias("begin"), (F.col("start") + F.col("n") + (k - 1)).alias("end"))
-    each = kinds.select("doc", "print", "start", "copies", F.posexplode("windows").alias("i", "h"))
+    crowd = cut(texts_with(F.col("hot")).mapInArrow(*_packed(k, hot=True)), "crowded")
+    place = F.struct("doc", "print", "start")
+    kinds = crowd.groupBy("key").agg(F.count("*").alias("copies"), F.any_value(place).alias("x"), F.any_value("packed").alias("packed"))
+    kinds = cut(kinds.select("key", "copies", "x.*", "packed"), "kinds")
+    same = crowd.join(kinds.filter("copies > 1").select("key"), "key").select("doc", "print", F.col("start").alias("begin"), (F.col("start") + F.col("n") + (k - 1)).alias("end"))
+    each = kinds.select("doc", "print", "start", "copies", "packed").mapInArrow(*_windows(k)).select("doc", "print", "start", "copies", F.posexplode("windows").alias("i", "h"))
     again = each.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").drop("times")
     lone = each.filter("copies = 1").join(again, "h").select("doc", "print", (F.col("start") + F.col("i")).alias("begin"), (F.col("start") + F.col("i") + k).alias("end"))
     warm = same.unionByName(lone)
@@ -263,16 +304,20 @@ def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 4_000) -
 def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 4_000, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and the kept words joined by one space.
 
-    Takes ``doc_id long`` and ``text``; other columns pass through (none may be named ``doc``, ``print`` or ``spans``
-    when ``keep_text``; the query form drops them).  With ``keep_text`` the column ``text`` holds the kept words; else
-    it is replaced by ``kept_sha256``.  Null texts have no words and count as empty; a null ``doc_id`` is an id like
-    any other.  Every copy of a repeated window goes, the first one too.
+    Takes ``doc_id long`` and ``text``.  With ``keep_text`` the column ``text`` holds the kept words and other columns pass
+    through, but for those named ``n_words`` or ``n_removed``, which are replaced; else the kept words are replaced by
+    ``kept_sha256`` and other columns dropped.  Null texts have no words and count as empty; a null ``doc_id`` is an id like
+    any other.  Every copy of a repeated window goes, the first one too, and a row that is there twice loses all windows.
+    An empty table gives an empty table.
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("print"), "text")
     spans = repeated_spans(keyed, k, m, hot)
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")] if keep_text else []
-    full = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("print"), "text", *rest) if rest else keyed
-    joined = full.alias("d").join(spans.alias("s"), _key("d", "s"), "left").select(F.col("d.doc").alias("doc_id"), *(F.col(f"d.{c}") for c in rest), "d.text", "s.spans")
-    types = ", ".join(["doc_id long", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest), "n_words long, n_removed long", "kept binary" if keep_text else "kept_sha256 string"])
-    out = joined.mapInArrow(_remove(keep_text), types)
-    return out.withColumn("text", F.col("kept").cast("string")).drop("kept") if keep_text else out
+    rest = [c for c in docs.columns if c.lower() not in ("doc_id", "text", "n_words", "n_removed")] if keep_text else []
+    # other columns travel in one, so that no name clashes
+    others = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest))).alias("rest")
+    full = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("print"), "text", others)
+    joined = full.alias("d").join(spans.alias("s"), _key("d", "s"), "left").select(F.col("d.doc").alias("doc_id"), "d.rest", "d.text", "s.spans")
+    kind = joined.schema["rest"].dataType.simpleString()
+    out = joined.mapInArrow(_remove(keep_text), f"doc_id long, rest {kind}, n_words long, n_removed long, " + ("kept binary" if keep_text else "kept_sha256 string"))
+    named = [F.col(f"rest.c{i}").alias(c) for i, c in enumerate(rest)]
+    return out.select("doc_id", *named, "n_words", "n_removed", F.col("kept").cast("string").alias("text") if keep_text else "kept_sha256")
