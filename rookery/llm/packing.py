@@ -9,7 +9,8 @@ classes of equal sequences at a time, so that planning costs the same for a thou
 
 The plan is a table of slots: the pieces of one length ranked ``from .. from + count`` go to consecutive sequences at
 one offset.  Ranks within a length come from counts by length and shard, summed over shards, and from row numbers within
-a shard, so a length that a third of all pieces share is split over all shards.
+a shard.  Pieces are dealt to shards in turn when they are written, so a length that a third of all pieces share is split
+over all shards, whatever their ids are.
 """
 
 from __future__ import annotations
@@ -130,21 +131,25 @@ def _pieces(path: str, capacity: int, end: int, keep_ids: bool):
 def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, keep_ids: bool = True) -> DataFrame:
     """Pieces of at most ``capacity`` ids of each ``docs(doc_id, text)``: its ids, then ``end``.
 
-    Null and empty texts give one piece with the end id alone.  ``ids`` are little-endian unsigned 32-bit.
+    Null and empty texts give one piece with the end id alone.  ``ids`` are little-endian unsigned 32-bit.  Null and repeated
+    ids are cut like others; other columns are dropped.
     """
     bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(*_pieces(tokenizer, capacity, end, keep_ids))
 
 
 def best_fit(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``.
+    """``pieces`` with ``sequence_id`` and ``offset``, which replace columns of these names.
 
-    Needs ``doc_id, piece, start, length``; read more than once, so it should be a written table.  Repeated rows are packed as
-    often as they are there.  An empty table gives an empty table.
+    Needs ``doc_id, piece, start, length``.  Repeated rows are packed as often as they are there.  An empty table gives an
+    empty table.
     """
     spark = pieces.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    names = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    own = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names))).alias("own")  # so that no name clashes
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard")
+    dealt = cut(pieces.select("doc_id", "piece", "start", "length", turn, own), "pieces")
     counts = dealt.groupBy("length", "shard").agg(F.count("*").alias("here"))
     before = counts.select("length", "shard", (F.sum("here").over(Window.partitionBy("length").orderBy("shard")) - F.col("here")).alias("before"))
     total = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("here").alias("n")).collect()}  # at most capacity rows
@@ -156,20 +161,18 @@ def best_fit(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
         for batch in batches:
             length, rank = np.asarray(batch.column("length")), np.asarray(batch.column("rank"))
             slot = np.searchsorted(key, length * (1 << 44) + rank, side="right") - 1
-            out = batch.drop_columns(["rank"])
-            out = out.append_column("sequence_id", pa.array(table[slot, 3] + rank - table[slot, 1]))
-            yield out.append_column("offset", pa.array(table[slot, 4]))
+            yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array(table[slot, 3] + rank - table[slot, 1]), pa.array(table[slot, 4])], names=["own", "sequence_id", "offset"])
 
     number = F.row_number().over(Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "start"))
-    ranked = dealt.withColumn("number", number).join(before, ["length", "shard"]).select(*pieces.columns, (F.col("before") + F.col("number") - 1).alias("rank"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(place, f"{types}, sequence_id long, offset long")
+    ranked = dealt.withColumn("number", number).join(before, ["length", "shard"])
+    ranked = ranked.select("own", F.col("length").cast("long").alias("length"), (F.col("before") + F.col("number") - 1).alias("rank"))
+    placed = ranked.mapInArrow(place, f"own {dealt.schema['own'].dataType.simpleString()}, sequence_id long, offset long")
+    return placed.select(*(F.col(f"own.c{i}").alias(c) for i, c in enumerate(names)), "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, keep_ids: bool = True) -> DataFrame:
     """Tokenises, cuts and packs ``docs(doc_id, text)``; see ``tokenised_pieces`` and ``best_fit``."""
-    pieces = cut(tokenised_pieces(docs, tokenizer, capacity, end, keep_ids), "pieces")
-    return best_fit(pieces, capacity)
+    return best_fit(tokenised_pieces(docs, tokenizer, capacity, end, keep_ids), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

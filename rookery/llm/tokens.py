@@ -2,7 +2,8 @@
 
 The tokenizer of ``word_bpe_49k.json`` lower-cases, drops white space and never joins what white space parts, so the
 ids of a text are those of its white-space-separated words in order.  Words are found with numpy; each new word is
-encoded by the ``tokenizers`` library and kept in a bounded cache of the Python worker.
+encoded by the ``tokenizers`` library and kept in a bounded cache of the Python worker.  The cache is searched by hash and
+the words themselves are compared; a word whose hash belongs to another one is encoded again each time.
 """
 
 from __future__ import annotations
@@ -70,7 +71,9 @@ class WordTokens:
         self.at = _Grown(np.int64)  # slot -> place in ids
         self.at.add(np.zeros(1, dtype=np.int64))
         self.ids = _Grown(np.uint32)
-        self.check = _Grown(np.uint64)  # a second hash of the word in each slot
+        self.word_at = _Grown(np.int64)  # slot -> place in words
+        self.word_at.add(np.zeros(1, dtype=np.int64))
+        self.words = _Grown(np.uint8)
 
     def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after another, and how many each has."""
@@ -103,37 +106,58 @@ class WordTokens:
             return out, each
         return ids, sizes
 
-    def _learn(self, c: W.Chunk, words: np.ndarray, hashes: np.ndarray, second: np.ndarray) -> None:
-        raw, starts, ends = c.buf.tobytes(), c.starts[words].tolist(), c.ends[words].tolist()
-        ids, sizes = self._encoded([raw[a:b].decode() for a, b in zip(starts, ends, strict=True)])
-        slots = self.check.n + np.arange(len(words), dtype=np.int32)
+    def _learn(self, c: W.Chunk, words: np.ndarray) -> np.ndarray:
+        """Encodes words of a chunk; their slots."""
+        raw, starts, ends = c.data.tobytes(), c.starts[words], c.ends[words]
+        ids, sizes = self._encoded([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        slots = self.at.n - 1 + np.arange(len(words), dtype=np.int32)
         self.at.add(self.ids.n + np.cumsum(sizes))
         self.ids.add(ids)
-        self.check.add(second)
-        self.recent.add(hashes, slots)
-        if 8 * len(self.recent.keys) > len(self.main.keys) + 200_000:
-            self.main.add(self.recent.keys, self.recent.slots)
-            self.recent = _Sorted()
+        self.word_at.add(self.words.n + np.cumsum(ends - starts))
+        self.words.add(c.data[W.ragged_arange(starts, ends - starts)])
+        return slots
+
+    def _same(self, c: W.Chunk, words: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Whether the words of a chunk are those in the slots."""
+        begin, size = self.word_at.data[slots], self.word_at.data[slots + 1] - self.word_at.data[slots]
+        out = size == c.ends[words] - c.starts[words]
+        rows = np.flatnonzero(out)
+        size = size[rows]
+        equal = c.data[W.ragged_arange(c.starts[words[rows]], size)] == self.words.data[W.ragged_arange(begin[rows], size)]
+        wrong = np.repeat(np.arange(len(rows)), size)[~equal]
+        out[rows[wrong]] = False
+        return out
 
     def encode(self, c: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a chunk, and for each word the place of its first id (one more at the end)."""
-        unique, index, inverse = np.unique(c.hashes(0), return_index=True, return_inverse=True)
-        if not len(unique):
+        code = c.codes()
+        if not len(code):
             return np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
-        second = c.hashes(1)[index]
-        if self.check.n + len(unique) > CACHE_WORDS:
+        distinct = np.flatnonzero(np.bincount(code))
+        place = np.zeros(int(code.max()) + 1, dtype=np.int64)
+        place[code[::-1]] = np.arange(len(code))[::-1]
+        words = place[distinct]  # the first of each kind
+        if self.at.n + len(words) > CACHE_WORDS:
             self._clear()
-        slot = self.main.find(unique)
+        hashes = W.byte_hash(c.data, c.starts[words], c.ends[words])
+        slot = self.main.find(hashes)
         rest = np.flatnonzero(slot < 0)
-        slot[rest] = self.recent.find(unique[rest])
-        fresh = rest[slot[rest] < 0]
+        slot[rest] = self.recent.find(hashes[rest])
+        known = np.flatnonzero(slot >= 0)
+        slot[known[~self._same(c, words[known], slot[known])]] = -2  # another word has its hash
+        fresh = np.flatnonzero(slot == -1)
+        keys, first = np.unique(hashes[fresh], return_index=True)
         if len(fresh):
-            begin = self.check.n
-            self._learn(c, index[fresh], unique[fresh], second[fresh])
-            slot[fresh] = begin + np.arange(len(fresh))
-        if (self.check.data[slot] != second).any():
-            raise ValueError("two words have the same 64-bit hash")
-        slot = slot[inverse]
+            slot[fresh[first]] = new = self._learn(c, words[fresh[first]])
+            self.recent.add(keys, new)
+            if 8 * len(self.recent.keys) > len(self.main.keys) + 200_000:
+                self.main.add(self.recent.keys, self.recent.slots)
+                self.recent = _Sorted()
+        odd = np.flatnonzero(slot < 0)
+        if len(odd):
+            slot[odd] = self._learn(c, words[odd])
+        place[distinct] = slot
+        slot = place[code]
         begin = self.at.data[slot]
         sizes = self.at.data[slot + 1] - begin
         return self.ids.data[W.ragged_arange(begin, sizes)], np.concatenate([[0], np.cumsum(sizes)])
