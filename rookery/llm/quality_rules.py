@@ -1,26 +1,35 @@
 """Quality rules with adaptive thresholds, in DataFrame functions only.
 
 Per text the base counts are computed by array functions inside one projection (nothing is exploded or shuffled) and
-written once.  Each metric is an integer bin of a ratio; counts of bins per language and source are a quantile sketch that
-merges by addition: ranks are exact, values are exact to one part in ``BINS``.  The sketches of a source, of its language
-and of everything are sums of the same rows.  A metric's limit is its upper quartile plus three times the distance between
-the quartiles plus a slack, from the source's sketch if that has ``least`` texts, else from the language's, else from all.
-Texts are then joined with the limits of their language and source.
+written once.  Texts that fail the base rules are out; of the others each metric, a share in parts of a million, goes into
+one quantile sketch (KLL) for each language and source, and these sketches are merged to one for each language and to one for
+all.  Nothing but ranks is a parameter: a metric's limit is ``high + reach * (high - middle)``, where ``high`` and
+``middle`` are quantiles of the group's sketch at the ranks of ``RANKS``.  A group of ``n`` texts weighs its own limit by
+``n`` and its language's by ``WEIGHT``; a language does the same with the limit for all.  Texts are then joined with the
+limits of their language and source, and kept if no metric is above its limit.
+
+A sketch holds a few thousand values however many texts it has seen.  Its quantiles are exact up to ``SIZE`` texts, beyond
+which ranks are off by about 2 / SIZE.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import cut
 
-BINS = 512
-LEAST = 100
-#: Slack in bins above the quartiles, by metric: symbols, repeated words, repeated lines, upper case (shares of 512).
-SLACK = {"symbols": 20, "repeats": 160, "lines": 256, "upper": 48}
+#: Size of a sketch.
+SIZE = 4096
+#: Percent ranks of the middle and the high quantile, and the reach above, by metric.
+RANKS = {"symbols": (50, 90, 1), "repeats": (50, 95, 2), "lines": (50, 98, 1), "upper": (50, 95, 2)}
+#: A group's own limit counts as much as its language's when it has so many texts.
+WEIGHT = 100
+#: Up to so many groups their limits are broadcast (some MB); beyond, texts are dealt to them by salted keys.
+BROADCAST_GROUPS = 50_000
+SALTS = 64
 _SPACE = r"[\x20\x09-\x0D]"
 
 
@@ -37,10 +46,13 @@ def _repeat_words(w: Column) -> Column:
             same_before = (i > 0) & (F.get(windows, i - 1)["h"] == x["h"])
             return same_before | (F.get(windows, i + 1)["h"] == x["h"])
 
+        def added(total: Column, start: Column) -> Column:
+            """Each window adds the words that the window before it in the text has not covered."""
+            return F.struct(start.alias("last"), (total["n"] + F.least(F.lit(3), start - total["last"])).alias("n"))
+
         at = F.array_sort(F.transform(F.filter(windows, again), lambda x: x["i"]))
-        # each window adds the words that the window before it in the text has not covered
-        fresh = lambda starts: F.aggregate(starts, F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda a, s: F.struct(s.alias("last"), (a["n"] + F.least(F.lit(3), s - a["last"])).alias("n")))["n"]
-        return let(at, fresh)
+        zero = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n"))
+        return let(at, lambda starts: F.aggregate(starts, zero, added)["n"])
 
     starts = F.sequence(F.lit(0), F.size(w) - 3)
     windows = F.transform(starts, lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
@@ -48,107 +60,135 @@ def _repeat_words(w: Column) -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """``doc_id, lang, source`` and the counts of each whole text; a null text has none.
+    """``doc_id, lang, source``, the counts of each whole text and ``base_failed``; a null text has no words.
 
-    Windows are compared by a 64-bit hash of their words.
+    Null languages and sources count as empty ones.  Windows are compared by a 64-bit hash of their words.  Other columns
+    are dropped.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    left = lambda pattern: F.char_length(F.regexp_replace(text, pattern, "")).cast("long")
-    counted = let(F.array_remove(F.split(text, _SPACE + "+", -1), ""), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"), _repeat_words(w).alias("n_repeat_words")))
+
+    def left(pattern: str) -> Column:
+        return F.char_length(F.regexp_replace(text, pattern, "")).cast("long")
+
+    def of_words(w: Column) -> Column:
+        size, chars = F.size(w).cast("long"), F.char_length(F.array_join(w, "")).cast("long")
+        return F.struct(size.alias("n_words"), chars.alias("word_chars"), _repeat_words(w).alias("n_repeat_words"))
+
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("lang", F.lit("")).alias("lang"),
         F.coalesce("source", F.lit("")).alias("source"),
-        counted.alias("c"),
+        let(F.array_remove(F.split(text, _SPACE + "+", -1), ""), of_words).alias("c"),
         left(r"[^#*$%&|<>]+").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         F.size(lines).cast("long").alias("n_lines"),
         left(r"[^\p{Lu}]+").alias("n_upper"),
     )
-    return rows.select("doc_id", "lang", "source", "c.*", "n_symbols", "n_dup_lines", "n_lines", "n_upper")
+    rows = rows.select("doc_id", "lang", "source", "c.*", "n_symbols", "n_dup_lines", "n_lines", "n_upper")
+    return rows.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def _bins() -> dict[str, Column]:
-    share = lambda part, whole: F.expr(f"least({BINS}L, {BINS}L * {part} div greatest({whole}, 1L))")
-    return {"symbols": share("n_symbols", "word_chars"), "repeats": share("n_repeat_words", "n_words"), "lines": share("n_dup_lines", "n_lines"), "upper": share("n_upper", "word_chars")}
+def _metrics() -> dict[str, Column]:
+    """Parts of a million."""
+
+    def share(part: str, whole: str) -> Column:
+        return F.expr(f"1000000L * {part} div greatest({whole}, 1L)")
+
+    return {
+        "symbols": share("n_symbols", "word_chars"),
+        "repeats": share("n_repeat_words", "n_words"),
+        "lines": share("n_dup_lines", "n_lines"),
+        "upper": share("n_upper", "word_chars"),
+    }
 
 
 def sketches(counts: DataFrame) -> DataFrame:
-    """``lang, source, metric, bin, n``: how many texts of a group have a metric in a bin."""
-    each = F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), b.alias("bin")) for m, b in _bins().items())))
-    return counts.select("lang", "source", each.alias("x")).groupBy("lang", "source", "x.metric", "x.bin").agg(F.count("*").alias("n"))
+    """``lang, source, n`` and a sketch for each metric of the texts that pass the base rules, by map-side sums."""
+    passed = counts.filter(~F.col("base_failed")).select("lang", "source", *(x.alias(m) for m, x in _metrics().items()))
+    return passed.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_bigint(m, SIZE).alias(m) for m in RANKS))
 
 
 def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """The sum of sketches that share ``keys``."""
-    return sketch.groupBy(*keys, "metric", "bin").agg(F.sum("n").alias("n"))
+    """The sketches of rows that share ``keys``, merged."""
+    return sketch.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_bigint(m, SIZE).alias(m) for m in RANKS))
 
 
-def limits(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, the number of texts and the limit of each metric, from sketches that are one for each key."""
-    run, all_ = Window.partitionBy(*keys, "metric").orderBy("bin"), Window.partitionBy(*keys, "metric")
-    ranked = sketch.withColumns({"below": F.sum("n").over(run), "all": F.sum("n").over(all_)})
-    quartile = lambda q: F.min(F.when(4 * F.col("below") >= q * F.col("all"), F.col("bin")))
-    each = ranked.groupBy(*keys, "metric").agg(F.max("all").alias("n_texts"), quartile(1).alias("low"), quartile(3).alias("high"))
-    of = lambda m: F.max(F.when(F.col("metric") == m, F.col("high") + 3 * (F.col("high") - F.col("low")) + SLACK[m])).alias(m)
-    return each.groupBy(*keys).agg(F.max("n_texts").alias("n_texts"), *(of(m) for m in SLACK))
+def limits(sketch: DataFrame, prefix: str) -> DataFrame:
+    """``sketch`` with the limit of each metric, as doubles, in place of the sketch; names get the prefix."""
 
+    def limit(metric: str, middle: int, high: int, reach: int) -> Column:
+        at = lambda rank: F.kll_sketch_get_quantile_bigint(metric, F.lit(rank / 100))
+        return ((1 + reach) * at(high) - reach * at(middle)).cast("double").alias(prefix + metric)
 
-def verdicts(counts: DataFrame, least: int = LEAST) -> DataFrame:
-    """``counts`` with ``base_failed`` and ``kept``; ``counts`` is read more than once and should be a written table.
+    keys = [c for c in sketch.columns if c not in ("n", *RANKS)]
+    return sketch.filter("n > 0").select(*keys, F.col("n").alias(prefix + "n"), *(limit(m, *r) for m, r in RANKS.items()))
 
-    Null languages and sources count as empty ones.  An empty table gives an empty result.
-    """
+
+def _weighed(n: str, own: str, wider: Column) -> Column:
+    return (F.col(n) * F.col(own) + WEIGHT * wider) / (F.col(n) + WEIGHT)
+
+
+def thresholds(counts: DataFrame) -> DataFrame:
+    """``lang, source, n`` and the limit of each metric, for every group that has a text that passes the base rules."""
     sketch = cut(sketches(counts), "sketches")
-    language = merged(sketch, ["lang"])
-    everything = limits(merged(sketch.withColumn("one", F.lit(1)), ["one"]), ["one"]).select(F.struct(*SLACK).alias("for_all"))
-    by_source = limits(sketch, ["lang", "source"]).select("lang", "source", F.col("n_texts").alias("source_texts"), F.struct(*SLACK).alias("for_source"))
-    by_language = limits(language, ["lang"]).select("lang", F.col("n_texts").alias("language_texts"), F.struct(*SLACK).alias("for_language"))
-    table = by_source.join(by_language, "lang").join(F.broadcast(everything))  # one row for all
-    chosen = F.when(F.col("source_texts") >= least, F.col("for_source")).when(F.col("language_texts") >= least, F.col("for_language")).otherwise(F.col("for_all"))
-    table = table.select("lang", "source", chosen.alias("most"))
-    bins = _bins()
-    inside = None
-    for m in SLACK:
-        ok = bins[m] <= F.col(f"most.{m}")
-        inside = ok if inside is None else inside & ok
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    joined = counts.join(table, ["lang", "source"])
-    return joined.select(*counts.columns, failed.alias("base_failed"), (~failed & inside).alias("kept"))
-
-
-def quality_rules(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """Counts and verdict for each row of ``docs(doc_id, text, lang, source)``; repeated rows are judged each."""
-    return verdicts(cut(base_counts(docs), "counts"), least)
-
-
-def sql(least: int = LEAST) -> str:
-    """The same in DuckDB's SQL."""
-    share = lambda part, whole: f"least({BINS}, {BINS} * {part} // greatest({whole}, 1))"
-    bins = {"symbols": share("n_symbols", "word_chars"), "repeats": share("n_repeat_words", "n_words"), "lines": share("n_dup_lines", "n_lines"), "upper": share("n_upper", "word_chars")}
-    words = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
-    parts = " union all ".join(f"select lang, source, '{m}' metric, {b} bin from counts" for m, b in bins.items())
+    everything = limits(merged(sketch, []), "all_").first() or dict.fromkeys(f"all_{m}" for m in RANKS)  # one row of numbers
+    by_language = limits(merged(sketch, ["lang"]), "lang_")
+    joined = limits(sketch, "own_").join(by_language, "lang")
+    chosen = [_weighed("own_n", f"own_{m}", _weighed("lang_n", f"lang_{m}", F.lit(everything[f"all_{m}"]))).alias(m) for m in RANKS]
+    return joined.select("lang", "source", F.col("own_n").alias("n"), *chosen)
+
+
+def verdicts(counts: DataFrame, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
+    """``counts`` with ``kept``; ``counts`` is read more than once and should be a written table."""
+    table = cut(thresholds(counts), "limits").select("lang", "source", F.struct(*RANKS).alias("most"))
+    if table.count() <= broadcast_groups:
+        joined = counts.join(F.broadcast(table), ["lang", "source"], "left")
+    else:
+        dealt = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int")
+        joined = counts.withColumn("salt", salt).join(dealt, ["lang", "source", "salt"], "left")
+    inside = [value <= F.col(f"most.{m}") for m, value in _metrics().items()]
+    kept = ~F.col("base_failed") & F.coalesce(inside[0] & inside[1] & inside[2] & inside[3], F.lit(False))
+    return joined.select(*counts.columns, kept.alias("kept"))
+
+
+def quality_rules(docs: DataFrame) -> DataFrame:
+    """Counts and verdict for each row of ``docs(doc_id, text, lang, source)``; repeated rows are judged each.
+
+    Null and empty texts have no words and fail the base rules.  An empty table gives an empty result.
+    """
+    return verdicts(cut(base_counts(docs), "counts"))
+
+
+def sql() -> str:
+    """The same in DuckDB's SQL, with exact quantiles."""
+    share = lambda part, whole: f"(1000000 * {part} // greatest({whole}, 1))"
+    metrics = {
+        "symbols": share("n_symbols", "word_chars"),
+        "repeats": share("n_repeat_words", "n_words"),
+        "lines": share("n_dup_lines", "n_lines"),
+        "upper": share("n_upper", "word_chars"),
+    }
 
     def level(name: str, keys: str) -> str:
-        k = f"{keys}, " if keys else ""
-        values = ", ".join(f"max(case when metric = '{m}' then high + 3 * (high - low) + {s} end) {m}" for m, s in SLACK.items())
-        return f"""{name} as (select {k}max(n_all) n_texts, {values} from (
-            select {k}metric, max(n_all) n_all, min(case when 4 * below >= n_all then bin end) low, min(case when 4 * below >= 3 * n_all then bin end) high from (
-                select {k}metric, bin, sum(n) over (partition by {k}metric order by bin) below, sum(n) over (partition by {k}metric) n_all from (
-                    select {k}metric, bin, count(*) n from each_ group by all)) group by {k}metric) {"group by " + keys if keys else ""})"""
-
-    inside = " and ".join(f"{bins[m]} <= case when s.n_texts >= {least} then s.{m} when l.n_texts >= {least} then l.{m} else a.{m} end" for m in SLACK)
+        at = lambda m, rank: f"list_sort(list({metrics[m]}))[(count(*) * {rank} + 99) // 100]"
+        values = ", ".join(f"({1 + reach} * {at(m, high)} - {reach} * {at(m, middle)})::double {m}" for m, (middle, high, reach) in RANKS.items())
+        return f"{name} as (select {keys + ', ' if keys else ''}count(*)::double n, {values} from counts where not base_failed {'group by ' + keys if keys else ''})"
+
+    mixed = lambda m: f"((s.n * s.{m} + {WEIGHT} * ((l.n * l.{m} + {WEIGHT} * a.{m}) / (l.n + {WEIGHT}))) / (s.n + {WEIGHT}))"
+    inside = " and ".join(f"{x} <= {mixed(m)}" for m, x in metrics.items())
     return f"""
     with docs as (select doc_id, coalesce(lang, '') lang, coalesce(source, '') source, coalesce(text, '') as text from documents),
-    split as (select *, {words} w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) lines from docs),
+    split as (select *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') w,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) lines from docs),
     windows as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] g from (select doc_id, w, unnest(range(1, len(w) - 1)) i from split)),
     again as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) c from windows) where c > 1),
     repeats as (select doc_id, count(distinct i + d)::bigint n from again, (select unnest([0, 1, 2]) d) group by 1),
-    counts as (select s.doc_id, lang, source, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars, coalesce(n, 0)::bigint n_repeat_words,
-        length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::bigint n_symbols, (len(lines) - len(list_distinct(lines)))::bigint n_dup_lines, len(lines)::bigint n_lines,
-        length(regexp_replace(text, '[^\\p{{Lu}}]+', '', 'g'))::bigint n_upper from split s left join repeats r on r.doc_id = s.doc_id),
-    each_ as ({parts}), {level("s", "lang, source")}, {level("l", "lang")}, {level("a", "")},
-    judged as (select c.*, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed, {inside} inside
-        from counts c join s on s.lang = c.lang and s.source = c.source join l on l.lang = c.lang cross join a)
-    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and inside kept from judged"""
+    plain as (select s.doc_id, lang, source, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars, coalesce(n, 0)::bigint n_repeat_words,
+        length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::bigint n_symbols, (len(lines) - len(list_distinct(lines)))::bigint n_dup_lines,
+        len(lines)::bigint n_lines, length(regexp_replace(text, '[^\\p{{Lu}}]+', '', 'g'))::bigint n_upper from split s left join repeats r on r.doc_id = s.doc_id),
+    counts as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from plain),
+    {level("s", "lang, source")}, {level("l", "lang")}, {level("a", "")}
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce({inside}, false) kept
+    from counts c left join s on s.lang = c.lang and s.source = c.source left join l on l.lang = c.lang cross join a"""
