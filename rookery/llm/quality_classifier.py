@@ -5,8 +5,9 @@
     Gaussian kernel over the scaled statistics.
 3.  Each task sums its labelled rows' normal equations; the sums meet in two rounds of grouped additions, so what reaches
     the driver is one matrix, whatever the number of rows or partitions.
-4.  Ridge scores of labelled rows that the equations did not see are counted in ``SCORE_BINS`` bins; pooling adjacent
-    violators over the bins gives the calibration.
+4.  Ridge scores of labelled rows that the equations did not see are counted between their own quantiles (a mergeable
+    sketch); pooling adjacent violators over these bins gives a rising step function, and scores between the bins' means are
+    interpolated.
 
 All labelled rows of the training folds are used.  Labels, language, source and id are never inputs of a score.
 """
@@ -26,6 +27,7 @@ from .storage import bound_batches, cut
 
 STATS = ("log_words", "word_length", "upper", "digit", "symbol", "bang", "punctuation", "distinct", "same_next", "repeat_3", "line_words", "dup_lines", "capital_words", "foreign")
 FEATURES = 192
+#: Quantiles of the raw scores between which the calibration counts.
 SCORE_BINS = 1000
 _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[[ord(x) for x in "#*$%&|<>@^~_=+\\/{}[]"]] = 1
@@ -109,7 +111,8 @@ class Classifier:
     mean: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
-    calibration: np.ndarray  # a probability for each bin of raw scores
+    places: np.ndarray  # rising raw scores, and the probability at each
+    calibration: np.ndarray
 
     @staticmethod
     def _projection() -> tuple[np.ndarray, np.ndarray]:
@@ -121,12 +124,11 @@ class Classifier:
         z = np.clip((stats - self.mean) / self.spread, -6, 6)
         return np.hstack([np.cos(z @ along + shift) * np.sqrt(2 / FEATURES), np.ones((len(z), 1))])
 
-    def bins(self, stats: np.ndarray) -> np.ndarray:
-        raw = self.features(stats) @ self.weights
-        return np.clip(((raw + 0.5) * (SCORE_BINS / 2)).astype(np.int64), 0, SCORE_BINS - 1)
+    def raw(self, stats: np.ndarray) -> np.ndarray:
+        return self.features(stats) @ self.weights
 
     def probability(self, stats: np.ndarray) -> np.ndarray:
-        return self.calibration[self.bins(stats)]
+        return np.interp(self.raw(stats), self.places, self.calibration)
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -151,20 +153,29 @@ def _equations(model: Classifier):
     return run, "i int, row array<double>"
 
 
-def _binned(model: Classifier):
+def _raw(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"bin": pa.array(model.bins(_matrix(batch))), "label": batch.column("label")})
+            yield pa.RecordBatch.from_pydict({"raw": pa.array(model.raw(_matrix(batch))), "label": batch.column("label")})
 
-    return run, "bin long, label int"
+    return run, "raw double, label int"
+
+
+def _binned(edges: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.searchsorted(edges, np.asarray(batch.column("raw")))
+            yield pa.RecordBatch.from_pydict({"bin": pa.array(place), "raw": batch.column("raw"), "label": batch.column("label")})
+
+    return run, "bin long, raw double, label int"
 
 
 def isotonic(positive: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Rising shares of positives by bin: adjacent violators are pooled; bins without rows go with the pool before them, the first ones with the one after."""
+    """Rising shares of positives of bins that all have rows: adjacent violators are pooled."""
     pools: list[list[float]] = []  # positives, rows, bins
     for p, n in zip(positive.tolist(), count.tolist(), strict=True):
         pools.append([p, n, 1])
-        while len(pools) > 1 and (not pools[-1][1] or not pools[-2][1] or pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]):
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             p1, n1, b1 = pools.pop()
             pools[-1][0] += p1
             pools[-1][1] += n1
@@ -183,7 +194,7 @@ def fit(stats: DataFrame, labelled: DataFrame, calibrate: Column, ridge: float =
     mean = np.array([row[f"m{i}"] or 0.0 for i in range(len(STATS))])
     spread = np.maximum(np.array([row[f"s{i}"] or 0.0 for i in range(len(STATS))]), 1e-3)
     d = FEATURES + 1
-    model = Classifier(mean, spread, np.zeros(d), np.full(SCORE_BINS, 0.5))
+    model = Classifier(mean, spread, np.zeros(d), np.zeros(1), np.full(1, 0.5))
     parts = labelled.filter(~calibrate).select("stats", "label").mapInArrow(*_equations(model))
     parts = parts.select(F.pmod(F.spark_partition_id(), F.lit(16)).alias("some"), "i", F.posexplode("row").alias("j", "x")).groupBy("some", "i", "j").agg(F.sum("x").alias("x"))
     sums = parts.groupBy("i", "j").agg(F.sum("x").alias("x")).groupBy("i").agg(F.collect_list(F.struct("j", "x")).alias("xs")).collect()  # FEATURES + 1 rows
@@ -194,14 +205,16 @@ def fit(stats: DataFrame, labelled: DataFrame, calibrate: Column, ridge: float =
         for c in r.xs:
             total[r.i, c.j] = c.x
     model.weights = np.linalg.solve(total[:, :d] + ridge * max(total[d - 1, d - 1], 1.0) / d * np.eye(d), total[:, d])
-    apart = labelled.filter(calibrate).select("stats", "label").mapInArrow(*_binned(model))
-    found = apart.groupBy("bin").agg(F.count("*").alias("n"), F.sum("label").alias("positive")).collect()  # at most SCORE_BINS rows
-    count, positive = np.zeros(SCORE_BINS), np.zeros(SCORE_BINS)
-    for r in found:
-        count[r.bin], positive[r.bin] = r.n, r.positive
-    if not found:  # too few labels to keep some apart
-        count[:], positive[:] = 1, np.clip((np.arange(SCORE_BINS) + 0.5) * 2 / SCORE_BINS - 0.5, 0, 1)
-    model.calibration = isotonic(positive, count)
+    apart = cut(labelled.filter(calibrate).select("stats", "label").mapInArrow(*_raw(model)), "raw")
+    ranks = [i / SCORE_BINS for i in range(1, SCORE_BINS)]
+    edges = np.unique(np.array(apart.agg(F.percentile_approx("raw", ranks, 10 * SCORE_BINS)).first()[0] or [], dtype=np.float64))
+    means = F.avg("raw").alias("raw")
+    found = sorted(apart.mapInArrow(*_binned(edges)).groupBy("bin").agg(F.count("*").alias("n"), F.sum("label").alias("positive"), means).collect())  # at most SCORE_BINS rows
+    if found:
+        model.places = np.array([r.raw for r in found])
+        model.calibration = isotonic(np.array([r.positive for r in found]), np.array([r.n for r in found]))
+    else:  # too few labels to keep some apart
+        model.places, model.calibration = np.array([0.0, 1.0]), np.array([0.0, 1.0])
     return model
 
 
@@ -223,7 +236,8 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Labels of ids whose crc32 modulo 5 is 0 are never read; remainder 4 calibrates, the others fit.  Null labels are left
     out; an id with several labels counts with each.  A null id is not held out and has no label.  Null and empty texts
-    have statistics of zero and are scored like others.
+    have statistics of zero and are scored like others; repeated rows are scored each.  Other columns are dropped.  An
+    empty table gives an empty table.
     """
     stats = cut(measured(docs), "stats")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).filter("label is not null and doc_id is not null").filter(fold(5) != 0)
