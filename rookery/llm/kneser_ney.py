@@ -15,6 +15,10 @@ stores its trigrams and passes on, for every pair of last two words, how many fi
 take the place of the bigram counts in step 2.  Nothing comes before a text's beginning, so bigrams there keep their own counts, and
 a text's first word is scored by them.
 
+All stored counts have 64 bits.  There are as many buckets as shuffle partitions, and more where the texts have over
+``BUCKET_BYTES`` a bucket, so that what a task merges does not grow with the input.  Words are told apart by a 64-bit hash: two
+words among a thousand million are the same by chance once in some forty corpora.  Up to 2**32 - 4 distinct words are taken.
+
 Between the steps only the sizes of buckets and a few count-of-count sums reach the driver.  Array files lie in the shared
 folder, which every worker must have mounted; they are written whole or not at all, so a lost executor's tasks repeat
 without harm.
@@ -38,6 +42,8 @@ from .storage import bound_batches, cut, local_path, scratch
 
 #: A task passes its counts on when so many ids have gathered.
 HELD = 4_000_000
+#: Bytes of training text for a bucket, at most.
+BUCKET_BYTES = 48 << 20
 #: Tokens whose trigrams are counted at once; three ranks among their distinct words fit 63 bits.
 GRAMS = 2_000_000
 #: The sums of a context with more followers than this are stored; those of others are summed when they are asked for.
@@ -117,7 +123,7 @@ def _blocks(bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterato
     if not len(keys):
         return
     order = np.lexsort((keys, bucket))
-    bucket, keys, counts = bucket[order], keys[order], counts[order].astype(np.uint32)
+    bucket, keys, counts = bucket[order], keys[order], counts[order].astype(np.uint32)  # of one task's texts
     ids = np.unique(bucket)
     begin = np.searchsorted(bucket, ids)
     end = np.append(begin[1:], len(bucket))
@@ -187,7 +193,7 @@ def _store_words(folder: str, often: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, keys, counts in _grouped(batches, np.uint64):
             _save(folder, f"words-{bucket}", keys, _attempt())
-            _save(folder, f"counts-{bucket}", counts.astype("<u4"), _attempt())
+            _save(folder, f"counts-{bucket}", counts.astype("<i8"), _attempt())
             top = np.argsort(-counts)[:4]
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "n": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64()), "top": pa.array([[{"at": int(i), "count": int(counts[i])} for i in top]], pa.list_(pa.struct([("at", pa.int64()), ("count", pa.int64())])))})
 
@@ -215,7 +221,7 @@ class _Vocabulary:
             at = np.minimum(np.searchsorted(known, unique[part]), len(known) - 1)
             hit = known[at] == unique[part]
             ids[part] = np.where(hit, self.base[b] + at, m.end + 2)
-            counts[part] = np.where(hit, _mapped(f"{m.folder}/counts-{b}", "<u4")[at], 0)
+            counts[part] = np.where(hit, _mapped(f"{m.folder}/counts-{b}", "<i8")[at], 0)
         return ids[inverse], counts[inverse]
 
     def sequences(self, c: W.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -266,7 +272,7 @@ def _count_bigrams(m: Model):
 _PACKED = pa.schema([("bucket", pa.int32()), ("body", pa.binary())])
 _PACKED_DDL = "bucket int, body binary"
 #: Columns of a packed block: differences of contexts (or of pairs), last words, counts.
-_PLANES = ("<i8", "<u4", "<u4")
+_PLANES = ("<i8", "<u4", "<i8")
 
 
 def _packed(bucket: np.ndarray, contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -286,7 +292,7 @@ def _packed(bucket: np.ndarray, contexts: np.ndarray, words: np.ndarray, counts:
 
 def _unpacked(body: bytes) -> list[np.ndarray]:
     n = int.from_bytes(body[:8], "little")
-    raw = np.frombuffer(pa.decompress(body[8:], decompressed_size=16 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    raw = np.frombuffer(pa.decompress(body[8:], decompressed_size=sum(np.dtype(x).itemsize for x in _PLANES) * n, codec="zstd", asbytes=True), dtype=np.uint8)
     out, at = [], 0
     for kind in _PLANES:
         width = np.dtype(kind).itemsize
@@ -418,12 +424,12 @@ def _store_bigrams(m: Model, hist: str):
         begin = np.searchsorted(at, found)
         pairs = list(zip(begin.tolist(), np.append(begin[1:], len(at)).tolist(), strict=True))
         if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array([side] * len(found), pa.int32()), pa.array([ids[a:b].tobytes() for a, b in pairs], pa.binary()), pa.array([values[a:b].astype("<u4").tobytes() for a, b in pairs], pa.binary())], schema=_SUMS)
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array([side] * len(found), pa.int32()), pa.array([ids[a:b].tobytes() for a, b in pairs], pa.binary()), pa.array([values[a:b].astype("<i8").tobytes() for a, b in pairs], pa.binary())], schema=_SUMS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, keys, counts in _grouped(batches, np.int64) if m.order == 2 else _pair_groups(batches):
             _save(m.folder, f"keys-{bucket}", keys, _attempt())
-            _save(m.folder, f"pairs-{bucket}", counts.astype("<u4"), _attempt())
+            _save(m.folder, f"pairs-{bucket}", counts.astype("<i8"), _attempt())
             classes = np.bincount(np.minimum(counts, 5), minlength=6)
             _save(f"{m.folder}/{hist}", f"{bucket}", np.append(classes[1:5], len(keys)).astype("<i8"), _attempt())
             context = keys // m.size
@@ -445,8 +451,8 @@ def _store_sums(m: Model):
     """Arrays indexed by id: for contexts total and discount classes, for words their continuations."""
 
     def close(at: int, contexts: np.ndarray, follows: np.ndarray) -> pa.RecordBatch:
-        _save(m.folder, f"contexts-{at}", contexts.astype("<u4"), _attempt())
-        _save(m.folder, f"follows-{at}", follows.astype("<u4"), _attempt())
+        _save(m.folder, f"contexts-{at}", contexts.astype("<i8"), _attempt())
+        _save(m.folder, f"follows-{at}", follows.astype("<i8"), _attempt())
         n = np.bincount(np.minimum(follows, 5), minlength=6)
         return pa.RecordBatch.from_pydict({"range": pa.array([at], pa.int32()), **{f"n{i}": pa.array([int(n[i])], pa.int64()) for i in range(1, 5)}})
 
@@ -460,7 +466,7 @@ def _store_sums(m: Model):
                     now, (low, high) = at, _range_bounds(m, at)
                     contexts, follows = np.zeros((high - low, 4), dtype=np.int64), np.zeros(high - low, dtype=np.int64)
                 place = np.frombuffer(ids, dtype=np.int64) - low
-                values = np.frombuffer(sums, dtype="<u4").astype(np.int64)
+                values = np.frombuffer(sums, dtype="<i8")
                 if side:
                     follows[place] += values  # a block has an id once
                 else:
@@ -489,19 +495,26 @@ def _classes(folder: str) -> list[int]:
 
 
 def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
-    """Counts the model over the rows of ``docs(text)`` for which ``training`` holds; null texts are empty ones."""
+    """Counts the model over the rows of ``docs(text)`` for which ``training`` holds.
+
+    Null texts are empty ones, repeated rows count each, and no rows give a model without words.  Where a count of counts
+    is missing, as in very small corpora, the discounts of that order are 0.5, 1.0 and 1.5.
+    """
     if order not in (2, 3):
         raise ValueError(f"order {order}: two or three")
     spark: SparkSession = docs.sparkSession
     bound_batches(spark)
     folder = local_path(scratch(spark, "kneser-ney"))
     os.makedirs(folder, exist_ok=True)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.filter(training).select("text")
+    size = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n_texts, n = size["n"], max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["bytes"] // BUCKET_BYTES))
     blocks = texts.mapInArrow(*_count_words(n)).repartition(n, "bucket").sortWithinPartitions("bucket")
     found = {r.bucket: r for r in cut(blocks.mapInArrow(*_store_words(folder, 0.1)), "words").collect()}
-    n_texts = texts.count()
-    m = Model(folder, n, [found[b].n if b in found else 0 for b in range(n)], sum(r.tokens for r in found.values()) + n_texts, n_texts, order=order)
+    sizes = [found[b].n if b in found else 0 for b in range(n)]
+    if sum(sizes) > (1 << 32) - 4:
+        raise ValueError("more than 2**32 - 4 distinct words")
+    m = Model(folder, n, sizes, sum(r.tokens for r in found.values()) + n_texts, n_texts, order=order)
     base = np.concatenate([[0], np.cumsum(m.sizes)])
     often = [int(base[b] + x.at) for b, r in found.items() for x in r.top if x["count"] * 8 * n > m.tokens]
     m.frequent = tuple(sorted(often)) + (m.end + 1,)
@@ -517,7 +530,7 @@ def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
         for name in ("keys", "pairs", "contexts", "follows", *(_TRIGRAM_FILES if order == 3 else ())):
             if not os.path.exists(f"{folder}/{name}-{b}"):
                 low, high = _range_bounds(m, b)
-                _save(folder, f"{name}-{b}", np.zeros({"contexts": 16 * (high - low), "follows": 4 * (high - low)}.get(name, 0), dtype=np.uint8), 0)
+                _save(folder, f"{name}-{b}", np.zeros({"contexts": 32 * (high - low), "follows": 8 * (high - low)}.get(name, 0), dtype=np.uint8), 0)
     *classes, m.bigrams = _classes(f"{folder}/classes")
     m.discounts2 = discounts(*classes)
     *classes, m.trigrams = _classes(f"{folder}/classes3")
@@ -547,7 +560,7 @@ class _Scorer:
         at = ids * m.buckets // m.size
         for b in np.unique(at).tolist():
             mine = at == b
-            out[mine] = _mapped(f"{m.folder}/{name}-{b}", "<u4").reshape(-1, columns)[ids[mine] - _range_bounds(m, b)[0]]
+            out[mine] = _mapped(f"{m.folder}/{name}-{b}", "<i8").reshape(-1, columns)[ids[mine] - _range_bounds(m, b)[0]]
         return out
 
     def probability(self, keys: np.ndarray) -> np.ndarray:
@@ -573,7 +586,7 @@ class _Scorer:
             stored = _mapped(f"{m.folder}/keys-{b}", "<i8")
             if len(stored):
                 at = np.minimum(np.searchsorted(stored, keys[mine]), len(stored) - 1)
-                counts[mine] = np.where(stored[at] == keys[mine], _mapped(f"{m.folder}/pairs-{b}", "<u4")[at], 0)
+                counts[mine] = np.where(stored[at] == keys[mine], _mapped(f"{m.folder}/pairs-{b}", "<i8")[at], 0)
         contexts, back = np.unique(context, return_inverse=True)
         sums = np.zeros((len(contexts), 4), dtype=np.int64)
         known = contexts != m.end + 2
@@ -647,7 +660,7 @@ class _Scorer:
         if not hasattr(self, "_found"):
             n = np.zeros(3, dtype=np.int64)
             for b in range(self.m.buckets):
-                n += np.bincount(np.minimum(_mapped(f"{self.m.folder}/follows-{b}", "<u4"), 3), minlength=4)[1:]
+                n += np.bincount(np.minimum(_mapped(f"{self.m.folder}/follows-{b}", "<i8"), 3), minlength=4)[1:]
             self._found = n
         return self._found
 
@@ -675,13 +688,15 @@ def _score(m: Model):
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``n_tokens, n_known, base_score, score, perplexity`` in place of ``text``.
+    """``docs`` with ``n_tokens, n_known, base_score, score, perplexity`` in place of ``text`` and of columns of these names.
 
-    A-Z are lower-cased; tokens are the words and one end; a null text is an empty one.  ``score`` is the model's log10
-    probability of the text, ``base_score`` that of single words with one added to each count.
+    A-Z are lower-cased; tokens are the words and one end; a null or empty text has the end alone.  ``score`` is the model's
+    log10 probability of the text, ``base_score`` that of single words with one added to each count.  Null ids and repeated
+    rows are scored like others.  An empty table gives an empty table; a model of no texts scores every token alike.
     """
-    rest = [f for f in docs.schema if f.name not in ("text", "n_tokens", "n_known", "base_score", "score")]
+    results = ("n_tokens", "n_known", "base_score", "score", "perplexity")
+    rest = [f for f in docs.schema if f.name.lower() not in ("text", *results)]
     run, types = _score(model)
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    out = docs.select(*(f.name for f in rest), "text").mapInArrow(run, f"{own}, {types}")
+    out = docs.select(*(f"`{f.name}`" for f in rest), "text").mapInArrow(run, f"{own}, {types}")
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
