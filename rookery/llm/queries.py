@@ -15,8 +15,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written to WARC archives and read back."""
-    back = warc.round_trip(_table(spark, sf_dir, "pages"), least=0, keep_payload=False)
+    """Pages written to WARC archives in segments of 2 KiB, so that most pages have several, and read back."""
+    back = warc.round_trip(_table(spark, sf_dir, "pages"), least=0, segment=2 << 10, keep_payload=False)
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -37,7 +37,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of each text and the verdict by thresholds that adapt to its language and source."""
+    """Counts of each text and the verdict by thresholds from the sketches of its language and source."""
     judged = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
@@ -72,7 +72,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     parsed = chat.parse(plain.drop("turns"), chat.train(plain.filter(~held)))
     roles = F.array_join("parsed.role", ",")
-    return parsed.select("conv_id", "part", held.alias("held_out"), "n_lines", F.size("parsed").cast("long").alias("n_turns"), roles.alias("roles"), "rendered")
+    return parsed.select("conv_id", "alone", "part", held.alias("held_out"), "n_lines", F.size("parsed").cast("long").alias("n_turns"), roles.alias("roles"), "rendered")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

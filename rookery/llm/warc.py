@@ -4,11 +4,13 @@ Writing: a page is one HTTP response record.  A block longer than ``segment`` by
 segment number 1, the others are continuation records that name the first one's id.  Of pages with equal payloads (of
 ``least`` bytes or more) those with the smallest page id are responses, the others are revisit records without a payload.
 Each record is a gzip member; files are closed at about ``file_bytes``, so that a reader's task holds one small file.  Which
-files count is said by a manifest that Spark commits with the tasks, so files of failed attempts are never read.
+files count is said by a manifest that Spark commits with the tasks, so files of failed attempts are never read.  Record ids
+are unique: equal rows are records of their own.
 
 Reading: files are parsed into records.  Continuation records are grouped by origin, ordered by number, joined, and their
 length compared with the total that the last one states; chunked framing is decoded; digests are verified.  A group holds
-one block.  Revisits take the size of the payload they refer to.
+one block.  Revisits take the size of the payload they refer to.  Joins on a digest are salted, as a third of all pages may be
+empty or equal.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from .storage import bound_batches, cut, open_folder, scratch
 
 _CHUNK = 16 << 10
+#: Parts that the rows of one digest are dealt to.
+SALTS = 32
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 _DATE = "2024-01-01T00:00:00Z"  # a fixed capture date keeps archives of equal input equal
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -83,9 +87,10 @@ def _any_line(value: str | None) -> str | None:
     return None if value is None else value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
 
 
-def _records_of(page: int | None, url: str | None, html: str | None, sha1: str, refers: int | None, revisit: bool, segment: int) -> Iterator[bytes]:
+def _records_of(page: int | None, url: str | None, html: str | None, sha1: str, refers: int | None, revisit: bool, segment: int, place: str) -> Iterator[bytes]:
+    """place: tells records of equal rows apart."""
     digest = "sha1:" + _base32(sha1)
-    ident = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page} {digest} {url}')}>"
+    ident = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page} {digest} {place}')}>"
     common = {"WARC-Target-URI": _one_line(url), "WARC-Payload-Digest": digest, "Rookery-Page": None if page is None else str(page)}
     if revisit:
         yield _record("revisit", b"", {"WARC-Record-ID": ident, **common, "WARC-Profile": _PROFILE, "Rookery-Refers-To-Page": str(refers)})
@@ -110,7 +115,7 @@ def _write(uri: str, segment: int, file_bytes: int):
         from pyspark import TaskContext
 
         fs, root = open_folder(uri)
-        attempt, number, out, size, records = TaskContext.get().taskAttemptId(), 0, None, 0, 0
+        attempt, number, out, size, records, row = TaskContext.get().taskAttemptId(), 0, None, 0, 0, 0
 
         def closed() -> pa.RecordBatch:
             out.close()
@@ -119,7 +124,8 @@ def _write(uri: str, segment: int, file_bytes: int):
         for batch in batches:
             columns = [batch.column(c) for c in ("page_id", "url", "html", "sha1", "refers", "revisit")]
             for i in range(batch.num_rows):
-                for data in _records_of(*(c[i].as_py() for c in columns), segment):
+                row += 1
+                for data in _records_of(*(c[i].as_py() for c in columns), segment, f"{attempt} {row}"):
                     if out is not None and size + len(data) > file_bytes:
                         yield closed()
                         out = None
@@ -145,10 +151,16 @@ def write_archives(pages: DataFrame, uri: str, least: int = 0, segment: int = 64
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     rows = rows.withColumns({"sha1": F.sha1(F.coalesce("html", F.lit("")).cast("binary")), "size": F.coalesce(F.octet_length("html"), F.lit(0))})
     first = rows.filter(F.col("size") >= least).groupBy("sha1").agg(F.min("page_id").alias("refers"), F.count("*").alias("copies")).filter("copies > 1").drop("copies")
-    known = rows.join(first, "sha1", "left").withColumn("revisit", F.coalesce((F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("refers")) & F.col("refers").isNotNull(), F.lit(False)))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    known = rows.join(_salted(first), ["sha1", "salt"], "left")
+    known = known.withColumn("revisit", F.coalesce((F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("refers")) & F.col("refers").isNotNull(), F.lit(False)))
     return known.select("page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "sha1", "refers", "revisit").mapInArrow(*_write(uri, segment, file_bytes))
 
 
+def _salted(small: DataFrame) -> DataFrame:
+    return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def _members(data: bytes) -> Iterator[bytes]:
     while data:
         reader = zlib.decompressobj(31)
@@ -190,12 +202,18 @@ def _read(keep: bool):
     def number(x: str | None) -> int | None:
         return None if x is None else int(x)
 
+    def content(path: str) -> bytes:
+        folder, name = path.rsplit("/", 1)
+        fs, root = open_folder(folder)
+        with fs.open_input_file(f"{root}/{name}") as file:
+            return file.read()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
+            for path in batch.column("file").to_pylist():
                 rows: list[dict] = []
                 held = 0
-                for member in _members(batch.column("content")[i].as_py()):
+                for member in _members(content(path)):
                     for f, block in _split_records(member):
                         stated = (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None
                         row = {"record_id": f["warc-record-id"], "record_type": f["warc-type"], "page_id": number(f.get("rookery-page")), "url": _any_line(f.get("warc-target-uri")), "stated": stated}
@@ -231,35 +249,34 @@ def _assemble(keep: bool):
                 else:
                     got = {"payload_bytes": None, "payload_digest": None, "whole": False, "block": None}
                 row = {k: head[k] for k in ("record_type", "page_id", "url", "stated")} | {"record_id": batch.column("origin")[i].as_py()} | got
-                yield pa.RecordBatch.from_pylist([{k: row.get(k) for k in schema.names}] * head["copies"], schema=schema)
+                yield pa.RecordBatch.from_pylist([{k: row.get(k) for k in schema.names}], schema=schema)
 
     return run, _FIELDS
 
 
 def read_archives(spark: SparkSession, files: DataFrame, keep_payload: bool = True) -> DataFrame:
-    """One row per response or revisit in the archives that ``files(file)`` names.
+    """One row per response or revisit in the archives that ``files(file)`` names; no files give no rows.
 
     ``record_id, record_type, page_id, url, refers_to, payload_bytes, payload_digest, whole`` and, if wanted, ``payload``.
-    ``whole`` is false where a segment is missing, the total length differs, the framing is broken or the digest is not the
-    stated one; size and digest are then null if no payload could be decoded.  A record that is there several times (same
-    id) is returned as often.  A revisit's size comes from the response that it refers to.
+    ``whole`` is false where a segment is missing or there twice, the total length differs, the framing is broken or the
+    digest is not the stated one; size and digest are then null if no payload could be decoded.  A revisit's size comes from
+    the response that it refers to, and is null if that is not there.
     """
-    folders = [r.folder for r in files.select(F.regexp_replace("file", "/[^/]*$", "").alias("folder")).distinct().collect()]  # a few folders, not files
-    if not folders:
-        records = spark.createDataFrame([], _FIELDS)
-    else:
-        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folders)
-        name = F.regexp_extract("path", "[^/]*$", 0)
-        wanted = files.select(F.regexp_extract("file", "[^/]*$", 0).alias("name"))
-        listed = found.withColumn("name", name).join(wanted, "name", "left_semi").select("content")
-        records = cut(listed.mapInArrow(*_read(keep_payload)), "records")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    records = cut(files.select("file").repartition(n, "file").mapInArrow(*_read(keep_payload)), "records")
     one = records.filter("number is null")
-    part = records.filter("number is not null").groupBy("origin", "number").agg(F.count("*").alias("copies"), *(F.max(c).alias(c) for c in ("record_type", "page_id", "url", "stated", "total")), F.first("block").alias("block"))
-    parts = part.groupBy("origin").agg(F.collect_list(F.struct("number", "copies", "record_type", "page_id", "url", "stated", "total", "block")).alias("parts"))
-    whole = one.unionByName(parts.mapInArrow(*_assemble(keep_payload)))
-    size = whole.filter("record_type = 'response' and whole").groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest")).agg(F.max("payload_bytes").alias("there"))
-    out = whole.join(size, ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.coalesce("payload_bytes", "there"))
-    return out.select("record_id", "record_type", "page_id", "url", "refers_to", "payload_bytes", "payload_digest", "whole", *([F.col("block").alias("payload")] if keep_payload else []))
+    part = F.struct("number", "record_type", "page_id", "url", "stated", "total", "block")
+    parts = records.filter("number is not null").groupBy("origin").agg(F.collect_list(part).alias("parts"))
+    whole = cut(one.unionByName(parts.mapInArrow(*_assemble(keep_payload))), "responses")
+    kept = ("record_id", "record_type", "page_id", "url", "refers_to", "payload_bytes", "payload_digest", "whole", "block")
+    revisit = whole.filter("record_type = 'revisit'").select(*kept)
+    wanted = revisit.groupBy("refers_to", "payload_digest").agg(F.count("*").alias("times")).drop("times")
+    size = whole.filter("record_type = 'response' and whole").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("there"))
+    found = _salted(wanted.join(size, ["refers_to", "payload_digest"]))
+    revisit = revisit.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int"))
+    revisit = revisit.join(found, ["refers_to", "payload_digest", "salt"], "left").withColumn("payload_bytes", F.col("there")).select(*kept)
+    out = whole.filter("record_type <> 'revisit'").select(*kept).unionByName(revisit)
+    return out.select(*kept[:-1], *([F.col("block").alias("payload")] if keep_payload else []))
 
 
 def round_trip(pages: DataFrame, least: int = 0, segment: int = 64 << 10, keep_payload: bool = True) -> DataFrame:
