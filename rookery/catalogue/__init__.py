@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from .domain import QUERIES as _DOMAIN
 from .domain import SQL as _DOMAIN_SQL
+from .fields import QUERIES as _FIELDS
+from .fields import SQL as _FIELDS_SQL
 from .planning import QUERIES as _PLANNING
 from .planning import SQL as _PLANNING_SQL
 from .tables import QUERIES as _TABLES
 from .tables import SQL as _TABLES_SQL
 
-QUERIES: dict = _DOMAIN | _PLANNING | _TABLES
-SQL: dict = _DOMAIN_SQL | _PLANNING_SQL | _TABLES_SQL
+QUERIES: dict = _DOMAIN | _FIELDS | _PLANNING | _TABLES
+SQL: dict = _DOMAIN_SQL | _FIELDS_SQL | _PLANNING_SQL | _TABLES_SQL

@@ -50,11 +50,11 @@ def resolve(link: Column, base: Column) -> Column:
     bare = F.regexp_extract(link, r"^[^?#]*", 0)
     tail = F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
     path = F.when(bare.startswith("/"), bare).otherwise(F.concat(folder, bare))
-    absolute = F.concat(origin_of(link), _without_dots(path_of(link)), _part(link, 4), _part(link, 5))
+    full = F.when(link.startswith("//"), F.concat(F.regexp_extract(origin, "^[a-z]+:", 0), link)).otherwise(link)
+    absolute = F.concat(origin_of(full), _without_dots(path_of(full)), _part(full, 4), _part(full, 5))
     same = F.concat(F.regexp_extract(base, r"^[^?#]*", 0), F.when(link.startswith("#"), F.regexp_extract(base, r"\?[^#]*", 0)).otherwise(""), tail)
     out = (
-        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), absolute)
-        .when(link.startswith("//"), F.concat(F.regexp_extract(origin, "^[a-z]+:", 0), link))
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://") | link.startswith("//"), absolute)
         .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(bare == "", same)
         .otherwise(F.concat(origin, _without_dots(path), tail))

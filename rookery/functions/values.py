@@ -9,48 +9,82 @@ SQUASH = r"\bsquash"
 PADEL_TENNIS = r"p[aá]d(el|dle)[\s-]*tennis"
 
 PUBLIC = "|".join(
-    r"""municipal municipio munic[ií]pio ayuntamiento ajuntament concello concejo c[aâ]mara·municipal prefeitura alcald[ií]a
-    \bcouncil\b \bborough\b \bcity·of\b \bcounty\b \btown·of\b \bvillage·of\b \bdistrict\b parks·(and|&)·rec \bpublic·(park|court|pool)
-    deportes·municipales \bcommunity\b \bcomunitari \brecreation\b \brecreativ leisure·cent leisure·center civic·cent social·club
-    \bvillage·hall\b centro·c[ií]vico casa·de·la·cultura polideportivo poliesportiu complejo·deportivo·municipal
-    centro·deportivo·municipal \bcharity\b \bnon-?profit\b \bfoundation\b funda[cç][aã]o fundaci[oó]n universidad universidade university
-    \bcollege\b \bschool\b \bacademy·of\b colegio col[eé]gio instituto escuela escola \bcampus\b \bstudent federaci[oó]n federa[cç][aã]o
-    federation \bassociation\b asociaci[oó]n associa[cç][aã]o \bconfedera \bleague\b \bliga\b \bcircuit\b ministerio minist[eé]rio gobierno
-    governo \bgovern \bstate·of\b \bYMCA\b \bYWCA\b \barmy\b \bnavy\b air·force \bmilitary\b defence defense \bpolice\b \bpolic[ií]a\b
-    penitenci""".split()
-).replace("·", " ")
-PUBLIC_DOMAIN = "|".join(r"\.gov(\.|$) \.gob(\.|$) \.gouv(\.|$) \.gv\. \.mil(\.|$) \.edu(\.|$) \.ac\. \.sch\. \.k12\. \.int(\.|$) ayuntamiento municipal prefeitura \.council\. council\.gov".split())
+    [
+        "municipal", "municipio", "munic[ií]pio", "ayuntamiento", "ajuntament", "concello", "concejo", "c[aâ]mara municipal", "prefeitura",
+        "alcald[ií]a", r"\bcouncil\b", r"\bborough\b", r"\bcity of\b", r"\bcounty\b", r"\btown of\b", r"\bvillage of\b", r"\bdistrict\b",
+        "parks (and|&) rec", r"\bpublic (park|court|pool)", "deportes municipales", r"\bcommunity\b", r"\bcomunitari", r"\brecreation\b", r"\brecreativ",
+        "leisure cent", "leisure center", "civic cent", "social club", r"\bvillage hall\b", "centro c[ií]vico", "casa de la cultura", "polideportivo",
+        "poliesportiu", "complejo deportivo municipal", "centro deportivo municipal", r"\bcharity\b", r"\bnon-?profit\b", r"\bfoundation\b",
+        "funda[cç][aã]o", "fundaci[oó]n", "universidad", "universidade", "university", r"\bcollege\b", r"\bschool\b", r"\bacademy of\b", "colegio",
+        "col[eé]gio", "instituto", "escuela", "escola", r"\bcampus\b", r"\bstudent", "federaci[oó]n", "federa[cç][aã]o", "federation",
+        r"\bassociation\b", "asociaci[oó]n", "associa[cç][aã]o", r"\bconfedera", r"\bleague\b", r"\bliga\b", r"\bcircuit\b", "ministerio",
+        "minist[eé]rio", "gobierno", "governo", r"\bgovern", r"\bstate of\b", r"\bYMCA\b", r"\bYWCA\b", r"\barmy\b", r"\bnavy\b", "air force",
+        r"\bmilitary\b", "defence", "defense", r"\bpolice\b", r"\bpolic[ií]a\b", "penitenci",
+    ]
+)
+PUBLIC_DOMAIN = "|".join(
+    [
+        r"\.gov(\.|$)", r"\.gob(\.|$)", r"\.gouv(\.|$)", r"\.gv\.", r"\.mil(\.|$)", r"\.edu(\.|$)", r"\.ac\.", r"\.sch\.", r"\.k12\.", r"\.int(\.|$)",
+        "ayuntamiento", "municipal", "prefeitura", r"\.council\.", r"council\.gov",
+    ]
+)
 CLUB_WORD = "|".join(
-    r"""\bclub\b \bclube\b \bclub[eu] \bcd\b \bct\b country·club racquet racket lawn·tennis tennis·club tenis·club t[eéê]nis·club p[aá]del
-    padel squash sports?·club sporting \bacademy\b academia centre·de·tennis centro·de·tenis centro·de·t[eéê]nis \bcourts?\b
-    \bclubhouse\b \bindoor\b \bcentre?\b \bcenter\b \bc[ií]rculo\b \bcircolo\b \bcercle\b club\b cent(er|re)\b \btc\b \bltc\b""".split()
-).replace("·", " ")
+    [
+        r"\bclub\b", r"\bclube\b", r"\bclub[eu]", r"\bcd\b", r"\bct\b", "country club", "racquet", "racket", "lawn tennis", "tennis club", "tenis club",
+        "t[eéê]nis club", "p[aá]del", "padel", "squash", "sports? club", "sporting", r"\bacademy\b", "academia", "centre de tennis", "centro de tenis",
+        "centro de t[eéê]nis", r"\bcourts?\b", r"\bclubhouse\b", r"\bindoor\b", r"\bcentre?\b", r"\bcenter\b", r"\bc[ií]rculo\b", r"\bcircolo\b",
+        r"\bcercle\b", r"club\b", r"cent(er|re)\b", r"\btc\b", r"\bltc\b",
+    ]
+)
 EMAIL = r"[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,24}"
 JUNK_EMAIL = "|".join(
-    r"""\.(png|jpe?g|gif|webp|svg|css|js|woff2?)$ @(2x|3x)\. sentry wixpress example\.(com|org|net) yourdomain domain\.com godaddy squarespace
-    wordpress\.(com|org) cloudflare placeholder ^email@ ^test@ ^user@ ^name@ ^your sentry\.io \.local$ jquery bootstrap
-    googlemail\.com\. lorem ipsum @email\. @mail\.com$ @domain""".split()
+    [
+        r"\.(png|jpe?g|gif|webp|svg|css|js|woff2?)$", r"@(2x|3x)\.", "sentry", "wixpress", r"example\.(com|org|net)", "yourdomain", r"domain\.com",
+        "godaddy", "squarespace", r"wordpress\.(com|org)", "cloudflare", "placeholder", "^email@", "^test@", "^user@", "^name@", "^your", r"sentry\.io",
+        r"\.local$", "jquery", "bootstrap", r"googlemail\.com\.", "lorem", "ipsum", r"@email\.", r"@mail\.com$", "@domain",
+    ]
 )
 NO_REPLY = r"^(no-?reply|donot-?reply|postmaster|hostmaster|abuse|privacy|dmarc|dkim|spam|webmaster|wordpress|admin@localhost|sales@wix)"
 REGISTER_JUNK = r"^(nonmember@nonmember|no-?reply@|donotreply@|example@|test@|your@|email@example|info@(mysite|website|example|domain))"
-ROLES = "info contact contacto contato geral general club clube clubhouse secretaria secretariat secretary admin administracion administra[cç][aã]o reservas reservations bookings hello enquiries enquiry office mail membership socios s[oó]cios manager gerencia director".split()
+ROLES = [
+    "info", "contact", "contacto", "contato", "geral", "general", "club", "clube", "clubhouse", "secretaria", "secretariat", "secretary", "admin",
+    "administracion", "administra[cç][aã]o", "reservas", "reservations", "bookings", "hello", "enquiries", "enquiry", "office", "mail", "membership",
+    "socios", "s[oó]cios", "manager", "gerencia", "director",
+]
 CONTACT_NAME = r"(?:contacto|contato|contact|secretari[oa]|secretary|president[ea]?|gerente|manager|responsable|respons[aá]vel|director[a]?)\s*[:\-–]\s*([A-ZÁÉÍÓÚÑÂÃÊÔÇ][\p{L}.'\-]+(?:\s+[A-ZÁÉÍÓÚÑÂÃÊÔÇ][\p{L}.'\-]+){1,3})"
 NOT_A_CONTACT = r"\b(club|tennis|padel|squash|email|telefono|phone)\b"
-STOPWORDS = "club clube de del la el los las do da dos das of the tenis tennis padel squash sports sport deportivo real centro centre center ct cd and y e lawn racquet racket asociacion asoc com www net org tennisclub padelclub squashclub sportclub".split()
-FREEMAIL = """gmail.com googlemail.com hotmail.com hotmail.es hotmail.co.uk outlook.com outlook.es live.com yahoo.com yahoo.es yahoo.co.uk
-    yahoo.com.br ymail.com aol.com icloud.com me.com mail.com gmx.com gmx.net protonmail.com proton.me terra.com.br uol.com.br bol.com.br
-    ig.com.br telefonica.net orange.es mail.telepac.pt sapo.pt clix.pt netcabo.pt hotmail.com.ar yahoo.com.ar zoho.com yandex.com free.fr
-    btinternet.com sky.com virginmedia.com msn.com""".split()
-AGGREGATOR = "|".join(r"wikipedia wikidata tripadvisor yelp expedia hotels?\.com playtomic matchi padelmates \bitf \bwta \batptour sportsvenue venue-?finder directory yellowpages businesslist facebook instagram youtube linkedin \.gov \.gob\. \bun\.org".split())
+STOPWORDS = [
+    "club", "clube", "de", "del", "la", "el", "los", "las", "do", "da", "dos", "das", "of", "the", "tenis", "tennis", "padel", "squash", "sports",
+    "sport", "deportivo", "real", "centro", "centre", "center", "ct", "cd", "and", "y", "e", "lawn", "racquet", "racket", "asociacion", "asoc",
+    "com", "www", "net", "org", "tennisclub", "padelclub", "squashclub", "sportclub",
+]
+FREEMAIL = [
+    "gmail.com", "googlemail.com", "hotmail.com", "hotmail.es", "hotmail.co.uk", "outlook.com", "outlook.es", "live.com", "yahoo.com", "yahoo.es",
+    "yahoo.co.uk", "yahoo.com.br", "ymail.com", "aol.com", "icloud.com", "me.com", "mail.com", "gmx.com", "gmx.net", "protonmail.com", "proton.me",
+    "terra.com.br", "uol.com.br", "bol.com.br", "ig.com.br", "telefonica.net", "orange.es", "mail.telepac.pt", "sapo.pt", "clix.pt", "netcabo.pt",
+    "hotmail.com.ar", "yahoo.com.ar", "zoho.com", "yandex.com", "free.fr", "btinternet.com", "sky.com", "virginmedia.com", "msn.com",
+]
+AGGREGATOR = "|".join(
+    [
+        "wikipedia", "wikidata", "tripadvisor", "yelp", "expedia", r"hotels?\.com", "playtomic", "matchi", "padelmates", r"\bitf", r"\bwta",
+        r"\batptour", "sportsvenue", "venue-?finder", "directory", "yellowpages", "businesslist", "facebook", "instagram", "youtube", "linkedin",
+        r"\.gov", r"\.gob\.", r"\bun\.org",
+    ]
+)
 LISTING_NAME = "|".join(
-    r"""encuentra busca(r|dor)? directorio listado gu[ií]a mejores los·\d find·(a|the|your) search·for best·\d? top·\d listings? booking·system
-    reserva·(tu|de) book·(a|your) compare marketplace platform software en·todo·el·mundo por·el·mundo no·mundo worldwide around·the·world
-    all·over·the·world del·mundo globally""".split()
-).replace("·", " ")
+    [
+        "encuentra", "busca(r|dor)?", "directorio", "listado", "gu[ií]a", "mejores", r"los \d", "find (a|the|your)", "search for", r"best \d?",
+        r"top \d", "listings?", "booking system", "reserva (tu|de)", "book (a|your)", "compare", "marketplace", "platform", "software",
+        "en todo el mundo", "por el mundo", "no mundo", "worldwide", "around the world", "all over the world", "del mundo", "globally",
+    ]
+)
 NOT_A_CLUB_SITE = "|".join(
-    r"""facebook instagram twitter x\.com youtube linkedin tiktok pinterest tripadvisor yelp foursquare yellowpages paginasamarillas
-    paginas-amarelas google\. maps\. goo\.gl wa\.me t\.me wikipedia wikimapia apple\.com openstreetmap booking\.com airbnb indeed glassdoor
-    crunchbase wanderboat cylex tuugo opendi hotfrog local\.ch infobel kompass findglocal eventbrite meetup amazon ebay \.pdf$""".split()
+    [
+        "facebook", "instagram", "twitter", r"x\.com", "youtube", "linkedin", "tiktok", "pinterest", "tripadvisor", "yelp", "foursquare", "yellowpages",
+        "paginasamarillas", "paginas-amarelas", r"google\.", r"maps\.", r"goo\.gl", r"wa\.me", r"t\.me", "wikipedia", "wikimapia", r"apple\.com",
+        "openstreetmap", r"booking\.com", "airbnb", "indeed", "glassdoor", "crunchbase", "wanderboat", "cylex", "tuugo", "opendi", "hotfrog",
+        r"local\.ch", "infobel", "kompass", "findglocal", "eventbrite", "meetup", "amazon", "ebay", r"\.pdf$",
+    ]
 )
 CLUB_PLATFORM = r"clubspark|lta\.org\.uk|matchi\.se|playtomic|courtreserve|sportlomo|teamer|pitchero|gameday|revolutionise|sportsengine|leaguerepublic|tenup|padelmanager|taykus"
 SOCIAL_HOST = r"facebook|instagram|twitter|x\.com|linktr\.ee|tiktok|youtube"
@@ -59,13 +93,27 @@ NAVIGATION = r"^(home|inicio|contacto|contact|about|login|registr|cookie|privac|
 NEXT_TEXT = r"^(next|siguiente|siguiente »|próxima|proxima|seguinte|»|>|older|next page)$"
 CHALLENGE = r"sgcaptcha|\/cdn-cgi\/challenge|cf[-_]chl|captcha-delivery|__cf_chl|jschl_vc|incapsula|distil_r_blocked|are you a human|enable javascript to continue"
 DRAWN_BY_SCRIPT = r'__NEXT_DATA__|window\.__|ng-app|data-react|vue-app|\.json"'
-EXCLUDED_CATEGORY = "|".join("College_and_University Universit Schools?_and /Schools?/ K-12 News_and_Media Magazines? Publications? Organizations? Associations? Federations? Governing Instruction Camps Coaching Products? Shopping Equipment Chats_and_Forums Personal_Pages Universidades Escuelas Organizaciones Federaci Noticias Revistas Tiendas Educa Not%C3%ADcias Lojas".split())
+EXCLUDED_CATEGORY = "|".join(
+    [
+        "College_and_University", "Universit", "Schools?_and", "/Schools?/", "K-12", "News_and_Media", "Magazines?", "Publications?", "Organizations?",
+        "Associations?", "Federations?", "Governing", "Instruction", "Camps", "Coaching", "Products?", "Shopping", "Equipment", "Chats_and_Forums",
+        "Personal_Pages", "Universidades", "Escuelas", "Organizaciones", "Federaci", "Noticias", "Revistas", "Tiendas", "Educa", "Not%C3%ADcias",
+        "Lojas",
+    ]
+)
 RELEVANT = r"(Tennis|Squash|Racquet|Racket|Padel|Paddle|Tenis|T%C3%AAnis|P%C3%A1del)"
-CONTACT_PATHS = "/contato /fale-conosco /faleconosco /fale-com-a-gente /atendimento /contact /contact-us /contacto /contactos /contacta /kontakt /about /quienes-somos /sobre-nos /socios /membership /reservas /impressum".split()
+CONTACT_PATHS = [
+    "/contato", "/fale-conosco", "/faleconosco", "/fale-com-a-gente", "/atendimento", "/contact", "/contact-us", "/contacto", "/contactos",
+    "/contacta", "/kontakt", "/about", "/quienes-somos", "/sobre-nos", "/socios", "/membership", "/reservas", "/impressum",
+]
 CONTACT_LINK = r"contact|contacto|contacta|contato|fale[-\s]?conosco|fale[-\s]?com|atendimento|contate|kontakt|about|quienes|sobre|nosotros|socios|membership|impressum|reservas"
 PLUMBING = r"^(cpanel|webmail|mail|ftp|autodiscover|autoconfig|cpcalendars|cpcontacts|smtp|pop3?|imap|ns\d*|server\d*|host\d*|vps\d*|mx\d*|staging|test|dev)\."
-MINED_WORDS = "padel tennisclub squashclub racquetclub clubdetenis tenisclub clubdepadel tenisclube clubedetenis".split()
-VANITY_TLDS = "tv fm io cc me ai gg to ws nu mu sc vu st tk".split()
+MINED_WORDS = [
+    "padel", "tennisclub", "squashclub", "racquetclub", "clubdetenis", "tenisclub", "clubdepadel", "tenisclube", "clubedetenis",
+]
+VANITY_TLDS = [
+    "tv", "fm", "io", "cc", "me", "ai", "gg", "to", "ws", "nu", "mu", "sc", "vu", "st", "tk",
+]
 TERMS = {
     "Spanish": ["club de tenis", "club de pádel", "club de squash", "academia de tenis", "centro de padel"],
     "Portuguese": ["clube de ténis", "clube de padel", "clube de squash", "academia de tênis", "centro de padel"],
@@ -76,16 +124,106 @@ CONTACT_WORD_OF_BRAZIL = "contato"
 CONTACT_WORD = {"Spanish": "contacto", "Portuguese": "contacto", "English": "contact"}
 # countries in the order of their table: code, name, language
 COUNTRIES = [
-    tuple(x.split(",") + [language])
-    for language, names in (
-        ("Spanish", "AR,Argentina;BO,Bolivia;CL,Chile;CO,Colombia;CR,Costa Rica;CU,Cuba;DO,Dominican Republic;EC,Ecuador;SV,El Salvador;GQ,Equatorial Guinea;GT,Guatemala;HN,Honduras;MX,Mexico;NI,Nicaragua;PA,Panama;PY,Paraguay;PE,Peru;ES,Spain;UY,Uruguay;VE,Venezuela"),
-        ("Portuguese", "AO,Angola;BR,Brazil;CV,Cape Verde;TL,East Timor;GW,Guinea-Bissau;MZ,Mozambique;PT,Portugal;ST,São Tomé and Príncipe"),
-        ("English", "AG,Antigua and Barbuda;AU,Australia;BS,Bahamas;BB,Barbados;BZ,Belize;BW,Botswana;CA,Canada;DM,Dominica;FJ,Fiji;GM,Gambia;GH,Ghana;GD,Grenada;GY,Guyana;IN,India;IE,Ireland;JM,Jamaica;KE,Kenya;KI,Kiribati;LS,Lesotho;LR,Liberia;MW,Malawi;MT,Malta;MH,Marshall Islands;MU,Mauritius;FM,Micronesia;NA,Namibia;NR,Nauru;NZ,New Zealand;NG,Nigeria;PK,Pakistan;PW,Palau;PG,Papua New Guinea;PH,Philippines;RW,Rwanda;KN,Saint Kitts and Nevis;LC,Saint Lucia;VC,Saint Vincent and the Grenadines;WS,Samoa;SC,Seychelles;SL,Sierra Leone;SG,Singapore;SB,Solomon Islands;ZA,South Africa;SS,South Sudan;SD,Sudan;TZ,Tanzania;TO,Tonga;TT,Trinidad and Tobago;TV,Tuvalu;UG,Uganda;GB,United Kingdom;US,United States;VU,Vanuatu;ZM,Zambia;ZW,Zimbabwe;AE,United Arab Emirates;CY,Cyprus;EG,Egypt;HK,Hong Kong;BM,Bermuda;KY,Cayman Islands;GI,Gibraltar;JE,Jersey;IM,Isle of Man"),
-        ("Spanish", "PR,Puerto Rico"),
-    )
-    for x in names.split(";")
+    ("AR", "Argentina", "Spanish"),
+    ("BO", "Bolivia", "Spanish"),
+    ("CL", "Chile", "Spanish"),
+    ("CO", "Colombia", "Spanish"),
+    ("CR", "Costa Rica", "Spanish"),
+    ("CU", "Cuba", "Spanish"),
+    ("DO", "Dominican Republic", "Spanish"),
+    ("EC", "Ecuador", "Spanish"),
+    ("SV", "El Salvador", "Spanish"),
+    ("GQ", "Equatorial Guinea", "Spanish"),
+    ("GT", "Guatemala", "Spanish"),
+    ("HN", "Honduras", "Spanish"),
+    ("MX", "Mexico", "Spanish"),
+    ("NI", "Nicaragua", "Spanish"),
+    ("PA", "Panama", "Spanish"),
+    ("PY", "Paraguay", "Spanish"),
+    ("PE", "Peru", "Spanish"),
+    ("ES", "Spain", "Spanish"),
+    ("UY", "Uruguay", "Spanish"),
+    ("VE", "Venezuela", "Spanish"),
+    ("AO", "Angola", "Portuguese"),
+    ("BR", "Brazil", "Portuguese"),
+    ("CV", "Cape Verde", "Portuguese"),
+    ("TL", "East Timor", "Portuguese"),
+    ("GW", "Guinea-Bissau", "Portuguese"),
+    ("MZ", "Mozambique", "Portuguese"),
+    ("PT", "Portugal", "Portuguese"),
+    ("ST", "São Tomé and Príncipe", "Portuguese"),
+    ("AG", "Antigua and Barbuda", "English"),
+    ("AU", "Australia", "English"),
+    ("BS", "Bahamas", "English"),
+    ("BB", "Barbados", "English"),
+    ("BZ", "Belize", "English"),
+    ("BW", "Botswana", "English"),
+    ("CA", "Canada", "English"),
+    ("DM", "Dominica", "English"),
+    ("FJ", "Fiji", "English"),
+    ("GM", "Gambia", "English"),
+    ("GH", "Ghana", "English"),
+    ("GD", "Grenada", "English"),
+    ("GY", "Guyana", "English"),
+    ("IN", "India", "English"),
+    ("IE", "Ireland", "English"),
+    ("JM", "Jamaica", "English"),
+    ("KE", "Kenya", "English"),
+    ("KI", "Kiribati", "English"),
+    ("LS", "Lesotho", "English"),
+    ("LR", "Liberia", "English"),
+    ("MW", "Malawi", "English"),
+    ("MT", "Malta", "English"),
+    ("MH", "Marshall Islands", "English"),
+    ("MU", "Mauritius", "English"),
+    ("FM", "Micronesia", "English"),
+    ("NA", "Namibia", "English"),
+    ("NR", "Nauru", "English"),
+    ("NZ", "New Zealand", "English"),
+    ("NG", "Nigeria", "English"),
+    ("PK", "Pakistan", "English"),
+    ("PW", "Palau", "English"),
+    ("PG", "Papua New Guinea", "English"),
+    ("PH", "Philippines", "English"),
+    ("RW", "Rwanda", "English"),
+    ("KN", "Saint Kitts and Nevis", "English"),
+    ("LC", "Saint Lucia", "English"),
+    ("VC", "Saint Vincent and the Grenadines", "English"),
+    ("WS", "Samoa", "English"),
+    ("SC", "Seychelles", "English"),
+    ("SL", "Sierra Leone", "English"),
+    ("SG", "Singapore", "English"),
+    ("SB", "Solomon Islands", "English"),
+    ("ZA", "South Africa", "English"),
+    ("SS", "South Sudan", "English"),
+    ("SD", "Sudan", "English"),
+    ("TZ", "Tanzania", "English"),
+    ("TO", "Tonga", "English"),
+    ("TT", "Trinidad and Tobago", "English"),
+    ("TV", "Tuvalu", "English"),
+    ("UG", "Uganda", "English"),
+    ("GB", "United Kingdom", "English"),
+    ("US", "United States", "English"),
+    ("VU", "Vanuatu", "English"),
+    ("ZM", "Zambia", "English"),
+    ("ZW", "Zimbabwe", "English"),
+    ("AE", "United Arab Emirates", "English"),
+    ("CY", "Cyprus", "English"),
+    ("EG", "Egypt", "English"),
+    ("HK", "Hong Kong", "English"),
+    ("BM", "Bermuda", "English"),
+    ("KY", "Cayman Islands", "English"),
+    ("GI", "Gibraltar", "English"),
+    ("JE", "Jersey", "English"),
+    ("IM", "Isle of Man", "English"),
+    ("PR", "Puerto Rico", "Spanish"),
+]
+PRIORITY = [
+    "ES", "GB", "BR", "AR", "US", "AU", "PT", "MX", "IN", "ZA", "CA", "IE", "NZ", "CL", "CO", "PE", "UY", "EC", "PY", "CR", "PA", "GT", "DO", "VE",
+    "BO", "SV", "HN", "NI", "CU", "SG", "PH", "PK", "KE", "NG", "MT", "MU", "ZW", "ZM", "TZ", "UG", "GH", "BW", "NA", "TT", "JM", "BS", "BB", "FJ",
+    "PG", "MZ", "AO", "CV", "SC", "MW", "RW", "GY", "BZ", "LC", "GD", "AG", "KN", "VC", "DM", "SS", "SD", "GM", "LS", "LR", "SL", "TL", "GW", "ST",
+    "GQ", "WS", "TO", "VU", "SB", "KI", "NR", "TV", "MH", "FM", "PW", "AE", "HK", "EG", "CY", "PR", "BM", "KY", "GI", "JE", "IM",
 ]
-PRIORITY = "ES GB BR AR US AU PT MX IN ZA CA IE NZ CL CO PE UY EC PY CR PA GT DO VE BO SV HN NI CU SG PH PK KE NG MT MU ZW ZM TZ UG GH BW NA TT JM BS BB FJ PG MZ AO CV SC MW RW GY BZ LC GD AG KN VC DM SS SD GM LS LR SL TL GW ST GQ WS TO VU SB KI NR TV MH FM PW AE HK EG CY PR BM KY GI JE IM".split()
 COUNTRY_ALIASES = {
     "Timor_Leste": "TL", "España": "ES", "México": "MX", "Perú": "PE", "Panamá": "PA", "República_Dominicana": "DO", "Brasil": "BR", "Estados_Unidos": "US",
     "Reino_Unido": "GB", "Irlanda": "IE", "Sudáfrica": "ZA", "Nueva_Zelanda": "NZ", "Filipinas": "PH", "Kenia": "KE",

@@ -117,6 +117,18 @@ def in_sync(queue: DataFrame, seeds: DataFrame, on: list[str], seeds_read: bool)
     return queue.join(seeds.select(*on).distinct(), on, "left_semi") if seeds_read else queue
 
 
+def with_emails(rows: DataFrame, emails: str) -> DataFrame:
+    """``rows`` with ``email``, the best of an array of addresses, and ``alt``, the next three."""
+    return rows.withColumns({"email": F.get(emails, F.lit(0)), "alt": F.slice(emails, 2, 3)})
+
+
+def with_leads(store: DataFrame, leads: DataFrame) -> DataFrame:
+    """``store`` with ``town, lat, lon`` of the lead that has a record's country and name; null where there is none."""
+    own = urls.key_for(F.lit(""), F.lit(""), F.col("cc"), F.col("name"), by_email=False)
+    there = leads.select(F.col("key").alias("lead"), "town", "lat", "lon")
+    return store.drop("town", "lat", "lon").withColumn("lead", own).join(there, "lead", "left").drop("lead")
+
+
 def latest_element(elements: DataFrame) -> DataFrame:
     """Map elements of several statements by type and id: the last one's content at the first one's place."""
     rest = [c for c in elements.columns if c not in ("type", "id", "ord")]

@@ -2,23 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rx
 
-KM_A_DEGREE = 111.32
-#: A dimension is broadcast up to so many rows; beyond that the join is by country and hashed word.
-BROADCAST_ROWS = 200_000
+#: Kilometres of a degree, as the results to be matched have it.
+KM_A_DEGREE = 111.0
 
 
 def cities(geonames: DataFrame, countries: DataFrame, least: int = 20_000) -> DataFrame:
-    """``cc, name, lat, lon, population, rank`` from ``geonames(ord, name, lat, lon, cc, population)``: the largest of a name in a country."""
-    fit = geonames.filter(F.col("population") >= least).join(F.broadcast(countries.select("cc")), "cc")
-    best = fit.groupBy("cc", F.lower("name").alias("low")).agg(F.max_by(F.struct("name", "lat", "lon", "population", "ord"), F.struct("population", -F.col("ord"))).alias("x"))
-    rows = best.select("cc", "x.*")
-    listed = rows.groupBy("cc").agg(F.array_sort(F.collect_list(F.struct((-F.col("population")).alias("p"), "ord", "name", "lat", "lon"))).alias("all"))  # a country's cities
-    return listed.select("cc", F.posexplode("all").alias("rank", "c")).select("cc", "c.name", "c.lat", "c.lon", (-F.col("c.p")).alias("population"), (F.col("rank") + 1).alias("rank"))
+    """``cc, name, lat, lon, population, rank`` from ``geonames(ord, name, lat, lon, cc, population)``: the largest of a name in a country.
+
+    Of equally large places of a country the one whose name comes first in the list ranks first.
+    """
+    fit = geonames.filter((F.col("population") >= least) & (F.coalesce("name", F.lit("")) != "")).join(F.broadcast(countries.select("cc")), "cc")
+    best = fit.groupBy("cc", F.lower("name").alias("low")).agg(F.max_by(F.struct("name", "lat", "lon", "population"), F.struct("population", -F.col("ord"))).alias("x"), F.min("ord").alias("ord"))
+    rank = F.row_number().over(Window.partitionBy("cc").orderBy(F.desc("x.population"), "ord"))  # a country's cities
+    return best.select("cc", "x.*", rank.alias("rank"))
+
+
+def by_plain_name(dimension: DataFrame) -> DataFrame:
+    """``cc, plain, city``: the city of each accent-free name; of several the smallest."""
+    return dimension.groupBy("cc", rx.strip_accents(F.col("name")).alias("plain")).agg(F.max_by("name", "rank").alias("city"))
+
+
+def coordinates(geonames: DataFrame, dimension: DataFrame) -> DataFrame:
+    """``cc, city, lat, lon, ord``: every place of the list that has a city's name in its country, however small."""
+    there = geonames.withColumn("plain", rx.strip_accents(F.col("name")))
+    return there.join(by_plain_name(dimension), ["cc", "plain"]).select("cc", "city", "lat", "lon", "ord")
 
 
 def distance_km(lat: Column, lon: Column, lat2: Column, lon2: Column) -> Column:
@@ -28,18 +40,25 @@ def distance_km(lat: Column, lon: Column, lat2: Column, lon2: Column) -> Column:
     return F.sqrt(x * x + y * y)
 
 
-def nearest(points: DataFrame, dimension: DataFrame, key: list[str], within: float = 30.0) -> DataFrame:
-    """``key, city, km``: the nearest city of the same country closer than ``within`` km, the first of equals.
+def nearest(points: DataFrame, there: DataFrame, key: list[str], within: float = 30.0) -> DataFrame:
+    """``key, city, km``: the city of the nearest of ``there(cc, city, lat, lon, ord)`` in the same country closer than ``within`` km, the first of equals.
 
-    Both sides go into cells as wide as the limit in latitude; a point meets the cells around it, so the join is an equality.
+    Places go into cells as wide as the limit in latitude and, at the latitude of their band that is furthest from the
+    equator, in longitude; a point meets the nine cells around it, so the join is an equality.
     """
     step = within / KM_A_DEGREE
-    cell = F.floor(F.col("lat") / step)
-    near = points.withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1))).alias("p")
-    there = dimension.withColumn("cell", cell).alias("c")
+    band = F.floor(F.col("lat") / step)
+
+    def across(lon: Column, cell: Column) -> Column:
+        far = F.least(F.greatest(F.abs(cell - 1), F.abs(cell + 2)) * step, F.lit(89.0))
+        return F.floor(lon / (step / F.cos(F.radians(far))))
+
+    near = points.withColumn("cell", F.explode(F.array(band - 1, band, band + 1)))
+    near = near.withColumn("side", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: across(F.col("lon"), F.col("cell")) + d))).alias("p")
+    place = there.withColumn("cell", band).withColumn("side", across(F.col("lon"), F.col("cell"))).alias("c")
     km = distance_km(F.col("p.lat"), F.col("p.lon"), F.col("c.lat"), F.col("c.lon"))
-    met = near.join(there, ["cc", "cell"]).select(*(F.col(f"p.{k}") for k in key), F.col("c.name").alias("city"), km.alias("km"), F.col("c.rank").alias("rank")).filter(F.col("km") < within)
-    return met.groupBy(*key).agg(F.min_by(F.struct("city", "km"), F.struct("km", "rank")).alias("x")).select(*key, "x.city", "x.km")
+    met = near.join(place, ["cc", "cell", "side"]).select(*(F.col(f"p.{k}") for k in key), "c.city", km.alias("km"), "c.ord").filter(F.col("km") < within)
+    return met.groupBy(*key).agg(F.min_by(F.struct("city", "km"), F.struct("km", "ord")).alias("x")).select(*key, "x.city", "x.km")
 
 
 def _flat(c: Column) -> Column:
@@ -55,12 +74,15 @@ def named_in(records: DataFrame, dimension: DataFrame, key: list[str], least: in
     return met.groupBy(*key).agg(F.max_by("name", F.struct(F.char_length("flat"), -F.col("rank"))).alias("city"))
 
 
-def place(records: DataFrame, dimension: DataFrame) -> DataFrame:
+def place(records: DataFrame, geonames: DataFrame, countries: DataFrame) -> DataFrame:
     """``key, city, method`` for records ``key, cc, name, town, lat, lon, city``: own, town, name, near or none."""
-    town = dimension.groupBy("cc", _flat(F.col("name")).alias("flat")).agg(F.min_by("name", "rank").alias("by_town"))
-    with_town = records.withColumn("flat", _flat(F.coalesce("town", F.lit("")))).join(town, ["cc", "flat"], "left")
+    dimension = cities(geonames, countries)
+    town = by_plain_name(dimension).withColumnRenamed("city", "by_town")
+    with_town = records.withColumn("plain", rx.strip_accents(F.col("town"))).join(town, ["cc", "plain"], "left")
     out = with_town.join(named_in(records, dimension, ["key"]).withColumnRenamed("city", "by_name"), "key", "left")
-    out = out.join(nearest(records.filter("lat is not null and lon is not null").select("key", "cc", "lat", "lon"), dimension, ["key"]).select("key", F.col("city").alias("by_place")), "key", "left")
+    points = records.filter("lat is not null and lon is not null").select("key", "cc", "lat", "lon")
+    near = nearest(points, coordinates(geonames, dimension), ["key"]).select("key", F.col("city").alias("by_place"))
+    out = out.join(near, "key", "left")
     own = F.nullif(F.coalesce("city", F.lit("")), F.lit(""))
     method = F.when(own.isNotNull(), "own").when(F.col("by_town").isNotNull(), "town").when(F.col("by_name").isNotNull(), "name").when(F.col("by_place").isNotNull(), "near").otherwise("none")
     return out.select("key", F.coalesce(own, "by_town", "by_name", "by_place").alias("city"), method.alias("method"))

@@ -130,6 +130,34 @@ def restore_counters(published: DataFrame, store: DataFrame, countries: DataFram
     return rows.agg(F.count("*").alias("total"), F.count_if(~new).alias("already"), F.count_if(new & F.col("wanted").isNotNull()).alias("to_add"), F.count_if(new & F.col("wanted").isNull()).alias("unknown_country"))
 
 
+def status(store: DataFrame, leads: DataFrame, queue: DataFrame, mine: DataFrame, priority: DataFrame, imports: DataFrame, now: Column) -> DataFrame:
+    """``section, value``: the sections of a status report, each as JSON."""
+
+    def section(name: str, one_row: DataFrame) -> DataFrame:
+        return one_row.select(F.lit(name).alias("section"), F.to_json(F.struct(*one_row.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+    reasons = top_reasons(store, F.col("crawlNote"), "ord", 6)
+    listed = reasons.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "reason"))).alias("all"))  # six rows
+    listed = listed.select(F.transform("all", lambda x: F.struct(x["reason"].alias("reason"), (-x["m"]).alias("n"))).alias("reasons"))
+    parts = {
+        "crawl": crawl_buckets(store, now),
+        "reasons": listed,
+        "imports": import_summary(priority, imports),
+        "leads": leads_summary(leads),
+        "seeds": seeds_summary(queue),
+        "mine": mine_summary(mine),
+    }
+    out = None
+    for name, rows in parts.items():
+        out = section(name, rows) if out is None else out.unionByName(section(name, rows))
+    return out
+
+
+def by_emails(slots: DataFrame) -> list[Column]:
+    """The order of countries in a report: most addresses first."""
+    return [F.desc("emails"), F.col("country")]
+
+
 def page_audit(pages: DataFrame) -> DataFrame:
     """For ``page, links array<struct<url,text>>, candidates array<struct<name,url,internal>>, emails``: counts and verdict."""
     inside = F.size(F.filter("candidates", lambda x: x["internal"]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import rules, rx, urls, values
 from .merge import filled
 
 DAY, MINUTE = 86_400_000, 60_000
@@ -42,11 +43,20 @@ def leads_due(leads: DataFrame, now: Column) -> DataFrame:
     return leads.filter(filled(F.col("searched")).isNull() | (filled(F.col("website")).isNull() & (age >= 30 * DAY)))
 
 
+def leads_reset(leads: DataFrame) -> DataFrame:
+    """Leads searched in vain count as never searched."""
+    again = filled(F.col("searched")).isNotNull() & filled(F.col("website")).isNull()
+    blank = lambda c: F.when(~again, F.col(c)).alias(c)
+    return leads.select(*(blank(c) if c in ("searched", "searchNote") else c for c in leads.columns))
+
+
 def requeued(store: DataFrame) -> DataFrame:
-    """Records given up on start anew."""
+    """Records given up on start anew, without a wait or a note."""
     again = filled(F.col("email")).isNull() & filled(F.col("website")).isNotNull() & ((F.col("crawlNote") == "no email published") | (_n("attempts") >= 3))
     again = F.coalesce(again, F.lit(False))
-    return store.withColumns({"attempts": F.when(again, 0).otherwise(_n("attempts")), "crawlNote": F.when(again, F.lit("")).otherwise(F.col("crawlNote"))})
+    new = {"attempts": F.when(again, 0).otherwise(_n("attempts")), "crawled": F.when(again, F.lit(False)).otherwise(F.col("crawled"))}
+    new |= {c: F.when(~again, F.col(c)) for c in ("crawlNote", "retryAfter")}
+    return store.select(*(new[c].alias(c) if c in new else c for c in store.columns))
 
 
 def next_countries(priority: DataFrame, state: DataFrame, now: Column, n: int) -> DataFrame:
@@ -65,6 +75,30 @@ def least_recent(rows: DataFrame, column: str, *last: str) -> DataFrame:
     return rows.orderBy(F.coalesce(F.col(column).cast("string"), F.lit("")), *last)
 
 
+def prospect_order(countries: DataFrame, state: DataFrame, round_no: int) -> DataFrame:
+    """``cc, prio, place``: odd rounds take ``countries(cc, prio)`` by priority, even ones the one of ``state(cc, last)`` that waited longest."""
+    rows = countries.join(state.select("cc", "last"), "cc", "left")
+    order = [F.col("prio")] if round_no % 2 else [F.coalesce("last", F.lit("")), F.col("prio")]
+    return rows.select("cc", "prio", F.row_number().over(Window.orderBy(*order)).alias("place"))  # some ninety rows
+
+
+def phase_order(round_no: int) -> tuple[str, str]:
+    """The phase that goes first, by the round's parity."""
+    return ("crawl", "prospect") if round_no % 2 == 0 else ("prospect", "crawl")
+
+
+def epoch_state(state: DataFrame, epoch: int) -> DataFrame:
+    """``state(cc, epoch, queriesDone, cityStats, ...)`` where progress of another epoch is forgotten."""
+    stale = ~F.col("epoch").eqNullSafe(F.lit(epoch))
+    new = {c: F.when(~stale, F.col(c)) for c in ("queriesDone", "cityStats")} | {"epoch": F.lit(epoch)}
+    return state.select(*(new[c].alias(c) if c in new else c for c in state.columns))
+
+
+def failure_wait(failures: Column) -> Column:
+    """Milliseconds to rest after so many failed rounds in a row: five seconds each, a minute at most."""
+    return F.least(F.lit(60_000), 5_000 * failures)
+
+
 def budget_prefix(rows: DataFrame, coarse: Column, order: list[str], cost: str, budget: float) -> DataFrame:
     """Rows in order until their costs so far reach the budget (the row that reaches it stays).
 
@@ -84,6 +118,38 @@ def failure_runs(rows: DataFrame, key: list[str], order: list[str], ok: Column,
     return rows.withColumns({"ok": ok, "run": run}).filter(~F.col("ok")).groupBy(*key, "run").agg(F.count("*").alias("length")).filter(F.col("length") >= least)
 
 
+def judged_results(leads: DataFrame, results: DataFrame) -> DataFrame:
+    """``key, query, rank, url, own, local, platform`` of search results, as ``pick_site`` needs them.
+
+    ``leads(key, name, cc)`` and ``results(key, query, rank, url, title)``.  Results that are never a club's site go, and so
+    do leads whose names have no distinctive word.  An own domain is named by its origin.  A page of a club platform
+    counts only if its path or title has every distinctive word of the name.
+    """
+    fit = leads.filter(F.size(rules.name_tokens(F.col("name"))) > 0).select("key", "name", "cc")
+    rows = results.filter(~rx.like(F.col("url"), values.NOT_A_CLUB_SITE)).withColumn("origin", urls.origin_of(F.col("url"))).filter("origin <> ''").join(fit, "key")
+    own = rules.plausible_site(F.col("name"), F.col("origin"))
+    path = F.substr("url", F.char_length("origin") + 1)
+    named = (rules.name_overlap(F.col("name"), path) == 1) | (rules.name_overlap(F.col("name"), F.col("title")) == 1)
+    local = F.coalesce(urls.country_of_host(urls.host_of(F.col("origin"))) == F.col("cc"), F.lit(False))
+    rows = rows.withColumns({"own": own, "local": local, "platform": ~own & rx.like(F.col("origin"), values.CLUB_PLATFORM) & named})
+    return rows.select("key", "query", "rank", F.when(F.col("own"), F.col("origin")).otherwise(F.col("url")).alias("url"), "own", "local", "platform")
+
+
+def sites_found(leads: DataFrame, results: DataFrame) -> DataFrame:
+    """``key, url, note`` for every lead of ``leads(key, name, cc)`` that was searched: its site, or why there is none."""
+    picked = pick_site(judged_results(leads, results), ["key"])
+    answered = results.select("key").distinct().withColumn("answered", F.lit(True))
+    rows = leads.select("key", "name").join(picked, "key", "left").join(answered, "key", "left")
+    note = (
+        F.when(F.size(rules.name_tokens(F.col("name"))) == 0, "name too generic to search")
+        .when(F.col("tier") == 3, F.concat(F.lit("club platform page "), F.col("url")))
+        .when(F.col("url").isNotNull(), F.concat(F.lit("own domain "), F.col("url")))
+        .when(F.col("answered").isNull(), "search engine did not answer")
+        .otherwise("no result matching the name")
+    )
+    return rows.select("key", F.coalesce("url", F.lit("")).alias("url"), note.alias("note"))
+
+
 def pick_site(results: DataFrame, key: list[str]) -> DataFrame:
     """The best search result of each lead: ``key, url, tier``.
 

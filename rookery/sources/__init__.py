@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -22,12 +23,28 @@ def countries(spark: SparkSession) -> DataFrame:
 
 
 def json_store(spark: SparkSession, path: str, record: str) -> DataFrame:
-    """Records of a file that is one JSON object by key; a file that cannot be read gives none."""
-    whole = spark.read.option("wholetext", True).text(path)
+    """Records of a file that is one JSON object by key; a missing file, or one that is no such object, gives none.
+
+    The file passes through one task as one string: this is how an old store of moderate size is imported once into a table.
+    """
+    try:
+        whole = spark.read.option("wholetext", True).text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        whole = spark.createDataFrame([], "value string")
     parsed = F.from_json("value", f"map<string,struct<{record}>>", {"mode": "PERMISSIVE"})
     return whole.select(F.explode(parsed).alias("key", "r")).select("key", "r.*")
 
 
+def published_extract(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """The records of a published extract ``{"clubs": [...]}``; one without records is refused, as nothing could be restored from it."""
+    rows = spark.read.schema(f"clubs array<struct<{record}>>").option("multiLine", True).json(path).select(F.explode("clubs").alias("r")).select("r.*")
+    if rows.isEmpty():
+        raise ValueError(f"{path}: no published records")
+    return rows
+
+
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A log of JSON objects, broken lines left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
@@ -53,9 +70,9 @@ def verdicts(lines: DataFrame, order: str) -> DataFrame:
 
 
 def geonames(spark: SparkSession, path: str) -> DataFrame:
-    """``name, lat, lon, cc, population`` of a tab-separated place list; what is no number counts as 0."""
+    """``ord, name, lat, lon, cc, population`` of a tab-separated place list, in the order of its lines; what is no number counts as 0."""
     rows = spark.read.option("sep", "\t").option("quote", "").csv(path)
-    return rows.select(F.col("_c1").alias("name"), F.expr("try_cast(_c4 as double)").alias("lat"), F.expr("try_cast(_c5 as double)").alias("lon"), F.col("_c8").alias("cc"), F.coalesce(F.expr("try_cast(_c14 as bigint)"), F.lit(0)).alias("population"))
+    return rows.select(F.monotonically_increasing_id().alias("ord"), F.col("_c1").alias("name"), F.expr("try_cast(_c4 as double)").alias("lat"), F.expr("try_cast(_c5 as double)").alias("lon"), F.col("_c8").alias("cc"), F.coalesce(F.expr("try_cast(_c14 as bigint)"), F.lit(0)).alias("population"))
 
 
 def accepted_pages(fetched: DataFrame, most: int = 4_000_000) -> DataFrame:
@@ -65,6 +82,21 @@ def accepted_pages(fetched: DataFrame, most: int = 4_000_000) -> DataFrame:
     return fetched.filter(F.col("status").between(200, 299) & typed & F.octet_length("html").between(1, most))
 
 
+def robots_rules(files: DataFrame) -> DataFrame:
+    """``host, prefix``: what robots files ``host, body`` disallow to every robot; a group of named robots is not ours."""
+    lines = F.transform(F.split("body", r"\r?\n"), rx.trimmed)
+    start = F.struct(F.lit(False).alias("ours"), F.array().cast("array<string>").alias("found"))
+
+    def step(state: Column, line: Column) -> Column:
+        prefix = rx.trimmed(F.regexp_replace(line, "^[^:]*:", ""))
+        named = rx.like(line, "^user-agent:")
+        kept = state["ours"] & rx.like(line, "^disallow:") & (prefix != "")
+        ours = F.when(named, rx.like(line, r"\*\s*$")).otherwise(state["ours"])
+        return F.struct(ours.alias("ours"), F.when(kept, F.concat(state["found"], F.array(prefix))).otherwise(state["found"]).alias("found"))
+
+    return files.select("host", F.explode(F.aggregate(lines, start, step)["found"]).alias("prefix"))
+
+
 def allowed_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Pages whose path begins with no disallowed prefix of their host's ``rules(host, prefix)``."""
     met = F.col("p.host").eqNullSafe(F.col("r.host")) & F.col("p.path").startswith(F.col("r.prefix"))
@@ -179,6 +211,22 @@ def decoded(body: Column, content_type: Column) -> Column:
     return F.when(charset == "utf-8", utf8).when(charset == "windows-1252", F.translate(F.decode(body, "ISO-8859-1"), from_, to)).otherwise(other)
 
 
+def new_seeds(found: DataFrame, lines: DataFrame) -> DataFrame:
+    """``value``: lines to append for ``found(cc, url)`` whose URLs no line of the list has yet, not even as the beginning of another.
+
+    A line's URL is met by all of its beginnings, so the anti-join is an equality.
+    """
+    known = lines.select(F.regexp_extract("value", r"https?://\S*", 0).alias("u")).filter("u <> ''")
+    begun = known.select(F.explode(F.transform(F.sequence(F.lit(1), F.char_length("u")), lambda n: F.substr("u", F.lit(1), n))).alias("url")).distinct()
+    first = found.groupBy("url").agg(F.min("cc").alias("cc"))
+    return first.join(begun, "url", "left_anti").select(F.concat("cc", F.lit("  "), "url").alias("value"))
+
+
+def trimmed_log(lines: DataFrame, order: str, keep: int = 400) -> DataFrame:
+    """A log that is over twice as long as ``keep``, cut to its last lines."""
+    return lines.orderBy(F.desc(order)).limit(keep) if lines.limit(2 * keep + 1).count() > 2 * keep else lines
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     """A text extract; replaced as a whole by Spark's committer."""
     lines.write.mode("overwrite").text(path)
