@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .cases import QUERIES as _CASES
+from .cases import SQL as _CASES_SQL
 from .domain import QUERIES as _DOMAIN
 from .domain import SQL as _DOMAIN_SQL
 from .fields import QUERIES as _FIELDS
@@ -11,5 +13,5 @@ from .planning import SQL as _PLANNING_SQL
 from .tables import QUERIES as _TABLES
 from .tables import SQL as _TABLES_SQL
 
-QUERIES: dict = _DOMAIN | _FIELDS | _PLANNING | _TABLES
-SQL: dict = _DOMAIN_SQL | _FIELDS_SQL | _PLANNING_SQL | _TABLES_SQL
+QUERIES: dict = _DOMAIN | _FIELDS | _PLANNING | _CASES | _TABLES
+SQL: dict = _DOMAIN_SQL | _FIELDS_SQL | _PLANNING_SQL | _CASES_SQL | _TABLES_SQL

@@ -181,7 +181,7 @@ def site_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.pick_site(V.RESULTS.spark(spark, sf_dir), ["lead"])
 
 
-@_query(f"with recursive r as (select 'a' node, 0 depth union select dst, depth + 1 from r join {V.EDGES.sql} e on e.src = r.node where depth < 9) select node, min(depth) depth from r group by 1")
+@_query(f"with recursive r as (select 'a' node, 0 depth union select dst, depth + 1 from r join {V.EDGES.sql} e on e.src = r.node where depth < 40) select node, min(depth) depth from r group by 1")
 def walk_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a walk reaches."""
     return walk.reach(V.EDGES.spark(spark, sf_dir), spark.createDataFrame([("a",)], "node string"))

@@ -111,12 +111,6 @@ def leads_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.leads_by_country(V.LEADS.spark(spark, sf_dir))
 
 
-@_query()
-def site_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The site's figures as one JSON line."""
-    return reports.site_summary(merge.publishable(V.STORE.spark(spark, sf_dir))).select(F.to_json(F.struct("count", "byCountry", "bySport")).alias("line"))
-
-
 @_query()
 def register_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Venues of a register, with the second opinion of their own sites."""

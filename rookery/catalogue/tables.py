@@ -88,11 +88,31 @@ def emails_raw(documents: DataFrame) -> DataFrame:
     return documents.filter(F.col("text").contains("@")).select("doc_id", F.array_join(F.array_sort(found), " ").alias("emails")).filter("emails <> ''")
 
 
-@_query(None, "pages")
+def _i(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "', 'i'"
+
+
+# a club's own name as a link text, by the rules for sports and private clubs
+_CLUB_LIKE = f"""length(label) between 4 and 90 and regexp_matches(label, {_i('|'.join((values.TENNIS, values.PADEL, values.PADEL_TENNIS, values.SQUASH)))})
+    and not regexp_matches(label || '  ', {_i(values.PUBLIC)}) and regexp_matches(label || '  ', {_i(values.CLUB_WORD)})"""
+_SPELT = "html"
+for _p, _to in ((r"&#0?64;", "@"), (r"&#0?46;", "."), (r"\s*[\[({]\s*(at|arroba|arobase)\s*[\])}]\s*", "@"), (r"\s*[\[({]\s*(dot|punto|ponto)\s*[\])}]\s*", "."), (r"\s+(at)\s+", "@"), (r"\s+(dot|punto|ponto)\s+", ".")):
+    _SPELT = f"regexp_replace({_SPELT}, '{_p}', '{_to}', 'gi')"
+_EMAILS = f"""(select page_id, count(distinct e) emails from (select page_id, regexp_replace(regexp_replace(lower(e), '^[^a-z0-9]+|[^a-z0-9._%+@-]+$', '', 'g'), '[.]$', '') e from (
+    select page_id, unnest(list_concat(regexp_extract_all(html, '{values.EMAIL}', 0, 'i'), regexp_extract_all({_SPELT}, '{values.EMAIL}', 0, 'i'))) e from pages))
+    where regexp_full_match(e, '{values.EMAIL}', 'i') and length(e) < 80 and not regexp_matches(e, {_i(values.JUNK_EMAIL)}) and not regexp_matches(e, {_i(values.NO_REPLY)}) group by 1)"""
+_COUNTS = f"""(select p.page_id page, p.url, html, coalesce(n, 0)::int links, coalesce(internal, 0)::int internal, coalesce(external, 0)::int external, coalesce(emails, 0)::int emails from pages p
+    left join (select page_id, count(*) n from ({_LINKS}) group by 1) using (page_id) left join {_EMAILS} using (page_id) left join (
+        select page_id, count(*) filter (own) internal, count(*) filter (not own) external from (select l.page_id, starts_with(link, {_ORIGIN}) own, row_number() over (partition by l.page_id, label order by place) r
+            from ({_LINKS}) l join pages using (page_id) where {_CLUB_LIKE}) where r = 1 group by 1) using (page_id))"""
+
+
+@_query(f"select page, links, internal, external, emails, case when emails >= 3 or external >= 3 then 'GOOD' else 'MAYBE' end verdict from {_COUNTS}", "pages")
 def page_audit(pages: DataFrame) -> DataFrame:
     """Counts and a verdict for every page."""
-    rows = pages.select(F.col("page_id").alias("page"), html.links(F.col("html"), F.col("url")).alias("links"), judging.club_links(F.col("html"), F.col("url")).alias("candidates"), emails.extract_emails(F.col("html"), urls.host_of(F.col("url"))).alias("emails"))
-    return reports.page_audit(rows)
+    found = F.size(emails.extract_emails(F.col("html"), urls.host_of(F.col("url"))))
+    rows = pages.select(F.col("page_id").alias("page"), judging.link_counts(F.col("html"), F.col("url")).alias("c"), found.alias("emails"))
+    return reports.page_audit(rows.select("page", "c.*", "emails"))
 
 
 @_query(
@@ -184,19 +204,29 @@ def decoded_pages(pages: DataFrame) -> DataFrame:
     return pages.withColumn("t", text).select("page_id", F.char_length("t").cast("bigint").alias("n_chars"), F.md5("t").alias("digest"))
 
 
-@_query(None, "pages")
+@_query(f"""select url, links, internal, external, emails, case when html = '' then 'REJECT unreadable' when internal + external = 0 and regexp_matches(html, '{values.DRAWN_BY_SCRIPT}') then 'REJECT empty/js'
+    when internal + external = 0 then 'REJECT empty' when emails >= 3 or external >= 3 then 'GOOD' else 'MAYBE' end verdict from {_COUNTS}""", "pages")
 def seed_check(pages: DataFrame) -> DataFrame:
     """The verdict on every page as a seed."""
     return judging.checked(pages.select("url", "html", F.lit(True).alias("allowed")))
 
 
-@_query(None, "pages")
+@_query(f"""select c.url, coalesce(n, 0)::int clubs, coalesce(b, '') branches, emails, case when html = '' then 'RETRY' when regexp_matches(c.url, {_i(values.EXCLUDED_CATEGORY)}) then 'EXCLUDED' when coalesce(n, 0) >= 5 then 'SEED' else 'THIN' end verdict from {_COUNTS} c
+    left join (select l.page_id, count(*) filter (not starts_with(link, {_ORIGIN}) and {_CLUB_LIKE} and not regexp_matches(link, {_i(values.PUBLIC_DOMAIN)})) n,
+        string_agg(distinct regexp_replace(split_part(link, '#', 1), '/$', ''), ' ') filter (starts_with(link, {_ORIGIN}) and regexp_matches(link, '/(en|es|pt)/(Sports|Regional|Deportes|Esportes)/') and regexp_matches(link, {_i(values.RELEVANT)})) b
+        from ({_LINKS}) l join pages using (page_id) group by 1) on page_id = page""", "pages")
 def category_verdict(pages: DataFrame) -> DataFrame:
     """The verdict on every page as a directory's category."""
-    return judging.category_pages(pages.select("url", "html"))
+    found = judging.category_pages(pages.select("url", "html"))
+    return found.select("url", "clubs", F.array_join("subcategories", " ").alias("branches"), "emails", "verdict")
 
 
-@_query(None, "pages")
+_GUESSED = ", ".join(f"({i + 1000}, '{p}')" for i, p in enumerate(values.CONTACT_PATHS))
+
+
+@_query(f"""with o as (select page_id, {_ORIGIN} origin from pages), c as (select page_id, place, link from ({_LINKS}) join o using (page_id) where starts_with(link, origin) and (regexp_matches(link, {_i(values.CONTACT_LINK)}) or regexp_matches(label, {_i(values.CONTACT_LINK)}))
+        union all select page_id, g, origin || path from o cross join (values {_GUESSED}) v(g, path)), f as (select page_id, link, min(place) place from c group by 1, 2)
+    select page_id, string_agg(link, ' ' order by place) pages from (select *, row_number() over (partition by page_id order by place) r from f) where r <= 8 group by 1""", "pages")
 def contact_pages(pages: DataFrame) -> DataFrame:
     """Where each page's site may say how to reach it."""
-    return pages.select("page_id", html.contact_pages(F.col("html"), F.col("url")).alias("pages"))
+    return pages.select("page_id", F.array_join(html.contact_pages(F.col("html"), F.col("url")), " ").alias("pages"))

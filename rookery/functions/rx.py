@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,6 +25,11 @@ def rx(pattern: str, fold: bool = True) -> str:
     return ("(?iu)" if fold else "") + out
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def like(text: Column, pattern: str, fold: bool = True) -> Column:
     """Whether a pattern in ECMAScript notation is found; a null text has nothing."""
     return F.coalesce(text.rlike(rx(pattern, fold)), F.lit(False))

@@ -159,8 +159,6 @@ def by_emails(slots: DataFrame) -> list[Column]:
 
 
 def page_audit(pages: DataFrame) -> DataFrame:
-    """For ``page, links array<struct<url,text>>, candidates array<struct<name,url,internal>>, emails``: counts and verdict."""
-    inside = F.size(F.filter("candidates", lambda x: x["internal"]))
-    outside = F.size("candidates") - inside
-    n = F.size("emails")
-    return pages.select("page", F.size("links").alias("links"), inside.alias("internal"), outside.alias("external"), n.alias("emails"), F.when((n >= 3) | (outside >= 3), "GOOD").otherwise("MAYBE").alias("verdict"))
+    """``pages(page, links, internal, external, emails)``, all counts, with a verdict."""
+    good = (F.col("emails") >= 3) | (F.col("external") >= 3)
+    return pages.select("page", "links", "internal", "external", "emails", F.when(good, "GOOD").otherwise("MAYBE").alias("verdict"))

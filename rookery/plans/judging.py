@@ -13,14 +13,27 @@ def _club_like(name: Column, website: Column) -> Column:
     return F.char_length(name).between(4, 90) & (F.size(rules.detect_sports(name)) > 0) & rules.private_gate(name, website, none)["ok"]
 
 
-def club_links(page: Column, base: Column) -> Column:
-    """Links whose text alone names a private club with a racket sport: ``name, url, internal``, one for each text (the first)."""
-    fit = F.filter(html.links(page, base), lambda x: _club_like(x["text"], F.lit("")))
+def club_links(links: Column, base: Column) -> Column:
+    """Of a page's ``links`` those whose text alone names a private club with a racket sport: ``name, url, internal``, one for each text (the first)."""
+    fit = F.filter(links, lambda x: _club_like(x["text"], F.lit("")))
     names = F.transform(fit, lambda x: x["text"])
     first = F.filter(fit, lambda x, i: F.array_position(names, x["text"]) == i + 1)
     return F.transform(first, lambda x: F.struct(x["text"].alias("name"), x["url"].alias("url"), x["url"].startswith(urls.origin_of(base)).alias("internal")))
 
 
+def link_counts(page: Column, base: Column) -> Column:
+    """``struct<links, internal, external>``: all links of a page, and those that name clubs inside and outside its site; links are found once."""
+
+    def counted(links: Column) -> Column:
+        return rx.let(club_links(links, base), lambda clubs: of(links, clubs))
+
+    def of(links: Column, clubs: Column) -> Column:
+        inside = F.size(F.filter(clubs, lambda x: x["internal"]))
+        return F.struct(F.size(links).alias("links"), inside.alias("internal"), (F.size(clubs) - inside).alias("external"))
+
+    return rx.let(html.links(page, base), counted)
+
+
 def category_pages(pages: DataFrame, least: int = 5) -> DataFrame:
     """``url, clubs, subcategories, emails, verdict`` of directory pages ``url, html``.
 
@@ -42,9 +55,7 @@ def checked(pages: DataFrame) -> DataFrame:
     Rejected in order: not allowed by robots rules, unreadable, without a club-like link (``/js`` if scripts seem to draw it).
     """
     page = F.coalesce("html", F.lit(""))
-    rows = pages.withColumns({"l": html.links(page, F.col("url")), "c": club_links(page, F.col("url")), "e": emails.extract_emails(page, urls.host_of(F.col("url")))})
-    inside = F.size(F.filter("c", lambda x: x["internal"]))
-    rows = rows.select("url", "html", "allowed", F.size("l").alias("links"), inside.alias("internal"), (F.size("c") - inside).alias("external"), F.size("e").alias("emails"))
+    rows = pages.select("url", "html", "allowed", link_counts(page, F.col("url")).alias("c"), F.size(emails.extract_emails(page, urls.host_of(F.col("url")))).alias("emails")).select("*", "c.*")
     verdict = (
         F.when(~F.coalesce("allowed", F.lit(True)), "REJECT robots")
         .when(page == "", "REJECT unreadable")

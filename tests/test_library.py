@@ -7,9 +7,9 @@ from rookery import sources
 from rookery.catalogue import QUERIES, SQL
 from rookery.catalogue import inline as V
 from rookery.functions import emails, html, rules, rx, urls, values
-from rookery.operators import merge, reports
+from rookery.operators import merge, places, reports, schedule
 from rookery.plans import judging, records, walk
-from rookery.streaming import rounds, tumbling
+from rookery.streaming import first_seen, rounds, tumbling
 from tests.oracle import same
 
 SF = "/root/testdata/sf0.001"
@@ -71,9 +71,9 @@ def test_country_table():
 
 
 def test_merge_is_idempotent_and_empty_tables_work(spark):
-    store = V.STORE.spark(spark)
-    once = merge.upsert(store, V.NEW.spark(spark), "map")
-    twice = merge.upsert(once, V.NEW.spark(spark), "map")
+    store = V.STORE.spark(spark, SF)
+    once = merge.upsert(store, V.NEW.spark(spark, SF), "map")
+    twice = merge.upsert(once, V.NEW.spark(spark, SF), "map")
     assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
     empty = store.limit(0)
     assert merge.upsert(empty, empty, "harvest").count() == merge.publishable(empty).count() == 0
@@ -103,7 +103,7 @@ def test_vetting_gives_the_first_reason(spark):
 
 
 def test_walk_without_edges(spark):
-    edges = V.EDGES.spark(spark).limit(0)
+    edges = V.EDGES.spark(spark, SF).limit(0)
     assert walk.reach(edges, spark.createDataFrame([("z",)], "node string")).count() == 1
 
 
@@ -117,12 +117,12 @@ def test_windows_of_a_stream_equal_those_of_the_table(spark, tmp_path):
 
 
 def test_rounds_equal_one_merge(spark, tmp_path):
-    new = V.NEW.spark(spark)
+    new = V.NEW.spark(spark, SF)
     new.repartition(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(new.schema).parquet(str(tmp_path / "in"))
     rounds(stream, str(tmp_path / "store"), "map", str(tmp_path / "c")).awaitTermination(120)
     stored = spark.read.schema(new.schema).parquet(str(tmp_path / "store" / "snapshot=0"))
-    want = merge.upsert(V.STORE.spark(spark).limit(0), new, "map")
+    want = merge.upsert(V.STORE.spark(spark, SF).limit(0), new, "map")
     assert {r.key: r.sports for r in stored.collect()} == {r.key: r.sports for r in want.collect()}
 
 
@@ -186,11 +186,11 @@ def test_contact_pages(spark):
 
 
 def test_site_summary(spark):
-    found = json.loads(QUERIES["site_summary"](spark, "").first().line)
-    published = QUERIES["publishable"](spark, "").collect()
+    found = json.loads(QUERIES["site_summary"](spark, SF).first().line)
+    published = QUERIES["publishable"](spark, SF).collect()
     assert found["count"] == len(published) == sum(found["byCountry"].values())
     assert set(found["bySport"]) == {"Tennis", "Padel", "Squash"}
-    empty = reports.site_summary(merge.publishable(V.STORE.spark(spark).limit(0))).first()
+    empty = reports.site_summary(merge.publishable(V.STORE.spark(spark, SF).limit(0))).first()
     assert (empty["count"], empty["byCountry"], empty["bySport"]) == (0, {}, {"Tennis": 0, "Padel": 0, "Squash": 0})
 
 
@@ -200,3 +200,62 @@ def test_site_summary(spark):
 )
 def test_reasons_without_particulars(spark, reason, places, plain):
     assert one(spark, rules.normalised_reason(F.col("r"), places), r=reason) == plain
+
+
+def test_stores_and_extracts(spark, tmp_path):
+    assert sources.json_store(spark, str(tmp_path / "missing.json"), "name string").collect() == []
+    (tmp_path / "store.json").write_text('{"a": {"name": "A"}, "b": {"name": null}}')
+    (tmp_path / "broken.json").write_text('{"a": {"na')
+    assert {tuple(r) for r in sources.json_store(spark, str(tmp_path / "store.json"), "name string").collect()} == {("a", "A"), ("b", None)}
+    assert sources.json_store(spark, str(tmp_path / "broken.json"), "name string").collect() == []
+    (tmp_path / "site.json").write_text('{"clubs": [\n{"name": "A", "email": "a@b.es"},\n{"name": "B"}]}')
+    assert {r.name for r in sources.published_extract(spark, str(tmp_path / "site.json"), "name string, email string").collect()} == {"A", "B"}
+    (tmp_path / "none.json").write_text('{"clubs": []}')
+    with pytest.raises(ValueError):
+        sources.published_extract(spark, str(tmp_path / "none.json"), "name string")
+
+
+def test_a_place_list_becomes_the_city_dimension(spark, tmp_path):
+    line = lambda name, lat, lon, cc, n: "\t".join(["1", name, "", "", str(lat), str(lon), "", "", cc, "", "", "", "", "", str(n)])
+    lines = [line("Leeds", 53.8, -1.5, "GB", 500000), line("leeds", 50.0, 0.5, "GB", 20), line("York", 53.9, -1.0, "GB", 500000), line("Léon", 47, 2, "FR", 90000), line("León", 42.6, -5.5, "ES", 120000), line("Leon", 37, -5, "ES", 30000), line("X", 1, 1, "GB", "many")]
+    (tmp_path / "places.tsv").write_text("\n".join(lines))
+    geo = sources.geonames(spark, str(tmp_path / "places.tsv"))
+    cities = places.cities(geo, sources.countries(spark))
+    assert {(r.cc, r.name, r["rank"]) for r in cities.collect()} == {("GB", "Leeds", 1), ("GB", "York", 2), ("ES", "León", 1), ("ES", "Leon", 2)}
+    assert places.by_plain_name(cities).filter("cc = 'ES'").first().city == "Leon"  # the smaller one of a plain name
+    rows = [("a", "GB", "Club", None, 50.01, 0.5, None), ("b", "ES", "Club", "LEÓN", None, None, None), ("c", "GB", "Club", None, 50.5, 0.5, None)]
+    records_ = spark.createDataFrame(rows, "key string, cc string, name string, town string, lat double, lon double, city string")
+    got = {r.key: (r.city, r.method) for r in places.place(records_, geo, sources.countries(spark)).collect()}
+    assert got == {"a": ("Leeds", "near"), "b": ("Leon", "town"), "c": (None, "none")}
+
+
+def test_nearest_equals_all_distances(spark):
+    import math
+    import random
+
+    rng = random.Random(4)
+    there = [("XX", f"c{i}", rng.uniform(-88, 88), rng.uniform(-180, 180), i) for i in range(400)] + [("XX", f"n{i}", 60 + rng.uniform(-1, 1), 10 + rng.uniform(-2, 2), 1000 + i) for i in range(60)]
+    points = [(i, "XX", lat + rng.uniform(-0.4, 0.4), lon + rng.uniform(-0.8, 0.8)) for i, (_, _, lat, lon, _) in enumerate(there)]
+    got = {r.k: r.city for r in places.nearest(spark.createDataFrame(points, "k long, cc string, lat double, lon double"), spark.createDataFrame(there, "cc string, city string, lat double, lon double, ord long"), ["k"]).collect()}
+    want = {}
+    for k, _, lat, lon in points:
+        km, _, city = min((math.hypot((x - lon) * math.cos(math.radians(lat)) * 111, (y - lat) * 111), o, c) for _, c, y, x, o in there)
+        if km < 30:
+            want[k] = city
+    assert got == want and len(want) > 50
+
+
+def test_rounds_take_turns(spark):
+    assert schedule.phase_order(1) == ("prospect", "crawl") and schedule.phase_order(2) == ("crawl", "prospect")
+    waits = spark.createDataFrame([(1,), (3,), (40,)], "n int").select(schedule.failure_wait(F.col("n")).alias("w"))
+    assert [r.w for r in waits.collect()] == [5_000, 15_000, 60_000]
+
+
+def test_keys_of_a_stream_are_met_once(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumn("at", F.col("ts").cast("timestamp"))
+    events.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = first_seen(stream, ["user_id", "event_type"], "3650 days").writeStream.format("memory").queryName("firsts").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    got = [(r.user_id, r.event_type) for r in spark.table("firsts").collect()]
+    assert len(got) == len(set(got)) and set(got) == {(r.user_id, r.event_type) for r in events.select("user_id", "event_type").distinct().collect()}
