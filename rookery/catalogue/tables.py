@@ -96,7 +96,7 @@ def _i(pattern: str) -> str:
 _CLUB_LIKE = f"""length(label) between 4 and 90 and regexp_matches(label, {_i('|'.join((values.TENNIS, values.PADEL, values.PADEL_TENNIS, values.SQUASH)))})
     and not regexp_matches(label || '  ', {_i(values.PUBLIC)}) and regexp_matches(label || '  ', {_i(values.CLUB_WORD)})"""
 _SPELT = "html"
-for _p, _to in ((r"&#0?64;", "@"), (r"&#0?46;", "."), (r"\s*[\[({]\s*(at|arroba|arobase)\s*[\])}]\s*", "@"), (r"\s*[\[({]\s*(dot|punto|ponto)\s*[\])}]\s*", "."), (r"\s+(at)\s+", "@"), (r"\s+(dot|punto|ponto)\s+", ".")):
+for _p, _to in values.SPELT_OUT:
     _SPELT = f"regexp_replace({_SPELT}, '{_p}', '{_to}', 'gi')"
 _EMAILS = f"""(select page_id, count(distinct e) emails from (select page_id, regexp_replace(regexp_replace(lower(e), '^[^a-z0-9]+|[^a-z0-9._%+@-]+$', '', 'g'), '[.]$', '') e from (
     select page_id, unnest(list_concat(regexp_extract_all(html, '{values.EMAIL}', 0, 'i'), regexp_extract_all({_SPELT}, '{values.EMAIL}', 0, 'i'))) e from pages))

@@ -18,16 +18,16 @@ def cf_decode(code: Column) -> Column:
 
 def _plain(html: Column) -> Column:
     """Spelt-out addresses written as such."""
-    out = rx.sub(rx.sub(html, r"&#0?64;", "@"), r"&#0?46;", ".")
-    out = rx.sub(out, r"\s*[\[({]\s*(at|arroba|arobase)\s*[\])}]\s*", "@")
-    out = rx.sub(out, r"\s*[\[({]\s*(dot|punto|ponto)\s*[\])}]\s*", ".")
-    return rx.sub(rx.sub(out, r"\s+(at)\s+", "@"), r"\s+(dot|punto|ponto)\s+", ".")
+    out = html
+    for pattern, to in values.SPELT_OUT:
+        out = rx.sub(out, pattern, to)
+    return out
 
 
 def raw_emails(html: Column) -> Column:
     """Distinct lower-case addresses before any of them is judged; broken escapes drop their candidate."""
-    hidden = F.filter(F.transform(rx.all_of(html, r'data-cfemail="([0-9a-f]+)"', 1), cf_decode), lambda x: x.contains("@"))
-    linked = F.transform(rx.all_of(html, r"""mailto:([^"'?\s>]+)""", 1), rx.percent_decoded)
+    hidden = F.filter(F.transform(rx.all_of(html, values.CF_EMAIL, 1), cf_decode), lambda x: x.contains("@"))
+    linked = F.transform(rx.all_of(html, values.MAILTO, 1), rx.percent_decoded)
     found = F.concat(hidden, linked, rx.all_of(html, values.EMAIL), rx.all_of(_plain(html), values.EMAIL))
     return F.array_distinct(F.transform(F.array_compact(found), F.lower))
 

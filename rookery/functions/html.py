@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from . import rules, rx, urls, values
 
-_A = r"""<a\b[^>]*href=["']([^"']+)["'][^>]*>([\s\S]*?)<\/a>"""
-
-
 def _plain(text: Column) -> Column:
     """Tags and entities as spaces, ``&amp;`` as itself, squeezed."""
     bare = rx.sub(rx.sub(text, r"<[^>]+>", " "), r"&nbsp;", " ")
@@ -18,8 +15,8 @@ def _plain(text: Column) -> Column:
 
 def anchors(html: Column) -> Column:
     """``array<struct<href, inner>>`` of all links in order, page-internal and non-web ones left out."""
-    pairs = F.arrays_zip(rx.all_of(html, _A, 1).alias("href"), rx.all_of(html, _A, 2).alias("inner"))
-    return F.filter(pairs, lambda x: ~rx.like(x["href"], r"^(#|javascript:|mailto:|tel:)"))
+    pairs = F.arrays_zip(rx.all_of(html, values.ANCHOR, 1).alias("href"), rx.all_of(html, values.ANCHOR, 2).alias("inner"))
+    return F.filter(pairs, lambda x: ~rx.like(x["href"], values.SKIPPED_SCHEME))
 
 
 def links(html: Column, base: Column) -> Column:
@@ -56,28 +53,25 @@ def card_text(html: Column) -> Column:
     return rx.sub(out, r"\s+", " ")
 
 
-_TITLE, _H1 = r"<title[^>]*>([\s\S]{0,200}?)<\/title>", r"<h1[^>]*>([\s\S]{0,200}?)<\/h1>"
-
-
 def title_of(html: Column) -> Column:
-    title = rx.first(html, _TITLE)
-    return decode_entities(F.when(F.trim(title) != "", title).otherwise(rx.sub(rx.first(html, _H1), r"<[^>]+>", " ")))
+    title = rx.first(html, values.TITLE)
+    return decode_entities(F.when(F.trim(title) != "", title).otherwise(rx.sub(rx.first(html, values.H1), r"<[^>]+>", " ")))
 
 
 def name_candidates(html: Column) -> Column:
     """Every place where a page names itself, best first."""
-    meta = rx.all_of(html, r"""<meta[^>]+(?:property|name)\s*=\s*["'](?:og:site_name|og:title|application-name)["'][^>]*>""")
-    named = F.transform(meta, lambda m: rx.first(m, r"""content\s*=\s*["']([^"']{1,200})["']"""))
-    h1 = rx.sub(rx.first(html, _H1), r"<[^>]+>", " ")
-    return F.transform(F.filter(F.concat(F.array(rx.first(html, _TITLE)), named, F.array(h1)), lambda x: x != ""), decode_entities)
+    meta = rx.all_of(html, values.NAMING_META)
+    named = F.transform(meta, lambda m: rx.first(m, values.META_CONTENT))
+    h1 = rx.sub(rx.first(html, values.H1), r"<[^>]+>", " ")
+    return F.transform(F.filter(F.concat(F.array(rx.first(html, values.TITLE)), named, F.array(h1)), lambda x: x != ""), decode_entities)
 
 
 def name_from_title(title: Column) -> Column:
     """The segment of a title that names a club, else the first; empty if there is none."""
 
     def clean(t: Column) -> Column:
-        t = F.trim(rx.sub(F.trim(t), r"^(welcome to|bienvenidos? a|bem-vindos? a|home\s*[-:]\s*)", ""))
-        t = F.trim(rx.sub(t, r"\s*[-:,]\s*(home|inicio|in[ií]cio|official site|sitio oficial)\s*$", ""))
+        t = F.trim(rx.sub(F.trim(t), values.TITLE_PREFIX, ""))
+        t = F.trim(rx.sub(t, values.TITLE_SUFFIX, ""))
         return F.substring(rx.squeeze(t), 1, 90)
 
     parts = F.filter(F.transform(F.split(F.coalesce(title, F.lit("")), rf"[|\x{{2013}}\x{{2014}}\x{{00B7}}\x{{2022}},]|[{rx.SPACE}]+-[{rx.SPACE}]+"), clean), lambda x: x != "")
@@ -91,29 +85,29 @@ def page_name(html: Column) -> Column:
 
 
 def venue_ids(html: Column) -> Column:
-    return F.array_distinct(rx.all_of(html, r"VenueId=([A-Za-z0-9]+)", 1, fold=False))
+    return F.array_distinct(rx.all_of(html, values.VENUE_ID, 1, fold=False))
 
 
 def venue_name(html: Column) -> Column:
-    return F.trim(rx.sub(card_text(rx.first(html, _TITLE)), r"\s*[|-]\s*LTA\s*$", ""))
+    return F.trim(rx.sub(card_text(rx.first(html, values.TITLE)), values.VENUE_TITLE_SUFFIX, ""))
 
 
 def card_field(html: Column, label: str) -> Column:
     """A labelled field of a contact card: its link, else its text; empty if the label is missing."""
-    block = rx.first(html, rf"__header[^>]*>\s*{label}\s*<\/div>([\s\S]{{0,400}}?)<\/div>")
+    block = rx.first(html, values.CARD_BLOCK.format(label=label))
     href = rx.first(block, r'href="([^"]+)"', fold=False)
     return F.when(href != "", href).otherwise(F.trim(card_text(block)))
 
 
 def refresh_target(html: Column, base: Column) -> Column:
     """Where a meta refresh leads; empty if nowhere or to a challenge."""
-    to = F.trim(rx.first(html, r"""http-equiv=["']refresh["'][^>]*content=["']\s*\d+\s*;\s*(?:url=)?([^"'>]+)"""))
+    to = F.trim(rx.first(html, values.META_REFRESH))
     return F.when((to == "") | rx.like(to, r"captcha|challenge|\.well-known"), "").otherwise(F.coalesce(urls.resolve(to, base), F.lit("")))
 
 
 def next_page(html: Column, base: Column, seen: Column) -> Column:
     """The next page of a listing that is not among ``seen``; null at the end."""
-    rel = rx.first(html, r"""<link[^>]+rel=["']next["'][^>]+href=["']([^"']+)["']""")
+    rel = rx.first(html, values.REL_NEXT)
     by_rel = F.when(rel != "", urls.resolve(rel, base))
     by_text = F.get(F.filter(links(html, base), lambda x: rx.like(x["text"], values.NEXT_TEXT) & ~F.array_contains(seen, x["url"])), F.lit(0))["url"]
     return F.coalesce(F.when(~F.array_contains(seen, by_rel), by_rel), by_text)

@@ -122,6 +122,34 @@ TERMS = {
 TERMS_OF_BRAZIL = ["clube de tênis", "clube de padel", "clube de squash", "academia de tênis", "centro de padel", "clube de tenis"]
 CONTACT_WORD_OF_BRAZIL = "contato"
 CONTACT_WORD = {"Spanish": "contacto", "Portuguese": "contacto", "English": "contact"}
+ANCHOR = r"""<a\b[^>]*href=["']([^"']+)["'][^>]*>([\s\S]*?)<\/a>"""
+SKIPPED_SCHEME = r"^(#|javascript:|mailto:|tel:)"
+TITLE = r"<title[^>]*>([\s\S]{0,200}?)<\/title>"
+H1 = r"<h1[^>]*>([\s\S]{0,200}?)<\/h1>"
+NAMING_META = r"""<meta[^>]+(?:property|name)\s*=\s*["'](?:og:site_name|og:title|application-name)["'][^>]*>"""
+META_CONTENT = r"""content\s*=\s*["']([^"']{1,200})["']"""
+TITLE_PREFIX = r"^(welcome to|bienvenidos? a|bem-vindos? a|home\s*[-:]\s*)"
+TITLE_SUFFIX = r"\s*[-:,]\s*(home|inicio|in[ií]cio|official site|sitio oficial)\s*$"
+VENUE_ID = r"VenueId=([A-Za-z0-9]+)"
+VENUE_TITLE_SUFFIX = r"\s*[|-]\s*LTA\s*$"
+CARD_BLOCK = r"__header[^>]*>\s*{label}\s*<\/div>([\s\S]{{0,400}}?)<\/div>"
+META_REFRESH = r"""http-equiv=["']refresh["'][^>]*content=["']\s*\d+\s*;\s*(?:url=)?([^"'>]+)"""
+REL_NEXT = r"""<link[^>]+rel=["']next["'][^>]+href=["']([^"']+)["']"""
+CF_EMAIL = r'data-cfemail="([0-9a-f]+)"'
+MAILTO = r"""mailto:([^"'?\s>]+)"""
+SPELT_OUT = [
+    (r"&#0?64;", "@"),
+    (r"&#0?46;", "."),
+    (r"\s*[\[({]\s*(at|arroba|arobase)\s*[\])}]\s*", "@"),
+    (r"\s*[\[({]\s*(dot|punto|ponto)\s*[\])}]\s*", "."),
+    (r"\s+(at)\s+", "@"),
+    (r"\s+(dot|punto|ponto)\s+", "."),
+]
+MAP_SPORT = r"(^|; ?)(tennis|padel|paddle_tennis|padel_tennis|squash)"
+MAP_CLUB = r"^(tennis|padel|squash|racquet)$"
+MAP_CENTRE_NAME = r"tennis|p[aá]del|squash"
+RESULT_LINK = r'<a[^>]+href="([^"]*uddg=[^"]+)"[^>]*>([\s\S]*?)<\/a>'
+RESULT_TARGET = r'uddg=([^&"]+)'
 # countries in the order of their table: code, name, language
 COUNTRIES = [
     ("AR", "Argentina", "Spanish"),

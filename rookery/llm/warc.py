@@ -22,6 +22,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -237,19 +238,37 @@ def _read(keep: bool):
 
 
 def _assemble(keep: bool):
+    """Whole records as they are, and those of several segments joined; rows come sorted by origin and number."""
     schema = _arrow_schema()
 
+    def joined(parts: list[dict]) -> dict:
+        head = parts[0]
+        if [p["number"] for p in parts] == list(range(1, len(parts) + 1)):
+            got = _measured(b"".join(p["block"] for p in parts), head["stated"], keep, parts[-1]["total"] or -1)
+        else:
+            got = {"payload_bytes": None, "payload_digest": None, "whole": False, "block": None}
+        return {k: head[k] for k in ("record_type", "page_id", "url", "stated")} | {"record_id": head["origin"]} | got
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
         for batch in batches:
-            for i in range(batch.num_rows):
-                parts = sorted(batch.column("parts")[i].as_py(), key=lambda p: p["number"])
-                head = parts[0]
-                if [p["number"] for p in parts] == list(range(1, len(parts) + 1)):
-                    got = _measured(b"".join(p["block"] for p in parts), head["stated"], keep, parts[-1]["total"] or -1)
-                else:
-                    got = {"payload_bytes": None, "payload_digest": None, "whole": False, "block": None}
-                row = {k: head[k] for k in ("record_type", "page_id", "url", "stated")} | {"record_id": batch.column("origin")[i].as_py()} | got
-                yield pa.RecordBatch.from_pylist([{k: row.get(k) for k in schema.names}], schema=schema)
+            single = batch.column("number").is_null()
+            yield batch.filter(single)
+            rows: list[dict] = []
+            size = 0
+            for row in batch.filter(pa.compute.invert(single)).to_pylist():
+                if held and held[0]["origin"] != row["origin"]:
+                    rows.append(joined(held))
+                    size += len(rows[-1]["block"] or b"")
+                    held = []
+                    if size > 4 << 20:
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        rows, size = [], 0
+                held.append(row)
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        if held:
+            yield pa.RecordBatch.from_pylist([joined(held)], schema=schema)
 
     return run, _FIELDS
 
@@ -263,11 +282,9 @@ def read_archives(spark: SparkSession, files: DataFrame, keep_payload: bool = Tr
     the response that it refers to, and is null if that is not there.
     """
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    records = cut(files.select("file").repartition(n, "file").mapInArrow(*_read(keep_payload)), "records")
-    one = records.filter("number is null")
-    part = F.struct("number", "record_type", "page_id", "url", "stated", "total", "block")
-    parts = records.filter("number is not null").groupBy("origin").agg(F.collect_list(part).alias("parts"))
-    whole = cut(one.unionByName(parts.mapInArrow(*_assemble(keep_payload))), "responses")
+    records = files.select("file").repartition(n, "file").mapInArrow(*_read(keep_payload))
+    ordered = records.repartition(n, "origin").sortWithinPartitions("origin", "number")
+    whole = cut(ordered.mapInArrow(*_assemble(keep_payload)), "responses")
     kept = ("record_id", "record_type", "page_id", "url", "refers_to", "payload_bytes", "payload_digest", "whole", "block")
     revisit = whole.filter("record_type = 'revisit'").select(*kept)
     wanted = revisit.groupBy("refers_to", "payload_digest").agg(F.count("*").alias("times")).drop("times")

@@ -106,9 +106,9 @@ def allowed_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
 def is_map_candidate(tags: Column) -> Column:
     """The three statements that a map database is asked."""
     named = F.element_at(tags, "name")
-    sport = rx.like(F.element_at(tags, "sport"), r"(^|; ?)(tennis|padel|paddle_tennis|padel_tennis|squash)", fold=False)
-    club = rx.like(F.element_at(tags, "club"), r"^(tennis|padel|squash|racquet)$", fold=False)
-    centre = (F.element_at(tags, "leisure") == "sports_centre") & rx.like(named, r"tennis|p[aá]del|squash")
+    sport = rx.like(F.element_at(tags, "sport"), values.MAP_SPORT, fold=False)
+    club = rx.like(F.element_at(tags, "club"), values.MAP_CLUB, fold=False)
+    centre = (F.element_at(tags, "leisure") == "sports_centre") & rx.like(named, values.MAP_CENTRE_NAME)
     return F.coalesce(((sport | club) & named.isNotNull()) | centre, F.lit(False))
 
 
@@ -132,10 +132,10 @@ def bindings(results: DataFrame) -> DataFrame:
 
 def search_results(pages: DataFrame) -> DataFrame:
     """``query, rank, url, title`` of result pages ``query, html``, each URL once."""
-    pattern = r'<a[^>]+href="([^"]*uddg=[^"]+)"[^>]*>([\s\S]*?)<\/a>'
+    pattern = values.RESULT_LINK
     pairs = F.arrays_zip(rx.all_of(F.col("html"), pattern, 1).alias("h"), rx.all_of(F.col("html"), pattern, 2).alias("t"))
     rows = pages.select("query", F.posexplode(pairs).alias("i", "x"))
-    url = F.split(rx.percent_decoded(rx.first(F.col("x.h"), r'uddg=([^&"]+)')), "#")[0]
+    url = F.split(rx.percent_decoded(rx.first(F.col("x.h"), values.RESULT_TARGET)), "#")[0]
     title = rx.squeeze(rx.sub(rx.sub(rx.sub(F.col("x.t"), r"<[^>]+>", " "), "&amp;", "&"), "&[a-z]+;", " "))
     found = rows.select("query", "i", url.alias("url"), title.alias("title")).filter(rx.like(F.col("url"), r"^https?:\/\/"))
     first = found.groupBy("query", "url").agg(F.min(F.struct("i", "title")).alias("x"))

@@ -86,11 +86,13 @@ def test_archives_round_trip_and_damage(spark):
     assert all(r.record_type == "response" for r in warc.round_trip(pages, least=10**9).collect())
     block = warc._HEAD + warc.chunked(b"abc" * 9)
     assert warc.payload_of(block) == b"abc" * 9 and warc.unchunked(b"5\r\nab") is None and warc.unchunked(b"zz") is None
-    parts = [{"number": 2, "record_type": "r", "page_id": 1, "url": None, "stated": None, "total": 99, "block": block}]
     import pyarrow as pa
 
-    got = list(warc._assemble(True)[0](iter([pa.RecordBatch.from_pydict({"origin": ["o"], "parts": [parts]})])))[0].to_pylist()[0]
-    assert got["whole"] is False and got["block"] is None
+    row = dict.fromkeys(warc._arrow_schema().names) | {"number": 2, "record_type": "response", "page_id": 1, "total": 99, "block": block, "origin": "o"}
+    for rows in ([row], [row | {"number": 1}, row], [row | {"number": 1, "total": None}, row | {"number": 1}, row]):
+        batch = pa.RecordBatch.from_pylist(rows, schema=warc._arrow_schema())
+        got = [r for b in warc._assemble(True)[0](iter([batch])) for r in b.to_pylist()]
+        assert len(got) == 1 and got[0]["whole"] is False and got[0]["block"] is None
 
 
 def test_packing_is_gapless_and_tight(spark):
