@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import sources
-from ..operators import merge, reports, schedule
+from ..operators import merge, reports, schedule, searches
 from ..plans import judging, records
 from ..streaming import attempted
 from . import inline as V
@@ -241,6 +241,29 @@ def sites_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.sites_found(SEARCHED.spark(spark, sf_dir), HITS.spark(spark, sf_dir))
 
 
+_FOUND = "https://www.club-x.es/a,https://club-y.es,https://playtomic.io/c,https://facebook.com/z,https://town.gob.es/w,https://es.wikipedia.org/q,https://www.venuefinder.com/x"
+FOUND = Table(
+    "cc string, query int, rank int, url string",
+    ("ES", 1, 1, "no url"),
+    more=f"select {_at('ES,GB', 'p_partkey % 2')} cc, cast(p_partkey % 50 as int) query, cast(p_partkey as int) rank, case when p_partkey % 3 = 0 then 'https://www.own' || cast(p_partkey % 90 as string) || '.es/p' || cast(p_partkey as string) else {_at(_FOUND, 'p_partkey % 7')} end url from {{part}}",
+)
+
+
+@_query(f"""with f as (select *, regexp_extract(url, '^https://(www[.])?([^/]*)', 2) host from {FOUND.sql}), g as (select *, row_number() over (partition by cc, host order by query, rank, url) r from f where host <> '')
+    select cc, host, url, query from g where r = 1 and host <> 'own3.es' and (starts_with(host, 'own') or starts_with(host, 'club'))""")
+def search_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search results worth a look."""
+    known = spark.createDataFrame([("own3.es",)], "host string")
+    return searches.candidates(FOUND.spark(spark, sf_dir), known).select("cc", "host", "url", "query")
+
+
+@_query(f"select country, emails, row_number() over (order by emails desc, country) place from (select country, count(*) filter (coalesce(email, '') <> '') emails from {V.STORE.sql} where coalesce(country, '') <> '' group by 1)")
+def country_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Countries in the order in which a report shows them."""
+    slots = reports.country_slots(V.STORE.spark(spark, sf_dir))
+    return slots.select("country", "emails", F.row_number().over(Window.orderBy(*reports.by_emails(slots))).cast("bigint").alias("place"))
+
+
 TOWNS = Table("key string, town string, lat double, lon double", ("x", "y", None, None), more=f"select 'n:' || cc || ':' || lower(replace(club, ' ', '')) key, min(city) town, min(1.5) lat, cast(null as double) lon from ({V._ROWS}) where k % 4 = 0 group by 1")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import values
+from ..functions import rx, urls, values
 
 
 def terms_for(cc: Column, lang: Column) -> Column:
@@ -44,6 +44,19 @@ def planned_queries(countries: DataFrame, cities: DataFrame) -> DataFrame:
     return asked.select("cc", F.concat_ws(" ", "term", "place", contact_word(F.col("cc"), F.col("lang"))).alias("query"), "city", "also", "rank", "i")
 
 
+def candidates(results: DataFrame, known: DataFrame) -> DataFrame:
+    """``cc, host, url, query, rank`` of search results ``cc, query, rank, url`` that are worth a look.
+
+    Of a country's results on one host only the first by query and rank is looked at; hosts of ``known(host)`` go, and so do
+    results that are never a club's site, listings and public bodies.
+    """
+    rows = results.withColumn("host", urls.host_of(F.col("url"))).filter("host <> ''")
+    first = rows.groupBy("cc", "host").agg(F.min_by(F.struct("url", "query", "rank"), F.struct("query", "rank", "url")).alias("x")).select("cc", "host", "x.*")
+    new = first.join(known.select("host").distinct(), "host", "left_anti")
+    never = rx.like(F.col("url"), values.NOT_A_CLUB_SITE) | rx.like(F.col("url"), values.AGGREGATOR) | rx.like(F.col("url"), values.PUBLIC_DOMAIN)
+    return new.filter(~never).select("cc", "host", "url", "query", "rank")
+
+
 def summed_stats(stats: DataFrame, found: DataFrame, twins: DataFrame) -> DataFrame:
     """``cc, city, searches, found`` after a round: sums by city ('' is country-wide); a twin's searches are set to the country's, never added."""
     total = stats.unionByName(found).groupBy("cc", "city").agg(F.sum("searches").alias("searches"), F.sum("found").alias("found"))
