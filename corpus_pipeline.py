@@ -1,4 +1,7 @@
-"""The corpus pipeline: quality, near duplicates, repeated passages, benchmark passages, packing."""
+"""The corpus pipeline: quality, near duplicates, repeated passages, benchmark passages, packing.
+
+Every stage takes empty tables and gives an empty one; columns other than those of documents are dropped by the first.
+"""
 
 from __future__ import annotations
 
@@ -20,7 +23,10 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learnt on the documents given, scores 0.3 or more."""
+    """Documents that the quality classifier, learnt on the documents given, scores 0.3 or more.
+
+    Rows are told apart by id and text, repeated rows share their fate; null texts are scored as empty ones.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     out = quality_classifier.rejected(docs, labels, least=0.3)
     keyed = _documents(docs).withColumns({"k": F.col("doc_id").cast("long"), "p": F.xxhash64("text")})
@@ -51,13 +57,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the words that repeated windows of 35 words cover; ``n_chars`` is counted anew."""
+    """All documents without the words that repeated windows of 35 words cover; ``n_chars`` is counted anew, null texts become empty."""
     left = substring.remove_repeats(_documents(docs), k=35, keep_text=True)
     return _documents(left.withColumn("n_chars", F.char_length("text").cast("long")))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found; null and empty texts stay."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = _documents(docs).withColumn("p", F.xxhash64("text"))  # whether an item is found depends on the text alone
     bad = decontamination.contaminated(keyed.select(F.col("p").alias("doc_id"), "text"), items, rate=0.1).select(F.col("doc_id").alias("p")).distinct()
@@ -65,7 +71,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, placed in sequences of at most 2048 tokens."""
+    """The pieces of all documents, placed in sequences of at most 2048 tokens; an empty text is its end id alone."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end=0, keep_ids=False)
