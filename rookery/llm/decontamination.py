@@ -11,7 +11,8 @@ least ``m - q + 1 - q * e`` q-grams with the item, and all of them lie within a
     a small hashed table first, whose sums are never too low, then exactly);
 3.  the rest is verified by a dynamic programme over the band's diagonals that allows any start and end in the document.
 
-Documents are never shuffled.  Items go to the tasks in blocks of bounded size, each block against all documents.  Votes are
+Documents are never shuffled.  Items lie in the shared folder in blocks of bounded size, which the tasks read from there; each
+block goes against all documents in a pass of its own, so a benchmark of ``BLOCK_CHARS`` characters takes one.  Votes are
 counted for a part of a text at a time, so that a text and an item of one repeated letter stay within bounds too.
 """
 
@@ -22,11 +23,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .storage import bound_batches
+from .storage import bound_batches, open_folder, scratch
 
 Q = 8
 #: Characters of items that go to the tasks at once.
@@ -152,11 +154,16 @@ def aligned(item: np.ndarray, x: np.ndarray, low: np.ndarray, first: np.ndarray,
 
 
 @lru_cache(maxsize=2)
-def _index(texts: tuple[str, ...], rate: float) -> list[Items]:
-    codes = [normalised(t.strip(" \t\n\v\f\r"))[0] for t in texts]
+def _index(uri: str, block: int, rate: float) -> tuple[list[int | None], list[Items]]:
+    """The ids of a block of items, and their indexes by q."""
+    fs, root = open_folder(uri)
+    rows = pq.read_table(f"{root}/block={block}", filesystem=fs, partitioning=None).to_pylist()
+    rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
+    codes = [normalised(r["text"].strip(" \t\n\v\f\r"))[0] for r in rows]
     m = np.array([len(c) for c in codes], dtype=np.int64)
     q = np.minimum(m // (_edits(m, rate) + 1), Q)
-    return [Items(own.tolist(), [codes[i] for i in own], rate, int(k)) for k in np.unique(q) if k for own in [np.flatnonzero(q == k)]]
+    parts = [Items(own.tolist(), [codes[i] for i in own], rate, int(k)) for k in np.unique(q) if k for own in [np.flatnonzero(q == k)]]
+    return [r["item_id"] for r in rows], parts
 
 
 def _verified(index: Items, x: np.ndarray, edge: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
@@ -178,12 +185,13 @@ def _verified(index: Items, x: np.ndarray, edge: np.ndarray) -> Iterator[tuple[i
                 yield int(row[some[k]]), i, int(edits[k]), int(a[k] - begin[k]), int(b[k] - begin[k])
 
 
-def _search(ids: list[int | None], texts: tuple[str, ...], rate: float, best_only: bool):
+def _search(uri: str, block: int, rate: float, best_only: bool):
     """best_only: of the parts found for a document and an item only the one with the fewest edits, and of those the first."""
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gap = np.full(1, _END, dtype=np.uint32)
+        ids, indexes = _index(uri, block, rate)
         for batch in batches:
             for c in W.chunks(batch.column("text")):
                 codes, places = [], []
@@ -194,7 +202,7 @@ def _search(ids: list[int | None], texts: tuple[str, ...], rate: float, best_onl
                 edge = np.cumsum([0, *(len(p) + 1 for p in places)])
                 x = np.concatenate(codes)
                 best: dict[tuple[int, ...], tuple[int, int, int]] = {}
-                for index in _index(texts, rate):
+                for index in indexes:
                     for row, i, *got in _verified(index, x, edge):
                         key = (row, int(index.places[i]), *([] if best_only else [got[1]]))
                         best[key] = min(best.get(key, tuple(got)), tuple(got))
@@ -223,13 +231,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, best_only:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).distinct()
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_CHARS)
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = spark.createDataFrame([], "doc_id long, item_id long, begin long, end long, edits int")
-    for b in range(blocks):
-        part = sorted(((r.item_id, r.text) for r in items.filter(block == b).collect()), key=lambda r: (r[0] is None, r))  # about BLOCK_CHARS
-        found = rows.mapInArrow(*_search([r[0] for r in part], tuple(r[1] for r in part), rate, best_only))
-        out = found if b == 0 else out.unionByName(found)
+    if not blocks:
+        return out
+    uri = scratch(spark, "items")
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int"))
+    dealt.repartition(blocks, "block").write.partitionBy("block").parquet(uri)
+    for block in sorted(r.block for r in dealt.select("block").distinct().collect()):  # numbers of blocks
+        out = out.unionByName(rows.mapInArrow(*_search(uri, block, rate, best_only)))
     return out
 
 

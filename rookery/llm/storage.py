@@ -46,7 +46,8 @@ atexit.register(_drop_all)
 def bound_batches(spark: SparkSession, most: str = "4m") -> None:
     """Limits the Arrow batches that tasks pass to Python, unless the session has a limit of its own.
 
-    The default of 64 MB a batch is held several times over, in the JVM and in Python.
+    The default of 64 MB a batch is held several times over, in the JVM and in Python.  The setting is read when a plan runs,
+    which may be long after the call, so it stays as it is set here.
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(name) == "67108864b":
