@@ -45,14 +45,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     several = first.filter("least <> most").select("k", "least")
     if several.limit(1).count():
         # a further text of an id is compared under a hash of both, and named by its id again afterwards
-        keyed = keyed.join(several, "k", "left").withColumn("s", F.when(F.col("p") == F.coalesce("least", "p"), F.col("k")).otherwise(F.xxhash64("k", "p"))).drop("least")
-        found = minhash.near_duplicates(keyed.select(F.col("s").alias("doc_id"), "text"), k=5, percent=80).select(F.col("doc_id").alias("s"), "component_id").distinct()
+        keyed = keyed.join(several, "k", "left").withColumn(
+            "s",
+            F.when(F.col("p") == F.coalesce("least", "p"), F.col("k")).otherwise(F.xxhash64("k", "p")),
+        ).drop("least")
+        found = minhash.near_duplicates(
+            keyed.select(F.col("s").alias("doc_id"), "text"),
+            k=5,
+            percent=80,
+        ).select(F.col("doc_id").alias("s"), "component_id").distinct()
         kept = keyed.select("k", "p", "s").join(found, "s").groupBy("component_id").agg(F.min(F.struct("k", "p")).alias("x")).select("x.k", "x.p")
     else:
         found = minhash.near_duplicates(docs, k=5, percent=80).filter("kept and doc_id is not null").select(F.col("doc_id").alias("k"))
         kept = found.distinct().join(first.select("k", F.col("least").alias("p")), "k")
     rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
-    named = keyed.join(kept, ["k", "p"], "left_semi").groupBy("k", "p").agg(F.min(F.struct("doc_id", "text", *rest)).alias("x")).select("x.*")
+    named = keyed.join(kept, ["k", "p"], "left_semi").groupBy("k", "p").agg(
+        F.min(F.struct("doc_id", "text", *rest)).alias("x")
+    ).select("x.*")
     return named.select(*COLUMNS).unionByName(_documents(docs).filter("doc_id is null"))
 
 
@@ -66,7 +75,11 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found; null and empty texts stay."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = _documents(docs).withColumn("p", F.xxhash64("text"))  # whether an item is found depends on the text alone
-    bad = decontamination.contaminated(keyed.select(F.col("p").alias("doc_id"), "text"), items, rate=0.1).select(F.col("doc_id").alias("p")).distinct()
+    bad = decontamination.contaminated(
+        keyed.select(F.col("p").alias("doc_id"), "text"),
+        items,
+        rate=0.1,
+    ).select(F.col("doc_id").alias("p")).distinct()
     return _documents(keyed.join(bad, "p", "left_anti"))
 
 

@@ -34,7 +34,9 @@ def _merge(rule: str) -> None:
     """A query that merges new records by a rule, and its SQL."""
     r = merge.RULES[rule]
     blank = lambda c: f"coalesce({c}, '') <> ''"
-    first = ", ".join(f'first({c} order by side, ord) {c}0, first({c} order by side, ord) filter ({blank(c)}) {c}1' for c in ("email", "website", "contact"))
+    first = ", ".join(
+        f'first({c} order by side, ord) {c}0, first({c} order by side, ord) filter ({blank(c)}) {c}1' for c in ("email", "website", "contact")
+    )
     out = ", ".join(f"coalesce({c}1, {c}0) {c}" if c in r.fills else f"{c}0 {c}" for c in ("email", "website", "contact"))
     crawled = "case when coalesce(email0, '') = '' and email1 is not null then true else r0 end" if r.email_crawls else "r0"
     sports = "s.sports" if r.sports else "array_to_string(s0, '+')"
@@ -67,7 +69,9 @@ def published_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.by_country(_published(spark, sf_dir))
 
 
-@_query(f"select count(*) filter (s = 'Tennis') \"Tennis\", count(*) filter (s = 'Padel') \"Padel\", count(*) filter (s = 'Squash') \"Squash\" from {_SPORTS_OF}")
+@_query(
+    f"select count(*) filter (s = 'Tennis') \"Tennis\", count(*) filter (s = 'Padel') \"Padel\", count(*) filter (s = 'Squash') \"Squash\" from {_SPORTS_OF}"
+)
 def published_by_sport(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published records by sport, zeros included."""
     return reports.by_sport(_published(spark, sf_dir))
@@ -93,8 +97,16 @@ QUEUE = Table(
     ("https://a/1", "AUTO", None, None, None),
     more=f"select 'https://q/' || cast(p_partkey as string) url, {_at('ES,GB,AUTO,BR', 'p_partkey % 4')} cc, p_partkey % 3 = 0 done, cast(p_partkey % 9 as int) pagesRead, case when p_partkey % 5 > 0 then '2026-01-' || lpad(cast(1 + p_partkey % 28 as string), 2, '0') end lastRun from {{part}}",
 )
-MINE = Table("word string, pending array<string>, added int", ("none", None, None), more="select 'w' || cast(p_partkey as string) word, split('a.es,b.es', ',') pending, cast(p_partkey % 4 as int) added from {part}")
-OUTCOMES = Table("outcome string, email string", ("added", "a@b.es"), more=f"select {_at('added,merged,rejected,lead,none', 'event_id % 5')} outcome, case when event_id % 3 = 0 then 'x@y.es' else '' end email from {{events}}")
+MINE = Table(
+    "word string, pending array<string>, added int",
+    ("none", None, None),
+    more="select 'w' || cast(p_partkey as string) word, split('a.es,b.es', ',') pending, cast(p_partkey % 4 as int) added from {part}",
+)
+OUTCOMES = Table(
+    "outcome string, email string",
+    ("added", "a@b.es"),
+    more=f"select {_at('added,merged,rejected,lead,none', 'event_id % 5')} outcome, case when event_id % 3 = 0 then 'x@y.es' else '' end email from {{events}}",
+)
 
 
 @_query(f"select cc, count(*) n from {QUEUE.sql} where cc in {_CODES_SQL} group by 1")
@@ -103,13 +115,17 @@ def seeds_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.seeds_by_country(QUEUE.spark(spark, sf_dir), sources.countries(spark).select("cc"))
 
 
-@_query(f"select count(*) total, count(*) filter (not coalesce(done, false)) working, count(*) filter (done) exhausted, coalesce(sum(pagesRead), 0)::bigint pages from {QUEUE.sql}")
+@_query(
+    f"select count(*) total, count(*) filter (not coalesce(done, false)) working, count(*) filter (done) exhausted, coalesce(sum(pagesRead), 0)::bigint pages from {QUEUE.sql}"
+)
 def seeds_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeds in all."""
     return reports.seeds_summary(QUEUE.spark(spark, sf_dir))
 
 
-@_query(f"select count(*) total, count(*) filter (coalesce(searched, '') <> '') searched, count(*) filter (coalesce(searched, '') = '') \"left\" from {V.LEADS.sql}")
+@_query(
+    f"select count(*) total, count(*) filter (coalesce(searched, '') <> '') searched, count(*) filter (coalesce(searched, '') = '') \"left\" from {V.LEADS.sql}"
+)
 def leads_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads in all."""
     return reports.leads_summary(V.LEADS.spark(spark, sf_dir))
@@ -150,18 +166,28 @@ def status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     select country, city, coalesce(searches, 0)::bigint searches, coalesce(found, 0)::bigint found, coalesce(emails, 0) emails from s full join e using (country, city)""")
 def city_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Searches and addresses of every city that has either."""
-    named = V.STATS.spark(spark, sf_dir).filter("city <> ''").join(sources.countries(spark).select("cc", F.col("name").alias("country")), "cc")
+    named = V.STATS.spark(spark, sf_dir).filter("city <> ''").join(
+        sources.countries(spark).select("cc", F.col("name").alias("country")),
+        "cc",
+    )
     stats = named.groupBy("country", "city").agg(F.sum("searches").alias("searches"), F.sum("found").alias("found"))
     return reports.city_coverage(stats, reports.city_emails(V.STORE.spark(spark, sf_dir)))
 
 
-@_query(f"""select key, searched from {V.LEADS.sql} where coalesce(searched, '') = '' or (coalesce(website, '') = '' and {NOW} - epoch_ms(searched::timestamp) >= 30 * 86400000::bigint)""".replace("searched::timestamp", "nullif(searched, '')::timestamp"))
+@_query(
+    f"""select key, searched from {V.LEADS.sql} where coalesce(searched, '') = '' or (coalesce(website, '') = '' and {NOW} - epoch_ms(searched::timestamp) >= 30 * 86400000::bigint)""".replace(
+        "searched::timestamp",
+        "nullif(searched, '')::timestamp",
+    )
+)
 def leads_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads to search now."""
     return schedule.leads_due(V.LEADS.spark(spark, sf_dir), F.lit(NOW)).select("key", "searched")
 
 
-@_query(f"select key, case when coalesce(searched, '') <> '' and coalesce(website, '') = '' then null else searched end searched from {V.LEADS.sql}")
+@_query(
+    f"select key, case when coalesce(searched, '') <> '' and coalesce(website, '') = '' then null else searched end searched from {V.LEADS.sql}"
+)
 def leads_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads after searches in vain are taken back."""
     return schedule.leads_reset(V.LEADS.spark(spark, sf_dir)).select("key", "searched")
@@ -171,7 +197,13 @@ def leads_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     from (select *, coalesce({_OPEN} and (crawlNote = 'no email published' or coalesce(attempts, 0) >= 3), false) g from {V.STORE.sql})""")
 def store_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records after giving up is taken back."""
-    return schedule.requeued(V.STORE.spark(spark, sf_dir)).select("key", "attempts", "crawlNote", F.coalesce("retryAfter", F.lit(-1)).alias("retryAfter"), "crawled")
+    return schedule.requeued(V.STORE.spark(spark, sf_dir)).select(
+        "key",
+        "attempts",
+        "crawlNote",
+        F.coalesce("retryAfter", F.lit(-1)).alias("retryAfter"),
+        "crawled",
+    )
 
 
 TRIES = Table("key string, note string, email string", ("w:a.es", "homepage", ""), more=f"""select 'w:club' || cast(c_custkey as string) || '.es' key, {_at('unreachable,no email published,blocked by a challenge page,homepage,bad url', 'c_custkey % 5')} note,
@@ -185,20 +217,32 @@ TRIES = Table("key string, note string, email string", ("w:a.es", "homepage", ""
 def crawl_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records after a round of attempts."""
     out = attempted(V.STORE.spark(spark, sf_dir), TRIES.spark(spark, sf_dir), NOW)
-    return out.select("key", F.coalesce("attempts", F.lit(-1)).alias("attempts"), F.coalesce("retryAfter", F.lit(-1)).alias("retryAfter"), "crawled", "crawlNote", "email", "lastTried")
+    return out.select(
+        "key",
+        F.coalesce("attempts", F.lit(-1)).alias("attempts"),
+        F.coalesce("retryAfter", F.lit(-1)).alias("retryAfter"),
+        "crawled",
+        "crawlNote",
+        "email",
+        "lastTried",
+    )
 
 
 @_query(f"select url, row_number() over (order by coalesce(lastRun, ''), url) place from {QUEUE.sql} order by place limit 100")
 def harvest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hundred seeds that have waited longest, in their order."""
     rows = schedule.least_recent(QUEUE.spark(spark, sf_dir), "lastRun", "url").limit(100)
-    return rows.agg(F.sort_array(F.collect_list(F.struct(F.coalesce("lastRun", F.lit("")).alias("r"), "url"))).alias("a")).select(F.posexplode("a").alias("p", "x")).select("x.url", (F.col("p") + 1).cast("bigint").alias("place"))
+    return rows.agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("lastRun", F.lit("")).alias("r"), "url"))).alias("a")
+    ).select(F.posexplode("a").alias("p", "x")).select("x.url", (F.col("p") + 1).cast("bigint").alias("place"))
 
 
 _LAST = f"(select cc, max(lastRun) last from {QUEUE.sql} group by 1)"
 
 
-@_query(f"select cc, row_number() over (order by coalesce(last, ''), prio)::int place, prio::int by_priority from {_PRIORITY_SQL} p left join {_LAST} l using (cc)")
+@_query(
+    f"select cc, row_number() over (order by coalesce(last, ''), prio)::int place, prio::int by_priority from {_PRIORITY_SQL} p left join {_LAST} l using (cc)"
+)
 def prospect_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order of countries in even rounds, and in odd ones."""
     countries = sources.countries(spark).select("cc", "prio")
@@ -207,12 +251,23 @@ def prospect_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.prospect_order(countries, last, 2).select("cc", "place").join(odd, "cc")
 
 
-@_query("select user_id, case when max(event_id) % 3 = 2 then sum(event_id % 5)::bigint else -1 end done, least(60000, 5000 * count(*)) wait from events group by 1")
+@_query(
+    "select user_id, case when max(event_id) % 3 = 2 then sum(event_id % 5)::bigint else -1 end done, least(60000, 5000 * count(*)) wait from events group by 1"
+)
 def epoch_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress that belongs to the present epoch, and how long to rest after so many failures."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    state = events.groupBy("user_id").agg((F.max("event_id") % 3).alias("epoch"), F.sum(F.col("event_id") % 5).alias("queriesDone"), F.count("*").alias("cityStats"), F.count("*").alias("n"))
-    return schedule.epoch_state(state, 2).select("user_id", F.coalesce("queriesDone", F.lit(-1)).alias("done"), schedule.failure_wait(F.col("n")).alias("wait"))
+    state = events.groupBy("user_id").agg(
+        (F.max("event_id") % 3).alias("epoch"),
+        F.sum(F.col("event_id") % 5).alias("queriesDone"),
+        F.count("*").alias("cityStats"),
+        F.count("*").alias("n"),
+    )
+    return schedule.epoch_state(state, 2).select(
+        "user_id",
+        F.coalesce("queriesDone", F.lit(-1)).alias("done"),
+        schedule.failure_wait(F.col("n")).alias("wait"),
+    )
 
 
 SEARCHED = Table(
@@ -257,29 +312,41 @@ def search_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return searches.candidates(FOUND.spark(spark, sf_dir), known).select("cc", "host", "url", "query")
 
 
-@_query(f"select country, emails, row_number() over (order by emails desc, country) place from (select country, count(*) filter (coalesce(email, '') <> '') emails from {V.STORE.sql} where coalesce(country, '') <> '' group by 1)")
+@_query(
+    f"select country, emails, row_number() over (order by emails desc, country) place from (select country, count(*) filter (coalesce(email, '') <> '') emails from {V.STORE.sql} where coalesce(country, '') <> '' group by 1)"
+)
 def country_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Countries in the order in which a report shows them."""
     slots = reports.country_slots(V.STORE.spark(spark, sf_dir))
     return slots.select("country", "emails", F.row_number().over(Window.orderBy(*reports.by_emails(slots))).cast("bigint").alias("place"))
 
 
-TOWNS = Table("key string, town string, lat double, lon double", ("x", "y", None, None), more=f"select 'n:' || cc || ':' || lower(replace(club, ' ', '')) key, min(city) town, min(1.5) lat, cast(null as double) lon from ({V._ROWS}) where k % 4 = 0 group by 1")
+TOWNS = Table(
+    "key string, town string, lat double, lon double",
+    ("x", "y", None, None),
+    more=f"select 'n:' || cc || ':' || lower(replace(club, ' ', '')) key, min(city) town, min(1.5) lat, cast(null as double) lon from ({V._ROWS}) where k % 4 = 0 group by 1",
+)
 
 
-@_query(f"select s.key, l.town, l.lat from {V.STORE.sql} s left join {TOWNS.sql} l on l.key = 'n:' || coalesce(s.cc, '') || ':' || regexp_replace(lower(coalesce(s.name, '')), '[^a-z0-9]+', '', 'g')")
+@_query(
+    f"select s.key, l.town, l.lat from {V.STORE.sql} s left join {TOWNS.sql} l on l.key = 'n:' || coalesce(s.cc, '') || ':' || regexp_replace(lower(coalesce(s.name, '')), '[^a-z0-9]+', '', 'g')"
+)
 def lead_towns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with the towns of their leads."""
     return merge.with_leads(V.STORE.spark(spark, sf_dir), TOWNS.spark(spark, sf_dir)).select("key", "town", "lat")
 
 
-@_query("select (l_partkey % 3)::varchar || 't' \"type\", l_suppkey id, min(l_orderkey * 10 + l_linenumber) ord, arg_max(l_comment, l_orderkey * 10 + l_linenumber) tag from (select *, l_returnflag || l_linestatus l_comment from lineitem) group by 1, 2")
+@_query(
+    "select (l_partkey % 3)::varchar || 't' \"type\", l_suppkey id, min(l_orderkey * 10 + l_linenumber) ord, arg_max(l_comment, l_orderkey * 10 + l_linenumber) tag from (select *, l_returnflag || l_linestatus l_comment from lineitem) group by 1, 2"
+)
 def latest_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map elements of several statements: the last content at the first place."""
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     ord_ = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord")
     kind = F.concat((F.col("l_partkey") % 3).cast("string"), F.lit("t")).alias("type")
-    return merge.latest_element(rows.select(kind, F.col("l_suppkey").alias("id"), ord_, F.concat("l_returnflag", "l_linestatus").alias("tag")))
+    return merge.latest_element(
+        rows.select(kind, F.col("l_suppkey").alias("id"), ord_, F.concat("l_returnflag", "l_linestatus").alias("tag"))
+    )
 
 
 ELEMENTS = Table(
@@ -300,11 +367,30 @@ ELEMENTS = Table(
 def map_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records, leads and rejections of map elements."""
     rows = ELEMENTS.spark(spark, sf_dir)
-    tags = F.map_from_arrays(F.array(*(F.lit(x) for x in ("name", "sport", "website", "contact:email", "access", "operator_type", "addr:town"))), F.array("name", "sport", "website", "email", "access", "operator_type", "town"))
+    tags = F.map_from_arrays(
+        F.array(*(F.lit(x) for x in ("name", "sport", "website", "contact:email", "access", "operator_type", "addr:town"))),
+        F.array("name", "sport", "website", "email", "access", "operator_type", "town"),
+    )
     at = F.lit(1.0)
-    elements = rows.select("cc", F.lit("node").alias("type"), F.col("k").alias("id"), tags.alias("tags"), at.alias("lat"), at.alias("lon"), F.struct(at.alias("lat"), at.alias("lon")).alias("center"))
+    elements = rows.select(
+        "cc",
+        F.lit("node").alias("type"),
+        F.col("k").alias("id"),
+        tags.alias("tags"),
+        at.alias("lat"),
+        at.alias("lon"),
+        F.struct(at.alias("lat"), at.alias("lon")).alias("center"),
+    )
     out = records.from_elements(elements, sources.countries(spark))
-    return out.select(F.regexp_extract("srcPage", r"\d+$", 0).cast("bigint").alias("k"), F.array_join("sports", "+").alias("sports"), "website", "email", "outcome", "reason", "town")
+    return out.select(
+        F.regexp_extract("srcPage", r"\d+$", 0).cast("bigint").alias("k"),
+        F.array_join("sports", "+").alias("sports"),
+        "website",
+        "email",
+        "outcome",
+        "reason",
+        "town",
+    )
 
 
 _TITLES = "Abbey Tennis Club,Guia Padel Club,padel.today,One Two Three Four Five Six Seven Eight Squash Club,Tennis World,Tennis Club South Africa,Municipal Tennis Club,,Oak Golf Club"
@@ -327,7 +413,10 @@ def vetted_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = (F.col("k") % 10 == 9) & (F.col("k") > 0)
     page = F.concat(F.lit("<title>"), "title", F.lit("</title><p>"), "body", F.lit("</p>"))
     sites = rows.withColumns({"html": F.when(~gone, page), "contact_html": F.col("contact")})
-    keyed = sites.withColumn("url", F.concat("url", F.when(F.col("url") == "nothing", F.lit("")).otherwise(F.concat(F.lit("?"), F.col("k").cast("string")))))
+    keyed = sites.withColumn(
+        "url",
+        F.concat("url", F.when(F.col("url") == "nothing", F.lit("")).otherwise(F.concat(F.lit("?"), F.col("k").cast("string")))),
+    )
     out = records.vet(keyed.select("url", "cc", "city", "html", "contact_html"), sources.countries(spark))
     return out.select(F.coalesce(F.regexp_extract("url", r"\?(\d+)$", 1).try_cast("bigint"), F.lit(0)).alias("k"), "website", "reason")
 
@@ -349,14 +438,24 @@ def register_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = lambda label, c: F.concat(F.lit(f'<div class="c__header">{label}</div><a href="'), F.col(c), F.lit('">x</a></div>'))
     page = F.concat(F.lit("<title>"), "name", F.lit(" | LTA</title><p>Tennis</p>"), field("Email", "email"), field("Website", "site"))
     venues = rows.select(F.col("k").alias("id"), F.when(F.col("k") % 13 != 0, page).alias("html"))
-    seen = spark.createDataFrame([("https://3tenn.co.uk/", "GB", "", "<title>Bushey Tennis Club</title><p>Tennis</p>", "")], "url string, cc string, city string, html string, contact_html string")
+    seen = spark.createDataFrame(
+        [("https://3tenn.co.uk/", "GB", "", "<title>Bushey Tennis Club</title><p>Tennis</p>", "")],
+        "url string, cc string, city string, html string, contact_html string",
+    )
     return judging.from_register(venues, records.vet(seen, sources.countries(spark))).select(F.col("id").alias("k"), "reason", "email")
 
 
-@_query(f"""select "at", string_agg(key, ' ' order by key) firsts from (select user_id::varchar || event_type key, min(date_trunc('day', ts))::varchar "at" from events group by 1) group by 1""".replace("min(date_trunc('day', ts))::varchar", "strftime(min(ts), '%Y-%m-%d')"))
+@_query(
+    f"""select "at", string_agg(key, ' ' order by key) firsts from (select user_id::varchar || event_type key, min(date_trunc('day', ts))::varchar "at" from events group by 1) group by 1""".replace(
+        "min(date_trunc('day', ts))::varchar",
+        "strftime(min(ts), '%Y-%m-%d')",
+    )
+)
 def first_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys by the day on which they were first met."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     first = events.groupBy(F.concat(F.col("user_id").cast("string"), "event_type").alias("key")).agg(F.min("ts").alias("ts"))
-    return first.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("at")).agg(F.array_join(F.array_sort(F.collect_list("key")), " ").alias("firsts"))
+    return first.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("at")).agg(
+        F.array_join(F.array_sort(F.collect_list("key")), " ").alias("firsts")
+    )
 

@@ -92,7 +92,9 @@ def private_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.NAMES.spark(spark, sf_dir).select("id", gate["reason"].alias("reason"))
 
 
-@_query(f"select regexp_replace(regexp_replace(reason, ' \".*\"', ''), ': .*', '') reason, count(*) n from ({_GATE}) where reason <> '' group by 1 order by n desc, min(id) limit 3")
+@_query(
+    f"select regexp_replace(regexp_replace(reason, ' \".*\"', ''), ': .*', '') reason, count(*) n from ({_GATE}) where reason <> '' group by 1 order by n desc, min(id) limit 3"
+)
 def gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most frequent reasons."""
     gate = rules.private_gate(F.col("name"), F.col("website"), F.col("email"))
@@ -100,13 +102,17 @@ def gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_reasons(rows, F.regexp_replace(rules.normalised_reason(F.col("why")), ": .*", ""), "id", 3)
 
 
-@_query(f"select code, coalesce(list_aggregate(list_transform(range(3, length(code), 2), lambda i: chr(xor(('0x' || substr(code, i, 2))::int, ('0x' || substr(code, 1, 2))::int))), 'string_agg', ''), '') as text from {V.CODES.sql}")
+@_query(
+    f"select code, coalesce(list_aggregate(list_transform(range(3, length(code), 2), lambda i: chr(xor(('0x' || substr(code, i, 2))::int, ('0x' || substr(code, 1, 2))::int))), 'string_agg', ''), '') as text from {V.CODES.sql}"
+)
 def cf_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hidden addresses."""
     return V.CODES.spark(spark, sf_dir).select("code", emails.cf_decode(F.col("code")).alias("text"))
 
 
-@_query(f"select country, count(*) total, count(*) filter (coalesce(email, '') <> '') with_email, count(*) filter (coalesce(email, '') = '' and coalesce(website, '') <> '' and coalesce(attempts, 0) < 4) queued from {V.STORE.sql} group by rollup (country)")
+@_query(
+    f"select country, count(*) total, count(*) filter (coalesce(email, '') <> '') with_email, count(*) filter (coalesce(email, '') = '' and coalesce(website, '') <> '' and coalesce(attempts, 0) < 4) queued from {V.STORE.sql} group by rollup (country)"
+)
 def country_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records by country, and in all."""
     return reports.country_counts(V.STORE.spark(spark, sf_dir))
@@ -115,7 +121,9 @@ def country_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OPEN = "coalesce(email, '') = '' and coalesce(website, '') <> ''"
 
 
-@_query(f"select count(*) filter ({_OPEN} and coalesce(attempts, 0) < 4 and coalesce(retryAfter, 0) <= {NOW}) ready, count(*) filter ({_OPEN} and coalesce(retryAfter, 0) > {NOW}) waiting, count(*) filter ({_OPEN} and coalesce(attempts, 0) >= 4) exhausted from {V.STORE.sql}")
+@_query(
+    f"select count(*) filter ({_OPEN} and coalesce(attempts, 0) < 4 and coalesce(retryAfter, 0) <= {NOW}) ready, count(*) filter ({_OPEN} and coalesce(retryAfter, 0) > {NOW}) waiting, count(*) filter ({_OPEN} and coalesce(attempts, 0) >= 4) exhausted from {V.STORE.sql}"
+)
 def crawl_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ready, waiting, exhausted."""
     return reports.crawl_buckets(V.STORE.spark(spark, sf_dir), F.lit(NOW))
@@ -128,7 +136,9 @@ def retry_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.crawl_due(V.STORE.spark(spark, sf_dir), F.lit(NOW)).select("key", "attempts")
 
 
-@_query(f"select key, case when g then 0 else coalesce(attempts, 0) end attempts from (select *, coalesce({_OPEN} and (crawlNote = 'no email published' or coalesce(attempts, 0) >= 3), false) g from {V.STORE.sql})")
+@_query(
+    f"select key, case when g then 0 else coalesce(attempts, 0) end attempts from (select *, coalesce({_OPEN} and (crawlNote = 'no email published' or coalesce(attempts, 0) >= 3), false) g from {V.STORE.sql})"
+)
 def requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts after giving up is taken back."""
     return schedule.requeued(V.STORE.spark(spark, sf_dir)).select("key", "attempts")
@@ -142,7 +152,9 @@ def next_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.next_countries(sources.countries(spark).select("cc", "prio"), V.STATE.spark(spark, sf_dir), F.lit(NOW), 92)
 
 
-@_query(f"""select count(*) filter ("at" is not null and error is null) imported, count(*) filter (error is not null) failed, count(*) filter ("at" is null) pending, count(*) total, arg_max(error, "at") filter (error is not null) last_error from {_PRIORITY_SQL} p left join {V.STATE.sql} s using (cc)""")
+@_query(
+    f"""select count(*) filter ("at" is not null and error is null) imported, count(*) filter (error is not null) failed, count(*) filter ("at" is null) pending, count(*) total, arg_max(error, "at") filter (error is not null) last_error from {_PRIORITY_SQL} p left join {V.STATE.sql} s using (cc)"""
+)
 def import_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far imports have come."""
     return reports.import_summary(sources.countries(spark).select("cc", "prio"), V.STATE.spark(spark, sf_dir))
@@ -156,7 +168,12 @@ _DIMENSION = f"""(select cc, name, population, row_number() over (partition by c
 @_query(f"select cc, name, population, rank from {_DIMENSION}")
 def city_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest place of each name, ranked."""
-    return places.cities(V.CITIES.spark(spark, sf_dir), sources.countries(spark)).select("cc", "name", "population", F.col("rank").cast("bigint").alias("rank"))
+    return places.cities(V.CITIES.spark(spark, sf_dir), sources.countries(spark)).select(
+        "cc",
+        "name",
+        "population",
+        F.col("rank").cast("bigint").alias("rank"),
+    )
 
 
 _FLAT = "trim(regexp_replace(strip_accents(lower({0})), '[^a-z0-9]+', ' ', 'g'))"
@@ -175,25 +192,33 @@ def city_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.place(V.RECORDS.spark(spark, sf_dir), V.CITIES.spark(spark, sf_dir), sources.countries(spark))
 
 
-@_query(f"""with t as (select *, case when own and local then 1 when own then 2 when platform then 3 end tier from {V.RESULTS.sql} where rank <= 10) select lead, first(url order by tier, query, rank) url, min(tier) tier from t where tier is not null group by lead""")
+@_query(
+    f"""with t as (select *, case when own and local then 1 when own then 2 when platform then 3 end tier from {V.RESULTS.sql} where rank <= 10) select lead, first(url order by tier, query, rank) url, min(tier) tier from t where tier is not null group by lead"""
+)
 def site_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The site of each lead."""
     return schedule.pick_site(V.RESULTS.spark(spark, sf_dir), ["lead"])
 
 
-@_query(f"with recursive r as (select 'a' node, 0 depth union select dst, depth + 1 from r join {V.EDGES.sql} e on e.src = r.node where depth < 40) select node, min(depth) depth from r group by 1")
+@_query(
+    f"with recursive r as (select 'a' node, 0 depth union select dst, depth + 1 from r join {V.EDGES.sql} e on e.src = r.node where depth < 40) select node, min(depth) depth from r group by 1"
+)
 def walk_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a walk reaches."""
     return walk.reach(V.EDGES.spark(spark, sf_dir), spark.createDataFrame([("a",)], "node string"))
 
 
-@_query(f"select upper(regexp_extract(trim(value), '^(AUTO|[A-Za-z]{{2}})\\s+(https?://\\S+)$', 1)) cc, regexp_extract(trim(value), '^(AUTO|[A-Za-z]{{2}})\\s+(https?://\\S+)$', 2) url from {V.LINES.sql} where upper(regexp_extract(trim(value), '^(AUTO|[A-Za-z]{{2}})\\s+(https?://\\S+)$', 1)) in ('AUTO', {_CODES_SQL[1:]}")
+@_query(
+    f"select upper(regexp_extract(trim(value), '^(AUTO|[A-Za-z]{{2}})\\s+(https?://\\S+)$', 1)) cc, regexp_extract(trim(value), '^(AUTO|[A-Za-z]{{2}})\\s+(https?://\\S+)$', 2) url from {V.LINES.sql} where upper(regexp_extract(trim(value), '^(AUTO|[A-Za-z]{{2}})\\s+(https?://\\S+)$', 1)) in ('AUTO', {_CODES_SQL[1:]}"
+)
 def seed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeds of a list."""
     return sources.seeds(V.LINES.spark(spark, sf_dir))
 
 
-@_query(f"select split_part(value, ' ', 2) url, arg_max(split_part(value, ' ', 1), ord) verdict from {V.LOG.sql} where contains(value, ' ') group by 1")
+@_query(
+    f"select split_part(value, ' ', 2) url, arg_max(split_part(value, ' ', 1), ord) verdict from {V.LOG.sql} where contains(value, ' ') group by 1"
+)
 def log_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last verdict on each page."""
     return sources.verdicts(V.LOG.spark(spark, sf_dir), "ord")
@@ -207,13 +232,17 @@ def certificate_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.certificate_hosts(V.HOSTS.spark(spark, sf_dir), "padel")
 
 
-@_query(f"select country, city, count(*) emails from {V.STORE.sql} where coalesce(city, '') <> '' and coalesce(email, '') <> '' group by all")
+@_query(
+    f"select country, city, count(*) emails from {V.STORE.sql} where coalesce(city, '') <> '' and coalesce(email, '') <> '' group by all"
+)
 def city_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses by city."""
     return reports.city_emails(V.STORE.spark(spark, sf_dir))
 
 
-@_query(f"select country, count(*) clubs, count(*) filter (coalesce(email, '') <> '') emails, count(*) filter (coalesce(website, '') <> '') sites, count(*) filter (coalesce(crawlNote, '') <> '') \"read\", count(*) filter (crawlNote = 'unreachable') unreachable, count(*) filter (crawlNote = 'no email published') no_address, count(*) filter (list_contains(sports, 'Tennis')) tennis, count(*) filter (list_contains(sports, 'Padel')) padel, count(*) filter (list_contains(sports, 'Squash')) squash, any_value(s.sources) sources from {V.STORE.sql} left join (select country, string_agg(src || '=' || n, ' ' order by src) sources from (select country, coalesce(src, '?') src, count(*) n from {V.STORE.sql} where coalesce(email, '') <> '' group by all) group by 1) s using (country) where coalesce(country, '') <> '' group by country")
+@_query(
+    f"select country, count(*) clubs, count(*) filter (coalesce(email, '') <> '') emails, count(*) filter (coalesce(website, '') <> '') sites, count(*) filter (coalesce(crawlNote, '') <> '') \"read\", count(*) filter (crawlNote = 'unreachable') unreachable, count(*) filter (crawlNote = 'no email published') no_address, count(*) filter (list_contains(sports, 'Tennis')) tennis, count(*) filter (list_contains(sports, 'Padel')) padel, count(*) filter (list_contains(sports, 'Squash')) squash, any_value(s.sources) sources from {V.STORE.sql} left join (select country, string_agg(src || '=' || n, ' ' order by src) sources from (select country, coalesce(src, '?') src, count(*) n from {V.STORE.sql} where coalesce(email, '') <> '' group by all) group by 1) s using (country) where coalesce(country, '') <> '' group by country"
+)
 def country_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage by country."""
     slots = reports.country_slots(V.STORE.spark(spark, sf_dir))
@@ -221,7 +250,9 @@ def country_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.withColumn("sources", F.array_join(pairs, " "))
 
 
-@_query(f"select count(*) total, count(*) filter (known) already, count(*) filter (not known and wanted) to_add, count(*) filter (not known and not wanted) unknown_country from (select coalesce(lower(n.email) in (select lower(email) from {V.STORE.sql} where email is not null), false) known, country in ({', '.join(repr(n) for _, n, _ in values.COUNTRIES)}) wanted from {V.NEW.sql} n)")
+@_query(
+    f"select count(*) total, count(*) filter (known) already, count(*) filter (not known and wanted) to_add, count(*) filter (not known and not wanted) unknown_country from (select coalesce(lower(n.email) in (select lower(email) from {V.STORE.sql} where email is not null), false) known, country in ({', '.join(repr(n) for _, n, _ in values.COUNTRIES)}) wanted from {V.NEW.sql} n)"
+)
 def restore_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a restore would do."""
     return reports.restore_counters(V.NEW.spark(spark, sf_dir), V.STORE.spark(spark, sf_dir), sources.countries(spark))

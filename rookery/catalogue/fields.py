@@ -56,7 +56,10 @@ def club_candidates(t: DataFrame) -> DataFrame:
     return t.select("k", F.array_join(lines, " ; ").alias("found")).filter("found <> ''")
 
 
-@_on(_LISTING, f", {_FOUR} select k, string_agg(distinct regexp_extract(u, '//(www\\.)?([^/]*)', 2), ' ' order by regexp_extract(u, '//(www\\.)?([^/]*)', 2)) hosts from l where not starts_with(u, 'https://list.example.org') group by k")
+@_on(
+    _LISTING,
+    f", {_FOUR} select k, string_agg(distinct regexp_extract(u, '//(www\\.)?([^/]*)', 2), ' ' order by regexp_extract(u, '//(www\\.)?([^/]*)', 2)) hosts from l where not starts_with(u, 'https://list.example.org') group by k",
+)
 def chrome_hosts(t: DataFrame) -> DataFrame:
     """Outside hosts of listing pages."""
     return t.select("k", F.array_join(F.array_sort(html.chrome_hosts(F.col("page"), F.col("base"))), " ").alias("hosts"))
@@ -70,10 +73,16 @@ def outbound_site(t: DataFrame) -> DataFrame:
     return t.select("k", site.alias("site"))
 
 
-@_on(_LISTING, "select k, case when lower(t2) = 'next' and k % 9 <> 0 then 'https://list.example.org' || h2 when t4 in ('Next', 'siguiente') then 'https://list.example.org' || h4 end page from t")
+@_on(
+    _LISTING,
+    "select k, case when lower(t2) = 'next' and k % 9 <> 0 then 'https://list.example.org' || h2 when t4 in ('Next', 'siguiente') then 'https://list.example.org' || h4 end page from t",
+)
 def next_page(t: DataFrame) -> DataFrame:
     """The next page of a listing; some have been read."""
-    seen = F.when(F.col("k") % 9 == 0, F.array(F.concat(F.lit("https://list.example.org"), "h2"))).otherwise(F.array().cast("array<string>"))
+    seen = F.when(
+        F.col("k") % 9 == 0,
+        F.array(F.concat(F.lit("https://list.example.org"), "h2")),
+    ).otherwise(F.array().cast("array<string>"))
     return t.select("k", html.next_page(F.col("page"), F.col("base"), seen).alias("page"))
 
 
@@ -110,10 +119,17 @@ def title_names(t: DataFrame) -> DataFrame:
      "select k, case when k % 2 = 0 then site else 'Club ' || k || ' & Co' end \"name\", concat_ws('|', nullif(title, ''), site, 'Club ' || k || ' & Co') candidates from t")
 def page_names(t: DataFrame) -> DataFrame:
     """What pages call themselves."""
-    return t.select("k", html.page_name(F.col("page")).alias("name"), F.array_join(html.name_candidates(F.col("page")), "|").alias("candidates"))
+    return t.select(
+        "k",
+        html.page_name(F.col("page")).alias("name"),
+        F.array_join(html.name_candidates(F.col("page")), "|").alias("candidates"),
+    )
 
 
-@_on(f"select {_K} k, 'A&amp;B&nbsp; &#' || cast(65 + p_partkey % 26 as string) || ';&#233; &copy; x&#' || cast(9731 as string) || ';' x from {{part}}", "select k, 'A&B ' || chr((65 + k % 26)::int) || 'é x☃' text from t")
+@_on(
+    f"select {_K} k, 'A&amp;B&nbsp; &#' || cast(65 + p_partkey % 26 as string) || ';&#233; &copy; x&#' || cast(9731 as string) || ';' x from {{part}}",
+    "select k, 'A&B ' || chr((65 + k % 26)::int) || 'é x☃' text from t",
+)
 def entities(t: DataFrame) -> DataFrame:
     """Entities decoded."""
     return t.select("k", html.decode_entities(F.col("x")).alias("text"))
@@ -124,10 +140,17 @@ def entities(t: DataFrame) -> DataFrame:
      "select k, case k % 5 when 0 then 'https://h.es/new/' || k when 1 then 'https://o.es/' else '' end target, k % 5 in (0, 2, 3) challenge from t")
 def refresh_targets(t: DataFrame) -> DataFrame:
     """Where pages send a visitor, and which ask for proof of a person."""
-    return t.select("k", html.refresh_target(F.col("page"), F.lit("https://h.es/x")).alias("target"), rules.is_challenge(F.col("page")).alias("challenge"))
+    return t.select(
+        "k",
+        html.refresh_target(F.col("page"), F.lit("https://h.es/x")).alias("target"),
+        rules.is_challenge(F.col("page")).alias("challenge"),
+    )
 
 
-@_on(f"select {_K} k, {_at('<div id=\"__NEXT_DATA__\">,<div ng-app>,window.__s=1,Window.__s,plain', 'p_partkey % 5')} page from {{part}}", "select k, k % 5 < 3 drawn from t")
+@_on(
+    f"select {_K} k, {_at('<div id=\"__NEXT_DATA__\">,<div ng-app>,window.__s=1,Window.__s,plain', 'p_partkey % 5')} page from {{part}}",
+    "select k, k % 5 < 3 drawn from t",
+)
 def script_pages(t: DataFrame) -> DataFrame:
     """Pages that a script draws."""
     return t.select("k", rules.drawn_by_script(F.col("page")).alias("drawn"))
@@ -156,7 +179,11 @@ def emails_ranked(t: DataFrame) -> DataFrame:
 def own_addresses(t: DataFrame) -> DataFrame:
     """Addresses on a site's domain, and those that are not the listing's."""
     left = emails.listing_emails(F.col("found"), F.col("listed"), F.lit("list.org"))
-    return t.select("k", F.coalesce(emails.on_own_domain(F.col("found"), F.col("site")), F.lit("")).alias("own"), F.array_join(left, " ").alias("left_"))
+    return t.select(
+        "k",
+        F.coalesce(emails.on_own_domain(F.col("found"), F.col("site")), F.lit("")).alias("own"),
+        F.array_join(left, " ").alias("left_"),
+    )
 
 
 @_on(f"""select {_K} k, {_at('Club de Tenis Pontevedra,Mount Schank Tennis Club,Tennis Club,Ábaco Racquet Hub,Royal Green Bowls Town', 'p_partkey % 5')} name, {_at('https://www.pontevedra.es,https://mountness.org,https://abaco-hub.com,https://rgbt.org', 'p_partkey % 4')} url from {{part}}""",
@@ -167,7 +194,12 @@ def own_addresses(t: DataFrame) -> DataFrame:
 def site_plausible(t: DataFrame) -> DataFrame:
     """Whether hosts fit names, by words and by initials."""
     name, url = F.col("name"), F.col("url")
-    return t.select("k", F.array_join(rules.name_tokens(name), " ").alias("tokens"), rules.plausible_site(name, url).alias("plausible"), rules.name_overlap(name, url).alias("overlap"))
+    return t.select(
+        "k",
+        F.array_join(rules.name_tokens(name), " ").alias("tokens"),
+        rules.plausible_site(name, url).alias("plausible"),
+        rules.name_overlap(name, url).alias("overlap"),
+    )
 
 
 @_on(f"select {_K} k, {_at('Tennis Club,Court Booking for South Africa,Club Peruano,Padel India,Kenya Squash', 'p_partkey % 5')} name, {_at('ZA,IN,KE', 'p_partkey % 3')} cc from {{part}}",
@@ -177,7 +209,10 @@ def other_countries(t: DataFrame) -> DataFrame:
     return t.select("k", rules.names_other_country(F.col("name"), F.col("cc")).alias("other"))
 
 
-@_on(f"select {_K} k, 'https://dir.org/' || {_at('Europe/Spain/Clubs,x/Reino_Unido/,Espa%C3%B1a,South_Africa/y,nowhere', 'p_partkey % 5')} url from {{part}}", "select k, split_part('ES,GB,ES,ZA,', ',', (k % 5 + 1)::int) cc from t")
+@_on(
+    f"select {_K} k, 'https://dir.org/' || {_at('Europe/Spain/Clubs,x/Reino_Unido/,Espa%C3%B1a,South_Africa/y,nowhere', 'p_partkey % 5')} url from {{part}}",
+    "select k, split_part('ES,GB,ES,ZA,', ',', (k % 5 + 1)::int) cc from t",
+)
 def path_countries(t: DataFrame) -> DataFrame:
     """Countries that paths name."""
     return t.select("k", urls.country_of_path(F.col("url")).alias("cc"))
@@ -186,11 +221,18 @@ def path_countries(t: DataFrame) -> DataFrame:
 _PAIRS = f"""select {_K} k, {_at('name,official_name,club', 'p_partkey % 3')} k1, 'Tennis ' || cast(p_partkey as string) v1, {_at('sport,leisure', 'p_partkey % 2')} k2, {_at('tennis,sports_centre,table_tennis,soccer; padel', 'p_partkey % 4')} v2, 'alt_name' k3, ' Alt ' v3 from {{part}}"""
 
 
-@_on(_PAIRS, """select k, case when k1 = 'club' then 'Alt' else v1 end "name", coalesce((k1 = 'name' and k2 = 'sport' and v2 in ('tennis', 'soccer; padel')) or (k2 = 'leisure' and v2 = 'sports_centre' and k1 = 'name'), false) candidate from t""")
+@_on(
+    _PAIRS,
+    """select k, case when k1 = 'club' then 'Alt' else v1 end "name", coalesce((k1 = 'name' and k2 = 'sport' and v2 in ('tennis', 'soccer; padel')) or (k2 = 'leisure' and v2 = 'sports_centre' and k1 = 'name'), false) candidate from t""",
+)
 def map_candidates(t: DataFrame) -> DataFrame:
     """Names of map elements, and which the map database would return."""
     tags = F.create_map("k1", "v1", "k2", "v2", "k3", "v3")
-    return t.select("k", rx.pick(tags, "name", "official_name", "alt_name").alias("name"), sources.is_map_candidate(tags).alias("candidate"))
+    return t.select(
+        "k",
+        rx.pick(tags, "name", "official_name", "alt_name").alias("name"),
+        sources.is_map_candidate(tags).alias("candidate"),
+    )
 
 
 @_on(f"""select {_K} k, 200 + cast(p_partkey % 3 as int) * 100 status, {_at('text/html,image/png,,application/xml', 'p_partkey % 4')} content_type, case p_partkey % 5 when 0 then '' when 1 then cast(null as string) when 2 then ' <!DOCTYPE html>x' else 'plain' end html from {{part}}""",
@@ -248,10 +290,17 @@ def baked_pages(t: DataFrame) -> DataFrame:
 def register_cards(t: DataFrame) -> DataFrame:
     """Fields of contact cards."""
     page = F.col("page")
-    return t.select("k", html.venue_name(page).alias("name"), *(html.card_field(page, f).alias(f.lower()) for f in ("Email", "Phone", "Fax")))
+    return t.select(
+        "k",
+        html.venue_name(page).alias("name"),
+        *(html.card_field(page, f).alias(f.lower()) for f in ("Email", "Phone", "Fax")),
+    )
 
 
-@_on(f"select {_K} k, {_at('a%20b+c,%41%C3%A9,%zz,plain', 'p_partkey % 4')} x from {{part}}", "select k, case k % 4 when 0 then 'a b+c' when 1 then 'Aé' when 3 then 'plain' end text from t")
+@_on(
+    f"select {_K} k, {_at('a%20b+c,%41%C3%A9,%zz,plain', 'p_partkey % 4')} x from {{part}}",
+    "select k, case k % 4 when 0 then 'a b+c' when 1 then 'Aé' when 3 then 'plain' end text from t",
+)
 def percent_decoded(t: DataFrame) -> DataFrame:
     """URL escapes."""
     return t.select("k", rx.percent_decoded(F.col("x")).alias("text"))
@@ -261,7 +310,10 @@ def percent_decoded(t: DataFrame) -> DataFrame:
 def decoded_charsets(t: DataFrame) -> DataFrame:
     """Bodies in three character sets."""
     body = F.when(F.col("which") == 0, F.encode("x", "UTF-8")).when(F.col("which") == 1, F.encode("x", "ISO-8859-1")).otherwise(F.encode("x", "UTF-16LE"))
-    kind = F.concat(F.lit("text/html; charset="), F.element_at(F.array(F.lit("utf8"), F.lit("latin1"), F.lit("utf-16le")), F.col("which") + 1))
+    kind = F.concat(
+        F.lit("text/html; charset="),
+        F.element_at(F.array(F.lit("utf8"), F.lit("latin1"), F.lit("utf-16le")), F.col("which") + 1),
+    )
     return t.select("k", sources.decoded(body, kind).alias("text"))
 
 

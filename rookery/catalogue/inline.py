@@ -78,24 +78,275 @@ def _records(shift: int) -> str:
 
 STORE = Table(
     "key string, ord bigint, name string, cc string, country string, lang string, sports array<string>, website string, email string, contact string, src string, city string, crawled boolean, stale boolean, attempts int, crawlNote string, lastTried string, retryAfter bigint",
-    ("w:a.es", 1, "Club Uno", "ES", "Spain", "Spanish", ["Tennis"], "https://a.es", "Info@a.es", "", "map", "Madrid", True, False, 1, "homepage", "2026-01-02", None),
-    ("n:ES:clubuno", 2, "Club Uno Tenis", "ES", "Spain", "Spanish", ["Padel", "Tennis"], "", "info@a.es", "Ana Ruiz", "harvest", None, True, None, 0, None, None, None),
-    ("w:b.co.uk", 3, "B Tennis Club", "GB", "United Kingdom", "English", ["Tennis", "Squash"], "https://b.co.uk", "sec@b.co.uk", None, None, "Leeds", True, True, 1, "contact", "2026-02-01", None),
-    ("w:c.pt", 4, "Clube C", "PT", "Portugal", "Portuguese", ["Padel"], "https://c.pt", "", "", "prospect", "Porto", False, None, 2, "unreachable", "2026-03-01", 1772500000000),
-    ("w:d.es", 5, "Club D", "ES", "Spain", "Spanish", ["Squash"], "https://d.es", None, None, "map", None, True, None, 4, "no email published", "2026-01-10", None),
-    ("w:e.br", 6, "Clube E", "BR", "Brazil", "Portuguese", ["Tennis"], "https://e.br", None, None, "map", "Santos", False, None, None, None, None, None),
-    ("w:f.ie", 7, "F Club", "IE", "Ireland", "English", ["Tennis"], "https://f.ie", None, None, "leads", None, True, None, 4, "no email published", "2026-03-02", None),
-    *((f"n:US:x{i}", 10 + i, f"X Club {i}", "US", "United States", "English", ["Tennis"], "", "office@fed.org", "", "register", None, True, None, 0, None, None, None) for i in range(6)),
-    *((f"n:US:y{i}", 20 + i, f"Y Club {'Y' * (i % 3)}", "US", "United States", "English", ["Padel"], "", "chain@y.com", "Bo" if i > 2 else "", "register", None, True, None, 0, None, None, None) for i in range(5)),
-    ("n:US:noemail", 30, "", "US", "United States", "English", ["Tennis"], "", "z@z.com", "", "register", None, False, None, 3, "unreachable", "2026-03-03", 1),
+    (
+        "w:a.es",
+        1,
+        "Club Uno",
+        "ES",
+        "Spain",
+        "Spanish",
+        ["Tennis"],
+        "https://a.es",
+        "Info@a.es",
+        "",
+        "map",
+        "Madrid",
+        True,
+        False,
+        1,
+        "homepage",
+        "2026-01-02",
+        None,
+    ),
+    (
+        "n:ES:clubuno",
+        2,
+        "Club Uno Tenis",
+        "ES",
+        "Spain",
+        "Spanish",
+        ["Padel", "Tennis"],
+        "",
+        "info@a.es",
+        "Ana Ruiz",
+        "harvest",
+        None,
+        True,
+        None,
+        0,
+        None,
+        None,
+        None,
+    ),
+    (
+        "w:b.co.uk",
+        3,
+        "B Tennis Club",
+        "GB",
+        "United Kingdom",
+        "English",
+        ["Tennis", "Squash"],
+        "https://b.co.uk",
+        "sec@b.co.uk",
+        None,
+        None,
+        "Leeds",
+        True,
+        True,
+        1,
+        "contact",
+        "2026-02-01",
+        None,
+    ),
+    (
+        "w:c.pt",
+        4,
+        "Clube C",
+        "PT",
+        "Portugal",
+        "Portuguese",
+        ["Padel"],
+        "https://c.pt",
+        "",
+        "",
+        "prospect",
+        "Porto",
+        False,
+        None,
+        2,
+        "unreachable",
+        "2026-03-01",
+        1772500000000,
+    ),
+    (
+        "w:d.es",
+        5,
+        "Club D",
+        "ES",
+        "Spain",
+        "Spanish",
+        ["Squash"],
+        "https://d.es",
+        None,
+        None,
+        "map",
+        None,
+        True,
+        None,
+        4,
+        "no email published",
+        "2026-01-10",
+        None,
+    ),
+    (
+        "w:e.br",
+        6,
+        "Clube E",
+        "BR",
+        "Brazil",
+        "Portuguese",
+        ["Tennis"],
+        "https://e.br",
+        None,
+        None,
+        "map",
+        "Santos",
+        False,
+        None,
+        None,
+        None,
+        None,
+        None,
+    ),
+    (
+        "w:f.ie",
+        7,
+        "F Club",
+        "IE",
+        "Ireland",
+        "English",
+        ["Tennis"],
+        "https://f.ie",
+        None,
+        None,
+        "leads",
+        None,
+        True,
+        None,
+        4,
+        "no email published",
+        "2026-03-02",
+        None,
+    ),
+    *(
+        (
+            f"n:US:x{i}",
+            10 + i,
+            f"X Club {i}",
+            "US",
+            "United States",
+            "English",
+            ["Tennis"],
+            "",
+            "office@fed.org",
+            "",
+            "register",
+            None,
+            True,
+            None,
+            0,
+            None,
+            None,
+            None,
+        ) for i in range(6)
+    ),
+    *(
+        (
+            f"n:US:y{i}",
+            20 + i,
+            f"Y Club {'Y' * (i % 3)}",
+            "US",
+            "United States",
+            "English",
+            ["Padel"],
+            "",
+            "chain@y.com",
+            "Bo" if i > 2 else "",
+            "register",
+            None,
+            True,
+            None,
+            0,
+            None,
+            None,
+            None,
+        ) for i in range(5)
+    ),
+    (
+        "n:US:noemail",
+        30,
+        "",
+        "US",
+        "United States",
+        "English",
+        ["Tennis"],
+        "",
+        "z@z.com",
+        "",
+        "register",
+        None,
+        False,
+        None,
+        3,
+        "unreachable",
+        "2026-03-03",
+        1,
+    ),
     more=_records(0),
 )
 NEW = Table(
     STORE.ddl,
-    ("w:c.pt", 1, "Clube C", "PT", "Portugal", "Portuguese", ["Tennis", "Padel"], "https://c.pt/x", "geral@c.pt", "Rui", "map", None, True, None, 0, None, None, None),
+    (
+        "w:c.pt",
+        1,
+        "Clube C",
+        "PT",
+        "Portugal",
+        "Portuguese",
+        ["Tennis", "Padel"],
+        "https://c.pt/x",
+        "geral@c.pt",
+        "Rui",
+        "map",
+        None,
+        True,
+        None,
+        0,
+        None,
+        None,
+        None,
+    ),
     ("w:c.pt", 2, "Other C", "PT", "Portugal", "Portuguese", ["Squash"], "", "late@c.pt", "", "map", None, True, None, 0, None, None, None),
-    ("n:ES:clubuno", 3, "Club Uno", "ES", "Spain", "Spanish", ["Squash"], "https://uno.es", "x@uno.es", "Eva", "map", None, True, None, 0, None, None, None),
-    ("w:new.ie", 4, "New Club", "IE", "Ireland", "English", ["Tennis"], "https://new.ie", "", "", "map", None, False, None, 0, None, None, None),
+    (
+        "n:ES:clubuno",
+        3,
+        "Club Uno",
+        "ES",
+        "Spain",
+        "Spanish",
+        ["Squash"],
+        "https://uno.es",
+        "x@uno.es",
+        "Eva",
+        "map",
+        None,
+        True,
+        None,
+        0,
+        None,
+        None,
+        None,
+    ),
+    (
+        "w:new.ie",
+        4,
+        "New Club",
+        "IE",
+        "Ireland",
+        "English",
+        ["Tennis"],
+        "https://new.ie",
+        "",
+        "",
+        "map",
+        None,
+        False,
+        None,
+        0,
+        None,
+        None,
+        None,
+    ),
     ("w:new.ie", 5, "New Club", "IE", "Ireland", "English", ["Padel"], "", "hi@new.ie", "Jo", "map", None, True, None, 0, None, None, None),
     more=_records(300),
 )
@@ -163,7 +414,15 @@ LINES = Table("ord bigint, value string", (1, "# comment"), (2, "ES https://a.es
 LOG = Table("ord bigint, value string", (1, "RETRY https://a/1"), (2, "SEED https://a/1"), (3, "THIN https://a/2"), (4, "odd"),
     more=f"""select 1000 + cast(event_id as bigint) ord, {_at('SEED,THIN,RETRY,EXCLUDED', 'event_id % 4')} || ' https://h/' || cast(user_id as string) value from {{events}}""",
 )
-PLACES = Table("cc string, name string, rank int", ("SG", "Singapore", 1), ("BR", "São Paulo", 1), ("BR", "Santos", 2), ("BR", "Recife", 3), ("GB", "Leeds", 1), ("FR", "Paris", 1))
+PLACES = Table(
+    "cc string, name string, rank int",
+    ("SG", "Singapore", 1),
+    ("BR", "São Paulo", 1),
+    ("BR", "Santos", 2),
+    ("BR", "Recife", 3),
+    ("GB", "Leeds", 1),
+    ("FR", "Paris", 1),
+)
 STATS = Table("cc string, city string, searches bigint, found bigint", ("SG", "", 6, 2), ("BR", "Santos", 3, 1), ("BR", "", 6, 0), ("BR", "Água Boa", 1, 0), ("BR", "Bagé", 2, 1), ("BR", "São Paulo", 1, 1),
     more=f"""select {_at(_CC, 'c_nationkey % 10')} cc, 'Town ' || cast(c_custkey % 97 as string) city, cast(count(*) as bigint) searches, cast(sum(c_custkey % 3) as bigint) found from {{customer}} group by 1, 2""",
 )
@@ -191,7 +450,20 @@ LEADS = Table("key string, country string, website string, searched string", ("a
 _CARD = '<html><title>{0} | LTA</title><body>Tennis courts <div class="c__header">Email</div><a href="mailto:{1}">e</a></div><div class="c__header">Website</div><a href="{2}">w</a></div></body></html>'
 VENUES = Table(
     "id string, html string",
-    ("v1", _CARD.format("Abbey Tennis Club", "Sec@abbey.co.uk", "https://abbey.co.uk")), ("v2", _CARD.format("3Tenn Bushey", "info@lta.org.uk", "https://3tenn.co.uk/")), ("v3", _CARD.format("3Tenn Leeds", "noreply@x.uk", "")),
-    ("v4", _CARD.format("Quiet Tennis Club", "test@x.uk", "https://www.lta.org.uk")), ("v5", None), ("v6", "<p>no title</p>"), ("v7", _CARD.format("3Tenn Mill", "a@mill.co.uk", "https://mill.co.uk")),
+    (
+        "v1",
+        _CARD.format("Abbey Tennis Club", "Sec@abbey.co.uk", "https://abbey.co.uk"),
+    ), (
+        "v2",
+        _CARD.format("3Tenn Bushey", "info@lta.org.uk", "https://3tenn.co.uk/"),
+    ), ("v3", _CARD.format("3Tenn Leeds", "noreply@x.uk", "")),
+    (
+        "v4",
+        _CARD.format("Quiet Tennis Club", "test@x.uk", "https://www.lta.org.uk"),
+    ), ("v5", None), ("v6", "<p>no title</p>"), ("v7", _CARD.format("3Tenn Mill", "a@mill.co.uk", "https://mill.co.uk")),
 )
-SITES = Table("url string, html string", ("https://3tenn.co.uk/", "<title>Bushey Tennis Club</title><p>Tennis for members</p>"), ("https://mill.co.uk", "<title>Mill Courts</title><p>Hire</p>"))
+SITES = Table(
+    "url string, html string",
+    ("https://3tenn.co.uk/", "<title>Bushey Tennis Club</title><p>Tennis for members</p>"),
+    ("https://mill.co.uk", "<title>Mill Courts</title><p>Hire</p>"),
+)

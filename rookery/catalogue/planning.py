@@ -28,7 +28,11 @@ def _query(sql: str | None = None):
 
 
 _COUNTRIES = V.Table("cc string, name string, lang string", *values.COUNTRIES).sql
-_TERMS = V.Table("cc string, lang string, terms array<string>, word string", ("BR", None, values.TERMS_OF_BRAZIL, values.CONTACT_WORD_OF_BRAZIL), *((None, lang, words, values.CONTACT_WORD[lang]) for lang, words in values.TERMS.items())).sql
+_TERMS = V.Table(
+    "cc string, lang string, terms array<string>, word string",
+    ("BR", None, values.TERMS_OF_BRAZIL, values.CONTACT_WORD_OF_BRAZIL),
+    *((None, lang, words, values.CONTACT_WORD[lang]) for lang, words in values.TERMS.items()),
+).sql
 #: each country with its terms, contact word and twin city
 _PLAN = f"""(select c.*, coalesce(own.terms, t.terms, en.terms) terms, coalesce(own.word, t.word, en.word) word, p.name twin from {_COUNTRIES} c
     left join {_TERMS} own on own.cc = c.cc left join {_TERMS} t on t.lang = c.lang left join {_TERMS} en on en.lang = 'English'
@@ -58,10 +62,18 @@ def search_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left join (select cc, count(*) d from {V.ASKED.sql} group by 1) using (cc) left join (select country "name", count(*) e from {V.STORE.sql} where coalesce(city, '') <> '' and coalesce(email, '') <> '' group by 1) using ("name")""")
 def search_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the searches of each country got."""
-    return searches.coverage(sources.countries(spark), V.PLACES.spark(spark, sf_dir), V.STATS.spark(spark, sf_dir), V.ASKED.spark(spark, sf_dir), reports.city_emails(V.STORE.spark(spark, sf_dir)))
-
-
-@_query(f"select s.cc, s.city, s.searches, row_number() over (partition by s.cc order by coalesce(rank, 1000000000), lower(strip_accents(s.city))) place from {V.STATS.sql} s left join {V.PLACES.sql} p on p.cc = s.cc and p.name = s.city where s.city <> ''")
+    return searches.coverage(
+        sources.countries(spark),
+        V.PLACES.spark(spark, sf_dir),
+        V.STATS.spark(spark, sf_dir),
+        V.ASKED.spark(spark, sf_dir),
+        reports.city_emails(V.STORE.spark(spark, sf_dir)),
+    )
+
+
+@_query(
+    f"select s.cc, s.city, s.searches, row_number() over (partition by s.cc order by coalesce(rank, 1000000000), lower(strip_accents(s.city))) place from {V.STATS.sql} s left join {V.PLACES.sql} p on p.cc = s.cc and p.name = s.city where s.city <> ''"
+)
 def city_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cities in the order in which they are shown."""
     shown = searches.display_order(V.STATS.spark(spark, sf_dir).filter("city <> ''"), V.PLACES.spark(spark, sf_dir))
@@ -78,7 +90,10 @@ def first_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def open_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas that a split scan has still to read."""
     areas = V.AREAS.spark(spark, sf_dir)
-    return sources.open_areas(areas.select("cc", "relation"), areas.filter("done").select("cc", sources.area_id(F.col("relation")).alias("area")))
+    return sources.open_areas(
+        areas.select("cc", "relation"),
+        areas.filter("done").select("cc", sources.area_id(F.col("relation")).alias("area")),
+    )
 
 
 @_query(f"select page, id from {V.LISTED.sql} where id not in (select id from {V.READ.sql})")
@@ -87,7 +102,9 @@ def unread_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.unread_ids(V.LISTED.spark(spark, sf_dir), V.READ.spark(spark, sf_dir))
 
 
-@_query(f"select error, regexp_matches(coalesce(error, ''), '504|timed out|out of memory|cut the query short', 'i') too_big from {V.ERRORS.sql}")
+@_query(
+    f"select error, regexp_matches(coalesce(error, ''), '504|timed out|out of memory|cut the query short', 'i') too_big from {V.ERRORS.sql}"
+)
 def too_big_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors after which a country is split."""
     return V.ERRORS.spark(spark, sf_dir).select("error", sources.is_too_big(F.col("error")).alias("too_big"))
@@ -105,7 +122,9 @@ def seed_counts_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.seed_counts_line(V.STORE.spark(spark, sf_dir).groupBy("cc").agg(F.count("*").alias("n")))
 
 
-@_query(f"select country, count(*) leads, count(*) filter (coalesce(searched, '') <> '') searched, count(*) filter (coalesce(website, '') <> '') found from {V.LEADS.sql} where coalesce(country, '') <> '' group by 1")
+@_query(
+    f"select country, count(*) leads, count(*) filter (coalesce(searched, '') <> '') searched, count(*) filter (coalesce(website, '') <> '') found from {V.LEADS.sql} where coalesce(country, '') <> '' group by 1"
+)
 def leads_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads by country."""
     return reports.leads_by_country(V.LEADS.spark(spark, sf_dir))

@@ -36,7 +36,12 @@ _LINKS = f"""select page_id, i - 1 as place, case when starts_with(h, '/') then
 
 def _links(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", F.posexplode(html.links(F.col("html"), F.col("url"))).alias("place", "l"))
-    return rows.select("page_id", F.col("place").cast("bigint").alias("place"), F.col("l.url").alias("link"), F.col("l.text").alias("label"))
+    return rows.select(
+        "page_id",
+        F.col("place").cast("bigint").alias("place"),
+        F.col("l.url").alias("link"),
+        F.col("l.text").alias("label"),
+    )
 
 
 @_query(_LINKS, "pages")
@@ -63,29 +68,45 @@ def host_of_page(pages: DataFrame) -> DataFrame:
 @_query(f"select {_HOST} host, count(*) pages, min(page_id) first_page, sum(length(html))::bigint chars from pages group by 1", "pages")
 def site_rollup(pages: DataFrame) -> DataFrame:
     """Pages by host."""
-    return pages.groupBy(urls.host_of(F.col("url")).alias("host")).agg(F.count("*").alias("pages"), F.min("page_id").alias("first_page"), F.sum(F.char_length("html")).alias("chars"))
+    return pages.groupBy(urls.host_of(F.col("url")).alias("host")).agg(
+        F.count("*").alias("pages"),
+        F.min("page_id").alias("first_page"),
+        F.sum(F.char_length("html")).alias("chars"),
+    )
 
 
 _PLAIN = r"regexp_replace(regexp_replace({0}, '&amp;', '&', 'gi'), '&nbsp;', ' ', 'gi')"
 
 
-@_query(f"select page_id, trim(regexp_replace(regexp_replace({_PLAIN.format('t')}, '&[a-z]+;', ' ', 'gi'), '\\s+', ' ', 'g')) title from (select page_id, regexp_extract(html, '<title[^>]*>([\\s\\S]{{0,200}}?)</title>', 1, 'i') t from pages)", "pages")
+@_query(
+    f"select page_id, trim(regexp_replace(regexp_replace({_PLAIN.format('t')}, '&[a-z]+;', ' ', 'gi'), '\\s+', ' ', 'g')) title from (select page_id, regexp_extract(html, '<title[^>]*>([\\s\\S]{{0,200}}?)</title>', 1, 'i') t from pages)",
+    "pages",
+)
 def page_title(pages: DataFrame) -> DataFrame:
     """Titles of pages."""
     return pages.select("page_id", html.title_of(F.col("html")).alias("title"))
 
 
-@_query(r"select page_id, length(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[\s\S]*?</script>', ' ', 'gi'), '<style[\s\S]*?</style>', ' ', 'gi'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))::bigint chars from pages", "pages")
+@_query(
+    r"select page_id, length(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<script[\s\S]*?</script>', ' ', 'gi'), '<style[\s\S]*?</style>', ' ', 'gi'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))::bigint chars from pages",
+    "pages",
+)
 def page_text_len(pages: DataFrame) -> DataFrame:
     """Length of each page's visible text."""
     return pages.select("page_id", F.char_length(html.text_of(F.col("html"))).cast("bigint").alias("chars"))
 
 
-@_query(rf"select doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '{values.EMAIL}', 0, 'i'), lambda e: lower(e)))), ' ') emails from documents where regexp_matches(text, '{values.EMAIL}', 'i')", "documents")
+@_query(
+    rf"select doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '{values.EMAIL}', 0, 'i'), lambda e: lower(e)))), ' ') emails from documents where regexp_matches(text, '{values.EMAIL}', 'i')",
+    "documents",
+)
 def emails_raw(documents: DataFrame) -> DataFrame:
     """Addresses in documents, before any is judged; the plain pattern only."""
     found = F.array_distinct(F.transform(rx.all_of(F.col("text"), values.EMAIL), F.lower))
-    return documents.filter(F.col("text").contains("@")).select("doc_id", F.array_join(F.array_sort(found), " ").alias("emails")).filter("emails <> ''")
+    return documents.filter(F.col("text").contains("@")).select(
+        "doc_id",
+        F.array_join(F.array_sort(found), " ").alias("emails"),
+    ).filter("emails <> ''")
 
 
 def _i(pattern: str) -> str:
@@ -107,7 +128,10 @@ _COUNTS = f"""(select p.page_id page, p.url, html, coalesce(n, 0)::int links, co
             from ({_LINKS}) l join pages using (page_id) where {_CLUB_LIKE}) where r = 1 group by 1) using (page_id))"""
 
 
-@_query(f"select page, links, internal, external, emails, case when emails >= 3 or external >= 3 then 'GOOD' else 'MAYBE' end verdict from {_COUNTS}", "pages")
+@_query(
+    f"select page, links, internal, external, emails, case when emails >= 3 or external >= 3 then 'GOOD' else 'MAYBE' end verdict from {_COUNTS}",
+    "pages",
+)
 def page_audit(pages: DataFrame) -> DataFrame:
     """Counts and a verdict for every page."""
     found = F.size(emails.extract_emails(F.col("html"), urls.host_of(F.col("url"))))
@@ -124,7 +148,17 @@ def page_audit(pages: DataFrame) -> DataFrame:
 )
 def fold_events(events: DataFrame) -> DataFrame:
     """The published view's fold over events by user."""
-    rows = events.select(F.col("event_id").alias("ord"), F.concat(F.lit("event "), "event_id").alias("name"), F.array("event_type").alias("sports"), F.lit("").alias("contact"), F.col("user_id").cast("string").alias("email"), F.lit("x").alias("lang"), F.lit("x").alias("country"), F.col("event_type").alias("src"), F.lit(False).alias("stale"))
+    rows = events.select(
+        F.col("event_id").alias("ord"),
+        F.concat(F.lit("event "), "event_id").alias("name"),
+        F.array("event_type").alias("sports"),
+        F.lit("").alias("contact"),
+        F.col("user_id").cast("string").alias("email"),
+        F.lit("x").alias("lang"),
+        F.lit("x").alias("country"),
+        F.col("event_type").alias("src"),
+        F.lit(False).alias("stale"),
+    )
     return merge.publishable(rows, most=1_000_000).select("email", "src", F.array_join("sports", "+").alias("kinds"))
 
 
@@ -149,7 +183,12 @@ def country_report(customer: DataFrame, nation: DataFrame, orders: DataFrame) ->
     """Conditional counts by country over a dimension and pre-summed facts."""
     n = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
     rows = customer.join(n, "c_custkey", "left").join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
-    return rows.groupBy(F.col("n_name").alias("country")).agg(F.count("*").alias("clubs"), F.count_if(F.col("n") > 0).alias("active"), F.sum("n").alias("orders"), F.count_if(F.col("c_acctbal") < 0).alias("in_debt"))
+    return rows.groupBy(F.col("n_name").alias("country")).agg(
+        F.count("*").alias("clubs"),
+        F.count_if(F.col("n") > 0).alias("active"),
+        F.sum("n").alias("orders"),
+        F.count_if(F.col("c_acctbal") < 0).alias("in_debt"),
+    )
 
 
 @_query(
@@ -172,29 +211,53 @@ def budget_prefix(orders: DataFrame) -> DataFrame:
     return schedule.budget_prefix(rows, F.to_date("o_orderdate"), ["o_orderdate", "o_orderkey"], "cost", 5000).select("o_orderkey", "spent")
 
 
-@_query("select p_partkey, case when r = 1 then k else k || '#' || r end as key from (select p_partkey, p_name k, row_number() over (partition by p_name order by p_partkey) r from part)", "part")
+@_query(
+    "select p_partkey, case when r = 1 then k else k || '#' || r end as key from (select p_partkey, p_name k, row_number() over (partition by p_name order by p_partkey) r from part)",
+    "part",
+)
 def collision_keys(part: DataFrame) -> DataFrame:
     """Parts numbered within their names."""
     return merge.collision_keys(part, "p_name", ["p_partkey"]).select("p_partkey", "key")
 
 
-@_query("select c_custkey, case when regexp_matches(c_name, '[\",\\n]') then '\"' || replace(c_name, '\"', '\"\"') || '\"' else c_name end || ',' || c_mktsegment || ',' || c_nationkey line from customer", "customer")
+@_query(
+    "select c_custkey, case when regexp_matches(c_name, '[\",\\n]') then '\"' || replace(c_name, '\"', '\"\"') || '\"' else c_name end || ',' || c_mktsegment || ',' || c_nationkey line from customer",
+    "customer",
+)
 def csv_export(customer: DataFrame) -> DataFrame:
     """Customers as lines of an extract."""
-    return customer.select("c_custkey", F.concat_ws(",", *(rx.csv_cell(F.col(c)) for c in ("c_name", "c_mktsegment", "c_nationkey"))).alias("line"))
+    return customer.select(
+        "c_custkey",
+        F.concat_ws(",", *(rx.csv_cell(F.col(c)) for c in ("c_name", "c_mktsegment", "c_nationkey"))).alias("line"),
+    )
 
 
-@_query("select c_mktsegment segment, n_name country, count(*) n from customer join nation on n_nationkey = c_nationkey group by cube (c_mktsegment, n_name)", "customer", "nation")
+@_query(
+    "select c_mktsegment segment, n_name country, count(*) n from customer join nation on n_nationkey = c_nationkey group by cube (c_mktsegment, n_name)",
+    "customer",
+    "nation",
+)
 def segment_cube(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Counts by segment and country, with all totals (an extension)."""
-    rows = customer.join(nation, F.col("n_nationkey") == F.col("c_nationkey")).select(F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("country"))
+    rows = customer.join(nation, F.col("n_nationkey") == F.col("c_nationkey")).select(
+        F.col("c_mktsegment").alias("segment"),
+        F.col("n_name").alias("country"),
+    )
     return rows.cube("segment", "country").agg(F.count("*").alias("n"))
 
 
-@_query("select time_bucket(interval 1 hour, ts)::varchar \"start\", event_type, count(*) n, round(sum(value), 4) total from events group by all", "events")
+@_query(
+    "select time_bucket(interval 1 hour, ts)::varchar \"start\", event_type, count(*) n, round(sum(value), 4) total from events group by all",
+    "events",
+)
 def tumbling_events(events: DataFrame) -> DataFrame:
     """Events by hour and type (an extension; the same function serves a stream)."""
-    return tumbling(events).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+    return tumbling(events).select(
+        F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"),
+        "event_type",
+        "n",
+        F.round("total", 4).alias("total"),
+    )
 
 
 @_query("select page_id, length(html) n_chars, md5(html) digest from pages", "pages")

@@ -30,7 +30,10 @@ def decode_entities(text: Column) -> Column:
     base = rx.sub(rx.sub(text, "&amp;", "&"), "&nbsp;", " ")
     parts = F.split(base, r"&#(?=\d+;)")
     head = F.get(parts, F.lit(0))
-    tail = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.concat(_char(F.regexp_extract(p, r"^\d+", 0)), F.regexp_replace(p, r"^\d+;", "")))
+    tail = F.transform(
+        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
+        lambda p: F.concat(_char(F.regexp_extract(p, r"^\d+", 0)), F.regexp_replace(p, r"^\d+;", "")),
+    )
     return rx.squeeze(rx.sub(F.concat(head, F.array_join(tail, "")), r"&[a-z]+;", " "))
 
 
@@ -74,7 +77,13 @@ def name_from_title(title: Column) -> Column:
         t = F.trim(rx.sub(t, values.TITLE_SUFFIX, ""))
         return F.substring(rx.squeeze(t), 1, 90)
 
-    parts = F.filter(F.transform(F.split(F.coalesce(title, F.lit("")), rf"[|\x{{2013}}\x{{2014}}\x{{00B7}}\x{{2022}},]|[{rx.SPACE}]+-[{rx.SPACE}]+"), clean), lambda x: x != "")
+    parts = F.filter(
+        F.transform(
+            F.split(F.coalesce(title, F.lit("")), rf"[|\x{{2013}}\x{{2014}}\x{{00B7}}\x{{2022}},]|[{rx.SPACE}]+-[{rx.SPACE}]+"),
+            clean,
+        ),
+        lambda x: x != "",
+    )
     return F.coalesce(F.get(F.filter(parts, lambda x: rx.like(x, values.CLUB_WORD)), F.lit(0)), F.get(parts, F.lit(0)), F.lit(""))
 
 
@@ -109,7 +118,10 @@ def next_page(html: Column, base: Column, seen: Column) -> Column:
     """The next page of a listing that is not among ``seen``; null at the end."""
     rel = rx.first(html, values.REL_NEXT)
     by_rel = F.when(rel != "", urls.resolve(rel, base))
-    by_text = F.get(F.filter(links(html, base), lambda x: rx.like(x["text"], values.NEXT_TEXT) & ~F.array_contains(seen, x["url"])), F.lit(0))["url"]
+    by_text = F.get(
+        F.filter(links(html, base), lambda x: rx.like(x["text"], values.NEXT_TEXT) & ~F.array_contains(seen, x["url"])),
+        F.lit(0),
+    )["url"]
     return F.coalesce(F.when(~F.array_contains(seen, by_rel), by_rel), by_text)
 
 
@@ -121,7 +133,10 @@ def candidates(html: Column, base: Column) -> Column:
     )
     names = F.transform(fit, lambda x: x["text"])
     first = F.filter(fit, lambda x, i: F.array_position(names, x["text"]) == i + 1)
-    return F.transform(first, lambda x: F.struct(x["text"].alias("name"), x["url"].alias("url"), x["url"].startswith(urls.origin_of(base)).alias("internal")))
+    return F.transform(
+        first,
+        lambda x: F.struct(x["text"].alias("name"), x["url"].alias("url"), x["url"].startswith(urls.origin_of(base)).alias("internal")),
+    )
 
 
 def chrome_hosts(html: Column, base: Column) -> Column:
@@ -134,7 +149,9 @@ def outbound_site(html: Column, base: Column, chrome: Column, name: Column) -> C
     """The first outside link that looks like the named club's own site; empty if none does."""
     fit = F.filter(
         links(html, base),
-        lambda x: ~x["url"].startswith(urls.origin_of(base)) & ~rx.like(x["url"], values.SKIPPED_LINK) & ~F.array_contains(chrome, urls.host_of(x["url"])) & rx.like(x["url"], r"^https?:\/\/") & ((F.coalesce(name, F.lit("")) == "") | rules.plausible_site(name, x["url"])),
+        lambda x: ~x["url"].startswith(urls.origin_of(base)) & ~rx.like(x["url"], values.SKIPPED_LINK) & ~F.array_contains(chrome, urls.host_of(x["url"])) & rx.like(x["url"], r"^https?:\/\/") & (
+            (F.coalesce(name, F.lit("")) == "") | rules.plausible_site(name, x["url"])
+        ),
     )
     return F.coalesce(F.split(F.get(fit, F.lit(0))["url"], "#")[0], F.lit(""))
 
@@ -142,6 +159,9 @@ def outbound_site(html: Column, base: Column, chrome: Column, name: Column) -> C
 def contact_pages(html: Column, base: Column, most: int = 8) -> Column:
     """Where a site may say how to reach it: its own links that look so, then guessed paths, each once, ``most`` at most."""
     origin = urls.origin_of(base)
-    fit = F.filter(links(html, origin), lambda x: x["url"].startswith(origin) & (rx.like(x["url"], values.CONTACT_LINK) | rx.like(x["text"], values.CONTACT_LINK)))
+    fit = F.filter(
+        links(html, origin),
+        lambda x: x["url"].startswith(origin) & (rx.like(x["url"], values.CONTACT_LINK) | rx.like(x["text"], values.CONTACT_LINK)),
+    )
     guessed = F.array(*(F.concat(origin, F.lit(p)) for p in values.CONTACT_PATHS))
     return F.slice(F.array_distinct(F.concat(F.transform(fit, lambda x: x["url"]), guessed)), 1, most)

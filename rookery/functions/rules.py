@@ -29,13 +29,24 @@ def sports_from_tag(tag: Column) -> Column:
     rest = F.regexp_replace(t, r"^(.*?)(^|;)tennis(;|$)", "$1")
     alone = rx.like(t, r"(^|;|\s)tennis(;|$|\s)") & ~rx.like(rest, "padel|paddle")
     word = rx.like(t, r"\btennis\b") & ~rx.like(t, "padel|paddle")
-    return F.array_compact(F.array(F.when(alone | word, F.lit("Tennis")), F.when(rx.like(t, "padel|paddle"), F.lit("Padel")), F.when(rx.like(t, "squash"), F.lit("Squash"))))
+    return F.array_compact(
+        F.array(
+            F.when(alone | word, F.lit("Tennis")),
+            F.when(rx.like(t, "padel|paddle"), F.lit("Padel")),
+            F.when(rx.like(t, "squash"), F.lit("Squash")),
+        )
+    )
 
 
 def private_gate(name: Column, website: Column, email: Column, operator: Column | None = None, description: Column | None = None) -> Column:
     """``struct<ok, reason>``: the first reason against a private club, in fixed order; empty if it is one."""
     none = F.lit("")
-    text = F.concat_ws(" ", F.coalesce(name, none), F.coalesce(operator, none) if operator is not None else none, F.coalesce(description, none) if description is not None else none)
+    text = F.concat_ws(
+        " ",
+        F.coalesce(name, none),
+        F.coalesce(operator, none) if operator is not None else none,
+        F.coalesce(description, none) if description is not None else none,
+    )
     domain = F.coalesce(F.get(F.split(email, "@"), F.lit(1)), none)
     reason = (
         F.when(F.trim(F.coalesce(name, none)) == "", "no name")
@@ -56,7 +67,10 @@ def is_challenge(html: Column) -> Column:
 
 def name_tokens(name: Column) -> Column:
     """Distinctive words of a name."""
-    return F.filter(F.split(rx.strip_accents(F.coalesce(name, F.lit(""))), "[^a-z0-9]+"), lambda t: (F.char_length(t) >= 4) & ~t.isin(values.STOPWORDS))
+    return F.filter(
+        F.split(rx.strip_accents(F.coalesce(name, F.lit(""))), "[^a-z0-9]+"),
+        lambda t: (F.char_length(t) >= 4) & ~t.isin(values.STOPWORDS),
+    )
 
 
 def plausible_site(name: Column, url: Column) -> Column:
@@ -65,7 +79,9 @@ def plausible_site(name: Column, url: Column) -> Column:
     tokens = name_tokens(name)
     words = F.filter(F.split(rx.strip_accents(F.coalesce(name, F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
     initials = F.array_join(F.transform(words, lambda w: F.substring(w, 1, 1)), "")
-    return (flat != "") & (F.size(tokens) > 0) & (F.exists(tokens, lambda t: flat.contains(t)) | ((F.char_length(initials) >= 3) & flat.startswith(initials)))
+    return (flat != "") & (F.size(tokens) > 0) & (
+        F.exists(tokens, lambda t: flat.contains(t)) | ((F.char_length(initials) >= 3) & flat.startswith(initials))
+    )
 
 
 def name_overlap(name: Column, text: Column) -> Column:
@@ -78,7 +94,9 @@ def name_overlap(name: Column, text: Column) -> Column:
 def names_other_country(name: Column, cc: Column) -> Column:
     """The first country of the table other than ``cc`` that a name has as whole words; null if none."""
     escaped = lambda n: "".join("\\" + x if x in ".*+?^${}()|[]\\" else x for x in n)
-    return F.coalesce(*(F.when((F.coalesce(cc, F.lit("")) != c) & rx.like(name, rf"\b{escaped(n)}\b"), F.lit(n)) for c, n, _ in values.COUNTRIES))
+    return F.coalesce(
+        *(F.when((F.coalesce(cc, F.lit("")) != c) & rx.like(name, rf"\b{escaped(n)}\b"), F.lit(n)) for c, n, _ in values.COUNTRIES)
+    )
 
 
 def normalised_reason(reason: Column, places: bool = True) -> Column:

@@ -36,7 +36,10 @@ def _without_dots(path: Column) -> Column:
     kept = F.aggregate(
         parts,
         F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(acc)).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))),
+        lambda acc, s: F.when(
+            s == "..",
+            F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(acc),
+        ).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))),
     )
     joined = F.array_join(kept, "/")
     return F.when(last.isin(".", "..") & ~joined.endswith("/"), F.concat(joined, F.lit("/"))).otherwise(joined)
@@ -52,7 +55,11 @@ def resolve(link: Column, base: Column) -> Column:
     path = F.when(bare.startswith("/"), bare).otherwise(F.concat(folder, bare))
     full = F.when(link.startswith("//"), F.concat(F.regexp_extract(origin, "^[a-z]+:", 0), link)).otherwise(link)
     absolute = F.concat(origin_of(full), _without_dots(path_of(full)), _part(full, 4), _part(full, 5))
-    same = F.concat(F.regexp_extract(base, r"^[^?#]*", 0), F.when(link.startswith("#"), F.regexp_extract(base, r"\?[^#]*", 0)).otherwise(""), tail)
+    same = F.concat(
+        F.regexp_extract(base, r"^[^?#]*", 0),
+        F.when(link.startswith("#"), F.regexp_extract(base, r"\?[^#]*", 0)).otherwise(""),
+        tail,
+    )
     out = (
         F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://") | link.startswith("//"), absolute)
         .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
@@ -90,5 +97,8 @@ def country_of_path(url: Column) -> Column:
     """Country that the first naming part of a path stands for; empty if none does."""
     known = {name.replace(" ", "_"): cc for cc, name, _ in values.COUNTRIES} | values.COUNTRY_ALIASES
     table = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    hits = F.filter(F.transform(F.split(url, "/"), lambda p: F.element_at(table, F.coalesce(rx.percent_decoded(p), p))), lambda x: x.isNotNull())
+    hits = F.filter(
+        F.transform(F.split(url, "/"), lambda p: F.element_at(table, F.coalesce(rx.percent_decoded(p), p))),
+        lambda x: x.isNotNull(),
+    )
     return F.coalesce(F.get(hits, F.lit(0)), F.lit(""))

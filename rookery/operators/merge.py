@@ -74,7 +74,9 @@ def publishable(store: DataFrame, most: int = 5) -> DataFrame:
     country, source and staleness; sports are united in order; the contact is the first that is not blank; the name is the
     longest, the earlier of equals.  Addresses of more than ``most`` rows belong to a directory and go.
     """
-    fit = store.filter(filled(F.col("name")).isNotNull() & filled(F.col("email")).isNotNull() & filled(F.col("lang")).isNotNull() & (F.size("sports") > 0))
+    fit = store.filter(
+        filled(F.col("name")).isNotNull() & filled(F.col("email")).isNotNull() & filled(F.col("lang")).isNotNull() & (F.size("sports") > 0)
+    )
     fit = fit.withColumn("email", F.lower("email")).select("ord", "name", "sports", "contact", "email", "lang", "country", "src", "stale")
     folded = fit.groupBy("email").agg(
         F.min_by(F.struct("lang", "country", "src", F.coalesce("stale", F.lit(False)).alias("stale")), "ord").alias("x"),
@@ -132,7 +134,10 @@ def with_leads(store: DataFrame, leads: DataFrame) -> DataFrame:
 def latest_element(elements: DataFrame) -> DataFrame:
     """Map elements of several statements by type and id: the last one's content at the first one's place."""
     rest = [c for c in elements.columns if c not in ("type", "id", "ord")]
-    return elements.groupBy("type", "id").agg(F.max_by(F.struct(*rest), "ord").alias("x"), F.min("ord").alias("ord")).select("type", "id", "ord", "x.*")
+    return elements.groupBy("type", "id").agg(
+        F.max_by(F.struct(*rest), "ord").alias("x"),
+        F.min("ord").alias("ord"),
+    ).select("type", "id", "ord", "x.*")
 
 
 def csv_lines(published: DataFrame) -> DataFrame:

@@ -16,8 +16,13 @@ def cities(geonames: DataFrame, countries: DataFrame, least: int = 20_000) -> Da
 
     Of equally large places of a country the one whose name comes first in the list ranks first.
     """
-    fit = geonames.filter((F.col("population") >= least) & (F.coalesce("name", F.lit("")) != "")).join(F.broadcast(countries.select("cc")), "cc")
-    best = fit.groupBy("cc", F.lower("name").alias("low")).agg(F.max_by(F.struct("name", "lat", "lon", "population"), F.struct("population", -F.col("ord"))).alias("x"), F.min("ord").alias("ord"))
+    fit = geonames.filter(
+        (F.col("population") >= least) & (F.coalesce("name", F.lit("")) != "")
+    ).join(F.broadcast(countries.select("cc")), "cc")
+    best = fit.groupBy("cc", F.lower("name").alias("low")).agg(
+        F.max_by(F.struct("name", "lat", "lon", "population"), F.struct("population", -F.col("ord"))).alias("x"),
+        F.min("ord").alias("ord"),
+    )
     rank = F.row_number().over(Window.partitionBy("cc").orderBy(F.desc("x.population"), "ord"))  # a country's cities
     return best.select("cc", "x.*", rank.alias("rank"))
 
@@ -54,10 +59,18 @@ def nearest(points: DataFrame, there: DataFrame, key: list[str], within: float =
         return F.floor(lon / (step / F.cos(F.radians(far))))
 
     near = points.withColumn("cell", F.explode(F.array(band - 1, band, band + 1)))
-    near = near.withColumn("side", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: across(F.col("lon"), F.col("cell")) + d))).alias("p")
+    near = near.withColumn(
+        "side",
+        F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: across(F.col("lon"), F.col("cell")) + d)),
+    ).alias("p")
     place = there.withColumn("cell", band).withColumn("side", across(F.col("lon"), F.col("cell"))).alias("c")
     km = distance_km(F.col("p.lat"), F.col("p.lon"), F.col("c.lat"), F.col("c.lon"))
-    met = near.join(place, ["cc", "cell", "side"]).select(*(F.col(f"p.{k}") for k in key), "c.city", km.alias("km"), "c.ord").filter(F.col("km") < within)
+    met = near.join(place, ["cc", "cell", "side"]).select(
+        *(F.col(f"p.{k}") for k in key),
+        "c.city",
+        km.alias("km"),
+        "c.ord",
+    ).filter(F.col("km") < within)
     return met.groupBy(*key).agg(F.min_by(F.struct("city", "km"), F.struct("km", "ord")).alias("x")).select(*key, "x.city", "x.km")
 
 
@@ -67,7 +80,12 @@ def _flat(c: Column) -> Column:
 
 def named_in(records: DataFrame, dimension: DataFrame, key: list[str], least: int = 4) -> DataFrame:
     """``key, city``: the longest city name that a record's name has as whole words, joined on its first word."""
-    city = dimension.select("cc", "name", "rank", _flat(F.col("name")).alias("flat")).filter(F.char_length("flat") >= least).withColumn("word", F.split("flat", " ")[0])
+    city = dimension.select(
+        "cc",
+        "name",
+        "rank",
+        _flat(F.col("name")).alias("flat"),
+    ).filter(F.char_length("flat") >= least).withColumn("word", F.split("flat", " ")[0])
     word = records.select(*key, "cc", F.concat(F.lit(" "), _flat(F.col("name")), F.lit(" ")).alias("padded"))
     word = word.withColumn("word", F.explode(F.array_distinct(F.split(F.trim("padded"), " "))))
     met = word.join(city, ["cc", "word"]).filter(F.col("padded").contains(F.concat(F.lit(" "), F.col("flat"), F.lit(" "))))

@@ -18,7 +18,11 @@ def has(c: str) -> Column:
 def country_counts(store: DataFrame) -> DataFrame:
     """Records, addresses and queued records by country, and in all (null country)."""
     queued = ~has("email") & has("website") & (F.coalesce("attempts", F.lit(0)) < 4)
-    return store.rollup("country").agg(F.count("*").alias("total"), F.count_if(has("email")).alias("with_email"), F.count_if(queued).alias("queued"))
+    return store.rollup("country").agg(
+        F.count("*").alias("total"),
+        F.count_if(has("email")).alias("with_email"),
+        F.count_if(queued).alias("queued"),
+    )
 
 
 def crawl_buckets(store: DataFrame, now: Column) -> DataFrame:
@@ -26,12 +30,19 @@ def crawl_buckets(store: DataFrame, now: Column) -> DataFrame:
     open_ = ~has("email") & has("website")
     worn = F.coalesce("attempts", F.lit(0)) >= 4
     waits = F.coalesce("retryAfter", F.lit(0)) > now
-    return store.agg(F.count_if(open_ & ~worn & ~waits).alias("ready"), F.count_if(open_ & waits).alias("waiting"), F.count_if(open_ & worn).alias("exhausted"))
+    return store.agg(
+        F.count_if(open_ & ~worn & ~waits).alias("ready"),
+        F.count_if(open_ & waits).alias("waiting"),
+        F.count_if(open_ & worn).alias("exhausted"),
+    )
 
 
 def top_reasons(rows: DataFrame, reason: Column, order: str, n: int) -> DataFrame:
     """The ``n`` most frequent reasons; of equal ones the first met."""
-    counts = rows.withColumn("reason", reason).filter(has("reason")).groupBy("reason").agg(F.count("*").alias("n"), F.min(order).alias("first"))
+    counts = rows.withColumn("reason", reason).filter(has("reason")).groupBy("reason").agg(
+        F.count("*").alias("n"),
+        F.min(order).alias("first"),
+    )
     return counts.orderBy(F.desc("n"), "first", "reason").limit(n).select("reason", "n")
 
 
@@ -65,7 +76,13 @@ def import_summary(priority: DataFrame, state: DataFrame) -> DataFrame:
     """Imported, failed and pending countries, and the latest error."""
     joined = priority.join(state.withColumn("known", F.lit(True)), "cc", "left")
     done = F.col("known").isNotNull() & ~has("error")
-    return joined.agg(F.count_if(done).alias("imported"), F.count_if(has("error")).alias("failed"), F.count_if(F.col("known").isNull()).alias("pending"), F.count("*").alias("total"), F.max_by("error", F.when(has("error"), F.col("at"))).alias("last_error"))
+    return joined.agg(
+        F.count_if(done).alias("imported"),
+        F.count_if(has("error")).alias("failed"),
+        F.count_if(F.col("known").isNull()).alias("pending"),
+        F.count("*").alias("total"),
+        F.max_by("error", F.when(has("error"), F.col("at"))).alias("last_error"),
+    )
 
 
 def leads_summary(leads: DataFrame) -> DataFrame:
@@ -73,21 +90,37 @@ def leads_summary(leads: DataFrame) -> DataFrame:
 
 
 def seeds_summary(queue: DataFrame) -> DataFrame:
-    return queue.agg(F.count("*").alias("total"), F.count_if(~F.coalesce("done", F.lit(False))).alias("working"), F.count_if("done").alias("exhausted"), F.coalesce(F.sum("pagesRead"), F.lit(0)).alias("pages"))
+    return queue.agg(
+        F.count("*").alias("total"),
+        F.count_if(~F.coalesce("done", F.lit(False))).alias("working"),
+        F.count_if("done").alias("exhausted"),
+        F.coalesce(F.sum("pagesRead"), F.lit(0)).alias("pages"),
+    )
 
 
 def mine_summary(state: DataFrame) -> DataFrame:
-    return state.agg(F.count("*").alias("patterns"), F.coalesce(F.sum(F.size(F.coalesce("pending", F.array()))), F.lit(0)).alias("queued"), F.coalesce(F.sum("added"), F.lit(0)).alias("added"))
+    return state.agg(
+        F.count("*").alias("patterns"),
+        F.coalesce(F.sum(F.size(F.coalesce("pending", F.array()))), F.lit(0)).alias("queued"),
+        F.coalesce(F.sum("added"), F.lit(0)).alias("added"),
+    )
 
 
 def leads_by_country(leads: DataFrame) -> DataFrame:
     """Leads of each country: all, searched, and with a site."""
-    return leads.filter(has("country")).groupBy("country").agg(F.count("*").alias("leads"), F.count_if(has("searched")).alias("searched"), F.count_if(has("website")).alias("found"))
+    return leads.filter(has("country")).groupBy("country").agg(
+        F.count("*").alias("leads"),
+        F.count_if(has("searched")).alias("searched"),
+        F.count_if(has("website")).alias("found"),
+    )
 
 
 def site_summary(published: DataFrame) -> DataFrame:
     """One row of the site's figures: ``count, byCountry, bySport``; the records themselves are written as rows beside it."""
-    places = published.groupBy("country").agg(F.count("*").alias("n"), *(F.count_if(F.array_contains("sports", s)).alias(s) for s in SPORTS))
+    places = published.groupBy("country").agg(
+        F.count("*").alias("n"),
+        *(F.count_if(F.array_contains("sports", s)).alias(s) for s in SPORTS),
+    )
     return places.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("country", "n")))).alias("byCountry"),
@@ -112,13 +145,24 @@ def city_emails(store: DataFrame) -> DataFrame:
 
 def city_coverage(stats: DataFrame, emails: DataFrame) -> DataFrame:
     """``country, city, searches, found, emails`` over the union of both sides' cities."""
-    return emails.join(stats, ["country", "city"], "full").select("country", "city", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("searches", "found", "emails")))
+    return emails.join(stats, ["country", "city"], "full").select(
+        "country",
+        "city",
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in ("searches", "found", "emails")),
+    )
 
 
 def import_counters(outcomes: DataFrame) -> DataFrame:
     """Counts of a map import by outcome."""
     of = lambda kind: F.count_if(F.col("outcome") == kind)
-    return outcomes.agg(F.count("*").alias("seen"), of("added").alias("added"), of("merged").alias("merged"), of("rejected").alias("rejected"), of("lead").alias("leads"), F.count_if(has("email")).alias("with_email"))
+    return outcomes.agg(
+        F.count("*").alias("seen"),
+        of("added").alias("added"),
+        of("merged").alias("merged"),
+        of("rejected").alias("rejected"),
+        of("lead").alias("leads"),
+        F.count_if(has("email")).alias("with_email"),
+    )
 
 
 def restore_counters(published: DataFrame, store: DataFrame, countries: DataFrame) -> DataFrame:
@@ -127,14 +171,30 @@ def restore_counters(published: DataFrame, store: DataFrame, countries: DataFram
     named = countries.select(F.lower("name").alias("c"), F.lit(True).alias("wanted"))
     rows = published.join(known, F.lower("email") == F.col("e"), "left").join(F.broadcast(named), F.lower("country") == F.col("c"), "left")
     new = F.col("known").isNull()
-    return rows.agg(F.count("*").alias("total"), F.count_if(~new).alias("already"), F.count_if(new & F.col("wanted").isNotNull()).alias("to_add"), F.count_if(new & F.col("wanted").isNull()).alias("unknown_country"))
+    return rows.agg(
+        F.count("*").alias("total"),
+        F.count_if(~new).alias("already"),
+        F.count_if(new & F.col("wanted").isNotNull()).alias("to_add"),
+        F.count_if(new & F.col("wanted").isNull()).alias("unknown_country"),
+    )
 
 
-def status(store: DataFrame, leads: DataFrame, queue: DataFrame, mine: DataFrame, priority: DataFrame, imports: DataFrame, now: Column) -> DataFrame:
+def status(
+    store: DataFrame,
+    leads: DataFrame,
+    queue: DataFrame,
+    mine: DataFrame,
+    priority: DataFrame,
+    imports: DataFrame,
+    now: Column,
+) -> DataFrame:
     """``section, value``: the sections of a status report, each as JSON."""
 
     def section(name: str, one_row: DataFrame) -> DataFrame:
-        return one_row.select(F.lit(name).alias("section"), F.to_json(F.struct(*one_row.columns), {"ignoreNullFields": "false"}).alias("value"))
+        return one_row.select(
+            F.lit(name).alias("section"),
+            F.to_json(F.struct(*one_row.columns), {"ignoreNullFields": "false"}).alias("value"),
+        )
 
     reasons = top_reasons(store, F.col("crawlNote"), "ord", 6)
     listed = reasons.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "reason"))).alias("all"))  # six rows

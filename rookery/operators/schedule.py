@@ -25,7 +25,9 @@ def reopened(store: DataFrame, now: Column) -> DataFrame:
 
 def crawl_due(store: DataFrame, now: Column) -> DataFrame:
     """Records to crawl now: no address, a site, under four attempts and no wait left."""
-    return reopened(store, now).filter(filled(F.col("email")).isNull() & filled(F.col("website")).isNotNull() & (F.col("attempts") < 4) & (_n("retryAfter") <= now))
+    return reopened(store, now).filter(
+        filled(F.col("email")).isNull() & filled(F.col("website")).isNotNull() & (F.col("attempts") < 4) & (_n("retryAfter") <= now)
+    )
 
 
 def after_attempt(attempts: Column, note: Column, now: Column) -> Column:
@@ -52,7 +54,9 @@ def leads_reset(leads: DataFrame) -> DataFrame:
 
 def requeued(store: DataFrame) -> DataFrame:
     """Records given up on start anew, without a wait or a note."""
-    again = filled(F.col("email")).isNull() & filled(F.col("website")).isNotNull() & ((F.col("crawlNote") == "no email published") | (_n("attempts") >= 3))
+    again = filled(F.col("email")).isNull() & filled(F.col("website")).isNotNull() & (
+        (F.col("crawlNote") == "no email published") | (_n("attempts") >= 3)
+    )
     again = F.coalesce(again, F.lit(False))
     new = {"attempts": F.when(again, 0).otherwise(_n("attempts")), "crawled": F.when(again, F.lit(False)).otherwise(F.col("crawled"))}
     new |= {c: F.when(~again, F.col(c)) for c in ("crawlNote", "retryAfter")}
@@ -132,7 +136,15 @@ def judged_results(leads: DataFrame, results: DataFrame) -> DataFrame:
     named = (rules.name_overlap(F.col("name"), path) == 1) | (rules.name_overlap(F.col("name"), F.col("title")) == 1)
     local = F.coalesce(urls.country_of_host(urls.host_of(F.col("origin"))) == F.col("cc"), F.lit(False))
     rows = rows.withColumns({"own": own, "local": local, "platform": ~own & rx.like(F.col("origin"), values.CLUB_PLATFORM) & named})
-    return rows.select("key", "query", "rank", F.when(F.col("own"), F.col("origin")).otherwise(F.col("url")).alias("url"), "own", "local", "platform")
+    return rows.select(
+        "key",
+        "query",
+        "rank",
+        F.when(F.col("own"), F.col("origin")).otherwise(F.col("url")).alias("url"),
+        "own",
+        "local",
+        "platform",
+    )
 
 
 def sites_found(leads: DataFrame, results: DataFrame) -> DataFrame:
@@ -158,4 +170,6 @@ def pick_site(results: DataFrame, key: list[str]) -> DataFrame:
     """
     tier = F.when(F.col("own") & F.col("local"), 1).when(F.col("own"), 2).when(F.col("platform"), 3)
     fit = results.filter(F.col("rank") <= 10).withColumn("tier", tier).filter("tier is not null")
-    return fit.groupBy(*key).agg(F.min_by(F.struct("url", "tier"), F.struct("tier", "query", "rank")).alias("x")).select(*key, "x.url", "x.tier")
+    return fit.groupBy(*key).agg(
+        F.min_by(F.struct("url", "tier"), F.struct("tier", "query", "rank")).alias("x")
+    ).select(*key, "x.url", "x.tier")

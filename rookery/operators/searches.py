@@ -37,11 +37,37 @@ def planned_queries(countries: DataFrame, cities: DataFrame) -> DataFrame:
     array, so nothing is multiplied by a join.
     """
     own = countries.select("cc", "lang", F.col("name").alias("country"))
-    wide = own.join(F.broadcast(twin_cities(countries, cities)), "cc", "left").select("cc", "lang", F.col("country").alias("place"), F.lit("").alias("city"), F.col("twin").alias("also"), F.lit(0).alias("rank"))
-    each = cities.select("cc", F.col("name").alias("place"), F.col("rank").cast("int").alias("rank")).join(F.broadcast(own), "cc").filter("place <> country")
+    wide = own.join(F.broadcast(twin_cities(countries, cities)), "cc", "left").select(
+        "cc",
+        "lang",
+        F.col("country").alias("place"),
+        F.lit("").alias("city"),
+        F.col("twin").alias("also"),
+        F.lit(0).alias("rank"),
+    )
+    each = cities.select(
+        "cc",
+        F.col("name").alias("place"),
+        F.col("rank").cast("int").alias("rank"),
+    ).join(F.broadcast(own), "cc").filter("place <> country")
     each = each.select("cc", "lang", "place", F.col("place").alias("city"), F.lit(None).cast("string").alias("also"), "rank")
-    asked = wide.unionByName(each).select("cc", "lang", "place", "city", "also", "rank", F.posexplode(terms_for(F.col("cc"), F.col("lang"))).alias("i", "term"))
-    return asked.select("cc", F.concat_ws(" ", "term", "place", contact_word(F.col("cc"), F.col("lang"))).alias("query"), "city", "also", "rank", "i")
+    asked = wide.unionByName(each).select(
+        "cc",
+        "lang",
+        "place",
+        "city",
+        "also",
+        "rank",
+        F.posexplode(terms_for(F.col("cc"), F.col("lang"))).alias("i", "term"),
+    )
+    return asked.select(
+        "cc",
+        F.concat_ws(" ", "term", "place", contact_word(F.col("cc"), F.col("lang"))).alias("query"),
+        "city",
+        "also",
+        "rank",
+        "i",
+    )
 
 
 def candidates(results: DataFrame, known: DataFrame) -> DataFrame:
@@ -51,7 +77,9 @@ def candidates(results: DataFrame, known: DataFrame) -> DataFrame:
     results that are never a club's site, listings and public bodies.
     """
     rows = results.withColumn("host", urls.host_of(F.col("url"))).filter("host <> ''")
-    first = rows.groupBy("cc", "host").agg(F.min_by(F.struct("url", "query", "rank"), F.struct("query", "rank", "url")).alias("x")).select("cc", "host", "x.*")
+    first = rows.groupBy("cc", "host").agg(
+        F.min_by(F.struct("url", "query", "rank"), F.struct("query", "rank", "url")).alias("x")
+    ).select("cc", "host", "x.*")
     new = first.join(known.select("host").distinct(), "host", "left_anti")
     never = rx.like(F.col("url"), values.NOT_A_CLUB_SITE) | rx.like(F.col("url"), values.AGGREGATOR) | rx.like(F.col("url"), values.PUBLIC_DOMAIN)
     return new.filter(~never).select("cc", "host", "url", "query", "rank")
@@ -61,7 +89,12 @@ def summed_stats(stats: DataFrame, found: DataFrame, twins: DataFrame) -> DataFr
     """``cc, city, searches, found`` after a round: sums by city ('' is country-wide); a twin's searches are set to the country's, never added."""
     total = stats.unionByName(found).groupBy("cc", "city").agg(F.sum("searches").alias("searches"), F.sum("found").alias("found"))
     wide = total.filter("city = ''").select("cc", F.col("searches").alias("wide")).join(F.broadcast(twins), "cc").select("cc", F.col("twin").alias("city"), "wide")
-    return total.join(wide, ["cc", "city"], "full").select("cc", "city", F.coalesce("wide", "searches").alias("searches"), F.coalesce("found", F.lit(0)).alias("found"))
+    return total.join(wide, ["cc", "city"], "full").select(
+        "cc",
+        "city",
+        F.coalesce("wide", "searches").alias("searches"),
+        F.coalesce("found", F.lit(0)).alias("found"),
+    )
 
 
 def coverage(countries: DataFrame, cities: DataFrame, stats: DataFrame, done: DataFrame, city_emails: DataFrame) -> DataFrame:
@@ -77,7 +110,15 @@ def coverage(countries: DataFrame, cities: DataFrame, stats: DataFrame, done: Da
     rows = countries.join(planned, "cc", "left").join(met, "cc", "left").join(asked, "cc", "left").join(mails, "name", "left").join(twin_cities(countries, cities), "cc", "left")
     n = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     target = F.size(terms_for(F.col("cc"), F.col("lang"))) * (1 + n("cities") - F.when(F.col("twin").isNull(), 0).otherwise(1))
-    return rows.select("cc", n("cities").alias("cities"), n("searched").alias("searched"), F.least(n("asked"), target).alias("searches_done"), target.alias("searches"), n("found").alias("found"), n("emails").alias("emails"))
+    return rows.select(
+        "cc",
+        n("cities").alias("cities"),
+        n("searched").alias("searched"),
+        F.least(n("asked"), target).alias("searches_done"),
+        target.alias("searches"),
+        n("found").alias("found"),
+        n("emails").alias("emails"),
+    )
 
 
 def display_order(rows: DataFrame, cities: DataFrame) -> DataFrame:

@@ -18,7 +18,10 @@ def club_links(links: Column, base: Column) -> Column:
     fit = F.filter(links, lambda x: _club_like(x["text"], F.lit("")))
     names = F.transform(fit, lambda x: x["text"])
     first = F.filter(fit, lambda x, i: F.array_position(names, x["text"]) == i + 1)
-    return F.transform(first, lambda x: F.struct(x["text"].alias("name"), x["url"].alias("url"), x["url"].startswith(urls.origin_of(base)).alias("internal")))
+    return F.transform(
+        first,
+        lambda x: F.struct(x["text"].alias("name"), x["url"].alias("url"), x["url"].startswith(urls.origin_of(base)).alias("internal")),
+    )
 
 
 def link_counts(page: Column, base: Column) -> Column:
@@ -40,13 +43,34 @@ def category_pages(pages: DataFrame, least: int = 5) -> DataFrame:
     ``clubs`` counts links out of the site that name private clubs; ``subcategories`` are the distinct relevant branches inside it.
     A page is RETRY if it could not be read, EXCLUDED by its category, SEED with ``least`` clubs, else THIN.
     """
-    rows = pages.select("url", "html", html.links(F.coalesce("html", F.lit("")), F.col("url")).alias("links"), urls.origin_of(F.col("url")).alias("origin"))
-    inside = F.filter("links", lambda x: x["url"].startswith(F.col("origin")) & rx.like(x["url"], r"\/(en|es|pt)\/(Sports|Regional|Deportes|Esportes)\/", fold=False) & rx.like(x["url"], values.RELEVANT))
+    rows = pages.select(
+        "url",
+        "html",
+        html.links(F.coalesce("html", F.lit("")), F.col("url")).alias("links"),
+        urls.origin_of(F.col("url")).alias("origin"),
+    )
+    inside = F.filter(
+        "links",
+        lambda x: x["url"].startswith(F.col("origin")) & rx.like(
+            x["url"],
+            r"\/(en|es|pt)\/(Sports|Regional|Deportes|Esportes)\/",
+            fold=False,
+        ) & rx.like(x["url"], values.RELEVANT),
+    )
     clubs = F.size(F.filter("links", lambda x: ~x["url"].startswith(F.col("origin")) & _club_like(x["text"], x["url"])))
     found = F.size(emails.extract_emails(F.coalesce("html", F.lit("")), urls.host_of(F.col("url"))))
-    verdict = F.when(F.coalesce("html", F.lit("")) == "", "RETRY").when(rx.like(F.col("url"), values.EXCLUDED_CATEGORY), "EXCLUDED").when(F.col("clubs") >= least, "SEED").otherwise("THIN")
+    verdict = F.when(F.coalesce("html", F.lit("")) == "", "RETRY").when(
+        rx.like(F.col("url"), values.EXCLUDED_CATEGORY),
+        "EXCLUDED",
+    ).when(F.col("clubs") >= least, "SEED").otherwise("THIN")
     out = rows.withColumns({"clubs": clubs, "emails": found})
-    return out.select("url", "clubs", F.array_distinct(F.transform(inside, lambda x: F.regexp_replace(F.split(x["url"], "#")[0], r"/\z", ""))).alias("subcategories"), "emails", verdict.alias("verdict"))
+    return out.select(
+        "url",
+        "clubs",
+        F.array_distinct(F.transform(inside, lambda x: F.regexp_replace(F.split(x["url"], "#")[0], r"/\z", ""))).alias("subcategories"),
+        "emails",
+        verdict.alias("verdict"),
+    )
 
 
 def checked(pages: DataFrame) -> DataFrame:
@@ -55,7 +79,13 @@ def checked(pages: DataFrame) -> DataFrame:
     Rejected in order: not allowed by robots rules, unreadable, without a club-like link (``/js`` if scripts seem to draw it).
     """
     page = F.coalesce("html", F.lit(""))
-    rows = pages.select("url", "html", "allowed", link_counts(page, F.col("url")).alias("c"), F.size(emails.extract_emails(page, urls.host_of(F.col("url")))).alias("emails")).select("*", "c.*")
+    rows = pages.select(
+        "url",
+        "html",
+        "allowed",
+        link_counts(page, F.col("url")).alias("c"),
+        F.size(emails.extract_emails(page, urls.host_of(F.col("url")))).alias("emails"),
+    ).select("*", "c.*")
     verdict = (
         F.when(~F.coalesce("allowed", F.lit(True)), "REJECT robots")
         .when(page == "", "REJECT unreadable")
@@ -77,14 +107,29 @@ def from_register(venues: DataFrame, vetted: DataFrame) -> DataFrame:
     email = F.lower(F.trim(rx.sub(html.card_field(page, "Email"), "^mailto:", "")))
     site = F.trim(html.card_field(page, "Website"))
     own = rx.like(site, r"^https?:\/\/") & ~rx.like(urls.host_of(site), r"(^|\.)lta\.org\.uk$|ltapadel|ltatennisfoundation")
-    rows = venues.select("id", (page != "").alias("read"), html.venue_name(page).alias("name"), F.substring(html.card_text(page), 1, 20_000).alias("body"), email.alias("card"), F.when(own, site).otherwise("").alias("site"))
+    rows = venues.select(
+        "id",
+        (page != "").alias("read"),
+        html.venue_name(page).alias("name"),
+        F.substring(html.card_text(page), 1, 20_000).alias("body"),
+        email.alias("card"),
+        F.when(own, site).otherwise("").alias("site"),
+    )
     host = F.coalesce(F.get(F.split("card", "@"), F.lit(1)), F.lit(""))
     good = F.col("card").contains("@") & ~rx.like(F.col("card"), values.REGISTER_JUNK) & ~rx.like(host, r"lta\.org\.uk$") & ~rx.like(host, values.PUBLIC_DOMAIN)
-    rows = rows.withColumns({"sports": rules.detect_sports(F.concat_ws(" ", "name", "body")), "email": F.when(good, F.col("card")).otherwise(""), "gate": rules.private_gate(F.col("name"), F.col("site"), F.lit(""))["reason"]})
+    rows = rows.withColumns(
+        {
+            "sports": rules.detect_sports(F.concat_ws(" ", "name", "body")),
+            "email": F.when(good, F.col("card")).otherwise(""),
+            "gate": rules.private_gate(F.col("name"), F.col("site"), F.lit(""))["reason"],
+        }
+    )
     second = vetted.select(F.col("url").alias("v_url"), F.struct("name", "sports", "website", "reason").alias("v"))
     rows = rows.join(second, (F.col("gate") != "") & (F.col("site") != "") & (F.col("site") == F.col("v_url")), "left")
     saved = (F.col("gate") != "") & (F.col("v.reason") == "")
-    taken = {c: F.when(saved, F.col(f"v.{c}")).otherwise(F.col(o)) for c, o in (("name", "name"), ("sports", "sports"), ("website", "site"))}
+    taken = {
+        c: F.when(saved, F.col(f"v.{c}")).otherwise(F.col(o)) for c, o in (("name", "name"), ("sports", "sports"), ("website", "site"))
+    }
     told = F.concat(F.col("gate"), F.lit("; its site: "), F.coalesce("v.reason", F.lit("site unreachable")))
     reason = (
         F.when(~F.col("read"), "unreachable")

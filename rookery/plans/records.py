@@ -14,9 +14,14 @@ def from_elements(elements: DataFrame, countries: DataFrame) -> DataFrame:
     tag = lambda k: F.coalesce(F.element_at(t, k), none)
     name = rx.pick(t, "name", "official_name", "alt_name")
     by_tag = rules.sports_from_tag(F.element_at(t, "sport"))
-    base = elements.withColumns({"name": name, "by_tag": by_tag, "website": urls.normalised_site(rx.pick(t, "contact:website", "website", "url", "contact:url"))})
+    base = elements.withColumns(
+        {"name": name, "by_tag": by_tag, "website": urls.normalised_site(rx.pick(t, "contact:website", "website", "url", "contact:url"))}
+    )
     base = base.withColumn("email", F.lower(F.split(rx.pick(t, "contact:email", "email", "contact:mail"), rf"[{rx.SPACE},;]+")[0]))
-    base = base.withColumn("sports", F.when(F.size("by_tag") > 0, F.col("by_tag")).otherwise(rules.detect_sports(F.concat_ws(" ", "name", tag("club")))))
+    base = base.withColumn(
+        "sports",
+        F.when(F.size("by_tag") > 0, F.col("by_tag")).otherwise(rules.detect_sports(F.concat_ws(" ", "name", tag("club")))),
+    )
     about = F.concat_ws(" ", *(tag(k) for k in ("description", "club", "leisure", "access", "operator_type")))
     gate = rules.private_gate(F.col("name"), F.col("website"), F.col("email"), tag("operator"), about)
     reason = (
@@ -26,12 +31,30 @@ def from_elements(elements: DataFrame, countries: DataFrame) -> DataFrame:
         .otherwise("")
     )
     base = base.withColumn("reason", reason)
-    outcome = F.when((F.col("name") == "") | (F.size("sports") == 0), "none").when(F.col("reason") != "", "rejected").when((F.col("website") == "") & (F.col("email") == ""), "lead").otherwise("record")
-    named = base.withColumn("outcome", outcome).join(F.broadcast(countries.select("cc", F.col("name").alias("country"), "lang")), "cc", "left")
+    outcome = F.when((F.col("name") == "") | (F.size("sports") == 0), "none").when(F.col("reason") != "", "rejected").when(
+        (F.col("website") == "") & (F.col("email") == ""),
+        "lead",
+    ).otherwise("record")
+    named = base.withColumn("outcome", outcome).join(
+        F.broadcast(countries.select("cc", F.col("name").alias("country"), "lang")),
+        "cc",
+        "left",
+    )
     return named.select(
         "cc", "country", "lang", "name", "sports", "website", "email", rx.pick(t, "contact:person", "contact:name").alias("contact"), F.lit("osm").alias("src"),
-        F.concat(F.lit("https://www.openstreetmap.org/"), "type", F.lit("/"), F.col("id").cast("string")).alias("srcPage"), (F.col("email") != "").alias("crawled"),
-        F.coalesce("lat", "center.lat").alias("lat"), F.coalesce("lon", "center.lon").alias("lon"), rx.pick(t, "addr:city", "addr:town", "addr:suburb", "addr:village").alias("town"), "outcome", F.when(F.col("outcome") == "rejected", F.col("reason")).otherwise("").alias("reason"),
+        F.concat(
+            F.lit("https://www.openstreetmap.org/"),
+            "type",
+            F.lit("/"),
+            F.col("id").cast("string"),
+        ).alias("srcPage"), (F.col("email") != "").alias("crawled"),
+        F.coalesce("lat", "center.lat").alias("lat"), F.coalesce("lon", "center.lon").alias("lon"), rx.pick(
+            t,
+            "addr:city",
+            "addr:town",
+            "addr:suburb",
+            "addr:village",
+        ).alias("town"), "outcome", F.when(F.col("outcome") == "rejected", F.col("reason")).otherwise("").alias("reason"),
     )
 
 
@@ -41,7 +64,9 @@ def vet(candidates: DataFrame, countries: DataFrame) -> DataFrame:
     ``html`` is null for what could not be fetched; ``contact_html`` is the text of contact pages, read only for the doubtful.
     """
     own = countries.select("cc", F.col("name").alias("country"))
-    rows = candidates.join(F.broadcast(own), "cc", "left").withColumns({"website": urls.origin_of(F.col("url")), "host_cc": urls.country_of_host(urls.host_of(F.col("url")))})
+    rows = candidates.join(F.broadcast(own), "cc", "left").withColumns(
+        {"website": urls.origin_of(F.col("url")), "host_cc": urls.country_of_host(urls.host_of(F.col("url")))}
+    )
     rows = rows.withColumns({"name": html.page_name(F.col("html")), "body": html.text_of(F.coalesce("html", F.lit("")))})
     rows = rows.withColumn("sports", rules.detect_sports(F.concat_ws(" ", html.title_of(F.col("html")), "name", "body")))
     name, quoted = F.col("name"), lambda before: F.concat(F.lit(before + ': "'), F.col("name"), F.lit('"'))
@@ -49,7 +74,10 @@ def vet(candidates: DataFrame, countries: DataFrame) -> DataFrame:
     gate = rules.private_gate(name, F.col("website"), F.lit(""))
     text = F.lower(F.concat_ws(" ", "body", html.text_of(F.coalesce("contact_html", F.lit("")))))
     says = lambda place: F.concat(F.lit(" "), F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "), F.lit(" ")).contains(F.concat(F.lit(" "), F.regexp_replace(F.lower(place), r"[^\p{L}\p{N}]+", " "), F.lit(" ")))
-    tied = (F.col("host_cc") == F.col("cc")) | F.coalesce(says(F.col("country")), F.lit(False)) | F.coalesce((F.char_length("city") >= 5) & says(F.col("city")), F.lit(False))
+    tied = (F.col("host_cc") == F.col("cc")) | F.coalesce(says(F.col("country")), F.lit(False)) | F.coalesce(
+        (F.char_length("city") >= 5) & says(F.col("city")),
+        F.lit(False),
+    )
     reason = (
         F.when(F.col("website") == "", "bad url")
         .when((F.col("host_cc") != "") & (F.col("host_cc") != F.col("cc")), F.concat(F.lit("domain belongs to "), F.col("host_cc")))

@@ -19,7 +19,10 @@ ELEMENT = "type string, id bigint, lat double, lon double, center struct<lat:dou
 def countries(spark: SparkSession) -> DataFrame:
     """``cc, name, lang, prio``: the country dimension, some ninety rows."""
     place = {cc: i + 1 for i, cc in enumerate(values.PRIORITY)}
-    return spark.createDataFrame([(cc, name, lang, place[cc]) for cc, name, lang in values.COUNTRIES], "cc string, name string, lang string, prio int")
+    return spark.createDataFrame(
+        [(cc, name, lang, place[cc]) for cc, name, lang in values.COUNTRIES],
+        "cc string, name string, lang string, prio int",
+    )
 
 
 def json_store(spark: SparkSession, path: str, record: str) -> DataFrame:
@@ -59,20 +62,34 @@ def seeds(lines: DataFrame) -> DataFrame:
     """``cc, url`` from ``CC URL`` lines; comments, blanks and unknown countries go."""
     line = F.trim("value")
     pattern = r"^(AUTO|[A-Za-z]{2})\s+(https?:\/\/\S+)$"
-    rows = lines.filter(~line.startswith("#")).select(F.upper(rx.first(line, pattern, 1)).alias("cc"), rx.first(line, pattern, 2).alias("url"))
+    rows = lines.filter(~line.startswith("#")).select(
+        F.upper(rx.first(line, pattern, 1)).alias("cc"),
+        rx.first(line, pattern, 2).alias("url"),
+    )
     return rows.filter(F.col("cc").isin("AUTO", *(c for c, *_ in values.COUNTRIES)))
 
 
 def verdicts(lines: DataFrame, order: str) -> DataFrame:
     """``url, verdict``: the last verdict that a log of ``VERDICT url`` lines has on each page."""
     parts = F.split("value", " ", 2)
-    return lines.select(F.get(parts, F.lit(1)).alias("url"), parts[0].alias("verdict"), order).filter("url is not null").groupBy("url").agg(F.max_by("verdict", order).alias("verdict"))
+    return lines.select(
+        F.get(parts, F.lit(1)).alias("url"),
+        parts[0].alias("verdict"),
+        order,
+    ).filter("url is not null").groupBy("url").agg(F.max_by("verdict", order).alias("verdict"))
 
 
 def geonames(spark: SparkSession, path: str) -> DataFrame:
     """``ord, name, lat, lon, cc, population`` of a tab-separated place list, in the order of its lines; what is no number counts as 0."""
     rows = spark.read.option("sep", "\t").option("quote", "").csv(path)
-    return rows.select(F.monotonically_increasing_id().alias("ord"), F.col("_c1").alias("name"), F.expr("try_cast(_c4 as double)").alias("lat"), F.expr("try_cast(_c5 as double)").alias("lon"), F.col("_c8").alias("cc"), F.coalesce(F.expr("try_cast(_c14 as bigint)"), F.lit(0)).alias("population"))
+    return rows.select(
+        F.monotonically_increasing_id().alias("ord"),
+        F.col("_c1").alias("name"),
+        F.expr("try_cast(_c4 as double)").alias("lat"),
+        F.expr("try_cast(_c5 as double)").alias("lon"),
+        F.col("_c8").alias("cc"),
+        F.coalesce(F.expr("try_cast(_c14 as bigint)"), F.lit(0)).alias("population"),
+    )
 
 
 def accepted_pages(fetched: DataFrame, most: int = 4_000_000) -> DataFrame:
@@ -92,7 +109,10 @@ def robots_rules(files: DataFrame) -> DataFrame:
         named = rx.like(line, "^user-agent:")
         kept = state["ours"] & rx.like(line, "^disallow:") & (prefix != "")
         ours = F.when(named, rx.like(line, r"\*\s*$")).otherwise(state["ours"])
-        return F.struct(ours.alias("ours"), F.when(kept, F.concat(state["found"], F.array(prefix))).otherwise(state["found"]).alias("found"))
+        return F.struct(
+            ours.alias("ours"),
+            F.when(kept, F.concat(state["found"], F.array(prefix))).otherwise(state["found"]).alias("found"),
+        )
 
     return files.select("host", F.explode(F.aggregate(lines, start, step)["found"]).alias("prefix"))
 
@@ -100,7 +120,9 @@ def robots_rules(files: DataFrame) -> DataFrame:
 def allowed_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Pages whose path begins with no disallowed prefix of their host's ``rules(host, prefix)``."""
     met = F.col("p.host").eqNullSafe(F.col("r.host")) & F.col("p.path").startswith(F.col("r.prefix"))
-    return pages.withColumns({"host": urls.host_of(F.col("url")), "path": urls.path_of(F.col("url"))}).alias("p").join(rules.alias("r"), met, "left_anti")
+    return pages.withColumns(
+        {"host": urls.host_of(F.col("url")), "path": urls.path_of(F.col("url"))}
+    ).alias("p").join(rules.alias("r"), met, "left_anti")
 
 
 def is_map_candidate(tags: Column) -> Column:
@@ -126,7 +148,12 @@ def bindings(results: DataFrame) -> DataFrame:
     """``item, label, web, cc`` of query results in ``value``; rows without a site or with a number for a label go."""
     one = "struct<value:string>"
     parsed = F.from_json("value", f"results struct<bindings:array<struct<item:{one},itemLabel:{one},web:{one},ccode:{one}>>>")
-    rows = results.select(F.explode(parsed["results"]["bindings"]).alias("b")).select(F.col("b.item.value").alias("item"), F.col("b.itemLabel.value").alias("label"), F.col("b.web.value").alias("web"), F.upper("b.ccode.value").alias("cc"))
+    rows = results.select(F.explode(parsed["results"]["bindings"]).alias("b")).select(
+        F.col("b.item.value").alias("item"),
+        F.col("b.itemLabel.value").alias("label"),
+        F.col("b.web.value").alias("web"),
+        F.upper("b.ccode.value").alias("cc"),
+    )
     return rows.filter("web is not null").filter(~rx.like(F.col("label"), r"^Q\d+$", fold=False))
 
 
@@ -176,7 +203,15 @@ def charset_of(body: Column, content_type: Column) -> Column:
     """The character set that a header, else the first 4,096 bytes of a page, declare; UTF-8 if none does."""
     head = F.decode(F.substring(body, 1, 4096), "ISO-8859-1")
     name = r"""charset=["']?([\w\-]+)"""
-    declared = F.coalesce(*(F.nullif(x, F.lit("")) for x in (rx.first(F.coalesce(content_type, F.lit("")), name), rx.first(head, "<meta[^>]+" + name), rx.first(head, r"""content=["'][^"']*""" + name))))
+    declared = F.coalesce(
+        *(
+            F.nullif(x, F.lit("")) for x in (
+                rx.first(F.coalesce(content_type, F.lit("")), name),
+                rx.first(head, "<meta[^>]+" + name),
+                rx.first(head, r"""content=["'][^"']*""" + name),
+            )
+        )
+    )
     low = F.lower(F.trim(F.coalesce(declared, F.lit("utf-8"))))
     return F.when(low.isin("iso-8859-1", "latin1", "us-ascii", "ascii"), "windows-1252").when(low == "utf8", "utf-8").otherwise(low)
 
@@ -208,7 +243,10 @@ def decoded(body: Column, content_type: Column) -> Column:
     from_, to = "".join(chr(b) for b, c in _WINDOWS.items() if c), "".join(_WINDOWS.values())
     utf8 = F.regexp_replace(F.make_valid_utf8(body.cast("string")), r"^\x{FEFF}", "")
     other = _decoded(F.when(~charset.isin("utf-8", "windows-1252"), body), charset)
-    return F.when(charset == "utf-8", utf8).when(charset == "windows-1252", F.translate(F.decode(body, "ISO-8859-1"), from_, to)).otherwise(other)
+    return F.when(charset == "utf-8", utf8).when(
+        charset == "windows-1252",
+        F.translate(F.decode(body, "ISO-8859-1"), from_, to),
+    ).otherwise(other)
 
 
 def new_seeds(found: DataFrame, lines: DataFrame) -> DataFrame:
@@ -217,7 +255,9 @@ def new_seeds(found: DataFrame, lines: DataFrame) -> DataFrame:
     A line's URL is met by all of its beginnings, so the anti-join is an equality.
     """
     known = lines.select(F.regexp_extract("value", r"https?://\S*", 0).alias("u")).filter("u <> ''")
-    begun = known.select(F.explode(F.transform(F.sequence(F.lit(1), F.char_length("u")), lambda n: F.substr("u", F.lit(1), n))).alias("url")).distinct()
+    begun = known.select(
+        F.explode(F.transform(F.sequence(F.lit(1), F.char_length("u")), lambda n: F.substr("u", F.lit(1), n))).alias("url")
+    ).distinct()
     first = found.groupBy("url").agg(F.min("cc").alias("cc"))
     return first.join(begun, "url", "left_anti").select(F.concat("cc", F.lit("  "), "url").alias("value"))
 

@@ -48,6 +48,9 @@ def attempted(store: DataFrame, outcomes: DataFrame, now: int) -> DataFrame:
         "crawled": F.coalesce("a.crawled", "crawled"),
         "crawlNote": F.coalesce("note", "crawlNote"),
         "email": F.coalesce(merge.filled(F.col("email")), "got"),
-        "lastTried": F.when(F.col("note").isNotNull(), F.date_format(F.timestamp_millis(F.lit(now)), "yyyy-MM-dd")).otherwise(F.col("lastTried")),
+        "lastTried": F.when(
+            F.col("note").isNotNull(),
+            F.date_format(F.timestamp_millis(F.lit(now)), "yyyy-MM-dd"),
+        ).otherwise(F.col("lastTried")),
     }
     return rows.select(*(new.get(c, F.col(c)).alias(c) for c in store.columns))

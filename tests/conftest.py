@@ -15,7 +15,15 @@ def spark():
     from pyspark.sql import SparkSession
 
     folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    conf = {"spark.sql.shuffle.partitions": "4", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.local.dir": folder, "spark.sql.warehouse.dir": f"{folder}/warehouse", "spark.ui.showConsoleProgress": "false"}
+    conf = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "4g",
+        "spark.local.dir": folder,
+        "spark.sql.warehouse.dir": f"{folder}/warehouse",
+        "spark.ui.showConsoleProgress": "false",
+    }
     session = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -24,27 +24,64 @@ def one(spark, column, **values_):
     return spark.range(1).select(*(F.lit(v).alias(k) for k, v in values_.items())).select(column.alias("x")).first().x
 
 
-@pytest.mark.parametrize("name, sports", [("Tênis Clube de Santos", ["Tennis"]), ("Padel Tennis Club", ["Padel"]), ("Tennis and Padel Tennis Club", ["Tennis", "Padel"]), ("Tennisworld", ["Tennis"])])
+@pytest.mark.parametrize(
+    "name, sports",
+    [
+        ("Tênis Clube de Santos", ["Tennis"]),
+        ("Padel Tennis Club", ["Padel"]),
+        ("Tennis and Padel Tennis Club", ["Tennis", "Padel"]),
+        ("Tennisworld", ["Tennis"]),
+    ],
+)
 def test_sports(spark, name, sports):
     assert one(spark, rules.detect_sports(F.col("n")), n=name) == sports
 
 
-@pytest.mark.parametrize("name, url, ok", [("Club de Tenis Pontevedra", "https://clubdetenispontevedra.es", True), ("Club de Tenis Amurrio", "https://ctamurrio.com", True), ("Club X", "https://iberdrola.es", False)])
+@pytest.mark.parametrize(
+    "name, url, ok",
+    [
+        ("Club de Tenis Pontevedra", "https://clubdetenispontevedra.es", True),
+        ("Club de Tenis Amurrio", "https://ctamurrio.com", True),
+        ("Club X", "https://iberdrola.es", False),
+    ],
+)
 def test_plausible_site(spark, name, url, ok):
     assert one(spark, rules.plausible_site(F.col("n"), F.col("u")), n=name, u=url) is ok
 
 
-@pytest.mark.parametrize("title, name", [("Home - Tênis Clube de Santos", "Tênis Clube de Santos"), ("lapala club, pádel en Quito", "lapala club"), ("", "")])
+@pytest.mark.parametrize(
+    "title, name",
+    [("Home - Tênis Clube de Santos", "Tênis Clube de Santos"), ("lapala club, pádel en Quito", "lapala club"), ("", "")],
+)
 def test_name_from_title(spark, title, name):
     assert one(spark, html.name_from_title(F.col("t")), t=title) == name
 
 
-@pytest.mark.parametrize("text, host, found", [("info [at] miclub [dot] es", "", ["info@miclub.es"]), ("x@gmail.com info@miclub.es", "www.miclub.es", ["info@miclub.es", "x@gmail.com"]), ("someone@mail2.example.com", "", []), ('<a href="mailto:A%40b.es">', "", ["a@b.es"]), ('<a href="mailto:100%">', "", [])])
+@pytest.mark.parametrize(
+    "text, host, found",
+    [
+        ("info [at] miclub [dot] es", "", ["info@miclub.es"]),
+        ("x@gmail.com info@miclub.es", "www.miclub.es", ["info@miclub.es", "x@gmail.com"]),
+        ("someone@mail2.example.com", "", []),
+        ('<a href="mailto:A%40b.es">', "", ["a@b.es"]),
+        ('<a href="mailto:100%">', "", []),
+    ],
+)
 def test_emails(spark, text, host, found):
     assert one(spark, emails.extract_emails(F.col("t"), F.col("h")), t=text, h=host) == found
 
 
-@pytest.mark.parametrize("link, to", [("/a/../b", "https://h.es/b"), ("c?d#e", "https://h.es/x/c?d#e"), ("//k.es/z", "https://k.es/z"), ("../q", "https://h.es/q"), ("?p=2", "https://h.es/x/y?p=2"), ("HTTP://K.es", "http://k.es/")])
+@pytest.mark.parametrize(
+    "link, to",
+    [
+        ("/a/../b", "https://h.es/b"),
+        ("c?d#e", "https://h.es/x/c?d#e"),
+        ("//k.es/z", "https://k.es/z"),
+        ("../q", "https://h.es/q"),
+        ("?p=2", "https://h.es/x/y?p=2"),
+        ("HTTP://K.es", "http://k.es/"),
+    ],
+)
 def test_resolve(spark, link, to):
     assert one(spark, urls.resolve(F.col("l"), F.col("b")), l=link, b="https://h.es/x/y") == to
 
@@ -82,16 +119,35 @@ def test_merge_is_idempotent_and_empty_tables_work(spark):
 
 
 def test_map_elements(spark):
-    rows = [("ES", "node", 1, {"name": "Club de Tenis X", "sport": "tennis", "website": "www.x.es"}), ("ES", "node", 2, {"name": "Club Padel Y", "sport": "padel", "addr:city": "Vigo"}), ("ES", "way", 3, {"name": "Polideportivo Z", "sport": "tennis"}), ("ES", "way", 4, {"sport": "tennis"})]
-    table = spark.createDataFrame([(c, t, i, tags, 1.0, 2.0, None) for c, t, i, tags in rows], "cc string, type string, id bigint, tags map<string,string>, lat double, lon double, center struct<lat:double,lon:double>")
+    rows = [
+        ("ES", "node", 1, {"name": "Club de Tenis X", "sport": "tennis", "website": "www.x.es"}),
+        ("ES", "node", 2, {"name": "Club Padel Y", "sport": "padel", "addr:city": "Vigo"}),
+        ("ES", "way", 3, {"name": "Polideportivo Z", "sport": "tennis"}),
+        ("ES", "way", 4, {"sport": "tennis"}),
+    ]
+    table = spark.createDataFrame(
+        [(c, t, i, tags, 1.0, 2.0, None) for c, t, i, tags in rows],
+        "cc string, type string, id bigint, tags map<string,string>, lat double, lon double, center struct<lat:double,lon:double>",
+    )
     got = {r.srcPage[-1]: (r.outcome, r.website, r.town) for r in records.from_elements(table, sources.countries(spark)).collect()}
     assert got == {"1": ("record", "http://www.x.es", ""), "2": ("lead", "", "Vigo"), "3": ("rejected", "", ""), "4": ("none", "", "")}
 
 
 def test_vetting_gives_the_first_reason(spark):
     page = "<title>{}</title><p>padel in Spain</p>"
-    rows = [("https://a.es", page.format("Padel Club A")), ("https://b.pt", page.format("B Club")), ("https://c.es", None), ("https://d.es", page.format("Find a padel club")), ("https://e.es", page.format("Padel Club South Africa")), ("nonsense", "x"), ("https://f.com", page.format("Hotel F"))]
-    table = spark.createDataFrame([(u, "ES", "", h, None) for u, h in rows], "url string, cc string, city string, html string, contact_html string")
+    rows = [
+        ("https://a.es", page.format("Padel Club A")),
+        ("https://b.pt", page.format("B Club")),
+        ("https://c.es", None),
+        ("https://d.es", page.format("Find a padel club")),
+        ("https://e.es", page.format("Padel Club South Africa")),
+        ("nonsense", "x"),
+        ("https://f.com", page.format("Hotel F")),
+    ]
+    table = spark.createDataFrame(
+        [(u, "ES", "", h, None) for u, h in rows],
+        "url string, cc string, city string, html string, contact_html string",
+    )
     got = {r.url: r.reason for r in records.vet(table, sources.countries(spark)).collect()}
     assert got["https://a.es"] == ""
     assert got["https://b.pt"] == "domain belongs to PT"
@@ -113,7 +169,9 @@ def test_windows_of_a_stream_equal_those_of_the_table(spark, tmp_path):
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     query = tumbling(stream).writeStream.outputMode("complete").format("memory").queryName("hours").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination(120)
-    assert {(r.start, r.event_type, r.n) for r in spark.table("hours").collect()} == {(r.start, r.event_type, r.n) for r in tumbling(events).collect()}
+    assert {
+        (r.start, r.event_type, r.n) for r in spark.table("hours").collect()
+    } == {(r.start, r.event_type, r.n) for r in tumbling(events).collect()}
 
 
 def test_rounds_equal_one_merge(spark, tmp_path):
@@ -133,7 +191,11 @@ def test_rounds_equal_one_merge(spark, tmp_path):
         (b"\xef\xbb\xbfok \xff", "text/html", "ok �"),
         ("“pádel” €".encode("cp1252"), "text/html; charset=ISO-8859-1", "“pádel” €"),
         (b'<meta charset="latin1">\x93\x81', None, '<meta charset="latin1">“\x81'),
-        ('<meta http-equiv="x" content="text/html; charset=koi8-r">Теннис'.encode("koi8-r"), "", '<meta http-equiv="x" content="text/html; charset=koi8-r">Теннис'),
+        (
+            '<meta http-equiv="x" content="text/html; charset=koi8-r">Теннис'.encode("koi8-r"),
+            "",
+            '<meta http-equiv="x" content="text/html; charset=koi8-r">Теннис',
+        ),
         ("é".encode(), "text/html; charset=nonsense", "é"),
         ("é".encode(), "text/html; charset=cp99999", "é"),
         (b"", None, ""),
@@ -155,17 +217,42 @@ def test_seeds_are_checked(spark):
         ("https://d.org/e", None, True),
         ("https://d.org/f", clubs, False),
     ]
-    got = {r.url[-1]: (r.internal, r.external, r.verdict) for r in judging.checked(spark.createDataFrame(pages, "url string, html string, allowed boolean")).collect()}
-    assert got == {"a": (0, 5, "GOOD"), "b": (1, 0, "MAYBE"), "c": (0, 0, "REJECT empty/js"), "d": (0, 0, "REJECT empty"), "e": (0, 0, "REJECT unreadable"), "f": (0, 5, "REJECT robots")}
+    got = {
+        r.url[-1]: (r.internal, r.external, r.verdict) for r in judging.checked(
+            spark.createDataFrame(pages, "url string, html string, allowed boolean")
+        ).collect()
+    }
+    assert got == {
+        "a": (0, 5, "GOOD"),
+        "b": (1, 0, "MAYBE"),
+        "c": (0, 0, "REJECT empty/js"),
+        "d": (0, 0, "REJECT empty"),
+        "e": (0, 0, "REJECT unreadable"),
+        "f": (0, 5, "REJECT robots"),
+    }
 
 
 def test_categories_are_judged(spark):
     clubs = "".join(f'<a href="https://c{i}.es/">Club de Tenis {i}</a>' for i in range(5))
     inside = '<a href="/en/Sports/Tennis/Clubs/#top">t</a><a href="/en/Sports/Tennis/Clubs">t</a><a href="/en/Sports/Chess/">c</a><a href="/fr/Sports/Tennis/">f</a>'
-    pages = [("https://d.org/en/Sports/Tennis/", clubs + inside), ("https://d.org/en/Sports/Tennis/Instruction/", inside), ("https://d.org/en/Sports/Squash/", '<a href="https://s.com/">Squash Club</a>'), ("https://d.org/en/x", "")]
-    got = {r.url: (r.clubs, r.subcategories, r.verdict) for r in judging.category_pages(spark.createDataFrame(pages, "url string, html string")).collect()}
+    pages = [
+        ("https://d.org/en/Sports/Tennis/", clubs + inside),
+        ("https://d.org/en/Sports/Tennis/Instruction/", inside),
+        ("https://d.org/en/Sports/Squash/", '<a href="https://s.com/">Squash Club</a>'),
+        ("https://d.org/en/x", ""),
+    ]
+    got = {
+        r.url: (r.clubs, r.subcategories, r.verdict) for r in judging.category_pages(
+            spark.createDataFrame(pages, "url string, html string")
+        ).collect()
+    }
     branch = ["https://d.org/en/Sports/Tennis/Clubs"]
-    assert got == {pages[0][0]: (5, branch, "SEED"), pages[1][0]: (0, branch, "EXCLUDED"), pages[2][0]: (1, [], "THIN"), pages[3][0]: (0, [], "RETRY")}
+    assert got == {
+        pages[0][0]: (5, branch, "SEED"),
+        pages[1][0]: (0, branch, "EXCLUDED"),
+        pages[2][0]: (1, [], "THIN"),
+        pages[3][0]: (0, [], "RETRY"),
+    }
 
 
 def test_register_venues(spark):
@@ -182,7 +269,18 @@ def test_contact_pages(spark):
     page = '<a href="/kontakt">x</a><a href="/who">About us</a><a href="https://other.es/contact">y</a><a href="/news">n</a>'
     rows = spark.createDataFrame([(page, "https://a.es/x/y")], "html string, url string")
     got = rows.select(html.contact_pages(F.col("html"), F.col("url"))).first()[0]
-    assert got == ["https://a.es" + p for p in ("/kontakt", "/who", "/contato", "/fale-conosco", "/faleconosco", "/fale-com-a-gente", "/atendimento", "/contact")]
+    assert got == [
+        "https://a.es" + p for p in (
+            "/kontakt",
+            "/who",
+            "/contato",
+            "/fale-conosco",
+            "/faleconosco",
+            "/fale-com-a-gente",
+            "/atendimento",
+            "/contact",
+        )
+    ]
 
 
 def test_site_summary(spark):
@@ -196,7 +294,13 @@ def test_site_summary(spark):
 
 @pytest.mark.parametrize(
     ("reason", "places", "plain"),
-    [('a listing of clubs, not one: "X "', True, "a listing of clubs, not one:"), ('a "b" c "d"', True, 'a c "d"'), ("nothing on its pages ties it to Leeds", True, "nothing on its pages ties it"), ("ties it to Leeds", False, "ties it to Leeds"), ("", True, "")],
+    [
+        ('a listing of clubs, not one: "X "', True, "a listing of clubs, not one:"),
+        ('a "b" c "d"', True, 'a c "d"'),
+        ("nothing on its pages ties it to Leeds", True, "nothing on its pages ties it"),
+        ("ties it to Leeds", False, "ties it to Leeds"),
+        ("", True, ""),
+    ],
 )
 def test_reasons_without_particulars(spark, reason, places, plain):
     assert one(spark, rules.normalised_reason(F.col("r"), places), r=reason) == plain
@@ -209,7 +313,9 @@ def test_stores_and_extracts(spark, tmp_path):
     assert {tuple(r) for r in sources.json_store(spark, str(tmp_path / "store.json"), "name string").collect()} == {("a", "A"), ("b", None)}
     assert sources.json_store(spark, str(tmp_path / "broken.json"), "name string").collect() == []
     (tmp_path / "site.json").write_text('{"clubs": [\n{"name": "A", "email": "a@b.es"},\n{"name": "B"}]}')
-    assert {r.name for r in sources.published_extract(spark, str(tmp_path / "site.json"), "name string, email string").collect()} == {"A", "B"}
+    assert {
+        r.name for r in sources.published_extract(spark, str(tmp_path / "site.json"), "name string, email string").collect()
+    } == {"A", "B"}
     (tmp_path / "none.json").write_text('{"clubs": []}')
     with pytest.raises(ValueError):
         sources.published_extract(spark, str(tmp_path / "none.json"), "name string")
@@ -217,13 +323,30 @@ def test_stores_and_extracts(spark, tmp_path):
 
 def test_a_place_list_becomes_the_city_dimension(spark, tmp_path):
     line = lambda name, lat, lon, cc, n: "\t".join(["1", name, "", "", str(lat), str(lon), "", "", cc, "", "", "", "", "", str(n)])
-    lines = [line("Leeds", 53.8, -1.5, "GB", 500000), line("leeds", 50.0, 0.5, "GB", 20), line("York", 53.9, -1.0, "GB", 500000), line("Léon", 47, 2, "FR", 90000), line("León", 42.6, -5.5, "ES", 120000), line("Leon", 37, -5, "ES", 30000), line("X", 1, 1, "GB", "many")]
+    lines = [
+        line("Leeds", 53.8, -1.5, "GB", 500000),
+        line("leeds", 50.0, 0.5, "GB", 20),
+        line("York", 53.9, -1.0, "GB", 500000),
+        line("Léon", 47, 2, "FR", 90000),
+        line("León", 42.6, -5.5, "ES", 120000),
+        line("Leon", 37, -5, "ES", 30000),
+        line("X", 1, 1, "GB", "many"),
+    ]
     (tmp_path / "places.tsv").write_text("\n".join(lines))
     geo = sources.geonames(spark, str(tmp_path / "places.tsv"))
     cities = places.cities(geo, sources.countries(spark))
-    assert {(r.cc, r.name, r["rank"]) for r in cities.collect()} == {("GB", "Leeds", 1), ("GB", "York", 2), ("ES", "León", 1), ("ES", "Leon", 2)}
+    assert {(r.cc, r.name, r["rank"]) for r in cities.collect()} == {
+        ("GB", "Leeds", 1),
+        ("GB", "York", 2),
+        ("ES", "León", 1),
+        ("ES", "Leon", 2),
+    }
     assert places.by_plain_name(cities).filter("cc = 'ES'").first().city == "Leon"  # the smaller one of a plain name
-    rows = [("a", "GB", "Club", None, 50.01, 0.5, None), ("b", "ES", "Club", "LEÓN", None, None, None), ("c", "GB", "Club", None, 50.5, 0.5, None)]
+    rows = [
+        ("a", "GB", "Club", None, 50.01, 0.5, None),
+        ("b", "ES", "Club", "LEÓN", None, None, None),
+        ("c", "GB", "Club", None, 50.5, 0.5, None),
+    ]
     records_ = spark.createDataFrame(rows, "key string, cc string, name string, town string, lat double, lon double, city string")
     got = {r.key: (r.city, r.method) for r in places.place(records_, geo, sources.countries(spark)).collect()}
     assert got == {"a": ("Leeds", "near"), "b": ("Leon", "town"), "c": (None, "none")}
@@ -234,9 +357,17 @@ def test_nearest_equals_all_distances(spark):
     import random
 
     rng = random.Random(4)
-    there = [("XX", f"c{i}", rng.uniform(-88, 88), rng.uniform(-180, 180), i) for i in range(400)] + [("XX", f"n{i}", 60 + rng.uniform(-1, 1), 10 + rng.uniform(-2, 2), 1000 + i) for i in range(60)]
+    there = [("XX", f"c{i}", rng.uniform(-88, 88), rng.uniform(-180, 180), i) for i in range(400)] + [
+        ("XX", f"n{i}", 60 + rng.uniform(-1, 1), 10 + rng.uniform(-2, 2), 1000 + i) for i in range(60)
+    ]
     points = [(i, "XX", lat + rng.uniform(-0.4, 0.4), lon + rng.uniform(-0.8, 0.8)) for i, (_, _, lat, lon, _) in enumerate(there)]
-    got = {r.k: r.city for r in places.nearest(spark.createDataFrame(points, "k long, cc string, lat double, lon double"), spark.createDataFrame(there, "cc string, city string, lat double, lon double, ord long"), ["k"]).collect()}
+    got = {
+        r.k: r.city for r in places.nearest(
+            spark.createDataFrame(points, "k long, cc string, lat double, lon double"),
+            spark.createDataFrame(there, "cc string, city string, lat double, lon double, ord long"),
+            ["k"],
+        ).collect()
+    }
     want = {}
     for k, _, lat, lon in points:
         km, _, city = min((math.hypot((x - lon) * math.cos(math.radians(lat)) * 111, (y - lat) * 111), o, c) for _, c, y, x, o in there)
@@ -258,4 +389,6 @@ def test_keys_of_a_stream_are_met_once(spark, tmp_path):
     query = first_seen(stream, ["user_id", "event_type"], "3650 days").writeStream.format("memory").queryName("firsts").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     got = [(r.user_id, r.event_type) for r in spark.table("firsts").collect()]
-    assert len(got) == len(set(got)) and set(got) == {(r.user_id, r.event_type) for r in events.select("user_id", "event_type").distinct().collect()}
+    assert len(got) == len(set(got)) and set(got) == {
+        (r.user_id, r.event_type) for r in events.select("user_id", "event_type").distinct().collect()
+    }
