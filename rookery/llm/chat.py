@@ -36,7 +36,10 @@ STYLES = (
     {"system": "CONTEXT: ", "user": "Q: ", "assistant": "A: "},
     {"system": "<system> ", "user": "<human> ", "assistant": "<bot> "},
 )
-_MARK = re.compile("|".join(rf"(?P<{role}>(?:#+\s*(?:{w})\s*:?\s*\Z|[\[<](?:{w})[\]>]\s*|(?:{w})\s*:\s+|(?:{w})\s*:\s*\Z))" for role, w in _WORDS.items()), re.IGNORECASE)
+_MARK = re.compile(
+    "|".join(rf"(?P<{role}>(?:#+\s*(?:{w})\s*:?\s*\Z|[\[<](?:{w})[\]>]\s*|(?:{w})\s*:\s+|(?:{w})\s*:\s*\Z))" for role, w in _WORDS.items()),
+    re.IGNORECASE,
+)
 _STATES = [(role, opens) for role in ROLES for opens in (True, False)]
 _FEATURES = (4, 2, 4)  # kinds of marker (none last), after a blank line or not, classes of length
 
@@ -125,7 +128,14 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     placed = grouped.join(several, ["conv_id", "range", "piece"], "left")
     turns = F.transform("turns", lambda t: F.struct(t["turn"], t["role"], t["text"], t["marked"])).alias("turns")
     first, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    return placed.select("conv_id", "alone", F.coalesce("part", first).alias("part"), F.coalesce("parts", one).alias("parts"), turns, F.array_join(F.col("turns.line"), "\n\n").alias("transcript"))
+    return placed.select(
+        "conv_id",
+        "alone",
+        F.coalesce("part", first).alias("part"),
+        F.coalesce("parts", one).alias("parts"),
+        turns,
+        F.array_join(F.col("turns.line"), "\n\n").alias("transcript"),
+    )
 
 
 def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +164,14 @@ def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(e, (states, seen[:, k]), 1)
     names = [("start", start.reshape(1, -1)), ("step", step), *((f"emit{k}", e) for k, e in enumerate(emit))]
     rows = [(name, int(i), int(j), int(x[i, j])) for name, x in names for i, j in np.argwhere(x)]
-    yield pa.RecordBatch.from_pydict({"name": pa.array([r[0] for r in rows], pa.string()), "i": pa.array([r[1] for r in rows], pa.int32()), "j": pa.array([r[2] for r in rows], pa.int32()), "n": pa.array([r[3] for r in rows], pa.int64())})
+    yield pa.RecordBatch.from_pydict(
+        {
+            "name": pa.array([r[0] for r in rows], pa.string()),
+            "i": pa.array([r[1] for r in rows], pa.int32()),
+            "j": pa.array([r[2] for r in rows], pa.int32()),
+            "n": pa.array([r[3] for r in rows], pa.int64()),
+        }
+    )
 
 
 def train(labelled: DataFrame) -> Model:
@@ -163,7 +180,9 @@ def train(labelled: DataFrame) -> Model:
     Steps from one part of a conversation to the next are not counted.
     """
     n = len(_STATES)
-    tables = {"start": np.full((1, n), 0.5), "step": np.full((n, n), 0.5)} | {f"emit{k}": np.full((n, m), 0.5) for k, m in enumerate(_FEATURES)}
+    tables = {"start": np.full((1, n), 0.5), "step": np.full((n, n), 0.5)} | {
+        f"emit{k}": np.full((n, m), 0.5) for k, m in enumerate(_FEATURES)
+    }
     counts = labelled.select("part", "turns", "transcript").mapInArrow(_label, "name string, i int, j int, n long")
     for r in counts.groupBy("name", "i", "j").agg(F.sum("n").alias("n")).collect():  # one row for each parameter
         tables[r["name"]][r.i, r.j] += r.n
@@ -220,7 +239,10 @@ def _matrices(model: Model):
         for batch in batches:
             seen = [observed(x or "")[2] for x in batch.column("transcript").to_pylist()]
             found = [model.matrix(x).ravel().tolist() if len(x) else None for x in seen]  # a part without lines changes nothing
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=[*_KEYS, "scores"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))],
+                names=[*_KEYS, "scores"],
+            )
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by conversation, parts in order: the best scores up to each part."""
@@ -254,7 +276,10 @@ def _matrices(model: Model):
                     state = int(np.argmax(best)) if state is None and best is not None else state
                     last.append(state)
                 before.append(state)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(before, pa.int32()), pa.array(last, pa.int32())], names=[*_KEYS, "before", "last"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(before, pa.int32()), pa.array(last, pa.int32())],
+                names=[*_KEYS, "before", "last"],
+            )
 
     return run, forward, backward
 
@@ -289,7 +314,13 @@ def parse(plain: DataFrame, model: Model) -> DataFrame:
             rendered = [render(x, b is None, goes_on, i == n - 1) for (x, goes_on), b, i, n in zip(found, before, part, parts, strict=True)]
             counts = pa.array([len(observed(x or "")[0]) for x in texts], pa.int64())
             turns = pa.array([[{"role": r, "text": t} for r, t in x] for x, _ in found], pair)
-            columns = [*(batch.column(f.name) for f in rest), counts, turns, pa.array([x for _, x in found], pa.bool_()), pa.array(rendered, pa.string())]
+            columns = [
+                *(batch.column(f.name) for f in rest),
+                counts,
+                turns,
+                pa.array([x for _, x in found], pa.bool_()),
+                pa.array(rendered, pa.string()),
+            ]
             yield pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in rest), "n_lines", "parsed", "goes_on", "rendered"])
 
     own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest)

@@ -134,7 +134,14 @@ class Items:
         return both[0], both[1]
 
 
-def aligned(item: np.ndarray, x: np.ndarray, low: np.ndarray, first: np.ndarray, stop: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def aligned(
+    item: np.ndarray,
+    x: np.ndarray,
+    low: np.ndarray,
+    first: np.ndarray,
+    stop: np.ndarray,
+    width: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fewest edits, begin and end in ``x`` of the item on diagonals ``low .. low + width`` within ``first .. stop``, for many bands.
 
     A value holds edits and the start of the best path, so that one minimum decides on both.
@@ -169,7 +176,9 @@ def _index(uri: str, block: int, rate: float) -> tuple[list[int | None], list[It
 def _verified(index: Items, x: np.ndarray, edge: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
     """Row, item, edits, begin and end in the row of every band of ``x`` that holds its item; rows end before a gap."""
     item, diagonal = index.bands(x)
-    first, last = (np.searchsorted(edge, np.maximum(v, 0), side="right") - 1 for v in (diagonal, diagonal + index.m[item] + index.wide[item]))
+    first, last = (
+        np.searchsorted(edge, np.maximum(v, 0), side="right") - 1 for v in (diagonal, diagonal + index.m[item] + index.wide[item])
+    )
     n = np.minimum(last, len(edge) - 2) - first + 1  # a band may touch several documents
     row = W.ragged_arange(first, n)
     item, diagonal = np.repeat(item, n), np.repeat(diagonal, n)
@@ -213,7 +222,10 @@ def _search(uri: str, block: int, rate: float, best_only: bool):
                     end = int(at[stop - 1]) + 1 if stop > begin else first
                     rows.append((batch.column("doc_id")[c.row0 + row].as_py(), ids[i], first, end, edits))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v, t.type) for v, t in zip(zip(*rows, strict=True), schema, strict=True)],
+                        schema=schema,
+                    )
 
     return run, "doc_id long, item_id long, begin long, end long, edits int"
 
@@ -228,7 +240,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, best_only:
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).distinct()
+    items = benchmark.select(
+        F.col("item_id").cast("long").alias("item_id"),
+        "text",
+    ).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).distinct()
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_CHARS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -246,4 +261,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, best_only:
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
     """One row for each document and item that it has: ``doc_id, item_id, edits`` (the fewest), ``begin, end`` (of those)."""
     best = F.min(F.struct("edits", "begin", "end")).alias("x")
-    return matches(docs, benchmark, rate, best_only=True).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.edits", "x.begin", "x.end")
+    return matches(docs, benchmark, rate, best_only=True).groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id",
+        "item_id",
+        "x.edits",
+        "x.begin",
+        "x.end",
+    )

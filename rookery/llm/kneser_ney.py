@@ -129,7 +129,14 @@ def _blocks(bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterato
     end = np.append(begin[1:], len(bucket))
     pairs = list(zip(begin.tolist(), end.tolist(), strict=True))
     if len(ids):
-        yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array([keys[a:b].tobytes() for a, b in pairs], pa.binary()), pa.array([counts[a:b].tobytes() for a, b in pairs], pa.binary())], schema=_BLOCK)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(ids.astype(np.int32)),
+                pa.array([keys[a:b].tobytes() for a, b in pairs], pa.binary()),
+                pa.array([counts[a:b].tobytes() for a, b in pairs], pa.binary()),
+            ],
+            schema=_BLOCK,
+        )
 
 
 class _Sum:
@@ -195,7 +202,17 @@ def _store_words(folder: str, often: float):
             _save(folder, f"words-{bucket}", keys, _attempt())
             _save(folder, f"counts-{bucket}", counts.astype("<i8"), _attempt())
             top = np.argsort(-counts)[:4]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "n": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64()), "top": pa.array([[{"at": int(i), "count": int(counts[i])} for i in top]], pa.list_(pa.struct([("at", pa.int64()), ("count", pa.int64())])))})
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array([bucket], pa.int32()),
+                    "n": pa.array([len(keys)], pa.int64()),
+                    "tokens": pa.array([int(counts.sum())], pa.int64()),
+                    "top": pa.array(
+                        [[{"at": int(i), "count": int(counts[i])} for i in top]],
+                        pa.list_(pa.struct([("at", pa.int64()), ("count", pa.int64())])),
+                    ),
+                }
+            )
 
     return run, "bucket int, n long, tokens long, top array<struct<at:long,count:long>>"
 
@@ -292,7 +309,10 @@ def _packed(bucket: np.ndarray, contexts: np.ndarray, words: np.ndarray, counts:
 
 def _unpacked(body: bytes) -> list[np.ndarray]:
     n = int.from_bytes(body[:8], "little")
-    raw = np.frombuffer(pa.decompress(body[8:], decompressed_size=sum(np.dtype(x).itemsize for x in _PLANES) * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    raw = np.frombuffer(
+        pa.decompress(body[8:], decompressed_size=sum(np.dtype(x).itemsize for x in _PLANES) * n, codec="zstd", asbytes=True),
+        dtype=np.uint8,
+    )
     out, at = [], 0
     for kind in _PLANES:
         width = np.dtype(kind).itemsize
@@ -424,7 +444,15 @@ def _store_bigrams(m: Model, hist: str):
         begin = np.searchsorted(at, found)
         pairs = list(zip(begin.tolist(), np.append(begin[1:], len(at)).tolist(), strict=True))
         if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array([side] * len(found), pa.int32()), pa.array([ids[a:b].tobytes() for a, b in pairs], pa.binary()), pa.array([values[a:b].astype("<i8").tobytes() for a, b in pairs], pa.binary())], schema=_SUMS)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(found.astype(np.int32)),
+                    pa.array([side] * len(found), pa.int32()),
+                    pa.array([ids[a:b].tobytes() for a, b in pairs], pa.binary()),
+                    pa.array([values[a:b].astype("<i8").tobytes() for a, b in pairs], pa.binary()),
+                ],
+                schema=_SUMS,
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, keys, counts in _grouped(batches, np.int64) if m.order == 2 else _pair_groups(batches):
@@ -454,7 +482,9 @@ def _store_sums(m: Model):
         _save(m.folder, f"contexts-{at}", contexts.astype("<i8"), _attempt())
         _save(m.folder, f"follows-{at}", follows.astype("<i8"), _attempt())
         n = np.bincount(np.minimum(follows, 5), minlength=6)
-        return pa.RecordBatch.from_pydict({"range": pa.array([at], pa.int32()), **{f"n{i}": pa.array([int(n[i])], pa.int64()) for i in range(1, 5)}})
+        return pa.RecordBatch.from_pydict(
+            {"range": pa.array([at], pa.int32()), **{f"n{i}": pa.array([int(n[i])], pa.int64()) for i in range(1, 5)}}
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, low = None, 0
@@ -521,7 +551,10 @@ def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
     if order == 2:
         blocks = texts.mapInArrow(*_count_bigrams(m))
     else:
-        blocks = cut(texts.mapInArrow(*_count_trigrams(m)).repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(*_store_trigrams(m, "classes3")), "pairs")
+        blocks = cut(
+            texts.mapInArrow(*_count_trigrams(m)).repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(*_store_trigrams(m, "classes3")),
+            "pairs",
+        )
     blocks = blocks.repartition(n, "bucket").sortWithinPartitions("bucket")
     sums = cut(blocks.mapInArrow(*_store_bigrams(m, "classes")), "sums")
     ranges = cut(sums.repartition(n, "range").sortWithinPartitions("range").mapInArrow(*_store_sums(m)), "ranges").collect()
@@ -530,7 +563,12 @@ def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
         for name in ("keys", "pairs", "contexts", "follows", *(_TRIGRAM_FILES if order == 3 else ())):
             if not os.path.exists(f"{folder}/{name}-{b}"):
                 low, high = _range_bounds(m, b)
-                _save(folder, f"{name}-{b}", np.zeros({"contexts": 32 * (high - low), "follows": 8 * (high - low)}.get(name, 0), dtype=np.uint8), 0)
+                _save(
+                    folder,
+                    f"{name}-{b}",
+                    np.zeros({"contexts": 32 * (high - low), "follows": 8 * (high - low)}.get(name, 0), dtype=np.uint8),
+                    0,
+                )
     *classes, m.bigrams = _classes(f"{folder}/classes")
     m.discounts2 = discounts(*classes)
     *classes, m.trigrams = _classes(f"{folder}/classes3")
@@ -615,7 +653,9 @@ class _Scorer:
             keys, triples = np.asarray(_mapped(f"{m.folder}/trigrams-{b}", "<u8")), np.asarray(_mapped(f"{m.folder}/triples-{b}", "u1"))
             if not len(keys):
                 continue
-            large, heavy, middles = (np.asarray(_mapped(f"{m.folder}/{x}-{b}", "<i8")).reshape(-1, k) for x, k in (("large", 2), ("heavy", 5), ("middles", 2)))
+            large, heavy, middles = (
+                np.asarray(_mapped(f"{m.folder}/{x}-{b}", "<i8")).reshape(-1, k) for x, k in (("large", 2), ("heavy", 5), ("middles", 2))
+            )
 
             def exact(places: np.ndarray, triples=triples, large=large) -> np.ndarray:
                 out = triples[places].astype(np.int64)
@@ -628,7 +668,9 @@ class _Scorer:
             hit = middles[np.minimum(head, len(middles) - 1), 0] == v[mine]
             mine, head = mine[hit], head[hit]
             ends, k = np.append(middles[1:, 1], len(keys)), len(middles)
-            search = (lambda low, high, x, keys=keys: np.searchsorted(keys, x)) if _fits(m, k) else (lambda low, high, x, keys=keys: _bisect(keys, low, high, x))
+            search = (lambda low, high, x, keys=keys: np.searchsorted(keys, x)) if _fits(m, k) else (
+                lambda low, high, x, keys=keys: _bisect(keys, low, high, x)
+            )
             ranks[mine] = head
             low, high = middles[head, 1], ends[head]
             first[mine] = search(low, high, _trigram_keys(m, k, head, u[mine], np.zeros(len(mine))))
@@ -681,8 +723,16 @@ def _score(m: Model):
                 distinct = m.words + bool(m.texts)
                 base = np.log10((counts + 1) / (m.tokens + distinct + 1))
                 own = [batch.column(i).slice(c.row0, c.row1 - c.row0) for i in rest]
-                sums = [pa.array((c.n_words + 1).astype(np.int64)), pa.array(np.add.reduceat((counts > 0).astype(np.int64), begin)), pa.array(np.add.reduceat(base, begin)), pa.array(np.add.reduceat(logs, begin))]
-                yield pa.RecordBatch.from_arrays([*own, *sums], names=[*(batch.schema[i].name for i in rest), "n_tokens", "n_known", "base_score", "score"])
+                sums = [
+                    pa.array((c.n_words + 1).astype(np.int64)),
+                    pa.array(np.add.reduceat((counts > 0).astype(np.int64), begin)),
+                    pa.array(np.add.reduceat(base, begin)),
+                    pa.array(np.add.reduceat(logs, begin)),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, *sums],
+                    names=[*(batch.schema[i].name for i in rest), "n_tokens", "n_known", "base_score", "score"],
+                )
 
     return run, schema_types
 

@@ -70,7 +70,16 @@ def _sign(k: int, bands: int, rows: int):
     rng = np.random.default_rng(_SEED)
     mult = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     add = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
-    schema = pa.schema([("doc", pa.int64()), ("print", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema(
+        [
+            ("doc", pa.int64()),
+            ("print", pa.int64()),
+            ("n_shingles", pa.int64()),
+            ("digest", pa.binary()),
+            ("sig", pa.binary()),
+            ("bands", pa.list_(pa.int64())),
+        ]
+    )
     numbers = np.arange(1, bands + 1, dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +103,16 @@ def _sign(k: int, bands: int, rows: int):
                 place = np.cumsum(~flags) - 1
                 sigs = [None if e else raw[p * step : (p + 1) * step] for e, p in zip(flags.tolist(), place.tolist(), strict=True)]
                 own = [batch.column(x).slice(c.row0, c.row1 - c.row0) for x in ("doc", "print")]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), pa.array(_digests(c), pa.binary()), pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(key.ravel().view(np.int64)))], schema=schema)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *own,
+                        pa.array(n.astype(np.int64)),
+                        pa.array(_digests(c), pa.binary()),
+                        pa.array(sigs, pa.binary()),
+                        pa.ListArray.from_arrays(offsets, pa.array(key.ravel().view(np.int64))),
+                    ],
+                    schema=schema,
+                )
 
     return run, "doc long, print long, n_shingles long, digest binary, sig binary, bands array<long>"
 
@@ -259,7 +277,9 @@ def _across(open_: DataFrame, sigs: DataFrame, known: DataFrame, k: int, percent
         parts(F.count("*"), F.sum("n")).alias("all_blocks"),
         parts(F.count_if("outside"), F.sum(F.when(F.col("outside"), F.col("n")))).alias("out_blocks"),
     )
-    dealt = open_.join(blocks, "bucket").withColumns({"j": F.pmod(F.xxhash64("doc"), "all_blocks"), "i": F.when(F.col("outside"), F.pmod(F.xxhash64("doc", F.lit(1)), "out_blocks"))})
+    dealt = open_.join(blocks, "bucket").withColumns(
+        {"j": F.pmod(F.xxhash64("doc"), "all_blocks"), "i": F.when(F.col("outside"), F.pmod(F.xxhash64("doc", F.lit(1)), "out_blocks"))}
+    )
     places = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
     right = dealt.select("bucket", places("out_blocks").alias("i"), "j", "doc", "component", F.lit(False).alias("left"))
     left = dealt.filter("outside").select("bucket", "i", places("all_blocks").alias("j"), "doc", "component", F.lit(True).alias("left"))
@@ -285,7 +305,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     named, whole = signed.filter("doc is not null"), texts.filter("doc is not null").select("doc", "text")
     repeated = named.count() > named.select("doc").distinct().count()
     if repeated:
-        named = named.groupBy("doc").agg(F.min_by(F.struct(*(c for c in named.columns if c != "doc")), "print").alias("x")).select("doc", "x.*")
+        named = named.groupBy("doc").agg(
+            F.min_by(F.struct(*(c for c in named.columns if c != "doc")), "print").alias("x")
+        ).select("doc", "x.*")
         whole = texts.filter("doc is not null").groupBy("doc").agg(F.min_by("text", "print").alias("text"))
     named = named.filter("n_shingles > 0")
     chosen = F.min_by(F.struct(F.col("n_shingles").alias("n"), "sig", "bands"), "doc").alias("x")
@@ -317,10 +339,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     forget(links)
 
     # buckets that still hold several components
-    placed = shared.select("bucket", "doc", "n").join(so_far.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    placed = shared.select("bucket", "doc", "n").join(
+        so_far.withColumnRenamed("node", "doc"),
+        "doc",
+        "left",
+    ).withColumn("component", F.coalesce("component", "doc"))
     parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("part"))
-    main = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("part", -F.col("component"))).alias("main")).filter("parts > 1")
-    open_ = cut(placed.join(main, "bucket").select("bucket", "doc", "n", "component", (F.col("component") != F.col("main")).alias("outside")), "open")
+    main = parts.groupBy("bucket").agg(
+        F.count("*").alias("parts"),
+        F.max_by("component", F.struct("part", -F.col("component"))).alias("main"),
+    ).filter("parts > 1")
+    open_ = cut(
+        placed.join(main, "bucket").select("bucket", "doc", "n", "component", (F.col("component") != F.col("main")).alias("outside")),
+        "open",
+    )
     more = cut(_across(open_, sigs, known, k, percent, least), "links")
     for table in (shared, open_, sigs, known):
         forget(table)
@@ -335,6 +367,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     if repeated:
         own = own.join(named.select("doc", "digest"), "doc", "left")
     else:  # a row without an id or without words has no class
-        own = signed.select("doc", "n_shingles", F.when(F.col("doc").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).alias("digest"))
+        own = signed.select(
+            "doc",
+            "n_shingles",
+            F.when(F.col("doc").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).alias("digest"),
+        )
     out = own.join(reps, "digest", "left")
-    return out.select(F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component_id"), F.coalesce(F.coalesce("component", "doc") == F.col("doc"), F.lit(True)).alias("kept"))
+    return out.select(
+        F.col("doc").alias("doc_id"),
+        "n_shingles",
+        F.coalesce("component", "doc").alias("component_id"),
+        F.coalesce(F.coalesce("component", "doc") == F.col("doc"), F.lit(True)).alias("kept"),
+    )

@@ -122,7 +122,13 @@ def _pieces(path: str, capacity: int, end: int, keep_ids: bool):
                 raw = data.tobytes()
                 crc = [crc32(raw[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 doc = batch.column("doc_id").take(pa.array(row + c.row0))
-                out = {"doc_id": doc, "piece": pa.array(piece.astype(np.int32)), "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array(crc, pa.int64())}
+                out = {
+                    "doc_id": doc,
+                    "piece": pa.array(piece.astype(np.int32)),
+                    "start": pa.array(start),
+                    "length": pa.array(length),
+                    "ids_crc32": pa.array(crc, pa.int64()),
+                }
                 yield pa.RecordBatch.from_pydict(out | ({"ids": binary_rows(data, offsets)} if keep_ids else {}))
 
     return run, "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
@@ -151,7 +157,11 @@ def best_fit(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     turn = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard")
     dealt = cut(pieces.select("doc_id", "piece", "start", "length", turn, own), "pieces")
     counts = dealt.groupBy("length", "shard").agg(F.count("*").alias("here"))
-    before = counts.select("length", "shard", (F.sum("here").over(Window.partitionBy("length").orderBy("shard")) - F.col("here")).alias("before"))
+    before = counts.select(
+        "length",
+        "shard",
+        (F.sum("here").over(Window.partitionBy("length").orderBy("shard")) - F.col("here")).alias("before"),
+    )
     total = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("here").alias("n")).collect()}  # at most capacity rows
     slots = sorted(plan(total, capacity))
     table = np.array(slots, dtype=np.int64).reshape(-1, 5)
@@ -161,7 +171,10 @@ def best_fit(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
         for batch in batches:
             length, rank = np.asarray(batch.column("length")), np.asarray(batch.column("rank"))
             slot = np.searchsorted(key, length * (1 << 44) + rank, side="right") - 1
-            yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array(table[slot, 3] + rank - table[slot, 1]), pa.array(table[slot, 4])], names=["own", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("own"), pa.array(table[slot, 3] + rank - table[slot, 1]), pa.array(table[slot, 4])],
+                names=["own", "sequence_id", "offset"],
+            )
 
     number = F.row_number().over(Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "start"))
     ranked = dealt.withColumn("number", number).join(before, ["length", "shard"])

@@ -25,7 +25,22 @@ from pyspark.sql import functions as F
 from . import words as W
 from .storage import bound_batches, cut
 
-STATS = ("log_words", "word_length", "upper", "digit", "symbol", "bang", "punctuation", "distinct", "same_next", "repeat_3", "line_words", "dup_lines", "capital_words", "foreign")
+STATS = (
+    "log_words",
+    "word_length",
+    "upper",
+    "digit",
+    "symbol",
+    "bang",
+    "punctuation",
+    "distinct",
+    "same_next",
+    "repeat_3",
+    "line_words",
+    "dup_lines",
+    "capital_words",
+    "foreign",
+)
 FEATURES = 192
 #: Quantiles of the raw scores between which the calibration counts.
 SCORE_BINS = 1000
@@ -80,7 +95,18 @@ def statistics(c: W.Chunk) -> np.ndarray:
     caps = np.concatenate([[0], np.cumsum(capital, dtype=np.int64)])
     shouted = 2 * (caps[c.ends] - caps[c.starts]) >= c.ends - c.starts if len(h) else np.zeros(0, dtype=bool)
     out = np.stack(
-        [np.log1p(c.n_words), size / words, *share, _distinct(h, row, n) / words if len(h) else np.zeros(n), _per_row(same, c.first) / words, repeat, words / lines, dup, _per_row(shouted, c.first) / words, _per_row(c.buf >= 0x80, c.at) / size],
+        [
+            np.log1p(c.n_words),
+            size / words,
+            *share,
+            _distinct(h, row, n) / words if len(h) else np.zeros(n),
+            _per_row(same, c.first) / words,
+            repeat,
+            words / lines,
+            dup,
+            _per_row(shouted, c.first) / words,
+            _per_row(c.buf >= 0x80, c.at) / size,
+        ],
         axis=1,
     )
     out[:, 10] = np.log1p(out[:, 10])
@@ -93,8 +119,14 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in W.chunks(batch.column("text")):
             x = statistics(c)
             ids = batch.column("doc_id").slice(c.row0, c.row1 - c.row0)
-            stats = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.astype(np.float32).ravel()))
-            yield pa.RecordBatch.from_arrays([ids, batch.column("print").slice(c.row0, len(ids)), stats], names=["doc_id", "print", "stats"])
+            stats = pa.ListArray.from_arrays(
+                pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)),
+                pa.array(x.astype(np.float32).ravel()),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [ids, batch.column("print").slice(c.row0, len(ids)), stats],
+                names=["doc_id", "print", "stats"],
+            )
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -196,7 +228,11 @@ def fit(stats: DataFrame, labelled: DataFrame, calibrate: Column, ridge: float =
     d = FEATURES + 1
     model = Classifier(mean, spread, np.zeros(d), np.zeros(1), np.full(1, 0.5))
     parts = labelled.filter(~calibrate).select("stats", "label").mapInArrow(*_equations(model))
-    parts = parts.select(F.pmod(F.spark_partition_id(), F.lit(16)).alias("some"), "i", F.posexplode("row").alias("j", "x")).groupBy("some", "i", "j").agg(F.sum("x").alias("x"))
+    parts = parts.select(
+        F.pmod(F.spark_partition_id(), F.lit(16)).alias("some"),
+        "i",
+        F.posexplode("row").alias("j", "x"),
+    ).groupBy("some", "i", "j").agg(F.sum("x").alias("x"))
     sums = parts.groupBy("i", "j").agg(F.sum("x").alias("x")).groupBy("i").agg(F.collect_list(F.struct("j", "x")).alias("xs")).collect()  # FEATURES + 1 rows
     if not sums:
         return model
@@ -221,7 +257,10 @@ def fit(stats: DataFrame, labelled: DataFrame, calibrate: Column, ridge: float =
 def _predict(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("print"), pa.array(model.probability(_matrix(batch)))], names=["doc_id", "print", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("print"), pa.array(model.probability(_matrix(batch)))],
+                names=["doc_id", "print", "score"],
+            )
 
     return run, "doc_id long, print long, score double"
 
@@ -240,7 +279,10 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     empty table gives an empty table.
     """
     stats = cut(measured(docs), "stats")
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).filter("label is not null and doc_id is not null").filter(fold(5) != 0)
+    known = labels.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("quality").cast("int").alias("label"),
+    ).filter("label is not null and doc_id is not null").filter(fold(5) != 0)
     labelled = cut(stats.join(known, "doc_id").select("doc_id", "stats", "label"), "labelled")
     model = fit(stats, labelled, fold(5) == 4)
     scored = stats.select("doc_id", "print", "stats").mapInArrow(*_predict(model))

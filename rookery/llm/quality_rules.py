@@ -173,7 +173,9 @@ def sql() -> str:
 
     def level(name: str, keys: str) -> str:
         at = lambda m, rank: f"list_sort(list({metrics[m]}))[(count(*) * {rank} + 99) // 100]"
-        values = ", ".join(f"({1 + reach} * {at(m, high)} - {reach} * {at(m, middle)})::double {m}" for m, (middle, high, reach) in RANKS.items())
+        values = ", ".join(
+            f"({1 + reach} * {at(m, high)} - {reach} * {at(m, middle)})::double {m}" for m, (middle, high, reach) in RANKS.items()
+        )
         return f"{name} as (select {keys + ', ' if keys else ''}count(*)::double n, {values} from counts where not base_failed {'group by ' + keys if keys else ''})"
 
     mixed = lambda m: f"((s.n * s.{m} + {WEIGHT} * ((l.n * l.{m} + {WEIGHT} * a.{m}) / (l.n + {WEIGHT}))) / (s.n + {WEIGHT}))"

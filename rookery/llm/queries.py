@@ -72,7 +72,16 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     parsed = chat.parse(plain.drop("turns"), chat.train(plain.filter(~held)))
     roles = F.array_join("parsed.role", ",")
-    return parsed.select("conv_id", "alone", "part", held.alias("held_out"), "n_lines", F.size("parsed").cast("long").alias("n_turns"), roles.alias("roles"), "rendered")
+    return parsed.select(
+        "conv_id",
+        "alone",
+        "part",
+        held.alias("held_out"),
+        "n_lines",
+        F.size("parsed").cast("long").alias("n_turns"),
+        roles.alias("roles"),
+        "rendered",
+    )
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +97,16 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     model = kneser_ney.train(docs, ~held, order=3)
     scored = kneser_ney.score(docs, model)
-    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+    return scored.select(
+        "doc_id",
+        held.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )
 
 
 _WORDS = r"[^\x20\x09-\x0D]+"

@@ -80,7 +80,9 @@ def _super_kmers(c: W.Chunk, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _find(k: int, m: int):
-    schema = pa.schema([("doc", pa.int64()), ("print", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("mini", pa.int64()), ("weight", pa.int64())])
+    schema = pa.schema(
+        [("doc", pa.int64()), ("print", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("mini", pa.int64()), ("weight", pa.int64())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,7 +92,17 @@ def _find(k: int, m: int):
                 if len(start):
                     row = c.row_of_word()[start]
                     take = pa.array(row + c.row0)
-                    yield pa.RecordBatch.from_arrays([doc.take(take), fingerprint.take(take), pa.array((start - c.first[row]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(mini), pa.array(weight)], schema=schema)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            doc.take(take),
+                            fingerprint.take(take),
+                            pa.array((start - c.first[row]).astype(np.int32)),
+                            pa.array(n.astype(np.int32)),
+                            pa.array(mini),
+                            pa.array(weight),
+                        ],
+                        schema=schema,
+                    )
 
     return run, "doc long, print long, start int, n int, mini long, weight long"
 
@@ -138,7 +150,10 @@ def _packed(k: int, hot: bool):
                         more = [listed.field("mini").slice(a, b - a)]
                     packed = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
                     take = pa.array(row + c.row0)
-                    yield pa.RecordBatch.from_arrays([batch.column("doc").take(take), batch.column("print").take(take), pa.array(start.astype(np.int32)), *more, packed], schema=schema)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc").take(take), batch.column("print").take(take), pa.array(start.astype(np.int32)), *more, packed],
+                        schema=schema,
+                    )
 
     return run, "doc long, print long, start int, " + ("n int, key binary, " if hot else "mini long, ") + "packed binary"
 
@@ -156,7 +171,10 @@ def _windows(k: int):
                 pairs = pa.StructArray.from_arrays([pa.array(h1), pa.array(h2)], fields=list(pair))
                 offsets = np.searchsorted(at, c.first).astype(np.int32)
                 own = [batch.column(i).slice(c.row0, c.row1 - c.row0) for i in rest]
-                yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(offsets), pairs)], names=[*(batch.schema[i].name for i in rest), "windows"])
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.ListArray.from_arrays(pa.array(offsets), pairs)],
+                    names=[*(batch.schema[i].name for i in rest), "windows"],
+                )
 
     return run, "doc long, print long, start int, copies long, windows array<struct<h1:long,h2:long>>"
 
@@ -195,7 +213,12 @@ def _count_buckets(k: int):
         done = np.cumsum(size)[edge - 1]
         last = np.append(np.flatnonzero(done[1:] // W.CHUNK_BYTES != done[:-1] // W.CHUNK_BYTES), len(edge) - 1)  # some whole buckets at a time
         cuts = np.concatenate([[0], edge[last]])
-        parts = ((int(a), c) for a, b in zip(cuts[:-1], cuts[1:], strict=True) for c in W.chunks(rows.column("packed").slice(a, b - a), limit=1 << 62))
+        parts = (
+            (int(a), c) for a, b in zip(cuts[:-1], cuts[1:], strict=True) for c in W.chunks(
+                rows.column("packed").slice(a, b - a),
+                limit=1 << 62,
+            )
+        )
         for head, c in parts:
             ok = c.window_rows(k)
             at = np.flatnonzero(ok)
@@ -211,7 +234,15 @@ def _count_buckets(k: int):
         if len(row):
             start = np.asarray(rows.column("start"))[row] + begin
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([rows.column("doc").take(take), rows.column("print").take(take), pa.array(start.astype(np.int32)), pa.array((start + length + k - 1).astype(np.int32))], schema=schema)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("doc").take(take),
+                    rows.column("print").take(take),
+                    pa.array(start.astype(np.int32)),
+                    pa.array((start + length + k - 1).astype(np.int32)),
+                ],
+                schema=schema,
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by minimiser; the last bucket of a batch waits for the next batch."""
@@ -260,7 +291,10 @@ def _remove(keep_text: bool):
                 removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[c.first])
                 out = pa.array(texts, pa.binary()) if keep_text else pa.array([hashlib.sha256(x).hexdigest() for x in texts])
                 own = [batch.column(i).slice(c.row0, c.row1 - c.row0) for i in rest]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(c.n_words.astype(np.int64)), pa.array(removed.astype(np.int64)), out], names=[*(batch.schema[i].name for i in rest), "n_words", "n_removed", last[0][0]])
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(c.n_words.astype(np.int64)), pa.array(removed.astype(np.int64)), out],
+                    names=[*(batch.schema[i].name for i in rest), "n_words", "n_removed", last[0][0]],
+                )
 
     return run
 
@@ -293,10 +327,26 @@ def repeated_spans(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 4_000) -
     place = F.struct("doc", "print", "start")
     kinds = crowd.groupBy("key").agg(F.count("*").alias("copies"), F.any_value(place).alias("x"), F.any_value("packed").alias("packed"))
     kinds = cut(kinds.select("key", "copies", "x.*", "packed"), "kinds")
-    same = crowd.join(kinds.filter("copies > 1").select("key"), "key").select("doc", "print", F.col("start").alias("begin"), (F.col("start") + F.col("n") + (k - 1)).alias("end"))
-    each = kinds.select("doc", "print", "start", "copies", "packed").mapInArrow(*_windows(k)).select("doc", "print", "start", "copies", F.posexplode("windows").alias("i", "h"))
+    same = crowd.join(kinds.filter("copies > 1").select("key"), "key").select(
+        "doc",
+        "print",
+        F.col("start").alias("begin"),
+        (F.col("start") + F.col("n") + (k - 1)).alias("end"),
+    )
+    each = kinds.select("doc", "print", "start", "copies", "packed").mapInArrow(*_windows(k)).select(
+        "doc",
+        "print",
+        "start",
+        "copies",
+        F.posexplode("windows").alias("i", "h"),
+    )
     again = each.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").drop("times")
-    lone = each.filter("copies = 1").join(again, "h").select("doc", "print", (F.col("start") + F.col("i")).alias("begin"), (F.col("start") + F.col("i") + k).alias("end"))
+    lone = each.filter("copies = 1").join(again, "h").select(
+        "doc",
+        "print",
+        (F.col("start") + F.col("i")).alias("begin"),
+        (F.col("start") + F.col("i") + k).alias("end"),
+    )
     warm = same.unionByName(lone)
     return cold.unionByName(warm).groupBy("doc", "print").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
@@ -316,8 +366,16 @@ def remove_repeats(docs: DataFrame, k: int = 35, m: int = 8, hot: int = 4_000, k
     # other columns travel in one, so that no name clashes
     others = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest))).alias("rest")
     full = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("print"), "text", others)
-    joined = full.alias("d").join(spans.alias("s"), _key("d", "s"), "left").select(F.col("d.doc").alias("doc_id"), "d.rest", "d.text", "s.spans")
+    joined = full.alias("d").join(spans.alias("s"), _key("d", "s"), "left").select(
+        F.col("d.doc").alias("doc_id"),
+        "d.rest",
+        "d.text",
+        "s.spans",
+    )
     kind = joined.schema["rest"].dataType.simpleString()
-    out = joined.mapInArrow(_remove(keep_text), f"doc_id long, rest {kind}, n_words long, n_removed long, " + ("kept binary" if keep_text else "kept_sha256 string"))
+    out = joined.mapInArrow(
+        _remove(keep_text),
+        f"doc_id long, rest {kind}, n_words long, n_removed long, " + ("kept binary" if keep_text else "kept_sha256 string"),
+    )
     named = [F.col(f"rest.c{i}").alias(c) for i, c in enumerate(rest)]
     return out.select("doc_id", *named, "n_words", "n_removed", F.col("kept").cast("string").alias("text") if keep_text else "kept_sha256")

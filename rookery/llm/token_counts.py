@@ -47,7 +47,10 @@ def _write(uri: str, path: str, end: int):
                     data[W.ragged_arange(np.cumsum(n) - n, n - 1)] = ids
                     out.write(data.tobytes())
                     doc = batch.column("doc_id").slice(c.row0, c.row1 - c.row0)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(n)), pa.array(np.arange(done, done + len(n))), doc], schema=schema)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(n)), pa.array(np.arange(done, done + len(n))), doc],
+                        schema=schema,
+                    )
                     done += len(n)
         fs.move(attempt, f"{root}/{name}")  # whole or not at all; a repeated attempt writes the same bytes
 
@@ -66,14 +69,18 @@ def write_flat(docs: DataFrame, tokenizer: str, uri: str, end: int = END) -> Dat
 
 def _blocks(spark: SparkSession, uri: str, block_bytes: int) -> DataFrame:
     fs, root = open_folder(uri)
-    files = [(f.base_name, f.size) for f in fs.get_file_info(pafs.FileSelector(root)) if f.is_file and not f.base_name.startswith(("_", "."))] if fs.get_file_info(root).type == pafs.FileType.Directory else []
+    files = [
+        (f.base_name, f.size) for f in fs.get_file_info(pafs.FileSelector(root)) if f.is_file and not f.base_name.startswith(("_", "."))
+    ] if fs.get_file_info(root).type == pafs.FileType.Directory else []
     table = spark.createDataFrame(files, "file string, size long")
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(block_bytes).cast("long"))
     return table.filter("size > 0").select("file", "size", F.posexplode(starts).alias("block", "begin"))
 
 
 def _search(uri: str, end: int, block_bytes: int):
-    schema = pa.schema([("file", pa.string()), ("block", pa.int32()), ("last", pa.int64()), ("n", pa.int64()), ("ends", pa.list_(pa.int64()))])
+    schema = pa.schema(
+        [("file", pa.string()), ("block", pa.int32()), ("last", pa.int64()), ("n", pa.int64()), ("ends", pa.list_(pa.int64()))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_folder(uri)
@@ -83,7 +90,10 @@ def _search(uri: str, end: int, block_bytes: int):
                     ids = np.frombuffer(file.read_at(min(block_bytes, x["size"] - x["begin"]), x["begin"]), dtype="<u2")
                 found = np.flatnonzero(ids == end) + x["begin"] // 2
                 last = int(found[-1]) if len(found) else None
-                yield pa.RecordBatch.from_pydict({"file": [x["file"]], "block": [x["block"]], "last": [last], "n": [len(found)], "ends": [found]}, schema=schema)
+                yield pa.RecordBatch.from_pydict(
+                    {"file": [x["file"]], "block": [x["block"]], "last": [last], "n": [len(found)], "ends": [found]},
+                    schema=schema,
+                )
 
     return run, "file string, block int, last long, n long, ends array<long>"
 
@@ -100,12 +110,27 @@ def separator_scan(spark: SparkSession, uri: str, end: int = END, block_bytes: i
     found = cut(table.repartition(n, "file", "block").mapInArrow(*_search(uri, end, block_bytes)), "separators")
     so_far = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     before, seen = F.last("last", ignorenulls=True).over(so_far), F.sum("n").over(so_far)
-    carried = found.select("file", "block", F.coalesce(before, F.lit(-1).cast("long")).alias("before"), F.coalesce(seen, F.lit(0).cast("long")).alias("seen"))
+    carried = found.select(
+        "file",
+        "block",
+        F.coalesce(before, F.lit(-1).cast("long")).alias("before"),
+        F.coalesce(seen, F.lit(0).cast("long")).alias("seen"),
+    )
     stitched = found.select("file", "block", "ends").join(carried, ["file", "block"])
     each = stitched.select("file", "seen", "ends", "before", F.posexplode("ends").alias("i", "stop"))
     previous = F.when(F.col("i") == 0, F.col("before")).otherwise(F.get("ends", F.col("i") - 1))
-    closed = each.select("file", (F.col("seen") + F.col("i")).alias("ordinal"), (previous + 1).alias("start"), (F.col("stop") - previous - 1).alias("n_tokens"))
+    closed = each.select(
+        "file",
+        (F.col("seen") + F.col("i")).alias("ordinal"),
+        (previous + 1).alias("start"),
+        (F.col("stop") - previous - 1).alias("n_tokens"),
+    )
     totals = found.groupBy("file").agg((F.coalesce(F.max("last"), F.lit(-1).cast("long")) + 1).alias("start"), F.sum("n").alias("ordinal"))
     sizes = table.filter("block = 0").select("file", (F.col("size") / 2).cast("long").alias("ids"))
-    tail = totals.join(sizes, "file").select("file", "ordinal", "start", (F.col("ids") - F.col("start")).alias("n_tokens")).filter("n_tokens > 0")
+    tail = totals.join(sizes, "file").select(
+        "file",
+        "ordinal",
+        "start",
+        (F.col("ids") - F.col("start")).alias("n_tokens"),
+    ).filter("n_tokens > 0")
     return closed.unionByName(tail)

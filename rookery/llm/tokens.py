@@ -86,7 +86,9 @@ class WordTokens:
         else:
             some = [x for i, x in enumerate(plain) if i not in apart] if alone else plain
             joined = [f" {_BETWEEN} ".join(some[i : i + 512]) + f" {_BETWEEN}" for i in range(0, len(some), 512)]
-            got = np.concatenate([np.zeros(0, dtype=np.uint32), *(np.array(e.ids, dtype=np.uint32) for e in encode(joined, add_special_tokens=False))])
+            got = np.concatenate(
+                [np.zeros(0, dtype=np.uint32), *(np.array(e.ids, dtype=np.uint32) for e in encode(joined, add_special_tokens=False))]
+            )
             ends = np.flatnonzero(got == self.between)
             ids = got[got != self.between]
             sizes = np.diff(ends, prepend=-1) - 1
@@ -178,4 +180,8 @@ def row_tokens(path: str, c: W.Chunk, ordinary: bool = False) -> tuple[np.ndarra
 
 def binary_rows(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary column whose rows are ``data[offsets[i]:offsets[i + 1]]``."""
-    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * data.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+    return pa.Array.from_buffers(
+        pa.binary(),
+        len(offsets) - 1,
+        [None, pa.py_buffer((offsets * data.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))],
+    )

@@ -33,7 +33,21 @@ def test_query_equals_sql(spark, name):
 
 def odd_documents(spark):
     passage = " ".join(f"w{i}" for i in range(40))
-    texts = [None, "", " \n\t ", "one", "a b c", passage, "start " + passage, passage, "é " * 30, "same " * 400, "x" * 300_000, "~ <|endoftext|> a~b", passage.upper()]
+    texts = [
+        None,
+        "",
+        " \n\t ",
+        "one",
+        "a b c",
+        passage,
+        "start " + passage,
+        passage,
+        "é " * 30,
+        "same " * 400,
+        "x" * 300_000,
+        "~ <|endoftext|> a~b",
+        passage.upper(),
+    ]
     rows = [(i, t, None if i % 3 == 0 else "en", None if i % 4 == 0 else "s", None) for i, t in enumerate(texts)]
     rows += [(None, "no id " * 20, None, None, 1), (5, passage, "en", "s", 3)]
     return spark.createDataFrame(rows, DOCS)
@@ -60,8 +74,14 @@ def test_every_operator_takes_odd_and_empty_tables(spark, tmp_path, empty):
     docs = odd_documents(spark).withColumns({"print": F.lit(1), "spans": F.lit("x"), "score": F.lit(2)})
     labels = spark.createDataFrame([(3, None, 1), (4, 1, None), (5, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([(None, None), (1, ""), (2, "w1 w2 w3 w4 w5 w6"), (2, "w1 w2 w3 w4 w5 w6")], "item_id long, text string")
-    pages = spark.createDataFrame([(1, None, None), (None, "u\r\nv", "p"), (2, "u", "p"), (2, "u", "p"), (3, "%0A", "")], "page_id long, url string, html string")
-    talks = spark.createDataFrame([(1, 0, "user", "hi"), (1, None, None, None), (None, 1, "odd", "x\n\ny"), (1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
+    pages = spark.createDataFrame(
+        [(1, None, None), (None, "u\r\nv", "p"), (2, "u", "p"), (2, "u", "p"), (3, "%0A", "")],
+        "page_id long, url string, html string",
+    )
+    talks = spark.createDataFrame(
+        [(1, 0, "user", "hi"), (1, None, None, None), (None, 1, "odd", "x\n\ny"), (1, 0, "user", "hi")],
+        "conv_id long, turn long, role string, text string",
+    )
     if empty:
         docs, labels, bench, pages, talks = (t.limit(0) for t in (docs, labels, bench, pages, talks))
     n = docs.count()
@@ -70,14 +90,24 @@ def test_every_operator_takes_odd_and_empty_tables(spark, tmp_path, empty):
     for name, t in {"documents": docs, "labels": labels, "benchmark": bench, "pages": pages, "conversations": talks}.items():
         t.write.parquet(str(folder / f"{name}.parquet"))
     rows = {name: q(spark, str(folder)).count() for name, q in QUERIES.items()}
-    for name in ("op2_substring_dedup", "op4_quality_rules", "op5_quality_classifier", "op7_token_counts", "op8_minhash_near_dedup", "op10_lm_scoring"):
+    for name in (
+        "op2_substring_dedup",
+        "op4_quality_rules",
+        "op5_quality_classifier",
+        "op7_token_counts",
+        "op8_minhash_near_dedup",
+        "op10_lm_scoring",
+    ):
         assert rows[name] == n, name
     assert rows["op1_warc_reassembly"] == pages.count()
 
 
 def test_archives_round_trip_and_damage(spark):
     big = "ü<p>" * 60_000
-    pages = spark.createDataFrame([(1, "http://a/\n", big), (2, "http://b/", big), (3, None, "x"), (4, "c", None), (5, "d", "")], "page_id long, url string, html string")
+    pages = spark.createDataFrame(
+        [(1, "http://a/\n", big), (2, "http://b/", big), (3, None, "x"), (4, "c", None), (5, "d", "")],
+        "page_id long, url string, html string",
+    )
     back = {r.page_id: r for r in warc.round_trip(pages, segment=50_000).collect()}
     assert back[1].payload == big.encode() and back[1].record_type == "response" and back[1].url == "http://a/\n"
     assert (back[2].record_type, back[2].refers_to, back[2].payload_bytes) == ("revisit", 1, len(big.encode()))
@@ -88,7 +118,14 @@ def test_archives_round_trip_and_damage(spark):
     assert warc.payload_of(block) == b"abc" * 9 and warc.unchunked(b"5\r\nab") is None and warc.unchunked(b"zz") is None
     import pyarrow as pa
 
-    row = dict.fromkeys(warc._arrow_schema().names) | {"number": 2, "record_type": "response", "page_id": 1, "total": 99, "block": block, "origin": "o"}
+    row = dict.fromkeys(warc._arrow_schema().names) | {
+        "number": 2,
+        "record_type": "response",
+        "page_id": 1,
+        "total": 99,
+        "block": block,
+        "origin": "o",
+    }
     for rows in ([row], [row | {"number": 1}, row], [row | {"number": 1, "total": None}, row | {"number": 1}, row]):
         batch = pa.RecordBatch.from_pylist(rows, schema=warc._arrow_schema())
         got = [r for b in warc._assemble(True)[0](iter([batch])) for r in b.to_pylist()]
@@ -97,7 +134,9 @@ def test_archives_round_trip_and_damage(spark):
 
 def test_packing_is_gapless_and_tight(spark):
     rng = random.Random(3)
-    texts = [" ".join(rng.choice("alpha beta gamma d e".split()) for _ in range(rng.choice([0, 3, 200, 700, 900, 2500]))) for _ in range(300)]
+    texts = [
+        " ".join(rng.choice("alpha beta gamma d e".split()) for _ in range(rng.choice([0, 3, 200, 700, 900, 2500]))) for _ in range(300)
+    ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = packing.pack(docs, vocabulary(), capacity=2048).collect()
     from tokenizers import Tokenizer
@@ -113,7 +152,9 @@ def test_packing_is_gapless_and_tight(spark):
         ids = np.array(t.encode(x, add_special_tokens=False).ids + [0], dtype="<u4").tobytes()
         assert b"".join(bytes(by_doc[i][k].ids) for k in sorted(by_doc[i])) == ids
     for parts in by_sequence.values():
-        assert [o for o, _ in sorted(parts)] == list(np.cumsum([0] + [n for _, n in sorted(parts)])[:-1]) and sum(n for _, n in parts) <= 2048
+        assert [o for o, _ in sorted(parts)] == list(
+            np.cumsum([0] + [n for _, n in sorted(parts)])[:-1]
+        ) and sum(n for _, n in parts) <= 2048
     assert len(by_sequence) <= 1.03 * sum(r.length for r in rows) / 2048 + 1
 
 
@@ -181,7 +222,12 @@ def test_decontamination_equals_brute_force(spark):
         docs.append((i, "Some words é " + "".join(s).upper() + "  and  more."))
     docs.append((99, items[0][1][:50]))
     docs.append((100, items[0][1][50:]))  # a passage cut between two documents is in neither
-    got = {(r.doc_id, r.item_id): r.edits for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    got = {
+        (r.doc_id, r.item_id): r.edits for r in decontamination.contaminated(
+            spark.createDataFrame(docs, "doc_id long, text string").coalesce(1),
+            spark.createDataFrame(items, "item_id long, text string"),
+        ).collect()
+    }
     want = {}
     for d, text in docs:
         x = decontamination.normalised(text)[0].tolist()
@@ -312,7 +358,9 @@ def test_training_takes_transcripts_with_empty_turns(spark):
 
 def test_kneser_ney_equals_a_plain_version(spark):
     rng = random.Random(1)
-    texts = [" ".join(f"v{min(int(rng.expovariate(0.2)), 40)}" for _ in range(rng.randrange(40))) for _ in range(80)] + ["unseen v1 words", None]
+    texts = [
+        " ".join(f"v{min(int(rng.expovariate(0.2)), 40)}" for _ in range(rng.randrange(40))) for _ in range(80)
+    ] + ["unseen v1 words", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     model = kneser_ney.train(docs, F.col("doc_id") < 80)
     got = {r.doc_id: r for r in kneser_ney.score(docs, model).collect()}
@@ -337,13 +385,22 @@ def test_kneser_ney_equals_a_plain_version(spark):
         for a, b in zip(tokens, tokens[1:]):
             low = max(follows[b] - d1[min(follows[b], 3)], 0) / len(pairs) + spread
             all_ = sum(context[a])
-            total += math.log10((pairs[a, b] - d2[min(pairs[a, b], 3)]) / all_ + sum(d2[min(c, 3)] for c in context[a]) / all_ * low if all_ else low)
+            total += math.log10(
+                (pairs[a, b] - d2[min(pairs[a, b], 3)]) / all_ + sum(d2[min(c, 3)] for c in context[a]) / all_ * low if all_ else low
+            )
         assert got[i].score == pytest.approx(total, abs=1e-6)
 
 
 def test_kneser_ney_trigrams_equal_a_plain_version(spark):
     rng = random.Random(2)
-    texts = [" ".join(f"v{min(int(rng.expovariate(0.4)), 30)}" for _ in range(rng.randrange(60))) for _ in range(79)] + [" ".join(f"x y z{i}" for i in range(300)), "a b c " * 400, "x y z7 unseen v1 words v2 v1 v0", None, "a b c a", "c"]
+    texts = [" ".join(f"v{min(int(rng.expovariate(0.4)), 30)}" for _ in range(rng.randrange(60))) for _ in range(79)] + [
+        " ".join(f"x y z{i}" for i in range(300)),
+        "a b c " * 400,
+        "x y z7 unseen v1 words v2 v1 v0",
+        None,
+        "a b c a",
+        "c",
+    ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     model = kneser_ney.train(docs, F.col("doc_id") < 81, order=3)
     got = {r.doc_id: r for r in kneser_ney.score(docs, model).collect()}
@@ -386,11 +443,28 @@ def test_pipeline_tells_rows_without_or_with_repeated_ids_apart(spark, tmp_path)
         return " ".join(f"{a}{i}" for i in range(40))
 
     spark.createDataFrame([(1, text("item"))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    rows = [(None, "so " + text("item") + " on"), (None, text("a")), (7, "so " + text("item") + " on"), (7, text("b")), (8, text("c")), (9, None)]
+    rows = [
+        (None, "so " + text("item") + " on"),
+        (None, text("a")),
+        (7, "so " + text("item") + " on"),
+        (7, text("b")),
+        (8, text("c")),
+        (9, None),
+    ]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
     left = corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in left) == [(0, text("a")), (7, text("b")), (8, text("c")), (9, "")]
-    rows = [(3, text("a")), (3, text("b")), (3, text("c")), (3, text("c")), (4, text("b")), (2, text("c")), (5, text("d")), (6, text("d")), (None, text("d"))]
+    rows = [
+        (3, text("a")),
+        (3, text("b")),
+        (3, text("c")),
+        (3, text("c")),
+        (4, text("b")),
+        (2, text("c")),
+        (5, text("d")),
+        (6, text("d")),
+        (None, text("d")),
+    ]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
     left = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, text("d")), (2, text("c")), (3, text("a")), (3, text("b")), (5, text("d"))]
