@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import sources
+from ..functions import values
 from ..operators import merge, reports, schedule, searches
 from ..plans import judging, records
 from ..streaming import attempted
@@ -321,6 +322,67 @@ def country_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.select("country", "emails", F.row_number().over(Window.orderBy(*reports.by_emails(slots))).cast("bigint").alias("place"))
 
 
+ENTRIES = Table(
+    "ord bigint, label string, web string, cc string",
+    (0, None, "https://n.es", "ES"),
+    (1, "Club", None, "ES"),
+    more=f"""select 10 + cast(p_partkey as bigint) ord, {_at('Green Tennis Club,Q123,Municipal Tennis Club,Padel Club,Something', 'p_partkey % 5')} label,
+        case when p_partkey % 11 = 0 then 'no url' else 'HTTPS://www.E' || cast(p_partkey % 400 as string) || '.es/x' end web, {_at('ES,FR,GB', 'p_partkey % 3')} cc from {{part}}""",
+)
+
+
+@_query(f"""with f as (select *, regexp_extract(lower(web), '^https://www[.](.*)/x$', 1) host from {ENTRIES.sql} where label in ('Green Tennis Club', 'Padel Club') and starts_with(web, 'HTTPS')),
+    g as (select *, row_number() over (partition by host order by ord) r from f where host <> 'e7.es')
+    select 'w:' || host key, label "name", g.cc, c.name country, 'https://www.' || host website from g join {_COUNTRIES} c on c.cc = g.cc where r = 1""")
+def catalogue_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New records of a catalogue of places."""
+    known = spark.createDataFrame([("e7.es",)], "host string")
+    return records.from_bindings(ENTRIES.spark(spark, sf_dir), sources.countries(spark), known, "Tennis").select("key", "name", "cc", "country", "website")
+
+
+@_query(f"""with s as (select distinct url from {QUEUE.sql} where right(url, 1) <> '3' union select 'https://new/' || p_partkey from part)
+    select url, cc from {QUEUE.sql} where url in (select url from s) union all select url, null from s where url not in (select url from {QUEUE.sql})""")
+def queue_synced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue after a look at the seeds."""
+    queue = QUEUE.spark(spark, sf_dir)
+    new = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.concat(F.lit("https://new/"), F.col("p_partkey").cast("string")).alias("url"))
+    seeds = queue.filter(~F.col("url").endswith("3")).select("url").unionByName(new)
+    return merge.queue_after(queue, seeds, ["url"]).select("url", "cc")
+
+
+@_query(f"select url, row_number() over (order by coalesce(lastRun, ''), url) place from {QUEUE.sql} where not coalesce(done, false) order by place limit 60")
+def workable_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds to read within a budget of 60 pages."""
+    return schedule.workable(QUEUE.spark(spark, sf_dir), 60)
+
+
+_STOPWORDS = "[" + ", ".join(f"'{w}'" for w in values.STOPWORDS) + "]"
+
+
+@_query(f"""with l as (select key, trim(name) n, trim(coalesce(town, '')) t from {V.RECORDS.sql} where name not in ('Own')
+        and len(list_filter(regexp_split_to_array(strip_accents(lower(name)), '[^a-z0-9]+'), lambda x: length(x) >= 4 and not list_contains({_STOPWORDS}, x))) > 0),
+    q as (select key, case when t = '' then n else n || ' ' || t end query, 0 place from l union all select key, n, 1 from l where t <> '') select * from q""")
+def lead_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is asked for each lead."""
+    rows = V.RECORDS.spark(spark, sf_dir).filter("name not in ('Own')")
+    return schedule.lead_queries(rows)
+
+
+@_query(f"select sum(l_linenumber)::bigint added, sum(l_suppkey % 3)::bigint merged, (select string_agg(distinct 'S' || lpad(l_suppkey::varchar, 6, '0'), ' ' order by 'S' || lpad(l_suppkey::varchar, 6, '0')) from lineitem where l_partkey = 5) failed from lineitem")
+def import_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Imports in all."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    cc = F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0"))
+    state = rows.groupBy(cc.alias("cc")).agg(F.sum("l_linenumber").alias("added"), F.sum(F.col("l_suppkey") % 3).alias("merged"), F.max(F.when(F.col("l_partkey") == 5, F.lit("timeout"))).alias("error"))
+    return reports.import_totals(state)
+
+
+@_query(f"select ord, value from {V.LINES.sql} where trim(value) <> '' order by ord desc limit 14")
+def recent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last lines of a log that are not blank."""
+    return sources.recent_lines(V.LINES.spark(spark, sf_dir), "ord")
+
+
 TOWNS = Table(
     "key string, town string, lat double, lon double",
     ("x", "y", None, None),

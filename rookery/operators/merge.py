@@ -131,6 +131,15 @@ def with_leads(store: DataFrame, leads: DataFrame) -> DataFrame:
     return store.drop("town", "lat", "lon").withColumn("lead", own).join(there, "lead", "left").drop("lead")
 
 
+def queue_after(queue: DataFrame, seeds: DataFrame, on: list[str]) -> DataFrame:
+    """The queue after a look at the seeds: those that went are dropped, new ones come in with nulls for the rest.
+
+    Where no seeds could be read, the queue stays as it is.
+    """
+    read = not seeds.isEmpty()
+    return in_sync(queue, seeds, on, read).unionByName(new_only(seeds.dropDuplicates(on), queue, on), allowMissingColumns=True)
+
+
 def latest_element(elements: DataFrame) -> DataFrame:
     """Map elements of several statements by type and id: the last one's content at the first one's place."""
     rest = [c for c in elements.columns if c not in ("type", "id", "ord")]

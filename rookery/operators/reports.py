@@ -152,6 +152,12 @@ def city_coverage(stats: DataFrame, emails: DataFrame) -> DataFrame:
     )
 
 
+def import_totals(state: DataFrame) -> DataFrame:
+    """``added, merged, failed`` over all countries' imports, ``failed`` naming those with an error in order."""
+    failed = F.array_join(F.array_sort(F.collect_list(F.when(has("error"), F.col("cc")))), " ")
+    return state.agg(F.coalesce(F.sum("added"), F.lit(0)).alias("added"), F.coalesce(F.sum("merged"), F.lit(0)).alias("merged"), failed.alias("failed"))
+
+
 def import_counters(outcomes: DataFrame) -> DataFrame:
     """Counts of a map import by outcome."""
     of = lambda kind: F.count_if(F.col("outcome") == kind)

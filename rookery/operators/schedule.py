@@ -45,6 +45,19 @@ def leads_due(leads: DataFrame, now: Column) -> DataFrame:
     return leads.filter(filled(F.col("searched")).isNull() | (filled(F.col("website")).isNull() & (age >= 30 * DAY)))
 
 
+def workable(queue: DataFrame, pages: int) -> DataFrame:
+    """``url, place``: seeds that are not done, the least recently run first, as far as a budget of pages goes (one for each)."""
+    rows = queue.filter(~F.coalesce("done", F.lit(False))).select("url", F.coalesce("lastRun", F.lit("")).alias("lastRun"), F.lit(1).alias("cost"))
+    return budget_prefix(rows, F.col("lastRun"), ["lastRun", "url"], "cost", pages).select("url", (F.col("spent") + 1).cast("bigint").alias("place"))
+
+
+def lead_queries(leads: DataFrame) -> DataFrame:
+    """``key, query, place``: what is asked for each lead ``key, name, town``: name and town, then the name, each once."""
+    both = F.trim(F.concat_ws(" ", filled(F.trim("name")), filled(F.trim("town"))))
+    fit = leads.filter(F.size(rules.name_tokens(F.col("name"))) > 0)
+    return fit.select("key", F.posexplode(F.array_distinct(F.array(both, F.trim("name")))).alias("place", "query"))
+
+
 def leads_reset(leads: DataFrame) -> DataFrame:
     """Leads searched in vain count as never searched."""
     again = filled(F.col("searched")).isNotNull() & filled(F.col("website")).isNull()

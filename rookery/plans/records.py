@@ -58,6 +58,31 @@ def from_elements(elements: DataFrame, countries: DataFrame) -> DataFrame:
     )
 
 
+def from_bindings(bindings: DataFrame, countries: DataFrame, known: DataFrame, sport: str) -> DataFrame:
+    """``key, ord, name, cc, country, lang, sports, website, src`` of catalogue entries ``ord, item, label, web, cc`` for one sport.
+
+    Entries need a wanted country, a name that is no number and a web host that is not among ``known(host)``, and pass the
+    gate for private clubs.  Of the entries of a host the first by ``ord`` stays.
+    """
+    name, web = F.col("label"), F.col("web")
+    fit = bindings.filter((F.coalesce(name, F.lit("")) != "") & ~rx.like(name, r"^Q\d+$", fold=False) & rules.private_gate(name, web, F.lit(""))["ok"])
+    rows = fit.withColumns({"host": urls.host_of(web), "website": urls.origin_of(web)}).filter("host <> ''")
+    new = rows.join(known.select("host").distinct(), "host", "left_anti")
+    first = new.groupBy("host").agg(F.min_by(F.struct("ord", "label", "cc", "website"), "ord").alias("x")).select("host", "x.*")
+    own = F.broadcast(countries.select("cc", F.col("name").alias("country"), "lang"))
+    return first.join(own, "cc").select(
+        F.concat(F.lit("w:"), "host").alias("key"),
+        "ord",
+        F.col("label").alias("name"),
+        "cc",
+        "country",
+        "lang",
+        F.array(F.lit(sport)).alias("sports"),
+        "website",
+        F.lit("wikidata").alias("src"),
+    )
+
+
 def vet(candidates: DataFrame, countries: DataFrame) -> DataFrame:
     """``candidates(url, cc, city, html, contact_html)`` with ``name, sports, website`` and the first ``reason`` against them ('' if none).
 

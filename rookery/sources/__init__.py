@@ -58,6 +58,11 @@ def newest(rows: DataFrame, order: str, n: int) -> DataFrame:
     return rows.orderBy(F.desc(order)).limit(n)
 
 
+def recent_lines(lines: DataFrame, order: str, n: int = 14) -> DataFrame:
+    """The last ``n`` lines of a log that are not blank."""
+    return newest(lines.filter(F.trim("value") != ""), order, n)
+
+
 def seeds(lines: DataFrame) -> DataFrame:
     """``cc, url`` from ``CC URL`` lines; comments, blanks and unknown countries go."""
     line = F.trim("value")
