@@ -302,10 +302,12 @@ def parse(plain: DataFrame, model: Model) -> DataFrame:
     Needs the columns of ``transcripts`` but for ``turns``; other columns pass through, unless they have the names of results.
     ``goes_on`` is true if a part's first turn goes on the last one of the part before it.
     """
-    plain = plain.drop("n_lines", "parsed", "goes_on", "rendered", "before", "last")
+    plain = plain.drop("n_lines", "parsed", "goes_on", "rendered", "before", "last", "border")
     rest = [f for f in plain.schema if f.name != "transcript"]
     pair = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
-    joined = plain.join(borders(plain, model), _KEYS, "left").select(*(f"`{f.name}`" for f in rest), "transcript", "before", "last")
+    found = borders(plain, model).withColumnRenamed("conv_id", "border")  # only of conversations with several parts
+    met = (F.when(F.col("parts") > 1, F.col("conv_id")) == F.col("border")) & (plain["part"] == found["part"])
+    joined = plain.join(found, met, "left").select(*(plain[f"`{f.name}`"] for f in rest), plain["transcript"], "before", "last")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
