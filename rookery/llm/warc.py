@@ -8,9 +8,10 @@ files count is said by a manifest that Spark commits with the tasks, so files of
 are unique: equal rows are records of their own.
 
 Reading: files are parsed into records.  Continuation records are grouped by origin, ordered by number, joined, and their
-length compared with the total that the last one states; chunked framing is decoded; digests are verified.  A group holds
-one block.  Revisits take the size of the payload they refer to.  Joins on a digest are salted, as a third of all pages may be
-empty or equal.
+length compared with the total that the last one states; chunked framing is decoded; digests are verified.  Groups that are
+complete within a file are joined where they are read, as a map-side sum would be; the parts of the others travel to
+their origin.  A group holds one block.  Revisits take the size of the payload they refer to.  Joins on a digest are salted, as
+a third of all pages may be empty or equal.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +44,8 @@ def _record(kind: str, block: bytes, fields: dict[str, str | None]) -> bytes:
     lines = [b"WARC/1.1", f"WARC-Type: {kind}".encode(), f"WARC-Date: {_DATE}".encode()]
     lines += [f"{k}: {v}".encode() for k, v in fields.items() if v is not None]
     lines.append(b"Content-Length: %d" % len(block))
-    packer = zlib.compressobj(2, zlib.DEFLATED, 31)
+    small = len(block) < 1 << 14  # a small window takes less time to set up
+    packer = zlib.compressobj(2, zlib.DEFLATED, 16 + (13 if small else 15), 6 if small else 8)
     return packer.compress(b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
@@ -88,7 +89,16 @@ def _any_line(value: str | None) -> str | None:
     return None if value is None else value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
 
 
-def _records_of(page: int | None, url: str | None, html: str | None, sha1: str, refers: int | None, revisit: bool, segment: int, place: str) -> Iterator[bytes]:
+def _records_of(
+    page: int | None,
+    url: str | None,
+    html: str | None,
+    sha1: str,
+    refers: int | None,
+    revisit: bool,
+    segment: int,
+    place: str,
+) -> Iterator[bytes]:
     """place: tells records of equal rows apart."""
     digest = "sha1:" + _base32(sha1)
     ident = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page} {digest} {place}')}>"
@@ -108,7 +118,11 @@ def _records_of(page: int | None, url: str | None, html: str | None, sha1: str,
         else:
             last = {"WARC-Segment-Total-Length": str(len(block))} if i == count - 1 else {}
             own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{ident} {i}')}>"
-            yield _record("continuation", part, {"WARC-Record-ID": own, "WARC-Segment-Origin-ID": ident, "WARC-Segment-Number": str(i + 1), **last})
+            yield _record(
+                "continuation",
+                part,
+                {"WARC-Record-ID": own, "WARC-Segment-Origin-ID": ident, "WARC-Segment-Number": str(i + 1), **last},
+            )
 
 
 def _write(uri: str, segment: int, file_bytes: int):
@@ -120,7 +134,9 @@ def _write(uri: str, segment: int, file_bytes: int):
 
         def closed() -> pa.RecordBatch:
             out.close()
-            return pa.RecordBatch.from_pydict({"file": [f"{uri}/pages-{attempt:08d}-{number:06d}.warc.gz"], "records": [records], "bytes": [size]})
+            return pa.RecordBatch.from_pydict(
+                {"file": [f"{uri}/pages-{attempt:08d}-{number:06d}.warc.gz"], "records": [records], "bytes": [size]}
+            )
 
         for batch in batches:
             columns = [batch.column(c) for c in ("page_id", "url", "html", "sha1", "refers", "revisit")]
@@ -147,15 +163,30 @@ def write_archives(pages: DataFrame, uri: str, least: int = 0, segment: int = 64
 
     A null html is an empty payload; a null url or page id leaves its header out.  Rows that tie on the smallest page id of
     a payload are all responses.  A payload that only rows without a page id share has responses only.  Other columns are
-    not archived.
+    not archived.  An empty table writes no files.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    rows = rows.withColumns({"sha1": F.sha1(F.coalesce("html", F.lit("")).cast("binary")), "size": F.coalesce(F.octet_length("html"), F.lit(0))})
-    first = rows.filter(F.col("size") >= least).groupBy("sha1").agg(F.min("page_id").alias("refers"), F.count("*").alias("copies")).filter("copies > 1").drop("copies")
+    rows = rows.withColumns(
+        {"sha1": F.sha1(F.coalesce("html", F.lit("")).cast("binary")), "size": F.coalesce(F.octet_length("html"), F.lit(0))}
+    )
+    first = rows.filter(F.col("size") >= least).groupBy("sha1").agg(
+        F.min("page_id").alias("refers"),
+        F.count("*").alias("copies"),
+    ).filter("copies > 1").drop("copies")
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
     known = rows.join(_salted(first), ["sha1", "salt"], "left")
-    known = known.withColumn("revisit", F.coalesce((F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("refers")) & F.col("refers").isNotNull(), F.lit(False)))
-    return known.select("page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "sha1", "refers", "revisit").mapInArrow(*_write(uri, segment, file_bytes))
+    known = known.withColumn(
+        "revisit",
+        F.coalesce((F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("refers")) & F.col("refers").isNotNull(), F.lit(False)),
+    )
+    return known.select(
+        "page_id",
+        "url",
+        F.when(~F.col("revisit"), F.col("html")).alias("html"),
+        "sha1",
+        "refers",
+        "revisit",
+    ).mapInArrow(*_write(uri, segment, file_bytes))
 
 
 def _salted(small: DataFrame) -> DataFrame:
@@ -163,10 +194,14 @@ def _salted(small: DataFrame) -> DataFrame:
 
 
 def _members(data: bytes) -> Iterator[bytes]:
-    while data:
-        reader = zlib.decompressobj(31)
-        yield reader.decompress(data) + reader.flush()
-        data = reader.unused_data
+    at, step = 0, 16 << 10
+    while at < len(data):
+        reader, parts = zlib.decompressobj(31), []
+        while not reader.eof and at < len(data):
+            parts.append(reader.decompress(data[at : at + step]))
+            at += step
+        at = min(at, len(data)) - len(reader.unused_data)
+        yield b"".join(parts) + reader.flush()
 
 
 def _split_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -197,9 +232,38 @@ def _measured(block: bytes, stated: str | None, keep: bool, total: int | None =
     return {"payload_bytes": len(payload), "payload_digest": digest, "whole": stated in (None, digest), "block": payload if keep else None}
 
 
-def _read(keep: bool):
-    schema = _arrow_schema()
+def _joined(parts: list[dict], keep: bool) -> dict:
+    """The record that some parts of one origin, in order, make."""
+    head = parts[0]
+    if [p["number"] for p in parts] == list(range(1, len(parts) + 1)):
+        got = _measured(b"".join(p["block"] for p in parts), head["stated"], keep, parts[-1]["total"] or -1)
+    else:
+        got = {"payload_bytes": None, "payload_digest": None, "whole": False, "block": None}
+    return dict.fromkeys(_arrow_schema().names) | {
+        k: head[k] for k in ("record_type", "page_id", "url", "stated")
+    } | {"record_id": head["origin"]} | got
+
+
+class _Rows:
+    """Rows that leave as batches of some MB."""
+
+    def __init__(self) -> None:
+        self.rows: list[dict] = []
+        self.held, self.schema = 0, _arrow_schema()
+
+    def add(self, row: dict) -> Iterator[pa.RecordBatch]:
+        self.rows.append(row)
+        self.held += len(row["block"] or b"") + 200
+        if self.held > 4 << 20:
+            yield from self.out()
 
+    def out(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            yield pa.RecordBatch.from_pylist(self.rows, schema=self.schema)
+            self.rows, self.held = [], 0
+
+
+def _read(keep: bool):
     def number(x: str | None) -> int | None:
         return None if x is None else int(x)
 
@@ -209,66 +273,66 @@ def _read(keep: bool):
         with fs.open_input_file(f"{root}/{name}") as file:
             return file.read()
 
+    def records(path: str) -> Iterator[dict]:
+        for member in _members(content(path)):
+            for f, block in _split_records(member):
+                stated = (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None
+                row = {
+                    "record_id": f["warc-record-id"],
+                    "record_type": f["warc-type"],
+                    "page_id": number(f.get("rookery-page")),
+                    "url": _any_line(f.get("warc-target-uri")),
+                    "stated": stated,
+                }
+                row |= {
+                    "refers_to": number(f.get("rookery-refers-to-page")),
+                    "number": number(f.get("warc-segment-number")),
+                    "total": number(f.get("warc-segment-total-length")),
+                }
+                row["origin"] = f.get("warc-segment-origin-id", row["record_id"])
+                if row["number"] is not None:
+                    yield row | {"payload_bytes": None, "payload_digest": None, "whole": None, "block": block}
+                elif f["warc-type"] == "revisit":
+                    yield row | {"payload_bytes": None, "payload_digest": stated, "whole": True, "block": None}
+                else:
+                    yield row | _measured(block, stated, keep)
+
+    def complete(parts: list[dict]) -> bool:
+        return [p["number"] for p in parts] == list(range(1, len(parts) + 1)) and parts[-1]["total"] == sum(len(p["block"]) for p in parts)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _Rows()
         for batch in batches:
             for path in batch.column("file").to_pylist():
-                rows: list[dict] = []
-                held = 0
-                for member in _members(content(path)):
-                    for f, block in _split_records(member):
-                        stated = (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None
-                        row = {"record_id": f["warc-record-id"], "record_type": f["warc-type"], "page_id": number(f.get("rookery-page")), "url": _any_line(f.get("warc-target-uri")), "stated": stated}
-                        row |= {"refers_to": number(f.get("rookery-refers-to-page")), "number": number(f.get("warc-segment-number")), "total": number(f.get("warc-segment-total-length"))}
-                        row["origin"] = f.get("warc-segment-origin-id", row["record_id"])
-                        if row["number"] is not None:
-                            row |= {"payload_bytes": None, "payload_digest": None, "whole": None, "block": block}
-                        elif f["warc-type"] == "revisit":
-                            row |= {"payload_bytes": None, "payload_digest": stated, "whole": True, "block": None}
-                        else:
-                            row |= _measured(block, stated, keep)
-                        rows.append(row)
-                        held += len(row["block"] or b"") + 200
-                        if held > 4 << 20:
-                            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                            rows, held = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                groups: dict[str, list[dict]] = {}  # of one file
+                for row in records(path):
+                    if row["number"] is None:
+                        yield from rows.add(row)
+                    else:
+                        groups.setdefault(row["origin"], []).append(row)
+                for parts in groups.values():
+                    parts.sort(key=lambda p: p["number"])
+                    for row in [_joined(parts, keep)] if complete(parts) else parts:
+                        yield from rows.add(row)
+        yield from rows.out()
 
     return run, _FIELDS
 
 
 def _assemble(keep: bool):
-    """Whole records as they are, and those of several segments joined; rows come sorted by origin and number."""
-    schema = _arrow_schema()
-
-    def joined(parts: list[dict]) -> dict:
-        head = parts[0]
-        if [p["number"] for p in parts] == list(range(1, len(parts) + 1)):
-            got = _measured(b"".join(p["block"] for p in parts), head["stated"], keep, parts[-1]["total"] or -1)
-        else:
-            got = {"payload_bytes": None, "payload_digest": None, "whole": False, "block": None}
-        return {k: head[k] for k in ("record_type", "page_id", "url", "stated")} | {"record_id": head["origin"]} | got
+    """The parts of each origin joined; rows come sorted by origin and number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        rows, held = _Rows(), []
         for batch in batches:
-            single = batch.column("number").is_null()
-            yield batch.filter(single)
-            rows: list[dict] = []
-            size = 0
-            for row in batch.filter(pa.compute.invert(single)).to_pylist():
+            for row in batch.to_pylist():
                 if held and held[0]["origin"] != row["origin"]:
-                    rows.append(joined(held))
-                    size += len(rows[-1]["block"] or b"")
+                    yield from rows.add(_joined(held, keep))
                     held = []
-                    if size > 4 << 20:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                        rows, size = [], 0
                 held.append(row)
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
         if held:
-            yield pa.RecordBatch.from_pylist([joined(held)], schema=schema)
+            yield from rows.add(_joined(held, keep))
+        yield from rows.out()
 
     return run, _FIELDS
 
@@ -282,13 +346,17 @@ def read_archives(spark: SparkSession, files: DataFrame, keep_payload: bool = Tr
     the response that it refers to, and is null if that is not there.
     """
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    records = files.select("file").repartition(n, "file").mapInArrow(*_read(keep_payload))
-    ordered = records.repartition(n, "origin").sortWithinPartitions("origin", "number")
-    whole = cut(ordered.mapInArrow(*_assemble(keep_payload)), "responses")
+    records = cut(files.select("file").repartition(n, "file").mapInArrow(*_read(keep_payload)), "records")
+    parts = records.filter("number is not null").repartition(n, "origin").sortWithinPartitions("origin", "number")
+    joined = cut(parts.mapInArrow(*_assemble(keep_payload)), "joined")
+    whole = records.filter("number is null").unionByName(joined)
     kept = ("record_id", "record_type", "page_id", "url", "refers_to", "payload_bytes", "payload_digest", "whole", "block")
     revisit = whole.filter("record_type = 'revisit'").select(*kept)
     wanted = revisit.groupBy("refers_to", "payload_digest").agg(F.count("*").alias("times")).drop("times")
-    size = whole.filter("record_type = 'response' and whole").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("there"))
+    size = whole.filter("record_type = 'response' and whole").groupBy(
+        F.col("page_id").alias("refers_to"),
+        "payload_digest",
+    ).agg(F.max("payload_bytes").alias("there"))
     found = _salted(wanted.join(size, ["refers_to", "payload_digest"]))
     revisit = revisit.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int"))
     revisit = revisit.join(found, ["refers_to", "payload_digest", "salt"], "left").withColumn("payload_bytes", F.col("there")).select(*kept)

@@ -83,14 +83,31 @@ REPEATED = 10_000
 
 def test_a_row_that_is_there_ten_thousand_times(spark, tmp_path):
     one = " ".join(f"r{i}" for i in range(60))
-    rows = spark.range(REPEATED).select(F.lit(7).cast("long").alias("doc_id"), F.lit(one).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    rows = spark.range(REPEATED).select(
+        F.lit(7).cast("long").alias("doc_id"),
+        F.lit(one).alias("text"),
+        F.lit("en").alias("lang"),
+        F.lit("s").alias("source"),
+        F.lit(1).cast("long").alias("n_chars"),
+    )
     docs = rows.unionByName(documents(spark, ["another text " * 30, None, "x"]))
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(7, 1, 0), (0, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, one[10:90])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    spark.range(REPEATED).select(F.lit(3).cast("long").alias("page_id"), F.lit("u").alias("url"), F.lit("same page " * 300).alias("html")).write.parquet(str(tmp_path / "pages.parquet"))
-    spark.range(REPEATED).select(F.lit(1).cast("long").alias("conv_id"), (F.col("id") % 5000).alias("turn"), F.lit("user").alias("role"), F.lit("hi").alias("text")).write.parquet(str(tmp_path / "conversations.parquet"))
-    found = {name: q(spark, str(tmp_path)).filter("doc_id = 7") for name, q in QUERIES.items() if not name.startswith(("op1_", "op9_", "pipeline"))}
+    spark.range(REPEATED).select(
+        F.lit(3).cast("long").alias("page_id"),
+        F.lit("u").alias("url"),
+        F.lit("same page " * 300).alias("html"),
+    ).write.parquet(str(tmp_path / "pages.parquet"))
+    spark.range(REPEATED).select(
+        F.lit(1).cast("long").alias("conv_id"),
+        (F.col("id") % 5000).alias("turn"),
+        F.lit("user").alias("role"),
+        F.lit("hi").alias("text"),
+    ).write.parquet(str(tmp_path / "conversations.parquet"))
+    found = {
+        name: q(spark, str(tmp_path)).filter("doc_id = 7") for name, q in QUERIES.items() if not name.startswith(("op1_", "op9_", "pipeline"))
+    }
     assert all(r.n_removed == 60 and r.n_words == 60 for r in found["op2_substring_dedup"].distinct().collect())
     packed = found["op3_best_fit_packing"].select("sequence_id", "offset", "length", "ids_crc32")
     assert packed.distinct().count() == REPEATED and packed.select("ids_crc32").distinct().count() == 1
@@ -99,30 +116,75 @@ def test_a_row_that_is_there_ten_thousand_times(spark, tmp_path):
     assert [(r.component_id, r.kept) for r in found["op8_minhash_near_dedup"].distinct().collect()] == [(7, True)]
     assert found["op10_lm_scoring"].distinct().count() == 1
     assert found["op6_decontamination"].select("item_id", "edits").collect() == [(1, 0)]
-    for name in ("op2_substring_dedup", "op3_best_fit_packing", "op4_quality_rules", "op7_token_counts", "op8_minhash_near_dedup", "op10_lm_scoring"):
+    for name in (
+        "op2_substring_dedup",
+        "op3_best_fit_packing",
+        "op4_quality_rules",
+        "op7_token_counts",
+        "op8_minhash_near_dedup",
+        "op10_lm_scoring",
+    ):
         assert found[name].count() == REPEATED, name
     pages = QUERIES["op1_warc_reassembly"](spark, str(tmp_path))
-    assert [tuple(r) for r in pages.groupBy("page_id", "payload_bytes", "record_type", "refers_to").count().collect()] == [(3, 3000, "response", None, REPEATED)]
+    assert [
+        tuple(r) for r in pages.groupBy("page_id", "payload_bytes", "record_type", "refers_to").count().collect()
+    ] == [(3, 3000, "response", None, REPEATED)]
     talk = QUERIES["op9_chat_formatting"](spark, str(tmp_path))
     assert talk.agg(F.sum("n_turns")).first()[0] == 5000
 
 
 def test_extra_columns_with_the_names_of_results(spark):
     docs = documents(spark, ["a b c d e f g " * 8, "other words here", None, ""])
-    names = ["doc", "print", "spans", "kept", "rest", "at", "own", "shard", "number", "rank", "sequence_id", "offset", "ids", "n_words", "n_removed", "score", "n_tokens", "held_out", "row", "length_", "before", "last", "shingles", "digest", "bucket", "salt", "most", "weird name"]
+    names = [
+        "doc",
+        "print",
+        "spans",
+        "kept",
+        "rest",
+        "at",
+        "own",
+        "shard",
+        "number",
+        "rank",
+        "sequence_id",
+        "offset",
+        "ids",
+        "n_words",
+        "n_removed",
+        "score",
+        "n_tokens",
+        "held_out",
+        "row",
+        "length_",
+        "before",
+        "last",
+        "shingles",
+        "digest",
+        "bucket",
+        "salt",
+        "most",
+        "weird name",
+    ]
     extra = docs.withColumns({n: F.concat(F.lit("extra "), F.lit(n)) for n in names})
     got = substring.remove_repeats(extra, k=5, keep_text=True)
     want = substring.remove_repeats(docs, k=5, keep_text=True)
     assert plain(got.select(want.columns).toPandas()) == plain(want.toPandas())
     assert got.select("spans").distinct().first().spans == "extra spans" and got.schema["n_words"].dataType.simpleString() == "bigint"
     pieces = packing.tokenised_pieces(docs, vocabulary(), keep_ids=False)
-    packed = packing.best_fit(pieces.withColumns({n: F.lit(n) for n in ("shard", "rank", "number", "own", "before", "sequence_id", "offset")}))
+    packed = packing.best_fit(
+        pieces.withColumns({n: F.lit(n) for n in ("shard", "rank", "number", "own", "before", "sequence_id", "offset")})
+    )
     assert plain(packed.select("doc_id", "piece", "length").toPandas()) == plain(pieces.select("doc_id", "piece", "length").toPandas())
     assert packed.filter("shard = 'shard' and rank = 'rank'").count() == pieces.count() and packed.schema["offset"].dataType.simpleString() == "bigint"
     model = kneser_ney.train(extra, F.lit(True))
     scored = kneser_ney.score(extra, model)
     assert scored.schema["score"].dataType.simpleString() == "double" and scored.filter("spans = 'extra spans'").count() == 4
-    for f in (lambda d: quality_rules.quality_rules(d), lambda d: minhash.near_duplicates(d), lambda d: decontamination.contaminated(d, d.select(F.col("doc_id").alias("item_id"), "text")), lambda d: packing.pack(d, vocabulary(), keep_ids=False).drop("sequence_id", "offset")):
+    for f in (
+        lambda d: quality_rules.quality_rules(d),
+        lambda d: minhash.near_duplicates(d),
+        lambda d: decontamination.contaminated(d, d.select(F.col("doc_id").alias("item_id"), "text")),
+        lambda d: packing.pack(d, vocabulary(), keep_ids=False).drop("sequence_id", "offset"),
+    ):
         assert plain(f(extra).toPandas()) == plain(f(docs).toPandas())
     labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
     assert plain(quality_classifier.scores(extra, labels).toPandas()) == plain(quality_classifier.scores(docs, labels).toPandas())
@@ -164,8 +226,20 @@ def test_crowded_buckets_equal_brute_force(spark, monkeypatch):
 def test_repeated_and_missing_ids_in_near_duplicates(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
     rows = [(1, a), (2, a), (3, b), (3, b), (4, None), (5, ""), (6, " \n"), (None, a), (None, c), (7, "one"), (8, "ONE"), (9, c), (9, b)]
-    got = Counter(tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, percent=85).collect())
-    for key, n in {(1, 18, 1, True): 1, (2, 18, 1, False): 1, (3, 18, 3, True): 2, (4, 0, 4, True): 1, (5, 0, 5, True): 1, (6, 0, 6, True): 1, (None, 18, None, True): 2, (7, 1, 7, True): 1, (8, 1, 7, False): 1}.items():
+    got = Counter(
+        tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, percent=85).collect()
+    )
+    for key, n in {
+        (1, 18, 1, True): 1,
+        (2, 18, 1, False): 1,
+        (3, 18, 3, True): 2,
+        (4, 0, 4, True): 1,
+        (5, 0, 5, True): 1,
+        (6, 0, 6, True): 1,
+        (None, 18, None, True): 2,
+        (7, 1, 7, True): 1,
+        (8, 1, 7, False): 1,
+    }.items():
         assert got[key] == n, key
     assert {k[2] for k in got if k[0] == 9} in ({3}, {9})  # one of its texts stands for the id
 
@@ -184,7 +258,15 @@ def edits(item, text):
 @pytest.mark.parametrize("rate", [0.1, 0.3])
 def test_short_items_equal_brute_force(spark, monkeypatch, rate):
     rng = random.Random(7)
-    items = ["q", "ab", "abc", "hello", "é", " spaced  out ", *("".join(rng.choice("abcd ") for _ in range(n)).strip() or "z" for n in range(4, 90, 3))]
+    items = [
+        "q",
+        "ab",
+        "abc",
+        "hello",
+        "é",
+        " spaced  out ",
+        *("".join(rng.choice("abcd ") for _ in range(n)).strip() or "z" for n in range(4, 90, 3)),
+    ]
     docs = ["", "a", "xx q yy", "HELLO there", "spaced out", "é é", "c" * 300]
     for item in items:
         s = list(item)
@@ -219,7 +301,9 @@ def test_texts_and_items_of_one_letter(spark):
 def test_flat_files_hold_the_tokenizers_ids(spark):
     from tokenizers import Tokenizer
 
-    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "~ <|endoftext|> a~b É")], "doc_id long, text string")).collect()
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(
+        spark.createDataFrame([(-1, None), (-2, ""), (-3, "~ <|endoftext|> a~b É")], "doc_id long, text string")
+    ).collect()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     folder = storage.scratch(spark, "flat")
     written = storage.cut(token_counts.write_flat(docs, vocabulary(), folder), "order")
@@ -235,7 +319,9 @@ def test_flat_files_hold_the_tokenizers_ids(spark):
 
 def test_base_columns_of_language_model_scores(spark, tmp_path):
     rng = random.Random(3)
-    texts = [" ".join(rng.choice(["A", "a", "b", "C,", "é", f"u{i}"]) for _ in range(rng.randrange(30))) for i in range(60)] + [None, "", " \n"]
+    texts = [
+        " ".join(rng.choice(["A", "a", "b", "C,", "é", f"u{i}"]) for _ in range(rng.randrange(30))) for i in range(60)
+    ] + [None, "", " \n"]
     docs = documents(spark, texts).unionByName(spark.createDataFrame([(None, "a b", "en", "s", 3)], DOCS))
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     low = lambda t: [x.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for x in (t or "").split()]
@@ -281,17 +367,48 @@ def test_segments_are_reassembled(spark):
 
 
 def test_nulls_and_ties_have_their_stated_results(spark, tmp_path):
-    rows = [(None, "no id " * 20, None, None, 1), (1, None, "en", None, None), (2, "", None, "s", 0), (3, " \t\n ", "en", "s", 4), (4, "one", "en", "s", 3), (4, "one", "en", "s", 3)]
+    rows = [
+        (None, "no id " * 20, None, None, 1),
+        (1, None, "en", None, None),
+        (2, "", None, "s", 0),
+        (3, " \t\n ", "en", "s", 4),
+        (4, "one", "en", "s", 3),
+        (4, "one", "en", "s", 3),
+    ]
     spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(4, None), (None, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
-    spark.createDataFrame([(None, "no id no id no id"), (5, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame(
+        [(None, "no id no id no id"), (5, None)],
+        "item_id long, text string",
+    ).write.parquet(str(tmp_path / "benchmark.parquet"))
 
     def rows_of(name, *columns):
         return sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).select(*columns).collect()), key=str)
 
-    assert rows_of("op2_substring_dedup", "doc_id", "n_words", "n_removed") == [(1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 1, 0), (4, 1, 0), (None, 40, 40)]
-    assert rows_of("op3_best_fit_packing", "doc_id", "piece", "start") == [(1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0), (4, 0, 0), (None, 0, 0)]
-    assert rows_of("op4_quality_rules", "doc_id", "n_words", "base_failed", "kept") == [(1, 0, True, False), (2, 0, True, False), (3, 0, True, False), (4, 1, True, False), (4, 1, True, False), (None, 40, True, False)]
+    assert rows_of("op2_substring_dedup", "doc_id", "n_words", "n_removed") == [
+        (1, 0, 0),
+        (2, 0, 0),
+        (3, 0, 0),
+        (4, 1, 0),
+        (4, 1, 0),
+        (None, 40, 40),
+    ]
+    assert rows_of("op3_best_fit_packing", "doc_id", "piece", "start") == [
+        (1, 0, 0),
+        (2, 0, 0),
+        (3, 0, 0),
+        (4, 0, 0),
+        (4, 0, 0),
+        (None, 0, 0),
+    ]
+    assert rows_of("op4_quality_rules", "doc_id", "n_words", "base_failed", "kept") == [
+        (1, 0, True, False),
+        (2, 0, True, False),
+        (3, 0, True, False),
+        (4, 1, True, False),
+        (4, 1, True, False),
+        (None, 40, True, False),
+    ]
     assert rows_of("op5_quality_classifier", "doc_id", "score") == [(1, 0.5), (2, 0.5), (3, 0.5), (4, 0.5), (4, 0.5), (None, 0.5)]
     assert rows_of("op6_decontamination", "doc_id", "item_id", "edits") == [(None, None, 0)]
     assert [r[0] for r in rows_of("op7_token_counts", "doc_id", "n_tokens")] == [1, 2, 3, 4, 4, None]
@@ -311,13 +428,25 @@ def test_pipeline_equals_a_plain_version(spark, tmp_path, monkeypatch):
     fresh = lambda n: [f"v{rng.randrange(10**7)}" for _ in range(n)]
     passage, item = fresh(60), fresh(30)
     texts = [fresh(rng.choice([5, 60, 300, 2500])) for _ in range(30)]
-    texts += [list(texts[1]), [*texts[2][:-1], "changed"], fresh(20) + passage + fresh(20), passage + fresh(45), fresh(9) + item + fresh(9), [], fresh(40)]
+    texts += [
+        list(texts[1]),
+        [*texts[2][:-1], "changed"],
+        fresh(20) + passage + fresh(20),
+        passage + fresh(45),
+        fresh(9) + item + fresh(9),
+        [],
+        fresh(40),
+    ]
     bad = {6, len(texts) - 1}
     docs = documents(spark, [" ".join(t) for t in texts])
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(0, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    monkeypatch.setattr(quality_classifier, "rejected", lambda d, labels, least: d.filter(F.col("doc_id").isin(*bad)).select("doc_id", F.xxhash64("text").alias("print")))
+    monkeypatch.setattr(
+        quality_classifier,
+        "rejected",
+        lambda d, labels, least: d.filter(F.col("doc_id").isin(*bad)).select("doc_id", F.xxhash64("text").alias("print")),
+    )
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
 
     left = {i: t for i, t in enumerate(texts) if i not in bad}
