@@ -101,6 +101,23 @@ def _mapped(path: str, kind: str) -> np.ndarray:
     return np.memmap(path, dtype=kind, mode="r") if os.path.getsize(path) else np.zeros(0, dtype=kind)
 
 
+def _save_counts(folder: str, name: str, large: str, bucket: int, counts: np.ndarray) -> None:
+    """Counts as bytes, and those of 255 or more with their places."""
+    _save(folder, f"{name}-{bucket}", np.minimum(counts, 255).astype(np.uint8), _attempt())
+    high = np.flatnonzero(counts >= 255)
+    _save(folder, f"{large}-{bucket}", np.stack([high, counts[high]], axis=1).astype("<i8"), _attempt())
+
+
+def _stored(folder: str, name: str, large: str, bucket: int, places: np.ndarray) -> np.ndarray:
+    """The counts at some places."""
+    out = np.asarray(_mapped(f"{folder}/{name}-{bucket}", "u1"))[places].astype(np.int64)
+    high = out == 255
+    if high.any():
+        at = np.asarray(_mapped(f"{folder}/{large}-{bucket}", "<i8")).reshape(-1, 2)
+        out[high] = at[np.searchsorted(at[:, 0], places[high]), 1]
+    return out
+
+
 def _attempt() -> int:
     from pyspark import TaskContext
 
@@ -392,9 +409,7 @@ def _store_trigrams(m: Model, hist: str):
             middles, begin, rank = np.unique(middle, return_index=True, return_inverse=True)
             _save(m.folder, f"middles-{bucket}", np.stack([middles, begin], axis=1).astype("<i8"), _attempt())
             _save(m.folder, f"trigrams-{bucket}", _trigram_keys(m, len(middles), rank, contexts % m.size, words), _attempt())
-            _save(m.folder, f"triples-{bucket}", np.minimum(counts, 255).astype(np.uint8), _attempt())
-            large = np.flatnonzero(counts >= 255)
-            _save(m.folder, f"large-{bucket}", np.stack([large, counts[large]], axis=1).astype("<i8"), _attempt())
+            _save_counts(m.folder, "triples", "large", bucket, counts)
             context, begin, n = np.unique(contexts, return_index=True, return_counts=True)
             heavy = n > HEAVY
             sums = _context_sums(counts, begin[heavy], n[heavy])
@@ -457,7 +472,7 @@ def _store_bigrams(m: Model, hist: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, keys, counts in _grouped(batches, np.int64) if m.order == 2 else _pair_groups(batches):
             _save(m.folder, f"keys-{bucket}", keys, _attempt())
-            _save(m.folder, f"pairs-{bucket}", counts.astype("<i8"), _attempt())
+            _save_counts(m.folder, "pairs", "frequent", bucket, counts)
             classes = np.bincount(np.minimum(counts, 5), minlength=6)
             _save(f"{m.folder}/{hist}", f"{bucket}", np.append(classes[1:5], len(keys)).astype("<i8"), _attempt())
             context = keys // m.size
@@ -560,7 +575,7 @@ def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
     ranges = cut(sums.repartition(n, "range").sortWithinPartitions("range").mapInArrow(*_store_sums(m)), "ranges").collect()
     m.discounts1 = discounts(*(sum(r[f"n{i}"] for r in ranges) for i in range(1, 5)))
     for b in range(n):  # a bucket that got no rows has no file
-        for name in ("keys", "pairs", "contexts", "follows", *(_TRIGRAM_FILES if order == 3 else ())):
+        for name in ("keys", "pairs", "frequent", "contexts", "follows", *(_TRIGRAM_FILES if order == 3 else ())):
             if not os.path.exists(f"{folder}/{name}-{b}"):
                 low, high = _range_bounds(m, b)
                 _save(
@@ -624,7 +639,8 @@ class _Scorer:
             stored = _mapped(f"{m.folder}/keys-{b}", "<i8")
             if len(stored):
                 at = np.minimum(np.searchsorted(stored, keys[mine]), len(stored) - 1)
-                counts[mine] = np.where(stored[at] == keys[mine], _mapped(f"{m.folder}/pairs-{b}", "<i8")[at], 0)
+                hit = stored[at] == keys[mine]
+                counts[mine[hit]] = _stored(m.folder, "pairs", "frequent", b, at[hit])
         contexts, back = np.unique(context, return_inverse=True)
         sums = np.zeros((len(contexts), 4), dtype=np.int64)
         known = contexts != m.end + 2
