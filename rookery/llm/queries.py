@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, kneser_ney, minhash, packing, quality_classifier, quality_rules, storage, substring, token_counts, warc
+from . import (
+    chat,
+    decontamination,
+    divergence,
+    kneser_ney,
+    minhash,
+    packing,
+    periodic_runs,
+    quality_classifier,
+    quality_rules,
+    storage,
+    substring,
+    token_counts,
+    vector_search,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +124,50 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of each vector whose id is divisible by 50, by one-bit codes and exact reranking."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return vector_search.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+def _with_planted_period(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; a text whose id's crc32 is divisible by 10 goes on periodically from some word, as the contract says."""
+    h = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    w = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", -1), "")
+
+    def periodic(x: Column) -> Column:
+        a = (g % F.size(x)).cast("int")
+        p = (1 + F.floor((F.size(x) - a) / (3 + g % 8))).cast("int")
+        at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        return F.when(F.size(x) > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.size(x) - 1), lambda i: F.get(x, at(i))), " "))
+
+    return docs.select("doc_id", F.when(h % 10 == 0, quality_rules.let(w, periodic)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of four and more periods in all texts, the strongest of each text, and digests of runs and collapsed texts."""
+    found = periodic_runs.periodic_runs(_with_planted_period(_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda x: F.concat_ws(",", x["start"], x["length"], x["period"]))
+    said = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.withColumn("x", periodic_runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "x.start",
+        "x.length",
+        "x.period",
+        F.expr("1000 * x.length div x.period").alias("exponent_milli"),
+        F.sha2(said, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the term shares of sources lie apart, by pairs within a language, and the terms that set a source off most."""
+    return divergence.audit(_table(spark, sf_dir, "documents"), least_docs=10, top=10)
+
+
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 SQL_WARC = """
@@ -141,6 +200,29 @@ c as (select u, min(v) c from r group by 1)
 select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, coalesce(c.c, d.doc_id) component_id, coalesce(c.c, d.doc_id) = d.doc_id kept
 from d left join n on n.doc_id = d.doc_id left join c on c.u = d.doc_id"""
 
+SQL_NEAREST = """
+with v as (select vec_id, min(embedding::double[]) e from embeddings where vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0 group by 1),
+p as (select q.vec_id query_id, v.vec_id, list_cosine_similarity(q.e, v.e) score from v q join v on q.vec_id <> v.vec_id and len(q.e) = len(v.e) where q.vec_id % 50 = 0)
+select query_id, rank::int rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from p) where rank <= 5"""
+
+SQL_DIVERGENCE = r"""
+with d as (select row_number() over () r, coalesce(lang, '') lang, coalesce(source, '') source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{80}-\x{10FFFF}]+') w from documents),
+c as (select lang, source, term, count(*) n, count(distinct r) docs from (select r, lang, source, unnest(w) term from d) group by all),
+k as (select lang, term, sum(n)::hugeint n from c group by all having sum(docs) >= 10),
+v as (select lang, count(*)::hugeint v, sum(n)::hugeint n from k group by 1),
+g as (select distinct lang, source from d),
+s as (select lang, source, sum(c.n)::hugeint n from c join k using (lang, term) group by all),
+p as (select g.lang, g.source, k.term, coalesce(c.n, 0) n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (coalesce(s.n, 0) + 2 * v.v) p, 1 + (1000000000::hugeint * (k.n + 2)) // (v.n + 2 * v.v) q
+    from g join k on k.lang = g.lang join v on v.lang = g.lang left join s on s.lang = g.lang and s.source = g.source
+    left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+m as (select a.lang, a.source, b.source item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) x from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+o as (select a.lang, a.source, 'pair' part, b.source item, coalesce(x, 0)::bigint as value from g a join g b on a.lang = b.lang and a.source <> b.source
+    left join m on m.lang = a.lang and m.source = a.source and m.item = b.source
+    union all select lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::bigint from p where n > 0 and p > q)
+select lang, source, part, item, value, rank::int rank from (select *, row_number() over (partition by lang, source, part order by value desc, item) rank from o) where part = 'pair' or rank <= 10"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_reassembly": op1_warc_reassembly,
     "op2_substring_dedup": op2_substring_dedup,
@@ -152,6 +234,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_nearest_vectors": op11_nearest_vectors,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }
 
@@ -160,4 +245,6 @@ SQL: dict[str, str] = {
     "op2_substring_dedup": SQL_SUBSTRING,
     "op4_quality_rules": quality_rules.sql(),
     "op8_minhash_near_dedup": SQL_NEAR,
+    "op11_nearest_vectors": SQL_NEAREST,
+    "op13_source_divergence": SQL_DIVERGENCE,
 }

@@ -132,9 +132,13 @@ class Chunk:
     lower: bool
     _hashes: dict[int, np.ndarray] = field(default_factory=dict)
 
+    def _inside(self) -> np.ndarray:
+        """Which bytes belong to words."""
+        return ~IS_SPACE[self.buf]
+
     @cached_property
     def _bounds(self) -> tuple[np.ndarray, np.ndarray]:
-        inside = ~IS_SPACE[self.buf]
+        inside = self._inside()
         edge = np.zeros(len(inside) + 1, dtype=bool)  # a text begins or ends here
         edge[self.at] = True
         before = np.empty(len(inside), dtype=bool)

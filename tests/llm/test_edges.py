@@ -99,6 +99,9 @@ def test_a_row_that_is_there_ten_thousand_times(spark, tmp_path):
         F.lit("u").alias("url"),
         F.lit("same page " * 300).alias("html"),
     ).write.parquet(str(tmp_path / "pages.parquet"))
+    spark.range(REPEATED).select(F.lit(50).cast("long").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding")).write.parquet(
+        str(tmp_path / "embeddings.parquet")
+    )
     spark.range(REPEATED).select(
         F.lit(1).cast("long").alias("conv_id"),
         (F.col("id") % 5000).alias("turn"),
@@ -106,7 +109,7 @@ def test_a_row_that_is_there_ten_thousand_times(spark, tmp_path):
         F.lit("hi").alias("text"),
     ).write.parquet(str(tmp_path / "conversations.parquet"))
     found = {
-        name: q(spark, str(tmp_path)).filter("doc_id = 7") for name, q in QUERIES.items() if not name.startswith(("op1_", "op9_", "pipeline"))
+        name: q(spark, str(tmp_path)).filter("doc_id = 7") for name, q in QUERIES.items() if not name.startswith(("op1_", "op9_", "op11_", "op13_", "pipeline"))
     }
     assert all(r.n_removed == 60 and r.n_words == 60 for r in found["op2_substring_dedup"].distinct().collect())
     packed = found["op3_best_fit_packing"].select("sequence_id", "offset", "length", "ids_crc32")
@@ -123,12 +126,15 @@ def test_a_row_that_is_there_ten_thousand_times(spark, tmp_path):
         "op7_token_counts",
         "op8_minhash_near_dedup",
         "op10_lm_scoring",
+        "op12_periodic_runs",
     ):
         assert found[name].count() == REPEATED, name
     pages = QUERIES["op1_warc_reassembly"](spark, str(tmp_path))
     assert [
         tuple(r) for r in pages.groupBy("page_id", "payload_bytes", "record_type", "refers_to").count().collect()
     ] == [(3, 3000, "response", None, REPEATED)]
+    assert QUERIES["op11_nearest_vectors"](spark, str(tmp_path)).count() == 0  # one id has no neighbour
+    assert QUERIES["op13_source_divergence"](spark, str(tmp_path)).select("source").distinct().count() == 1
     talk = QUERIES["op9_chat_formatting"](spark, str(tmp_path))
     assert talk.agg(F.sum("n_turns")).first()[0] == 5000
 

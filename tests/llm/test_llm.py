@@ -82,12 +82,23 @@ def test_every_operator_takes_odd_and_empty_tables(spark, tmp_path, empty):
         [(1, 0, "user", "hi"), (1, None, None, None), (None, 1, "odd", "x\n\ny"), (1, 0, "user", "hi")],
         "conv_id long, turn long, role string, text string",
     )
+    vectors = spark.createDataFrame(
+        [(0, [1.0, 2.0], 1), (1, [2.0, None], 1), (None, [1.0], 1), (2, [0.5, 0.1], None), (2, None, 1)],
+        "vec_id long, embedding array<float>, label int",
+    )
     if empty:
-        docs, labels, bench, pages, talks = (t.limit(0) for t in (docs, labels, bench, pages, talks))
+        docs, labels, bench, pages, talks, vectors = (t.limit(0) for t in (docs, labels, bench, pages, talks, vectors))
     n = docs.count()
     folder = tmp_path / "t"
     folder.mkdir()
-    for name, t in {"documents": docs, "labels": labels, "benchmark": bench, "pages": pages, "conversations": talks}.items():
+    for name, t in {
+        "documents": docs,
+        "labels": labels,
+        "benchmark": bench,
+        "pages": pages,
+        "conversations": talks,
+        "embeddings": vectors,
+    }.items():
         t.write.parquet(str(folder / f"{name}.parquet"))
     rows = {name: q(spark, str(folder)).count() for name, q in QUERIES.items()}
     for name in (
@@ -97,6 +108,7 @@ def test_every_operator_takes_odd_and_empty_tables(spark, tmp_path, empty):
         "op7_token_counts",
         "op8_minhash_near_dedup",
         "op10_lm_scoring",
+        "op12_periodic_runs",
     ):
         assert rows[name] == n, name
     assert rows["op1_warc_reassembly"] == pages.count()
