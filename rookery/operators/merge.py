@@ -67,6 +67,35 @@ def upsert(store: DataFrame, new: DataFrame, source: str) -> DataFrame:
     return found.select("key", *(fill.get(c, F.col(f"base.{c}")).alias(c) for c in rest))
 
 
+def fold(rows: DataFrame) -> DataFrame:
+    """Records of ``rows`` by ``key``, with ``side``, the number of the batch that a row came with, and ``source``, the batch's rule (null for stored ones).
+
+    The same as one ``upsert`` after another in the order of ``side``, in one exchange: the first row of a key supplies every
+    column, and each later one adds what the rule of its own source lets it add.
+    """
+    at, none = F.struct("side", "ord"), F.lit(False)
+
+    def has(test) -> Column:
+        return F.coalesce(F.col("source").isin(*(s for s, r in RULES.items() if test(r))), none)
+
+    rest = [c for c in rows.columns if c not in ("key", "side", "source")]
+    fills = sorted({c for r in RULES.values() for c in r.fills})
+    given = {c: filled(F.col(c)).isNotNull() & has(lambda r, c=c: c in r.fills) for c in fills}
+    found = rows.groupBy("key").agg(
+        F.min_by(F.struct(*rest), at).alias("base"),
+        *(F.min_by(filled(F.col(c)), F.when(given[c], at)).alias(f"first_{c}") for c in fills),
+        F.min_by(has(lambda r: r.email_crawls), F.when(given["email"], at)).alias("crawls"),
+    )
+    first = rows.groupBy("key").agg(F.min(at).alias("first"))
+    united = rows.join(first, "key").filter((at == F.col("first")) | has(lambda r: r.sports)).drop("first")
+    found = found.join(ordered_union(united, ["key"], "sports", ["side", "ord"]), "key", "left")
+    fill = {c: F.coalesce(filled(F.col(f"base.{c}")), F.col(f"first_{c}"), F.col(f"base.{c}")) for c in fills}
+    gained = filled(F.col("base.email")).isNull() & F.col("first_email").isNotNull() & F.col("crawls")
+    fill["crawled"] = F.when(gained, F.lit(True)).otherwise(F.col("base.crawled"))
+    fill["sports"] = F.coalesce("sports", "base.sports")
+    return found.select("key", *(fill.get(c, F.col(f"base.{c}")).alias(c) for c in rest))
+
+
 def publishable(store: DataFrame, most: int = 5) -> DataFrame:
     """One row per address: ``name, sports, contact, email, lang, country, src, stale``.
 

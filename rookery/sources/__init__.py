@@ -5,12 +5,12 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import html, rx, urls, values
+from .json_split import json_store as json_store
 
 CLUB = "key string, ord bigint, name string, cc string, country string, lang string, sports array<string>, website string, email string, alt array<string>, contact string, src string, srcPage string, city string, crawled boolean, stale boolean, restored boolean, attempts int, crawlNote string, lastTried string, retryAfter bigint"
 ELEMENT = "type string, id bigint, lat double, lon double, center struct<lat:double,lon:double>, tags map<string,string>"
@@ -25,21 +25,6 @@ def countries(spark: SparkSession) -> DataFrame:
     )
 
 
-def json_store(spark: SparkSession, path: str, record: str) -> DataFrame:
-    """Records of a file that is one JSON object by key; a missing file, or one that is no such object, gives none.
-
-    The file passes through one task as one string: this is how an old store of moderate size is imported once into a table.
-    """
-    try:
-        whole = spark.read.option("wholetext", True).text(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        whole = spark.createDataFrame([], "value string")
-    parsed = F.from_json("value", f"map<string,struct<{record}>>", {"mode": "PERMISSIVE"})
-    return whole.select(F.explode(parsed).alias("key", "r")).select("key", "r.*")
-
-
 def published_extract(spark: SparkSession, path: str, record: str) -> DataFrame:
     """The records of a published extract ``{"clubs": [...]}``; one without records is refused, as nothing could be restored from it."""
     rows = spark.read.schema(f"clubs array<struct<{record}>>").option("multiLine", True).json(path).select(F.explode("clubs").alias("r")).select("r.*")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import merge, schedule
+from ..sources.keyed_store import KeyedStore
 
 
 def tumbling(events: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
@@ -23,16 +24,15 @@ def first_seen(stream: DataFrame, keys: list[str], late: str = "30 days") -> Dat
     return stream.withWatermark("at", late).dropDuplicatesWithinWatermark(keys)
 
 
-def rounds(arrivals: DataFrame, store_path: str, source: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Merges each micro-batch of keyed records into a Parquet store of numbered snapshots.
+def rounds(arrivals: DataFrame, store_path: str, source: str, checkpoint: str, once: bool = True, buckets: int = 64) -> StreamingQuery:
+    """Adds each micro-batch of keyed records to a ``KeyedStore``: a batch writes its own rows and what they make outgrow its base.
 
-    A batch reads the snapshot before it and writes its own under its number, so one that is repeated writes the same.
+    The store knows the stream by its checkpoint folder, so a batch that is repeated after a failure changes nothing.
     """
-    spark = arrivals.sparkSession
+    store = KeyedStore(arrivals.sparkSession, store_path, arrivals.schema, buckets)
 
     def merged(batch: DataFrame, number: int) -> None:
-        before = spark.read.schema(batch.schema).parquet(f"{store_path}/snapshot={number - 1}") if number else spark.createDataFrame([], batch.schema)
-        merge.upsert(before, batch, source).write.mode("overwrite").parquet(f"{store_path}/snapshot={number}")
+        store.add(batch, source, checkpoint, number)
 
     writer = arrivals.writeStream.foreachBatch(merged).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="20 seconds")).start()
