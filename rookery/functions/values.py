@@ -148,6 +148,13 @@ SPELT_OUT = [
 MAP_SPORT = r"(^|; ?)(tennis|padel|paddle_tennis|padel_tennis|squash)"
 MAP_CLUB = r"^(tennis|padel|squash|racquet)$"
 MAP_CENTRE_NAME = r"tennis|p[aá]del|squash"
+CHALLENGED = "blocked by a challenge page"
+SILENT = "no email published"
+MISSED = ("unreachable", "bad url")
+MOST_ATTEMPTS = 4
+CHALLENGE_MINUTES = 360
+RETRY_MINUTES = 10
+TOO_BIG = "504|timed out|out of memory|cut the query short"
 RESULT_LINK = r'<a[^>]+href="([^"]*uddg=[^"]+)"[^>]*>([\s\S]*?)<\/a>'
 RESULT_TARGET = r'uddg=([^&"]+)'
 # countries in the order of their table: code, name, language

@@ -181,7 +181,7 @@ def area_id(relation: Column) -> Column:
 
 def is_too_big(error: Column) -> Column:
     """Errors after which a country is asked for area by area."""
-    return rx.like(error, "504|timed out|out of memory|cut the query short")
+    return rx.like(error, values.TOO_BIG)
 
 
 def open_areas(areas: DataFrame, done: DataFrame) -> DataFrame:
