@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -91,12 +93,35 @@ def name_overlap(name: Column, text: Column) -> Column:
     return F.when(F.size(tokens) == 0, F.lit(0.0)).otherwise(F.size(F.filter(tokens, lambda t: flat.contains(t))) / F.size(tokens))
 
 
+def phrases(text: Column, words: int) -> Column:
+    """All stretches of up to ``words`` consecutive words of a text in lower case, with what stands between the words; of ASCII word characters."""
+
+    def of(parts: Column) -> Column:
+        stretch = lambda n: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(parts) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(parts, i, F.lit(n)), "")
+        )
+        return F.concat(*(stretch(2 * k - 1) for k in range(1, words + 1)))
+
+    parts = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("[A-Za-z0-9_]+|[^A-Za-z0-9_]+"), F.lit(0))
+    return F.transform(rx.let(parts, lambda x: F.when(F.size(x) > 0, of(x)).otherwise(x)), F.lower)
+
+
 def names_other_country(name: Column, cc: Column) -> Column:
-    """The first country of the table other than ``cc`` that a name has as whole words; null if none."""
-    escaped = lambda n: "".join("\\" + x if x in ".*+?^${}()|[]\\" else x for x in n)
-    return F.coalesce(
-        *(F.when((F.coalesce(cc, F.lit("")) != c) & rx.like(name, rf"\b{escaped(n)}\b"), F.lit(n)) for c, n, _ in values.COUNTRIES)
-    )
+    """The first country of the table other than ``cc`` that a name has as whole words; null if none.
+
+    The stretches of words of a name are met with the set of country names, whatever their number.
+    """
+    place = {n.lower(): i for i, (_, n, _) in enumerate(values.COUNTRIES)}
+    longest = max(len(re.findall("[a-z0-9_]+", n)) for n in place)
+    known = F.array(*(F.lit(n) for n in place))
+    at = F.create_map(*(F.lit(x) for pair in place.items() for x in pair))
+    codes, names = (F.array(*(F.lit(c[k]) for c in values.COUNTRIES)) for k in (0, 1))
+
+    def first(found: Column) -> Column:
+        others = F.filter(F.transform(found, lambda n: F.element_at(at, n)), lambda i: F.get(codes, i) != F.coalesce(cc, F.lit("")))
+        return F.get(names, F.array_min(others))
+
+    return rx.let(F.array_intersect(known, phrases(name, longest)), lambda x: F.when(F.size(x) > 0, first(x)))
 
 
 def normalised_reason(reason: Column, places: bool = True) -> Column:

@@ -79,17 +79,20 @@ def _flat(c: Column) -> Column:
 
 
 def named_in(records: DataFrame, dimension: DataFrame, key: list[str], least: int = 4) -> DataFrame:
-    """``key, city``: the longest city name that a record's name has as whole words, joined on its first word."""
-    city = dimension.select(
-        "cc",
-        "name",
-        "rank",
-        _flat(F.col("name")).alias("flat"),
-    ).filter(F.char_length("flat") >= least).withColumn("word", F.split("flat", " ")[0])
-    word = records.select(*key, "cc", F.concat(F.lit(" "), _flat(F.col("name")), F.lit(" ")).alias("padded"))
-    word = word.withColumn("word", F.explode(F.array_distinct(F.split(F.trim("padded"), " "))))
-    met = word.join(city, ["cc", "word"]).filter(F.col("padded").contains(F.concat(F.lit(" "), F.col("flat"), F.lit(" "))))
-    return met.groupBy(*key).agg(F.max_by("name", F.struct(F.char_length("flat"), -F.col("rank"))).alias("city"))
+    """``key, city``: the longest city name that a record's name has as whole words, of equally long ones the first by rank.
+
+    Every stretch of a name's words, up to the words of the country's longest city name, is looked up as a whole, so a
+    word that many cities or clubs begin with brings no rows together.
+    """
+    flat = _flat(F.col("name"))
+    city = dimension.select("cc", "name", "rank", flat.alias("phrase")).filter(F.char_length("phrase") >= least)
+    longest = city.groupBy("cc").agg(F.max(F.size(F.split("phrase", " "))).alias("most"))
+    words = records.select(*key, "cc", F.split(flat, " ").alias("w")).join(longest, "cc")
+    starts = F.sequence(F.lit(1), F.size("w"))
+    stretches = F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.col("most"), F.size("w") - i + 1)), lambda n: F.array_join(F.slice("w", i, n), " ")))
+    phrase = words.select(*key, "cc", F.explode(F.array_distinct(F.flatten(stretches))).alias("phrase"))
+    met = phrase.filter(F.char_length("phrase") >= least).join(city, ["cc", "phrase"])
+    return met.groupBy(*key).agg(F.max_by("name", F.struct(F.char_length("phrase"), -F.col("rank"))).alias("city"))
 
 
 def place(records: DataFrame, geonames: DataFrame, countries: DataFrame) -> DataFrame:
