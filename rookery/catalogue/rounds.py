@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from .. import sources
 from ..functions import values
+from ..operators import merge, ranges
 from ..operators.schedule import DAY, MINUTE
 from ..sources.files import shared_folder
 from ..sources.keyed_store import KeyedStore
 from ..streaming import crawl
 from . import inline as V
+from .cases import _PUBLISHED
 from .domain import _upsert_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +108,42 @@ def crawl_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = spark.readStream.schema(rows.schema).parquet(f"{source}/part=*")
         crawl.replay(stream, out, checkpoint, reopen=_REOPEN)
     return crawl.latest_states(spark, out, kind="state").select("key", "attempts", "retryAfter", "note", "lastTried", "made", "seen")
+
+
+def _breaker_sql(k: int, keys: str = "") -> str:
+    over = lambda frame: f"over ({'partition by ' + keys if keys else ''} order by ts, event_id {frame})"
+    island = f"{keys + ', ' if keys else ''}run"
+    return f"""with o as (select *, sum((event_type <> 'error')::int) {over('')} run from events),
+    r as (select *, case when event_type = 'error' then (row_number() over (partition by {island} order by ts, event_id) - (run > 0)::int - 1) % {k} + 1 else 0 end streak from o)
+    select event_id, streak, streak = {k} opened, coalesce(sum((streak = {k})::int) {over('rows between unbounded preceding and 1 preceding')}, 0)::bigint pauses from r"""
+
+
+def _order() -> list:
+    return [F.col("ts"), F.col("event_id")]
+
+
+@_query(_breaker_sql(3))
+def breaker_pauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in one order, with a breaker that opens at three errors in a row and starts anew after a rest."""
+    found = ranges.breaker(_table(spark, sf_dir, "events"), _order(), F.col("event_type") != "error", 3)
+    return found.select("event_id", "streak", "opened", "pauses")
+
+
+@_query(_breaker_sql(2, "user_id"))
+def breaker_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for each user, at two errors in a row."""
+    found = ranges.breaker(_table(spark, sf_dir, "events"), _order(), F.col("event_type") != "error", 2, ["user_id"])
+    return found.select("event_id", "streak", "opened", "pauses")
+
+
+@_query(f"select event_id from ({_breaker_sql(2, 'user_id')}) where pauses = 0")
+def attempts_made(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each user's phase gets to before two errors in a row end it."""
+    return ranges.until_open(_table(spark, sf_dir, "events"), _order(), F.col("event_type") != "error", 2, ["user_id"]).select("event_id")
+
+
+@_query(f"select e email, country, row_number() over (order by country collate en, \"name\" collate en, e) place from {_PUBLISHED}")
+def published_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published records with their places in the published order."""
+    rows = merge.publishable(V.STORE.spark(spark, sf_dir)).select("email", "country", "name")
+    return ranges.placed(rows, [*merge.published_order(), F.col("email")]).select("email", "country", "place")
