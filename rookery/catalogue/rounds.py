@@ -11,6 +11,7 @@ from .. import sources
 from ..functions import values
 from ..operators import merge, ranges
 from ..operators.schedule import DAY, MINUTE
+from ..plans import scan
 from ..sources.files import shared_folder
 from ..sources.keyed_store import KeyedStore
 from ..streaming import crawl
@@ -147,3 +148,63 @@ def published_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published records with their places in the published order."""
     rows = merge.publishable(V.STORE.spark(spark, sf_dir)).select("email", "country", "name")
     return ranges.placed(rows, [*merge.published_order(), F.col("email")]).select("email", "country", "place")
+
+
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+# statement 0 of some nations is too big, of others refused; statement 2 of some fails; some areas fail once, one fails always
+_TOO_BIG, _REFUSED, _PART, _ONCE, _NEVER = "n % 4 = 0", "n % 7 = 3 and n % 4 > 0", "n % 5 = 1", "(n + segment) % 3 = 0", "n = 8 and segment = 1"
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> scan.CountryScan:
+    """A scan of the nations, broken off and taken up again; the elements are customers, the areas their segments."""
+    customer = _table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").cast("int").alias("n"),
+        F.array_position(F.array(*(F.lit(s) for s in _SEGMENTS)), F.col("c_mktsegment")).alias("segment"),
+        F.col("c_custkey").cast("bigint").alias("k"),
+    )
+    both = F.slice(F.array((F.col("k") % 3).cast("int"), ((F.col("k") + 1) % 3).cast("int")), F.lit(1), F.when(F.col("k") % 5 == 0, 2).otherwise(1))
+    held = customer.withColumn("statement", F.explode(both))
+    element = lambda kind, i, statement: F.struct(F.lit(kind).alias("type"), i.alias("id"), F.create_map(F.lit("statement"), statement.cast("string")).alias("tags"))
+    chunk = F.floor(F.col("k") / 1000).alias("chunk")
+    inside = held.groupBy("n", "segment", "statement", chunk).agg(F.collect_list(element("node", F.col("k"), F.col("statement"))).alias("elements")).drop("chunk")
+    relations = F.transform(F.sequence(F.lit(1), F.lit(len(_SEGMENTS))), lambda i: element("relation", i.cast("bigint"), F.lit("")))
+    path, countries = shared_folder(spark, "scan"), _table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("cc"))
+
+    def ask_of(own: scan.CountryScan) -> scan.Ask:
+        def ask(work: DataFrame) -> DataFrame:
+            rows = work.withColumns({"n": F.col("cc").cast("int"), "s": F.col("area") - sources.area_id(F.lit(0)), "t": F.col("statement")}).drop("statement").alias("w")
+            first_try = F.lit(own.steps() == 2)
+            error = (
+                F.expr(f"case when area is null and t = 0 and {_TOO_BIG} then 'Gateway 504' when area is null and t = 0 and {_REFUSED} then 'refused' when area is null and t = 2 and {_PART} then 'busy' end")
+            )
+            late = F.expr(f"area is not null and t = 1 and ({_NEVER.replace('segment', 's')})") | (F.expr(f"area is not null and t = 1 and {_ONCE.replace('segment', 's')}") & first_try)
+            rows = rows.withColumn("error", F.coalesce(error, F.when(late, "timed out"))).alias("w")
+            met = (F.col("w.n") == F.col("h.n")) & (F.col("w.t") == F.col("h.statement")) & (F.col("w.area").isNull() | (F.col("w.s") == F.col("h.segment")))
+            found = rows.join(inside.alias("h"), met, "left")
+            none = F.array().cast(f"array<struct<{scan.ELEMENT}>>")
+            answer = F.when(F.col("w.t") == scan.AREAS, relations).otherwise(F.coalesce("h.elements", none))
+            return found.select("w.cc", "w.area", F.col("w.t").alias("statement"), "w.error", F.when(F.col("w.error").isNull(), answer).alias("elements"))
+
+        return ask
+
+    first = scan.CountryScan(spark, path, countries, statements=3, most=3)
+    first.step(ask_of(first))
+    first.step(ask_of(first))
+    second = scan.CountryScan(spark, path, countries, statements=3, most=3)
+    second.run(ask_of(second))
+    return second
+
+
+@_query(f"""with c as (select n_nationkey n from nation) select n::varchar cc, {_TOO_BIG} split, case when {_TOO_BIG} then case when n = 8 then 4 else 5 end else 0 end::bigint done, case when {_TOO_BIG} then 5 else 0 end::bigint total,
+    {_TOO_BIG} and n <> 8 complete, case when {_PART} and not ({_TOO_BIG}) and not ({_REFUSED}) then 1 else 0 end::bigint partial, case when {_REFUSED} then 'refused' end error from c""")
+def country_scan_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the scan of each nation got."""
+    return _scanned(spark, sf_dir).states().fillna({"partial": 0})
+
+
+@_query(f"""with h as (select c_custkey k, c_nationkey n, list_position([{', '.join(repr(x) for x in _SEGMENTS)}], c_mktsegment) segment, unnest(case when c_custkey % 5 = 0 then [c_custkey % 3, (c_custkey + 1) % 3] else [c_custkey % 3] end) t from customer)
+    select n::varchar cc, k::bigint id, max(t)::varchar statement from h where case when {_TOO_BIG} then not (t = 1 and {_NEVER}) when {_REFUSED} then false else not (t = 2 and {_PART}) end group by 1, 2""")
+def country_scan_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The elements of all nations, each with the last answer's content."""
+    found = _scanned(spark, sf_dir).elements()
+    return found.select("cc", "id", F.element_at("tags", "statement").alias("statement"))
