@@ -70,6 +70,7 @@ class Model:
     order: int = 2
     trigrams: int = 0  # distinct
     discounts3: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    kinds: tuple[int, int, int] = (0, 0, 0)  # words with one, two, and more continuations
 
     @property
     def words(self) -> int:
@@ -246,10 +247,10 @@ class _Vocabulary:
         unique, inverse = np.unique(hashes, return_inverse=True)
         ids = np.full(len(unique), m.end + 2, dtype=np.int64)
         counts = np.zeros(len(unique), dtype=np.int64)
-        edges = np.searchsorted(_bucket_of(unique, m.buckets), np.arange(m.buckets + 1))
-        for b in range(m.buckets):
-            part = slice(edges[b], edges[b + 1])
-            if edges[b] == edges[b + 1] or not m.sizes[b]:
+        buckets, edges = np.unique(_bucket_of(unique, m.buckets), return_index=True)
+        for b, low, high in zip(buckets.tolist(), edges.tolist(), [*edges[1:].tolist(), len(unique)], strict=True):
+            part = slice(low, high)
+            if not m.sizes[b]:
                 continue
             known = _mapped(f"{m.folder}/words-{b}", "<u8")
             at = np.minimum(np.searchsorted(known, unique[part]), len(known) - 1)
@@ -498,7 +499,7 @@ def _store_sums(m: Model):
         _save(m.folder, f"follows-{at}", follows.astype("<i8"), _attempt())
         n = np.bincount(np.minimum(follows, 5), minlength=6)
         return pa.RecordBatch.from_pydict(
-            {"range": pa.array([at], pa.int32()), **{f"n{i}": pa.array([int(n[i])], pa.int64()) for i in range(1, 5)}}
+            {"range": pa.array([at], pa.int32()), **{f"n{i}": pa.array([int(n[i])], pa.int64()) for i in range(1, 6)}}
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -519,9 +520,12 @@ def _store_sums(m: Model):
         if now is not None:
             yield close(now, contexts, follows)
 
-    return run, "range int, n1 long, n2 long, n3 long, n4 long"
+    return run, "range int, n1 long, n2 long, n3 long, n4 long, n5 long"
 
 
+#: A key of two words is ``context * size + word`` in 63 bits, where ``size`` has three ids besides the words.
+MOST_WORDS = 3_037_000_496
+
 _TRIGRAM_FILES = ("trigrams", "triples", "large", "middles", "heavy")
 
 
@@ -533,10 +537,24 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.01), top) for d, top in ((1 - 2 * y * n2 / n1, 1.0), (2 - 3 * y * n3 / n2, 2.0), (3 - 4 * y * n4 / n3, 3.0)))
 
 
-def _classes(folder: str) -> list[int]:
-    """Numbers of counts of one to four and of all, over the buckets' files."""
-    files = os.listdir(folder) if os.path.isdir(folder) else []
-    return np.sum([np.zeros(5, dtype=np.int64), *(np.fromfile(f"{folder}/{x}", dtype="<i8") for x in files)], axis=0).tolist()
+def _complete(m: Model):
+    """Empty arrays for the buckets that got no rows, and the sums of all buckets' numbers of counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, 5), dtype=np.int64)
+        for batch in batches:
+            for b in batch.column("id").to_pylist():
+                low, high = _range_bounds(m, b)
+                sizes = {"contexts": 32 * (high - low), "follows": 8 * (high - low)}
+                for name in ("keys", "pairs", "frequent", "contexts", "follows", *(_TRIGRAM_FILES if m.order == 3 else ())):
+                    if not os.path.exists(f"{m.folder}/{name}-{b}"):
+                        _save(m.folder, f"{name}-{b}", np.zeros(sizes.get(name, 0), dtype=np.uint8), _attempt())
+                for row, hist in zip(sums, ("classes", "classes3"), strict=True):
+                    if os.path.exists(f"{m.folder}/{hist}/{b}"):
+                        row += np.fromfile(f"{m.folder}/{hist}/{b}", dtype="<i8")
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in sums.ravel()], [f"c{i}" for i in range(10)])
+
+    return run, ", ".join(f"c{i} long" for i in range(10))
 
 
 def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
@@ -557,8 +575,8 @@ def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
     blocks = texts.mapInArrow(*_count_words(n)).repartition(n, "bucket").sortWithinPartitions("bucket")
     found = {r.bucket: r for r in cut(blocks.mapInArrow(*_store_words(folder, 0.1)), "words").collect()}
     sizes = [found[b].n if b in found else 0 for b in range(n)]
-    if sum(sizes) > (1 << 32) - 4:
-        raise ValueError("more than 2**32 - 4 distinct words")
+    if sum(sizes) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} distinct words: keys of two words would not fit 63 bits")
     m = Model(folder, n, sizes, sum(r.tokens for r in found.values()) + n_texts, n_texts, order=order)
     base = np.concatenate([[0], np.cumsum(m.sizes)])
     often = [int(base[b] + x.at) for b, r in found.items() for x in r.top if x["count"] * 8 * n > m.tokens]
@@ -574,20 +592,12 @@ def train(docs: DataFrame, training: Column, order: int = 2) -> Model:
     sums = cut(blocks.mapInArrow(*_store_bigrams(m, "classes")), "sums")
     ranges = cut(sums.repartition(n, "range").sortWithinPartitions("range").mapInArrow(*_store_sums(m)), "ranges").collect()
     m.discounts1 = discounts(*(sum(r[f"n{i}"] for r in ranges) for i in range(1, 5)))
-    for b in range(n):  # a bucket that got no rows has no file
-        for name in ("keys", "pairs", "frequent", "contexts", "follows", *(_TRIGRAM_FILES if order == 3 else ())):
-            if not os.path.exists(f"{folder}/{name}-{b}"):
-                low, high = _range_bounds(m, b)
-                _save(
-                    folder,
-                    f"{name}-{b}",
-                    np.zeros({"contexts": 32 * (high - low), "follows": 8 * (high - low)}.get(name, 0), dtype=np.uint8),
-                    0,
-                )
-    *classes, m.bigrams = _classes(f"{folder}/classes")
-    m.discounts2 = discounts(*classes)
-    *classes, m.trigrams = _classes(f"{folder}/classes3")
-    m.discounts3 = discounts(*classes)
+    n1, n2, *more = (sum(r[f"n{i}"] for r in ranges) for i in range(1, 6))
+    m.kinds = (n1, n2, sum(more))
+    numbers = spark.range(0, n, 1, min(n, 8 * spark.sparkContext.defaultParallelism))
+    found = cut(numbers.mapInArrow(*_complete(m)), "classes").agg(*(F.sum(f"c{i}") for i in range(10))).first()
+    m.discounts2, m.bigrams = discounts(*found[:4]), found[4]
+    m.discounts3, m.trigrams = discounts(*found[5:9]), found[9]
     with open(f"{folder}/model.json", "w") as f:
         json.dump(asdict(m), f)
     return m
@@ -626,7 +636,7 @@ class _Scorer:
         follows[known] = self._by_id("follows", words[known], 1)[:, 0]
         if m.bigrams:
             # unigrams: continuations, discounted, interpolated with an even share for each known word and an unknown one
-            kinds = self._kinds
+            kinds = np.array(self.m.kinds)
             d = np.array((0.0, *m.discounts1))
             lower = (follows - d[np.minimum(follows, 3)]) / m.bigrams + float(d[1:] @ kinds) / m.bigrams / (m.words + 2)
         else:
@@ -713,15 +723,6 @@ class _Scorer:
         out[at] = (counts - d[np.minimum(counts, 3)]) / total[back] + rest[back] * lower[at]
         return out
 
-    @property
-    def _kinds(self) -> np.ndarray:
-        if not hasattr(self, "_found"):
-            n = np.zeros(3, dtype=np.int64)
-            for b in range(self.m.buckets):
-                n += np.bincount(np.minimum(_mapped(f"{self.m.folder}/follows-{b}", "<i8"), 3), minlength=4)[1:]
-            self._found = n
-        return self._found
-
 
 def _score(m: Model):
     schema_types = "n_tokens long, n_known long, base_score double, score double"
