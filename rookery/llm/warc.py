@@ -193,25 +193,42 @@ def _salted(small: DataFrame) -> DataFrame:
     return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def _members(data: bytes) -> Iterator[bytes]:
-    at, step = 0, 16 << 10
+_MAGIC = b"\x1f\x8b\x08"
+
+
+def _members(data: bytes) -> Iterator[bytes | None]:
+    """The gzip members of a file; null for a stretch that is no whole member, after which the next one is sought by its first bytes."""
+    at, step, sound = 0, 16 << 10, True
     while at < len(data):
-        reader, parts = zlib.decompressobj(31), []
-        while not reader.eof and at < len(data):
-            parts.append(reader.decompress(data[at : at + step]))
-            at += step
-        at = min(at, len(data)) - len(reader.unused_data)
-        yield b"".join(parts) + reader.flush()
+        begin, reader, parts = at, zlib.decompressobj(31), []
+        try:
+            while not reader.eof and at < len(data):
+                parts.append(reader.decompress(data[at : at + step]))
+                at += step
+            whole = reader.eof
+        except zlib.error:
+            whole = False
+        if whole:
+            at, sound = min(at, len(data)) - len(reader.unused_data), True
+            yield b"".join(parts) + reader.flush()
+            continue
+        if sound:
+            yield None
+        at, sound = data.find(_MAGIC, begin + 1), False
+        if at < 0:
+            return
 
 
 def _split_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and blocks of the records in one gzip member."""
+    """Headers (names in lower case) and blocks of the records in one gzip member; an error if it is not made of whole records."""
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
         lines = data[at:end].decode().split("\r\n")
         fields = {k.strip().lower(): v.strip() for k, v in (x.split(":", 1) for x in lines[1:])}
         size = int(fields["content-length"])
+        if size < 0 or end + 4 + size > len(data):
+            raise ValueError("a record is shorter than it says")
         yield fields, data[end + 4 : end + 4 + size]
         at = end + 8 + size
 
@@ -273,29 +290,41 @@ def _read(keep: bool):
         with fs.open_input_file(f"{root}/{name}") as file:
             return file.read()
 
+    damaged = dict.fromkeys(_arrow_schema().names) | {"record_type": "damaged", "whole": False}
+
     def records(path: str) -> Iterator[dict]:
+        """Rows of all records; one of type ``damaged`` for each stretch or member that cannot be read, what follows it is read on."""
         for member in _members(content(path)):
-            for f, block in _split_records(member):
-                stated = (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None
-                row = {
-                    "record_id": f["warc-record-id"],
-                    "record_type": f["warc-type"],
-                    "page_id": number(f.get("rookery-page")),
-                    "url": _any_line(f.get("warc-target-uri")),
-                    "stated": stated,
-                }
-                row |= {
-                    "refers_to": number(f.get("rookery-refers-to-page")),
-                    "number": number(f.get("warc-segment-number")),
-                    "total": number(f.get("warc-segment-total-length")),
-                }
-                row["origin"] = f.get("warc-segment-origin-id", row["record_id"])
-                if row["number"] is not None:
-                    yield row | {"payload_bytes": None, "payload_digest": None, "whole": None, "block": block}
-                elif f["warc-type"] == "revisit":
-                    yield row | {"payload_bytes": None, "payload_digest": stated, "whole": True, "block": None}
+            try:
+                if member is None:
+                    yield damaged
                 else:
-                    yield row | _measured(block, stated, keep)
+                    yield from records_of(member)
+            except (ValueError, KeyError):
+                yield damaged
+
+    def records_of(member: bytes) -> Iterator[dict]:
+        for f, block in _split_records(member):
+            stated = (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None
+            row = {
+                "record_id": f["warc-record-id"],
+                "record_type": f["warc-type"],
+                "page_id": number(f.get("rookery-page")),
+                "url": _any_line(f.get("warc-target-uri")),
+                "stated": stated,
+            }
+            row |= {
+                "refers_to": number(f.get("rookery-refers-to-page")),
+                "number": number(f.get("warc-segment-number")),
+                "total": number(f.get("warc-segment-total-length")),
+            }
+            row["origin"] = f.get("warc-segment-origin-id", row["record_id"])
+            if row["number"] is not None:
+                yield row | {"payload_bytes": None, "payload_digest": None, "whole": None, "block": block}
+            elif f["warc-type"] == "revisit":
+                yield row | {"payload_bytes": None, "payload_digest": stated, "whole": True, "block": None}
+            else:
+                yield row | _measured(block, stated, keep)
 
     def complete(parts: list[dict]) -> bool:
         return [p["number"] for p in parts] == list(range(1, len(parts) + 1)) and parts[-1]["total"] == sum(len(p["block"]) for p in parts)
@@ -342,7 +371,8 @@ def read_archives(spark: SparkSession, files: DataFrame, keep_payload: bool = Tr
 
     ``record_id, record_type, page_id, url, refers_to, payload_bytes, payload_digest, whole`` and, if wanted, ``payload``.
     ``whole`` is false where a segment is missing or there twice, the total length differs, the framing is broken or the
-    digest is not the stated one; size and digest are then null if no payload could be decoded.  A revisit's size comes from
+    digest is not the stated one; size and digest are then null if no payload could be decoded.  A stretch or member of a
+    file that cannot be read is a row of type ``damaged``, not whole and otherwise null; what follows it is read on.  A revisit's size comes from
     the response that it refers to, and is null if that is not there.
     """
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
