@@ -72,7 +72,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document, read from flat files of all documents by a scan for the separator."""
     folder = storage.scratch(spark, "flat")
     written = storage.cut(token_counts.write_flat(_table(spark, sf_dir, "documents"), _vocabulary(), folder), "order")
-    counts = token_counts.separator_scan(spark, folder)
+    counts = token_counts.separator_scan(spark, folder, manifest=written)
     return counts.join(written, ["file", "ordinal"], "left").select("doc_id", "file", "ordinal", "start", "n_tokens")
 
 

@@ -31,9 +31,9 @@ def _write(uri: str, path: str, end: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        name = f"tokens-{task.partitionId():06d}.bin"
+        name = f"tokens-{task.partitionId():06d}-{task.taskAttemptId()}.bin"  # a repeated attempt writes a file of its own
         fs, root = open_folder(uri)
-        attempt = f"{root}/_{name}.{task.taskAttemptId()}"
+        attempt = f"{root}/_{name}"
         done = 0
         fs.create_dir(root, recursive=True)
         with fs.open_output_stream(attempt) as out:
@@ -52,7 +52,7 @@ def _write(uri: str, path: str, end: int):
                         schema=schema,
                     )
                     done += len(n)
-        fs.move(attempt, f"{root}/{name}")  # whole or not at all; a repeated attempt writes the same bytes
+        fs.move(attempt, f"{root}/{name}")  # whole or not at all; nothing has this name
 
     return run, "file string, ordinal long, doc_id long"
 
@@ -61,7 +61,8 @@ def write_flat(docs: DataFrame, tokenizer: str, uri: str, end: int = END) -> Dat
     """Writes one flat file per partition under ``uri`` when the result is computed: which document is the how-manieth of a file.
 
     Null texts count as empty: the end id alone.  The separator's string in a text is ordinary text, so its id stands for ends
-    only.  Null and repeated ids are written like others; other columns are dropped.  An empty table writes no ids.
+    only.  Null and repeated ids are written like others; other columns are dropped.  An empty table writes no ids.  Files that
+    the result does not name are those of attempts that failed or came second: give the result, written, to the scan.
     """
     bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(*_write(uri, tokenizer, end))
@@ -98,14 +99,19 @@ def _search(uri: str, end: int, block_bytes: int):
     return run, "file string, block int, last long, n long, ends array<long>"
 
 
-def separator_scan(spark: SparkSession, uri: str, end: int = END, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def separator_scan(
+    spark: SparkSession, uri: str, end: int = END, block_bytes: int = BLOCK_BYTES, manifest: DataFrame | None = None
+) -> DataFrame:
     """``file, ordinal, start, n_tokens`` of each document in the flat files of a folder (the separator not counted).
 
+    With a ``manifest(file)`` only the files that it names count.
     Ids after a file's last separator are a document without an end and are returned too, if there are any.
     """
     if block_bytes % 2:
         raise ValueError("blocks must hold whole ids")
     table = _blocks(spark, uri, block_bytes)
+    if manifest is not None:
+        table = table.join(manifest.select("file").distinct(), "file", "left_semi")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = cut(table.repartition(n, "file", "block").mapInArrow(*_search(uri, end, block_bytes)), "separators")
     so_far = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
