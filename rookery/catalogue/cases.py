@@ -496,6 +496,10 @@ REGISTER = Table(
         when name = '3Tenn Hall' then 'no club signal in name; its site: site unreachable' when mail = '' and web = '' then 'no email and no website' else '' end reason, case when gone then '' else mail end email from r""")
 def register_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reasons against the venues of a register, with a second look at some of their sites."""
+    return _venues(spark, sf_dir).select(F.col("id").alias("k"), "reason", "email")
+
+
+def _venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = REGISTER.spark(spark, sf_dir)
     field = lambda label, c: F.concat(F.lit(f'<div class="c__header">{label}</div><a href="'), F.col(c), F.lit('">x</a></div>'))
     page = F.concat(F.lit("<title>"), "name", F.lit(" | LTA</title><p>Tennis</p>"), field("Email", "email"), field("Website", "site"))
@@ -504,7 +508,17 @@ def register_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("https://3tenn.co.uk/", "GB", "", "<title>Bushey Tennis Club</title><p>Tennis</p>", "")],
         "url string, cc string, city string, html string, contact_html string",
     )
-    return judging.from_register(venues, records.vet(seen, sources.countries(spark))).select(F.col("id").alias("k"), "reason", "email")
+    return judging.from_register(venues, records.vet(seen, sources.countries(spark)))
+
+
+@_query(f"""with r as (select *, k % 13 = 0 gone, case when email = 'mailto:Sec@Abbey.co.uk' then 'sec@abbey.co.uk' else '' end mail, case when contains(site, 'lta.org') then '' else site end web from {REGISTER.sql}),
+    s as (select *, name = '3Tenn Hall' and contains(web, '3tenn') saved from r)
+    select k, case when saved then 'Bushey Tennis Club' else name end "name", 'Tennis' sports, case when saved then 'https://3tenn.co.uk' else web end website, mail email from s
+    where not gone and name <> '' and (saved or name <> '3Tenn Hall') and not (mail = '' and web = '')""")
+def register_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The venues of a register that are records; what their own site says better is taken from there."""
+    found = _venues(spark, sf_dir).filter("reason = ''")
+    return found.select(F.col("id").alias("k"), "name", F.array_join("sports", "+").alias("sports"), "website", "email")
 
 
 @_query(

@@ -395,6 +395,8 @@ STATE = Table(
     "cc string, at string, error string, split boolean",
     ("ES", "2026-03-01 00:00:00", None, None), ("GB", "2026-03-02 00:00:00", "timeout", None), ("BR", "2026-03-03 11:50:00", "timeout", None), ("AR", "2026-03-03 11:55:00", "partial", True),
     ("US", "2026-02-01 00:00:00", None, None), ("PT", "2026-02-03 00:00:00", None, None),
+    more=f"""select {_at('IN,BO,CA,CO,CR,CU,DO,EC,SV,GQ,GT,HN,MX,NI,PA,PY,PE,PR,UY,VE,CL,IE,AU,NZ,ZA', 'n_nationkey')} cc, '2026-02-' || lpad(cast(1 + n_nationkey as string), 2, '0') || ' 06:00:00' as at,
+        case when n_nationkey % 5 = 0 then 'timeout of ' || n_name end as error, case when n_nationkey % 10 = 0 then true end as split from {{nation}}""",
 )
 RESULTS = Table(
     "lead bigint, query int, rank int, url string, own boolean, local boolean, platform boolean",
@@ -422,6 +424,7 @@ PLACES = Table(
     ("BR", "Recife", 3),
     ("GB", "Leeds", 1),
     ("FR", "Paris", 1),
+    more=f"""select {_at(_CC, 'p_partkey % 10')} cc, 'Place ' || cast(p_partkey as string) name, cast(case when p_partkey % 10 in (1, 2) then 100 else 1 end + floor(p_partkey / 10) as int) rank from {{part}}""",
 )
 STATS = Table("cc string, city string, searches bigint, found bigint", ("SG", "", 6, 2), ("BR", "Santos", 3, 1), ("BR", "", 6, 0), ("BR", "Água Boa", 1, 0), ("BR", "Bagé", 2, 1), ("BR", "São Paulo", 1, 1),
     more=f"""select {_at(_CC, 'c_nationkey % 10')} cc, 'Town ' || cast(c_custkey % 97 as string) city, cast(count(*) as bigint) searches, cast(sum(c_custkey % 3) as bigint) found from {{customer}} group by 1, 2""",

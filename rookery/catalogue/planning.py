@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .. import sources
 from ..functions import values
 from ..operators import merge, reports, searches
-from ..plans import judging, records
 from . import inline as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,10 +127,3 @@ def seed_counts_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 def leads_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads by country."""
     return reports.leads_by_country(V.LEADS.spark(spark, sf_dir))
-
-
-@_query()
-def register_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Venues of a register, with the second opinion of their own sites."""
-    sites = V.SITES.spark(spark, sf_dir).withColumns({"cc": F.lit("GB"), "city": F.lit(""), "contact_html": F.lit("")})
-    return judging.from_register(V.VENUES.spark(spark, sf_dir), records.vet(sites, sources.countries(spark)))

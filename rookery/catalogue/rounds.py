@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from .. import sources
 from ..functions import values
-from ..operators import merge, ranges
+from ..operators import merge, ranges, reports
 from ..operators.schedule import DAY, MINUTE
 from ..plans import scan
 from ..sources.files import shared_folder
 from ..sources.keyed_store import KeyedStore
+from ..sources.single_file import write_file
 from ..streaming import crawl
 from . import inline as V
-from .cases import _PUBLISHED
+from .cases import _PUBLISHED, _SPORTS_OF
 from .domain import _upsert_sql
+from .planning import _COUNTRIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -208,3 +210,46 @@ def country_scan_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The elements of all nations, each with the last answer's content."""
     found = _scanned(spark, sf_dir).elements()
     return found.select("cc", "id", F.element_at("tags", "statement").alias("statement"))
+
+
+_KEY = "'n:' || n.cc || ':' || regexp_replace(lower(coalesce(n.\"name\", '')), '[^a-z0-9]+', '', 'g')"
+#: new records stand for published ones, an address each; stored keys of some names are taken, with gaps in their numbers
+_BACK = f"(select distinct on (lower(email)) * from {V.NEW.sql} where coalesce(email, '') <> '' order by lower(email), ord)"
+
+
+@_query(f"""with s as (select key, email from {V.STORE.sql} union all select key, null from (select distinct {_KEY} || u key from {_BACK} n, (values (''), ('#2'), ('#4')) t(u) where n.ord % 3 = 0)),
+    c as (select lower(n.email) email, n."name", c.cc, {_KEY.replace("n.cc", "c.cc")} base from {_BACK} n join {_COUNTRIES} c on lower(c.name) = lower(n.country) where lower(n.email) not in (select lower(email) from s where coalesce(email, '') <> '')),
+    r as (select *, row_number() over (partition by base order by email) turn from c),
+    f as (select base, i, row_number() over (partition by base order by i) turn from (select base, unnest(range(1, count(*)::bigint + 8)) i from c group by 1) x
+        where case when i = 1 then base else base || '#' || i end not in (select key from s where key is not null))
+    select email, case when i = 1 then base else base || '#' || i end as key, cc from r join f using (base, turn)""")
+def restored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a restore adds: published records that the store lacks, under keys that are free."""
+    new = V.NEW.spark(spark, sf_dir).filter(merge.filled(F.col("email")).isNotNull())
+    back = new.groupBy(F.lower("email").alias("e")).agg(F.min_by(F.struct(*new.columns), "ord").alias("x")).select("x.*")
+    own = F.concat(F.lit("n:"), F.coalesce("cc", F.lit("")), F.lit(":"), F.regexp_replace(F.lower(F.coalesce("name", F.lit(""))), "[^a-z0-9]+", ""))
+    held = back.filter("ord % 3 = 0").select(F.explode(F.array(*(F.concat(own, F.lit(u)) for u in ("", "#2", "#4")))).alias("key")).distinct()
+    store = V.STORE.spark(spark, sf_dir).select("key", "email").unionByName(held, allowMissingColumns=True)
+    return merge.restored(back, store, sources.countries(spark)).select("email", "key", "cc")
+
+
+@_query(f"""with s as (select e, string_agg(s, '+' order by o) sports from (select e, s, min((ord, i)) o from (select e, ord, unnest(sports) s, generate_subscripts(sports, 1) i from (select *, lower(email) e from {V.STORE.sql} where coalesce(name, '') <> '' and coalesce(email, '') <> '' and coalesce(lang, '') <> '' and len(sports) > 0)) group by e, s) group by e)
+    select e email, "name", sports, country, (select count(*) from {_PUBLISHED}) as total, (select count(*) from {_SPORTS_OF} where s = 'Padel') padel from {_PUBLISHED} join s using (e)""")
+def site_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The site's file, written in one step and read back as a JSON document."""
+    path = f"{shared_folder(spark, 'site')}/site.json"
+    write_file(reports.site_lines(merge.publishable(V.STORE.spark(spark, sf_dir))), path, ["ord"])
+    club = "name string, sports array<string>, contact string, email string, lang string, country string, src string, stale boolean"
+    site = spark.read.schema(f"count bigint, bySport map<string,bigint>, clubs array<struct<{club}>>").option("multiLine", True).json(path)
+    rows = site.select("count", F.col("bySport.Padel").alias("padel"), F.explode("clubs").alias("c"))
+    return rows.select("c.email", "c.name", F.array_join("c.sports", "+").alias("sports"), "c.country", F.col("count").alias("total"), "padel")
+
+
+@_query("select event_id, user_id, event_type from events where event_id % 7 <> 3")
+def activity_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of JSON lines, some of them broken, written and read back."""
+    line = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    broken = F.when(F.col("event_id") % 7 == 3, F.substring(line, 1, 20)).otherwise(line)
+    path = shared_folder(spark, "log")
+    sources.write_lines(_table(spark, sf_dir, "events").select(broken.alias("value")), path)
+    return sources.json_lines(spark, path, "event_id bigint, user_id bigint, event_type string")

@@ -129,13 +129,49 @@ def collision_keys(rows: DataFrame, base: str, order: list[str]) -> DataFrame:
     return rows.withColumn("key", F.when(n == 1, F.col(base)).otherwise(F.concat(base, F.lit("#"), n.cast("string"))))
 
 
-def restored(published: DataFrame, store: DataFrame, countries: DataFrame) -> DataFrame:
-    """Published rows that the store lacks (by address), with their country's code and a key of their own."""
+def free_keys(rows: DataFrame, base: str, order: list, taken: DataFrame) -> DataFrame:
+    """``rows`` with ``key``: for each in turn the first of ``base``, ``base#2``, ``base#3``, ... that neither ``taken(key)`` nor an earlier row has."""
+    # number of a taken key within its base; the base itself is the first
+    number = F.coalesce(F.regexp_extract("key", r"#([1-9]\d*)\z", 1).try_cast("bigint"), F.lit(1))
+    found = taken.filter("key is not null").select(
+        F.when(F.col("key").rlike(r"#[1-9]\d*\z") & (number > 1), F.regexp_replace("key", r"#\d+\z", "")).otherwise(F.col("key")).alias("_b"),
+        F.when(F.col("key").rlike(r"#[1-9]\d*\z") & (number > 1), number).otherwise(F.lit(1)).alias("_n"),
+    ).distinct()
+    turn = F.row_number().over(Window.partitionBy(base).orderBy(*order)).cast("bigint")
+    numbered = rows.withColumn("_turn", turn)
+    wanted = numbered.groupBy(F.col(base).alias("_b")).agg(F.count("*").alias("rows"))
+    held = found.join(wanted, "_b").groupBy("_b").agg(F.count("*").alias("held"))
+    # the first free numbers of a base are among as many as it has rows and taken keys
+    most = F.col("rows") + F.coalesce("held", F.lit(0))
+    numbers = wanted.join(held, "_b", "left").select("_b", F.explode(F.sequence(F.lit(1).cast("bigint"), most)).alias("_n"))
+    free = numbers.join(found, ["_b", "_n"], "left_anti")
+    free = free.withColumn("_turn", F.row_number().over(Window.partitionBy("_b").orderBy("_n")).cast("bigint")).withColumnRenamed("_b", base)
+    key = F.when(F.col("_n") == 1, F.col(base)).otherwise(F.concat(base, F.lit("#"), F.col("_n").cast("string")))
+    return numbered.join(free, [base, "_turn"]).withColumn("key", key).drop("_turn", "_n")
+
+
+def restored(published: DataFrame, store: DataFrame, countries: DataFrame, order: list | None = None) -> DataFrame:
+    """Published rows whose address the store lacks, as records with their country's code and a key that nothing else has.
+
+    Rows without an address and of countries that are not wanted go.  Rows whose names give one key are numbered in their
+    ``order`` (by address if none is given), on from the keys that the store has.  Other columns of the rows stay.
+    """
     known = store.select(F.lower("email").alias("email")).filter(filled(F.col("email")).isNotNull()).distinct()
-    missing = published.withColumn("email", F.lower("email")).join(known, "email", "left_anti")
-    coded = missing.join(F.broadcast(countries.select(F.lower("name").alias("low"), "cc")), F.lower("country") == F.col("low")).drop("low")
+    missing = published.withColumn("email", F.lower("email")).filter(filled(F.col("email")).isNotNull()).join(known, "email", "left_anti")
+    wanted = F.broadcast(countries.select(F.lower("name").alias("low"), F.col("cc").alias("code")))
+    coded = missing.join(wanted, F.lower("country") == F.col("low")).withColumn("cc", F.col("code")).drop("low", "code")
     keyed = coded.withColumn("base", urls.key_for(F.lit(""), F.lit(""), F.col("cc"), F.col("name"), by_email=False))
-    return collision_keys(keyed, "base", ["email"]).drop("base")
+    out = free_keys(keyed, "base", order or ["email"], store.select("key")).drop("base")
+    return out.withColumns(
+        {
+            "contact": F.coalesce("contact", F.lit("")),
+            "src": F.coalesce(filled(F.col("src")), F.lit("restored")),
+            "stale": F.coalesce("stale", F.lit(False)),
+            "crawled": F.lit(True),
+            "attempts": F.lit(0),
+            "restored": F.lit(True),
+        }
+    )
 
 
 def new_only(rows: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ranges
+
 from .merge import filled
 
 
@@ -128,6 +130,21 @@ def site_summary(published: DataFrame) -> DataFrame:
     )
 
 
+def site_lines(published: DataFrame) -> DataFrame:
+    """``ord, value``: the site's file as lines, figures first, then one record a line in the published order.
+
+    ``published`` has ``name, sports, contact, email, lang, country, src, stale``; an empty one gives a file without records.
+    """
+    figures = F.to_json(F.struct("count", "byCountry", "bySport"))
+    head = site_summary(published).select(F.lit(0).cast("bigint").alias("ord"), F.concat(F.regexp_replace(figures, r"\}\z", ""), F.lit(',"clubs":[')).alias("value"))
+    order = [F.collate("country", "UNICODE"), F.collate("name", "UNICODE"), F.col("email")]
+    rows = ranges.placed(published, order).withColumn("record", F.to_json(F.struct(*published.columns), {"ignoreNullFields": "false"}))
+    comma = F.when(F.col("place") > 1, F.lit(",")).otherwise("")
+    body = rows.select(F.col("place").cast("bigint").alias("ord"), F.concat(comma, "record").alias("value"))
+    tail = head.select(F.lit((1 << 63) - 1).alias("ord"), F.lit("]}").alias("value"))
+    return head.unionByName(body).unionByName(tail)
+
+
 def seed_counts_line(counts: DataFrame) -> DataFrame:
     """``line``: ``CC×n`` of all countries, most first."""
     all_ = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "cc")))
