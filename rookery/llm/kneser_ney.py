@@ -673,9 +673,12 @@ class _Scorer:
         sums, counts = np.zeros((len(contexts), 4), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
         first, last, ranks = np.zeros((3, len(contexts)), dtype=np.int64)
         bucket = _bigram_bucket(m, v, u).astype(np.min_scalar_type(m.buckets))
-        by_bucket, of_token = np.argsort(bucket, kind="stable"), np.argsort(bucket[back], kind="stable")
-        edges = [np.searchsorted(x, np.arange(m.buckets + 1)) for x in (bucket[by_bucket], bucket[back][of_token])]
-        for b in np.unique(bucket).tolist():
+        by_bucket = np.argsort(bucket, kind="stable")
+        of_token = np.argsort(back)  # tokens of a context together, so that searches go on from place to place
+        of_token = of_token[np.argsort(bucket[back[of_token]], kind="stable")]
+        there = np.unique(bucket)
+        edges = [np.append(np.searchsorted(x, there), len(x)) for x in (bucket[by_bucket], bucket[back[of_token]])]
+        for i, b in enumerate(there.tolist()):
             keys, triples = np.asarray(_mapped(f"{m.folder}/trigrams-{b}", "<u8")), np.asarray(_mapped(f"{m.folder}/triples-{b}", "u1"))
             if not len(keys):
                 continue
@@ -689,7 +692,7 @@ class _Scorer:
                 out[big] = large[np.searchsorted(large[:, 0], places[big]), 1]
                 return out
 
-            mine = by_bucket[edges[0][b] : edges[0][b + 1]]
+            mine = by_bucket[edges[0][i] : edges[0][i + 1]]
             head = np.searchsorted(middles[:, 0], v[mine])
             hit = middles[np.minimum(head, len(middles) - 1), 0] == v[mine]
             mine, head = mine[hit], head[hit]
@@ -707,7 +710,7 @@ class _Scorer:
             sums[light] = _context_sums(exact(W.ragged_arange(first[light], n)), np.cumsum(n) - n, n)
             rest = mine[last[mine] - first[mine] > HEAVY]
             sums[rest] = heavy[np.searchsorted(heavy[:, 0], contexts[rest]), 1:]
-            tokens = of_token[edges[1][b] : edges[1][b + 1]]
+            tokens = of_token[edges[1][i] : edges[1][i + 1]]
             tokens = tokens[last[back[tokens]] > first[back[tokens]]]
             of = back[tokens]
             wanted = _trigram_keys(m, k, ranks[of], u[of], ids[at[tokens]])
