@@ -15,7 +15,7 @@ from ..plans import scan
 from ..sources.files import shared_folder
 from ..sources.keyed_store import KeyedStore
 from ..sources.single_file import write_file
-from ..streaming import crawl
+from ..streaming import answered, crawl, sessions, sliding
 from . import inline as V
 from .cases import _PUBLISHED, _SPORTS_OF
 from .domain import _upsert_sql
@@ -253,3 +253,53 @@ def activity_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "log")
     sources.write_lines(_table(spark, sf_dir, "events").select(broken.alias("value")), path)
     return sources.json_lines(spark, path, "event_id bigint, user_id bigint, event_type string")
+
+
+_HOT = "case when user_id % 3 > 0 then 0 else user_id end"
+
+
+@_query(f"""with e as (select *, {_HOT} k from events) select a.event_id, coalesce(b.event_id, -1) state_id, coalesce(b.value, -1) as value from (select * from e where event_type <> 'purchase') a
+    asof left join (select * from e where event_type = 'purchase') b on a.k = b.k and a.ts >= b.ts""")
+def state_at_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The purchase that each event of a user follows; two thirds of all rows have one key."""
+    rows = _table(spark, sf_dir, "events").withColumn("k", F.expr(_HOT)).select("k", "ts", "event_id", "event_type", "value")
+    bought = F.col("event_type") == "purchase"
+    found = ranges.as_of(rows.filter(~bought), rows.filter(bought), ["k"], "ts", "ts")
+    none = lambda c: F.coalesce(c, F.lit(-1))
+    return found.select("event_id", none("state.event_id").alias("state_id"), none("state.value").alias("value"))
+
+
+@_query("""with o as (select *, coalesce(epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts, event_id)) > 21600000000, true) new from events),
+    s as (select *, sum(new::int) over (partition by user_id order by ts, event_id) s from o)
+    select user_id, epoch_us(min(ts)) start_us, epoch_us(max(ts)) + 21600000000 end_us, count(*) n from s group by user_id, s""")
+def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of users with gaps of six hours (an extension; the same function serves a stream)."""
+    found = sessions(_table(spark, sf_dir, "events"))
+    return found.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
+
+
+@_query("""select epoch_us(time_bucket(interval 15 minutes, ts)) - d * 900000000 start_us, event_type, count(*) n from events, range(4) r(d) group by all""")
+def sliding_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by hours that begin every quarter (an extension)."""
+    return sliding(_table(spark, sf_dir, "events")).select(F.unix_micros("start").alias("start_us"), "event_type", "n")
+
+
+@_query("""select a.event_id, o.event_id came_id, o.event_type note from events a join events o on a.user_id = o.user_id and o.ts between a.ts and a.ts + interval 2 hours
+    where a.event_type = 'click' and o.event_type in ('error', 'purchase')""")
+def answered_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks with the errors and purchases that came within two hours (an extension; the same function joins streams)."""
+    rows = _table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    clicks = rows.filter("event_type = 'click'").select(F.col("user_id").alias("key"), F.struct("at", "event_id").alias("c"), F.col("at").alias("tried"))
+    comes = rows.filter("event_type in ('error', 'purchase')").select(F.col("user_id").alias("key"), F.col("at").alias("came"), F.concat_ws(" ", "event_id", "event_type").alias("note"))
+    found = answered(clicks.select("key", "tried").distinct(), comes, "2 hours").join(clicks, ["key", "tried"])
+    return found.select("c.event_id", F.split("note", " ")[0].cast("bigint").alias("came_id"), F.split("note", " ")[1].alias("note"))
+
+
+@_query("select event_type, count(distinct user_id) users, true near from events group by 1")
+def users_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by type, counted exactly, and whether sketches by day, united, come as near as they should (an extension)."""
+    rows = _table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    about = reports.united_counts(reports.distinct_sketches(rows, ["event_type", "day"], "user_id"), ["event_type"])
+    exact = rows.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    bound = 4 * 1.04 / 64
+    return exact.join(about, "event_type").select("event_type", "users", (F.abs(F.col("n") - F.col("users")) <= bound * F.col("users") + 1).alias("near"))

@@ -29,7 +29,8 @@ def _query(sql: str | None, *names: str):
 
 _A = r"""<a\b[^>]*href=["'']([^"'']+)["''][^>]*>([\s\S]*?)</a>"""
 _ORIGIN = r"regexp_extract(url, '^[a-z]+://[^/?#]*')"
-_LINKS = f"""select page_id, i - 1 as place, case when starts_with(h, '/') then {_ORIGIN} || h else h end link,
+_ESCAPED = "array_to_string(list_transform(regexp_extract_all(h, '.'), lambda c: case when c > '~' then url_encode(c) else c end), '')"  # as browsers do
+_LINKS = f"""select page_id, i - 1 as place, case when starts_with(h, '/') then {_ORIGIN} || {_ESCAPED} else {_ESCAPED} end link,
     trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '<[^>]+>', ' ', 'g'), '&nbsp;', ' ', 'gi'), '&[a-z]+;', ' ', 'gi'), '\\s+', ' ', 'g')) as label
     from (select page_id, url, unnest(regexp_extract_all(html, '{_A}', 1, 'i')) h, unnest(regexp_extract_all(html, '{_A}', 2, 'i')) t, generate_subscripts(regexp_extract_all(html, '{_A}', 1, 'i'), 1) i from pages)"""
 

@@ -24,12 +24,23 @@ def _plain(html: Column) -> Column:
     return out
 
 
+# what a page needs to have anything spelt out: the patterns without the white space around them
+_SPELT = "|".join(p.removeprefix(r"\s*").removesuffix(r"\s*") for p, _ in values.SPELT_OUT)
+# no character of an address before its @ can be the @, so nothing is given back there
+_SCAN = values.EMAIL.replace("+@", "++@", 1)
+
+
 def raw_emails(html: Column) -> Column:
-    """Distinct lower-case addresses before any of them is judged; broken escapes drop their candidate."""
+    """Distinct lower-case addresses before any of them is judged; broken escapes drop their candidate.
+
+    Pages without an ``@`` and without anything spelt out, which most are, are not searched for addresses.
+    """
+    none = F.array().cast("array<string>")
     hidden = F.filter(F.transform(rx.all_of(html, values.CF_EMAIL, 1), cf_decode), lambda x: x.contains("@"))
     linked = F.transform(rx.all_of(html, values.MAILTO, 1), rx.percent_decoded)
-    found = F.concat(hidden, linked, rx.all_of(html, values.EMAIL), rx.all_of(_plain(html), values.EMAIL))
-    return F.array_distinct(F.transform(F.array_compact(found), F.lower))
+    written = F.when(html.contains("@"), rx.all_of(html, _SCAN)).otherwise(none)
+    spelt = F.when(rx.like(html, _SPELT), rx.all_of(_plain(html), _SCAN)).otherwise(none)
+    return F.array_distinct(F.transform(F.array_compact(F.concat(hidden, linked, written, spelt)), F.lower))
 
 
 def is_usable(email: Column) -> Column:

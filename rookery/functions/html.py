@@ -8,21 +8,28 @@ from pyspark.sql import functions as F
 from . import rules, rx, urls, values
 
 def _plain(text: Column) -> Column:
-    """Tags and entities as spaces, ``&amp;`` as itself, squeezed."""
-    bare = rx.sub(rx.sub(text, r"<[^>]+>", " "), r"&nbsp;", " ")
-    return rx.squeeze(rx.sub(rx.sub(bare, r"&amp;", "&"), r"&[a-z]+;", " "))
+    """Tags and entities as spaces, ``&amp;`` as itself, squeezed; patterns are tried only where their first character is."""
+
+    def entities(t: Column) -> Column:
+        return F.when(t.contains("&"), rx.sub(rx.sub(rx.sub(t, r"&nbsp;", " "), r"&amp;", "&"), r"&[a-z]+;", " ")).otherwise(t)
+
+    bare = rx.let(text, lambda t: F.when(t.contains("<"), rx.sub(t, r"<[^>]+>", " ")).otherwise(t))
+    return rx.squeeze(rx.let(bare, entities))
 
 
 def anchors(html: Column) -> Column:
-    """``array<struct<href, inner>>`` of all links in order, page-internal and non-web ones left out."""
-    pairs = F.arrays_zip(rx.all_of(html, values.ANCHOR, 1).alias("href"), rx.all_of(html, values.ANCHOR, 2).alias("inner"))
-    return F.filter(pairs, lambda x: ~rx.like(x["href"], values.SKIPPED_SCHEME))
+    """``array<struct<href, inner>>`` of all links in order, page-internal and non-web ones left out; the page is read once."""
+    pair = lambda m: F.struct(rx.first(m, values.ANCHOR, 1).alias("href"), rx.first(m, values.ANCHOR, 2).alias("inner"))
+    return F.filter(F.transform(rx.all_of(html, values.ANCHOR, 0), pair), lambda x: ~rx.like(x["href"], values.SKIPPED_SCHEME))
 
 
 def links(html: Column, base: Column) -> Column:
-    """``array<struct<url, text>>`` of a page's links with absolute URLs."""
-    found = F.transform(anchors(html), lambda x: F.struct(urls.resolve(x["href"], base).alias("url"), _plain(x["inner"]).alias("text")))
-    return F.filter(found, lambda x: x["url"].isNotNull())
+    """``array<struct<url, text>>`` of a page's links with absolute URLs; the page's own URL is taken apart once."""
+
+    def found(b: Column) -> Column:
+        return F.transform(anchors(html), lambda x: F.struct(urls.resolved(x["href"], b).alias("url"), _plain(x["inner"]).alias("text")))
+
+    return F.filter(rx.let(urls.base_of(base), found), lambda x: x["url"].isNotNull())
 
 
 def decode_entities(text: Column) -> Column:
@@ -57,6 +64,7 @@ def card_text(html: Column) -> Column:
 
 
 def title_of(html: Column) -> Column:
+    """A page's title, else its first heading; empty if it has neither, null for no page."""
     title = rx.first(html, values.TITLE)
     return decode_entities(F.when(F.trim(title) != "", title).otherwise(rx.sub(rx.first(html, values.H1), r"<[^>]+>", " ")))
 
@@ -94,10 +102,12 @@ def page_name(html: Column) -> Column:
 
 
 def venue_ids(html: Column) -> Column:
+    """Ids of the venues that a register page links to, each once in their order."""
     return F.array_distinct(rx.all_of(html, values.VENUE_ID, 1, fold=False))
 
 
 def venue_name(html: Column) -> Column:
+    """A venue page's title without the register's name; empty if there is none."""
     return F.trim(rx.sub(card_text(rx.first(html, values.TITLE)), values.VENUE_TITLE_SUFFIX, ""))
 
 

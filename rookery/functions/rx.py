@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -61,6 +62,7 @@ def squeeze(text: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
+    """The trimmed text; null where nothing is left."""
     return F.nullif(F.trim(text), F.lit(""))
 
 
@@ -69,12 +71,21 @@ def pick(tags: Column, *keys: str) -> Column:
     return F.coalesce(*(blank_to_null(F.element_at(tags, k)) for k in keys), F.lit(""))
 
 
-_FROM = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
-_TO = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+_MARKS = range(0x0300, 0x0370)
+# characters that canonical decomposition turns into one other character and combining marks of that block
+_PLAIN = {
+    c: rest
+    for c in map(chr, [*range(0x80, 0xD800), *range(0xF900, 0x10000)])
+    if len(rest := "".join(x for x in unicodedata.normalize("NFD", c) if ord(x) not in _MARKS)) == 1 and rest != c
+}
+_FROM, _TO = "".join(_PLAIN), "".join(_PLAIN.values())
 
 
 def strip_accents(text: Column) -> Column:
-    """Lower case without the accents of Latin letters; combining marks go too."""
+    """Lower case without accents, of Latin and other letters alike; combining marks go too.
+
+    A letter that decomposes into several others, as Hangul does, stays whole.
+    """
     return F.regexp_replace(F.translate(F.lower(text), _FROM, _TO), r"[\x{0300}-\x{036F}]", "")
 
 

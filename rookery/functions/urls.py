@@ -26,6 +26,7 @@ def origin_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
+    """The path of a web URL, ``/`` where it is empty and for what is no URL."""
     return F.when(_part(url, 3) == "", F.lit("/")).otherwise(_part(url, 3))
 
 
@@ -45,28 +46,97 @@ def _without_dots(path: Column) -> Column:
     return F.when(last.isin(".", "..") & ~joined.endswith("/"), F.concat(joined, F.lit("/"))).otherwise(joined)
 
 
+_SEP = "\x01"
+
+
+def _split(url: Column) -> Column:
+    """Scheme, host, path, query and fragment of a web URL by one pattern; an array of one for what is none."""
+    return F.split(F.regexp_replace(F.translate(F.trim(url), _SEP, ""), _PARTS, _SEP.join(f"${i}" for i in range(1, 6))), _SEP, -1)
+
+
+def _origin(parts: Column) -> Column:
+    host = F.regexp_replace(F.lower(parts[1]), r":(80|443)?$", "")
+    return F.when((F.size(parts) == 5) & (host != ""), F.concat(F.lower(parts[0]), F.lit("//"), host)).otherwise("")
+
+
+def _tidy(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments; most have none."""
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), _without_dots(path)).otherwise(path)
+
+
+def _escaped(text: Column, marks: str) -> Column:
+    """Percent escapes for the ``marks``, for spaces and controls, and for all beyond ASCII, by their UTF-8 bytes."""
+    each = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    odd = lambda c: c.isin(*marks) | ~c.between("!", "~")
+    escape = lambda c: F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")
+    return F.array_join(F.transform(each, lambda c: F.when(odd(c), escape(c)).otherwise(c)), "")
+
+
+def spelled(link: Column) -> Column:
+    """A link as browsers spell it: no tabs and line ends, slashes for backslashes, escapes for what a path, query or fragment can't have.
+
+    Only links with such characters are taken apart.  Hosts stay as they are (no IDNA), and so do links of schemes without ``//``.
+    """
+
+    def full(link: Column) -> Column:
+        front = F.translate(F.regexp_extract(link, r"^[^?#]*", 0), "\\", "/")
+        host = F.regexp_extract(front, r"^([A-Za-z][A-Za-z0-9+.-]*:)?//[^/]*", 0)
+        path = _escaped(F.substr(front, F.char_length(host) + 1), ' "<>`{}')
+        query = _escaped(F.regexp_extract(link, r"^[^?#]*(\?[^#]*)", 1), " \"<>'")
+        return F.concat(host, path, query, _escaped(F.regexp_extract(link, r"^[^#]*(#(?s:.*))", 1), ' "<>`'))
+
+    def of(link: Column) -> Column:
+        opaque = link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:(?![/\\])")
+        odd = link.rlike(r"""[^!-~]|["<>`{}\\]""") | link.contains("'")
+        bare = F.regexp_replace(link, r"[\t\n\r]+|^[\x00-\x20]+|[\x00-\x20]+\z", "")
+        return F.when(opaque | ~odd, link).otherwise(rx.let(bare, full))
+
+    return rx.let(F.trim(link), of)
+
+
+def base_of(base: Column) -> Column:
+    """What ``resolved`` needs of a page's URL, found once for all of its links."""
+
+    def of(parts: Column) -> Column:
+        path = F.when(F.size(parts) < 5, "/").when(parts[2] == "", "/").otherwise(parts[2])
+        return F.struct(
+            _origin(parts).alias("origin"),
+            F.regexp_replace(path, "[^/]*$", "").alias("folder"),
+            F.regexp_extract(base, r"^[^?#]*", 0).alias("bare"),
+            F.regexp_extract(base, r"\?[^#]*", 0).alias("query"),
+        )
+
+    return rx.let(_split(base), of)
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """An absolute URL for a link on the page of ``base_of``; null if either is no web URL."""
+
+    def whole(parts: Column) -> Column:
+        path = F.when(parts[2] == "", "/").otherwise(parts[2])
+        return F.when(F.size(parts) == 5, F.concat(_origin(parts), _tidy(path), parts[3], parts[4])).otherwise("/")
+
+    def of(link: Column) -> Column:
+        bare = F.regexp_extract(link, r"^[^?#]*", 0)
+        tail = F.substr(link, F.char_length(bare) + 1)
+        full = F.when(link.startswith("//"), F.concat(F.regexp_extract(base["origin"], "^[a-z]+:", 0), link)).otherwise(link)
+        path = F.when(bare.startswith("/"), bare).otherwise(F.concat(base["folder"], bare))
+        same = F.concat(base["bare"], F.when(link.startswith("#"), base["query"]).otherwise(""), tail)
+        named = link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:")
+        out = (
+            F.when(link.startswith("//") | link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), rx.let(_split(full), whole))
+            .when(named, link)
+            .when(bare == "", same)
+            .otherwise(F.concat(base["origin"], _tidy(path), tail))
+        )
+        return F.when((base["origin"] != "") | named, out)
+
+    return rx.let(spelled(link), of)
+
+
 def resolve(link: Column, base: Column) -> Column:
     """An absolute URL for a link on a page; null if either is no web URL."""
-    link = F.trim(link)
-    origin = origin_of(base)
-    folder = F.regexp_replace(path_of(base), "[^/]*$", "")
-    bare = F.regexp_extract(link, r"^[^?#]*", 0)
-    tail = F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
-    path = F.when(bare.startswith("/"), bare).otherwise(F.concat(folder, bare))
-    full = F.when(link.startswith("//"), F.concat(F.regexp_extract(origin, "^[a-z]+:", 0), link)).otherwise(link)
-    absolute = F.concat(origin_of(full), _without_dots(path_of(full)), _part(full, 4), _part(full, 5))
-    same = F.concat(
-        F.regexp_extract(base, r"^[^?#]*", 0),
-        F.when(link.startswith("#"), F.regexp_extract(base, r"\?[^#]*", 0)).otherwise(""),
-        tail,
-    )
-    out = (
-        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://") | link.startswith("//"), absolute)
-        .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(bare == "", same)
-        .otherwise(F.concat(origin, _without_dots(path), tail))
-    )
-    return F.when((origin != "") | link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), out)
+    return rx.let(base_of(base), lambda b: resolved(link, b))
 
 
 def country_of_host(host: Column) -> Column:

@@ -154,6 +154,10 @@ MISSED = ("unreachable", "bad url")
 MOST_ATTEMPTS = 4
 CHALLENGE_MINUTES = 360
 RETRY_MINUTES = 10
+ACCESS_FOR_ALL = "^(yes|public|permissive)$"
+PUBLIC_OPERATOR = "^(government|public|council)$"
+REGISTER_SITES = r"(^|\.)lta\.org\.uk$|ltapadel|ltatennisfoundation"
+REGISTER_MAIL = r"lta\.org\.uk$"
 TOO_BIG = "504|timed out|out of memory|cut the query short"
 RESULT_LINK = r'<a[^>]+href="([^"]*uddg=[^"]+)"[^>]*>([\s\S]*?)<\/a>'
 RESULT_TARGET = r'uddg=([^&"]+)'

@@ -94,3 +94,58 @@ def breaker(rows: DataFrame, order: list[Column], ok: Column, k: int, keys: list
 def until_open(rows: DataFrame, order: list[Column], ok: Column, k: int, keys: list[str] | None = None) -> DataFrame:
     """The attempts that are made by a phase that ends at the ``k``-th failure in a row."""
     return breaker(rows, order, ok, k, keys).filter("pauses = 0").select(*rows.columns)
+
+
+def _carried(rows: DataFrame, order: list[Column], value: Column, name: str, keys: list[str], ranges: int | None, ahead: bool) -> DataFrame:
+    """``rows`` with the nearest ``value`` that is not null at or before each row of its key (``ahead``: at or after it)."""
+    by = [F.struct(F.lit(0), *keys), *order, value]
+    dealt = ranged(rows, by, ranges).withColumnsRenamed({"o0": "key", f"o{len(by) - 1}": "value"})
+    turned = [F.desc(f"o{i}") if ahead else F.asc(f"o{i}") for i in range(1, len(by) - 1)]
+    upto = Window.partitionBy("range", "key").orderBy(*turned).rowsBetween(Window.unboundedPreceding, 0)
+    inside = dealt.withColumn("near", F.last("value", ignorenulls=True).over(upto))
+    # of each range the keys at both ends and the values that they hand on
+    at = F.struct(*(f"o{i}" for i in range(1, len(by) - 1)))
+    nearest = (F.min_by if ahead else F.max_by)("value", F.when(F.col("value").isNotNull(), at))
+    sums = dealt.groupBy("range", "key").agg(nearest.alias("given"))
+    part = F.struct("key", "given")
+    edges = sums.groupBy("range").agg(F.min_by(part, "key").alias("first"), F.max_by(part, "key").alias("last"))
+    before, held = [], None
+    for r in sorted(edges.collect(), key=lambda r: -r.range if ahead else r.range):  # two values for each range
+        near, far = (r.last, r.first) if ahead else (r.first, r.last)
+        got = held[1] if held and held[0] == near.key else None
+        before.append((r.range, near.key, got))
+        held = (far.key, far.given if far.given is not None or far.key != near.key else got)
+    kinds = ", ".join(f"{n} {dealt.schema[c].dataType.simpleString()}" for n, c in (("key", "key"), ("got", "value")))
+    known = rows.sparkSession.createDataFrame(before, f"range int, {kinds}").alias("b")
+    met = (F.col("r.range") == F.col("b.range")) & F.col("r.key").eqNullSafe(F.col("b.key"))
+    joined = inside.alias("r").join(F.broadcast(known), met, "left")
+    kept = [F.col(f"r.row.{c}") for c in rows.columns if c != name]
+    return joined.select(*kept, F.coalesce("r.near", "b.got").alias(name))
+
+
+def next_value(rows: DataFrame, order: list[Column], value: Column, name: str, keys: list[str] | None = None, ranges: int | None = None) -> DataFrame:
+    """``rows`` with the first ``value`` that is not null at or after each row in the order (of its key)."""
+    return _carried(rows, order, value, name, keys or [], ranges, True)
+
+
+def last_value(rows: DataFrame, order: list[Column], value: Column, name: str, keys: list[str] | None = None, ranges: int | None = None) -> DataFrame:
+    """``rows`` with the last ``value`` that is not null at or before each row in the order (of its key)."""
+    return _carried(rows, order, value, name, keys or [], ranges, False)
+
+
+def as_of(events: DataFrame, states: DataFrame, keys: list[str], at: str, since: str, ranges: int | None = None) -> DataFrame:
+    """``events`` with ``state``, the row of ``states`` with the same keys that held at the event's time ``at``: the last with ``since`` at or before it.
+
+    Of states of one time the greatest row counts.  Events before the first state, without a time or without a key have a null
+    ``state``; states without a time or a key count for nothing.  A key that holds most rows is dealt to many tasks.
+    """
+    state = F.struct(*states.columns)
+    none = F.lit(None)
+    fit = states.filter(F.col(since).isNotNull())
+    for c in keys:
+        fit = fit.filter(F.col(c).isNotNull())
+    each = events.select(*keys, F.struct(*events.columns).alias("event"), F.col(at).alias("t"), none.cast(fit.select(state.alias("s")).schema["s"].dataType).alias("held"))
+    held = fit.select(*keys, none.cast(each.schema["event"].dataType).alias("event"), F.col(since).cast(each.schema["t"].dataType).alias("t"), state.alias("held"))
+    order = [F.col("t"), F.col("event").isNotNull(), F.col("held")]
+    found = last_value(each.unionByName(held), order, F.col("held"), "state", keys, ranges).filter("event is not null")
+    return found.select(*(F.col(f"event.{c}") for c in events.columns if c != "state"), "state")

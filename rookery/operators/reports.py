@@ -49,6 +49,7 @@ def top_reasons(rows: DataFrame, reason: Column, order: str, n: int) -> DataFram
 
 
 def by_country(published: DataFrame) -> DataFrame:
+    """Published records by country."""
     return published.groupBy("country").agg(F.count("*").alias("n"))
 
 
@@ -88,10 +89,12 @@ def import_summary(priority: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def leads_summary(leads: DataFrame) -> DataFrame:
+    """Leads in all, those searched and those left; nulls and blanks count as not searched."""
     return leads.agg(F.count("*").alias("total"), F.count_if(has("searched")).alias("searched"), F.count_if(~has("searched")).alias("left"))
 
 
 def seeds_summary(queue: DataFrame) -> DataFrame:
+    """Seeds in all, at work and exhausted, and the pages they gave; a null ``done`` is at work."""
     return queue.agg(
         F.count("*").alias("total"),
         F.count_if(~F.coalesce("done", F.lit(False))).alias("working"),
@@ -101,6 +104,7 @@ def seeds_summary(queue: DataFrame) -> DataFrame:
 
 
 def mine_summary(state: DataFrame) -> DataFrame:
+    """Mined words, pages they have queued and records they have added; nulls count as none."""
     return state.agg(
         F.count("*").alias("patterns"),
         F.coalesce(F.sum(F.size(F.coalesce("pending", F.array()))), F.lit(0)).alias("queued"),
@@ -157,6 +161,7 @@ def seeds_by_country(queue: DataFrame, countries: DataFrame) -> DataFrame:
 
 
 def city_emails(store: DataFrame) -> DataFrame:
+    """Addresses by country and city; records without a city or an address go."""
     return store.filter(has("country") & has("city") & has("email")).groupBy("country", "city").agg(F.count("*").alias("emails"))
 
 
@@ -245,3 +250,16 @@ def page_audit(pages: DataFrame) -> DataFrame:
     """``pages(page, links, internal, external, emails)``, all counts, with a verdict."""
     good = (F.col("emails") >= 3) | (F.col("external") >= 3)
     return pages.select("page", "links", "internal", "external", "emails", F.when(good, "GOOD").otherwise("MAYBE").alias("verdict"))
+
+
+def distinct_sketches(rows: DataFrame, keys: list[str], value: str, size: int = 12) -> DataFrame:
+    """``keys, sketch``: a sketch of the distinct values of each group (an extension); sketches can be united, and do not grow.
+
+    ``size`` is the binary logarithm of a sketch's registers; a count is off by about ``1.04 / sqrt(2 ** size)`` of itself.
+    """
+    return rows.groupBy(*keys).agg(F.hll_sketch_agg(value, size).alias("sketch"))
+
+
+def united_counts(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, n``: estimated distinct values over all sketches that share ``keys``, such as the days of a range."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n"))

@@ -8,20 +8,27 @@ from pyspark.sql import functions as F
 from ..functions import emails, html, rules, rx, urls, values
 
 
+_SPORT = "|".join((values.TENNIS, values.PADEL, values.PADEL_TENNIS, values.SQUASH))
+
+
 def _club_like(name: Column, website: Column) -> Column:
+    """Whether a text names a private club with a racket sport; what most texts fail is asked first."""
     none = F.lit("")
-    return F.char_length(name).between(4, 90) & (F.size(rules.detect_sports(name)) > 0) & rules.private_gate(name, website, none)["ok"]
+    likely = F.char_length(name).between(4, 90) & rx.like(name, _SPORT) & rx.like(F.concat(name, F.lit("  ")), values.CLUB_WORD)
+    return likely & rules.private_gate(name, website, none)["ok"]
 
 
 def club_links(links: Column, base: Column) -> Column:
     """Of a page's ``links`` those whose text alone names a private club with a racket sport: ``name, url, internal``, one for each text (the first)."""
-    fit = F.filter(links, lambda x: _club_like(x["text"], F.lit("")))
-    names = F.transform(fit, lambda x: x["text"])
-    first = F.filter(fit, lambda x, i: F.array_position(names, x["text"]) == i + 1)
-    return F.transform(
-        first,
-        lambda x: F.struct(x["text"].alias("name"), x["url"].alias("url"), x["url"].startswith(urls.origin_of(base)).alias("internal")),
-    )
+
+    def of(fit: Column) -> Column:
+        return rx.let(F.transform(fit, lambda x: x["text"]), lambda names: rx.let(urls.origin_of(base), lambda origin: first(fit, names, origin)))
+
+    def first(fit: Column, names: Column, origin: Column) -> Column:
+        own = F.filter(fit, lambda x, i: F.array_position(names, x["text"]) == i + 1)
+        return F.transform(own, lambda x: F.struct(x["text"].alias("name"), x["url"].alias("url"), x["url"].startswith(origin).alias("internal")))
+
+    return rx.let(F.filter(links, lambda x: _club_like(x["text"], F.lit(""))), of)
 
 
 def link_counts(page: Column, base: Column) -> Column:
@@ -97,26 +104,27 @@ def checked(pages: DataFrame) -> DataFrame:
     return rows.select("url", "links", "internal", "external", "emails", verdict.alias("verdict"))
 
 
-def from_register(venues: DataFrame, vetted: DataFrame) -> DataFrame:
+def from_register(venues: DataFrame, vetted: DataFrame, chars: int | None = 20_000) -> DataFrame:
     """``id, name, sports, website, email, reason`` of register pages ``id, html``; '' is no reason against the venue.
 
     ``vetted(url, name, sports, website, reason)`` is what ``records.vet`` says of the venues' own sites, one row for a site;
-    it is asked only where the register's own words fail the private gate.
+    it is asked only where the register's own words fail the private gate.  Sports are sought in the first ``chars``
+    characters of a page's text, as the results to be matched have it; None takes the whole text.
     """
     page = F.coalesce("html", F.lit(""))
     email = F.lower(F.trim(rx.sub(html.card_field(page, "Email"), "^mailto:", "")))
     site = F.trim(html.card_field(page, "Website"))
-    own = rx.like(site, r"^https?:\/\/") & ~rx.like(urls.host_of(site), r"(^|\.)lta\.org\.uk$|ltapadel|ltatennisfoundation")
+    own = rx.like(site, r"^https?:\/\/") & ~rx.like(urls.host_of(site), values.REGISTER_SITES)
     rows = venues.select(
         "id",
         (page != "").alias("read"),
         html.venue_name(page).alias("name"),
-        F.substring(html.card_text(page), 1, 20_000).alias("body"),
+        (html.card_text(page) if chars is None else F.substring(html.card_text(page), 1, chars)).alias("body"),
         email.alias("card"),
         F.when(own, site).otherwise("").alias("site"),
     )
     host = F.coalesce(F.get(F.split("card", "@"), F.lit(1)), F.lit(""))
-    good = F.col("card").contains("@") & ~rx.like(F.col("card"), values.REGISTER_JUNK) & ~rx.like(host, r"lta\.org\.uk$") & ~rx.like(host, values.PUBLIC_DOMAIN)
+    good = F.col("card").contains("@") & ~rx.like(F.col("card"), values.REGISTER_JUNK) & ~rx.like(host, values.REGISTER_MAIL) & ~rx.like(host, values.PUBLIC_DOMAIN)
     rows = rows.withColumns(
         {
             "sports": rules.detect_sports(F.concat_ws(" ", "name", "body")),

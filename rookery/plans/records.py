@@ -26,8 +26,8 @@ def from_elements(elements: DataFrame, countries: DataFrame) -> DataFrame:
     gate = rules.private_gate(F.col("name"), F.col("website"), F.col("email"), tag("operator"), about)
     reason = (
         F.when(gate["reason"] != "", gate["reason"])
-        .when(rx.like(tag("access"), "^(yes|public|permissive)$"), F.concat(F.lit("access="), tag("access")))
-        .when(rx.like(tag("operator_type"), "^(government|public|council)$"), F.concat(F.lit("operator_type="), tag("operator_type")))
+        .when(rx.like(tag("access"), values.ACCESS_FOR_ALL), F.concat(F.lit("access="), tag("access")))
+        .when(rx.like(tag("operator_type"), values.PUBLIC_OPERATOR), F.concat(F.lit("operator_type="), tag("operator_type")))
         .otherwise("")
     )
     base = base.withColumn("reason", reason)

@@ -19,16 +19,16 @@ def _checkpoints(spark: SparkSession) -> None:
 def reach(edges: DataFrame, roots: DataFrame, most: int = 10_000) -> DataFrame:
     """``node, depth`` of all nodes that ``edges(src, dst)`` lead to from ``roots(node)``, by the shortest way.
 
-    The frontier is kept between steps, so pages that failed are met again by a later walk.  Only whether it is empty is
-    told to the driver; each step is written to the checkpoint folder.
+    Each step writes the nodes that it meets first to the checkpoint folder, and no others; only whether there are any is
+    told to the driver.  A walk that is not at its end after ``most`` steps is an error.
     """
     _checkpoints(edges.sparkSession)
     frontier = roots.select("node").distinct().withColumn("depth", F.lit(0)).checkpoint()
     seen = frontier
-    for depth in range(1, most):
+    for depth in range(1, most + 1):
         step = frontier.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
         frontier = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
         if frontier.isEmpty():
-            break
-        seen = seen.unionByName(frontier).checkpoint()
-    return seen
+            return seen
+        seen = seen.unionByName(frontier)
+    raise RuntimeError(f"the walk is not at its end after {most} steps")

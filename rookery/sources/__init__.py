@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import html, rx, urls, values
+from ..operators import ranges
 from .json_split import json_store as json_store
 
 CLUB = "key string, ord bigint, name string, cc string, country string, lang string, sports array<string>, website string, email string, alt array<string>, contact string, src string, srcPage string, city string, crawled boolean, stale boolean, restored boolean, attempts int, crawlNote string, lastTried string, retryAfter bigint"
@@ -242,14 +243,14 @@ def decoded(body: Column, content_type: Column) -> Column:
 def new_seeds(found: DataFrame, lines: DataFrame) -> DataFrame:
     """``value``: lines to append for ``found(cc, url)`` whose URLs no line of the list has yet, not even as the beginning of another.
 
-    A line's URL is met by all of its beginnings, so the anti-join is an equality.
+    URLs that begin with another come right after it in binary order, so each found one is compared with the next known one.
     """
-    known = lines.select(F.regexp_extract("value", r"https?://\S*", 0).alias("u")).filter("u <> ''")
-    begun = known.select(
-        F.explode(F.transform(F.sequence(F.lit(1), F.char_length("u")), lambda n: F.substr("u", F.lit(1), n))).alias("url")
-    ).distinct()
-    first = found.groupBy("url").agg(F.min("cc").alias("cc"))
-    return first.join(begun, "url", "left_anti").select(F.concat("cc", F.lit("  "), "url").alias("value"))
+    known = lines.select(F.regexp_extract("value", r"https?://\S*", 0).alias("url")).filter("url <> ''").distinct()
+    first = found.filter("url is not null").groupBy("url").agg(F.min("cc").alias("cc"))
+    both = first.withColumn("known", F.lit(False)).unionByName(known.select("url", F.lit(None).cast("string").alias("cc"), F.lit(True).alias("known")))
+    after = ranges.next_value(both, [F.col("url"), F.col("known")], F.when(F.col("known"), F.col("url")), "after")
+    fit = after.filter(~F.col("known") & ~F.coalesce(F.col("after").startswith(F.col("url")), F.lit(False)))
+    return fit.select(F.concat("cc", F.lit("  "), "url").alias("value"))
 
 
 def trimmed_log(lines: DataFrame, order: str, keep: int = 400) -> DataFrame:

@@ -19,6 +19,41 @@ def tumbling(events: DataFrame, width: str = "1 hour", late: str | None = None)
     return out.select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
+def sliding(events: DataFrame, width: str = "1 hour", step: str = "15 minutes", late: str | None = None) -> DataFrame:
+    """Events by overlapping windows and type: each row counts in every window that it lies in."""
+    rows = events.withColumn("at", F.col("ts").cast("timestamp"))
+    if late:
+        rows = rows.withWatermark("at", late)
+    out = rows.groupBy(F.window("at", width, step), "event_type").agg(F.count("*").alias("n"))
+    return out.select(F.col("window.start").alias("start"), "event_type", "n")
+
+
+def sessions(events: DataFrame, gap: str = "6 hours", late: str | None = None) -> DataFrame:
+    """``user_id, start, end, n``: the events of each user that follow each other within ``gap``; ``end`` is that much after the last."""
+    rows = events.filter("user_id is not null").withColumn("at", F.col("ts").cast("timestamp"))
+    if late:
+        rows = rows.withWatermark("at", late)
+    out = rows.groupBy(F.session_window("at", gap), "user_id").agg(F.count("*").alias("n"))
+    return out.select("user_id", F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
+
+
+def answered(attempts: DataFrame, outcomes: DataFrame, within: str = "1 hour", late: str | None = None) -> DataFrame:
+    """``key, tried, came, note``: attempts ``key, tried`` with the outcomes ``key, came, note`` that came no later than ``within`` after them.
+
+    The same for tables and for streams; with ``late`` Spark forgets what no later row can meet.
+    """
+    if late:
+        attempts, outcomes = attempts.withWatermark("tried", late), outcomes.withWatermark("came", late)
+    a, o = attempts.alias("a"), outcomes.alias("o")
+    met = (F.col("a.key") == F.col("o.key")) & (F.col("came") >= F.col("tried")) & (F.col("came") <= F.col("tried") + F.expr(f"interval {within}"))
+    return a.join(o, met).select("a.key", "tried", "came", "note")
+
+
+def dropped(query: StreamingQuery) -> int:
+    """Rows that a query's state operators have dropped because they came too late."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
 def first_seen(stream: DataFrame, keys: list[str], late: str = "30 days") -> DataFrame:
     """Each key once, with state that ends after ``late``."""
     return stream.withWatermark("at", late).dropDuplicatesWithinWatermark(keys)
