@@ -257,7 +257,9 @@ def test_categories_are_judged(spark):
 
 
 def test_register_venues(spark):
-    got = {r.id: (r.name, r.sports, r.website, r.email, r.reason) for r in QUERIES["register_venues"](spark, "").collect()}
+    sites = V.SITES.spark(spark, SF).withColumns({"cc": F.lit("GB"), "city": F.lit(""), "contact_html": F.lit("")})
+    found = judging.from_register(V.VENUES.spark(spark, SF), records.vet(sites, sources.countries(spark)))
+    got = {r.id: (r.name, r.sports, r.website, r.email, r.reason) for r in found.collect()}
     assert got["v1"] == ("Abbey Tennis Club", ["Tennis"], "https://abbey.co.uk", "sec@abbey.co.uk", "")
     assert got["v2"] == ("Bushey Tennis Club", ["Tennis"], "https://3tenn.co.uk", "", "")
     assert got["v3"][4] == "no club signal in name"
