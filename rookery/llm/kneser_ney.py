@@ -248,7 +248,7 @@ class _Vocabulary:
         ids = np.full(len(unique), m.end + 2, dtype=np.int64)
         counts = np.zeros(len(unique), dtype=np.int64)
         buckets, edges = np.unique(_bucket_of(unique, m.buckets), return_index=True)
-        for b, low, high in zip(buckets.tolist(), edges.tolist(), [*edges[1:].tolist(), len(unique)], strict=True):
+        for b, low, high in zip(buckets.tolist(), edges.tolist(), np.append(edges, len(unique))[1:].tolist(), strict=True):
             part = slice(low, high)
             if not m.sizes[b]:
                 continue

@@ -134,7 +134,7 @@ def test_a_row_that_is_there_ten_thousand_times(spark, tmp_path):
         tuple(r) for r in pages.groupBy("page_id", "payload_bytes", "record_type", "refers_to").count().collect()
     ] == [(3, 3000, "response", None, REPEATED)]
     assert QUERIES["op11_nearest_vectors"](spark, str(tmp_path)).count() == 0  # one id has no neighbour
-    assert QUERIES["op13_source_divergence"](spark, str(tmp_path)).select("source").distinct().count() == 1
+    assert QUERIES["op13_source_divergence"](spark, str(tmp_path)).count() == 0  # a source alone in its language differs from nothing
     talk = QUERIES["op9_chat_formatting"](spark, str(tmp_path))
     assert talk.agg(F.sum("n_turns")).first()[0] == 5000
 
