@@ -26,7 +26,8 @@ def _on(rows: str, sql: str):
 
     def register(f: Callable[[DataFrame], DataFrame]) -> Callable:
         names = set(re.findall(r"\{(\w+)\}", rows))
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(spark.sql(rows, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}))
+        tables = lambda spark, sf_dir: {n: sources.spread(spark.read.parquet(f"{sf_dir}/{n}.parquet")) for n in names}
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(spark.sql(rows, **tables(spark, sf_dir)))
         SQL[f.__name__] = f"with t as ({re.sub(r'{(\w+)}', r'\1', rows)}) {sql}"
         return f
 
@@ -53,7 +54,8 @@ def club_candidates(t: DataFrame) -> DataFrame:
     """Links of a listing whose text may name a club."""
     found = html.candidates(F.col("page"), F.col("base"))
     lines = F.transform(found, lambda x: F.concat_ws("|", x["name"], x["url"], F.when(x["internal"], F.lit("in")).otherwise(F.lit("out"))))
-    return t.select("k", F.array_join(lines, " ; ").alias("found")).filter("found <> ''")
+    # a filter on ``found`` would be tried before it, on links found a second time
+    return t.select("k", F.explode(F.filter(F.array(F.array_join(lines, " ; ")), lambda x: x != "")).alias("found"))
 
 
 @_on(
