@@ -5,8 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from rookery.catalogue import QUERIES
+from rookery import sources
+from rookery.catalogue import QUERIES, cases
 from rookery.functions import html
+from rookery.plans import records
 from tests.test_library import SF
 
 
@@ -35,3 +37,29 @@ def test_candidates_keep_the_first_link_of_a_text(spark):
     assert [tuple(x) for x in got[0]] == [("Padel Club", "https://a.es/2", True), ("Squash Centre", "https://o.es/5", False), ("club", "https://a.es/6", True)]
     assert [tuple(x)[:2] for x in got[2]] == [("Padel Club", "https://o.es/3"), ("Squash Centre", "https://o.es/5")] and all(x["internal"] for x in got[2])
     assert not got[1] and [x["name"] for x in got[3]] == []
+
+
+def test_rows_of_tables_are_spread(spark):
+    dealt = rows_by_partition(cases.VETTED.spark(spark, SF))
+    assert max(dealt) < sum(dealt) / 2
+
+
+def test_a_page_is_vetted_once(spark):
+    # the heading is sought for the name's candidates, for the title of the name and for that of the sports
+    assert times_in_plan(QUERIES["vetted_sites"](spark, SF), "<h1") <= 3
+
+
+def test_vetting_keeps_the_order_of_its_reasons(spark):
+    page = "<title>{}</title><h1>Padel &amp; more</h1><p>{}</p>"
+    rows = [
+        ("https://a.org", "GB", "Leeds", page.format("Municipal Tennis Club Spain", "x"), None, "names Spain, not United Kingdom"),
+        ("https://b.org", "GB", "Leeds", page.format("Municipal Tennis Club", "x"), None, "public/institutional: Municipal"),
+        ("https://c.org", "GB", "Leeds", page.format("Tennis Club", "x"), "<style>Leeds</style>", "nothing on its pages ties it to Leeds"),
+        ("https://d.org", "GB", "Leeds", page.format("Tennis Club", "x"), "in&nbsp;<b>LEEDS</b>", ""),
+        ("https://e.org", "GB", "York", page.format("Tennis Club", "York"), "", "nothing on its pages ties it to York"),
+        ("https://f.co.uk", "GB", None, "<h1>Start</h1><p>tennis</p>", None, 'no club signal in "Start"'),
+        ("https://g.org", None, None, page.format("Tennis Club", "x"), None, ""),
+    ]
+    frame = spark.createDataFrame(rows, "url string, cc string, city string, html string, contact_html string, want string")
+    got = records.vet(frame, sources.countries(spark)).select("url", "reason").collect()
+    assert {r.url: r.reason for r in got} == {r[0]: r[5] for r in rows}
