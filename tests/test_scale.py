@@ -63,3 +63,30 @@ def test_vetting_keeps_the_order_of_its_reasons(spark):
     frame = spark.createDataFrame(rows, "url string, cc string, city string, html string, contact_html string, want string")
     got = records.vet(frame, sources.countries(spark)).select("url", "reason").collect()
     assert {r.url: r.reason for r in got} == {r[0]: r[5] for r in rows}
+
+
+def test_a_name_is_taken_apart_once_for_all_links(spark):
+    rows = spark.createDataFrame([("x", "https://a.es/", "n")], "html string, url string, name string")
+    site = rows.select(html.outbound_site(F.col("html"), F.col("url"), F.array(F.lit("b.es")), F.col("name")))
+    # 18 where the host is sought again for each question to it
+    assert times_in_plan(site, "[^/?#@]") <= 12
+
+
+@pytest.mark.parametrize(
+    "name, want",
+    [
+        ("Abbey Tennis Club", "https://abbey.co.uk/x"),
+        ("", "https://o.es/?a=1"),
+        (None, "https://o.es/?a=1"),
+        ("Tennis", ""),
+        ("Rural Club Deva Tenis", "https://rcdt.es/"),
+        ("Real Club de Tenis", ""),
+        ("Chrome", ""),
+    ],
+)
+def test_outside_links(spark, name, want):
+    page = "".join(f'<a href="{u}">x</a>' for u in ("/abbey", "https://facebook.com/abbey", "ftp://abbey.es/", "https://www.chrome.es/", "https://O.es:443?a=1#f", "https://rcdt.es", "https://abbey.co.uk/x#abbey", "https://abbey.es"))
+    rows = spark.createDataFrame([(page, "https://a.es/x", name)], "html string, url string, name string")
+    got = rows.select(html.outbound_site(F.col("html"), F.col("url"), F.array(F.lit("chrome.es")), F.col("name")), html.chrome_hosts(F.col("html"), F.col("url"))).first()
+    assert got[0] == want
+    assert got[1] == ["facebook.com", "abbey.es", "chrome.es", "o.es", "rcdt.es", "abbey.co.uk"]
