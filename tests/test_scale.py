@@ -90,3 +90,9 @@ def test_outside_links(spark, name, want):
     got = rows.select(html.outbound_site(F.col("html"), F.col("url"), F.array(F.lit("chrome.es")), F.col("name")), html.chrome_hosts(F.col("html"), F.col("url"))).first()
     assert got[0] == want
     assert got[1] == ["facebook.com", "abbey.es", "chrome.es", "o.es", "rcdt.es", "abbey.co.uk"]
+
+
+def test_a_register_page_is_read_once(spark):
+    dealt = rows_by_partition(cases.REGISTER.spark(spark, SF))
+    assert max(dealt) < sum(dealt) / 2
+    assert times_in_plan(QUERIES["register_venues"](spark, SF), "<script") <= 10
