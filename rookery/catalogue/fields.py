@@ -121,11 +121,8 @@ def title_names(t: DataFrame) -> DataFrame:
      "select k, case when k % 2 = 0 then site else 'Club ' || k || ' & Co' end \"name\", concat_ws('|', nullif(title, ''), site, 'Club ' || k || ' & Co') candidates from t")
 def page_names(t: DataFrame) -> DataFrame:
     """What pages call themselves."""
-    return t.select(
-        "k",
-        html.page_name(F.col("page")).alias("name"),
-        F.array_join(html.name_candidates(F.col("page")), "|").alias("candidates"),
-    )
+    found = lambda c: F.struct(html.page_name(F.col("page"), c).alias("name"), F.array_join(c, "|").alias("candidates"))
+    return t.select("k", F.inline(F.array(rx.let(html.name_candidates(F.col("page")), found))))
 
 
 @_on(

@@ -96,3 +96,8 @@ def test_a_register_page_is_read_once(spark):
     dealt = rows_by_partition(cases.REGISTER.spark(spark, SF))
     assert max(dealt) < sum(dealt) / 2
     assert times_in_plan(QUERIES["register_venues"](spark, SF), "<script") <= 10
+
+
+def test_candidates_of_a_name_are_found_once(spark):
+    # once in the page that the query puts together, once for the candidates, once for the title
+    assert times_in_plan(QUERIES["page_names"](spark, SF), "<h1") <= 3
