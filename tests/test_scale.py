@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rookery import sources
 from rookery.catalogue import QUERIES, cases
-from rookery.functions import html
+from rookery.functions import html, rx, values
 from rookery.plans import records
 from tests.test_library import SF
 
@@ -101,3 +101,10 @@ def test_a_register_page_is_read_once(spark):
 def test_candidates_of_a_name_are_found_once(spark):
     # once in the page that the query puts together, once for the candidates, once for the title
     assert times_in_plan(QUERIES["page_names"](spark, SF), "<h1") <= 3
+
+
+def test_any_character_is_one_range(spark):
+    assert rx.SPACE not in rx.rx(values.ANCHOR)
+    inner = "a\n\u00a0\u2028\U0001f3be\x00<b>\u017f</b>"
+    rows = spark.createDataFrame([(f"<A href='https://o.es/'>{inner}</a><a href='/x'>y</a>",)], "html string")
+    assert rows.select(rx.first(F.col("html"), values.ANCHOR, 2), rx.all_of(F.col("html"), values.ANCHOR, 1)).first()[:] == (inner, ["https://o.es/", "/x"])
