@@ -108,3 +108,18 @@ def test_any_character_is_one_range(spark):
     inner = "a\n\u00a0\u2028\U0001f3be\x00<b>\u017f</b>"
     rows = spark.createDataFrame([(f"<A href='https://o.es/'>{inner}</a><a href='/x'>y</a>",)], "html string")
     assert rows.select(rx.first(F.col("html"), values.ANCHOR, 2), rx.all_of(F.col("html"), values.ANCHOR, 1)).first()[:] == (inner, ["https://o.es/", "/x"])
+
+
+@pytest.mark.parametrize("name", ["chrome_hosts", "outbound_site"])
+def test_outside_links_are_found_without_their_texts(spark, name):
+    frame = QUERIES[name](spark, SF)
+    assert times_in_plan(frame, "&nbsp;") == 0
+    # four in the spelling of odd links; 26 where a link is cut again for each question to its path
+    assert times_in_plan(frame, "^[^?#]*") <= 4
+
+
+def test_own_links_of_an_odd_page_lead_inside(spark):
+    page = "".join(f'<a href="{u}">x</a>' for u in ("/in", "../y/./z", "https://A.es/..", "//o.es", "https://p.es:443/it's a", "#x"))
+    rows = spark.createDataFrame([(page, u) for u in ("https://a.es/x", " https://a.es:443/x ", "https://a\x01.es/x", "a.es", "", None)] + [(None, "https://a.es/x")], "html string, url string")
+    got = [r[0] for r in rows.select(html.chrome_hosts(F.col("html"), F.col("url"))).collect()]
+    assert got == [["o.es", "p.es"]] * 3 + [[]] * 4
